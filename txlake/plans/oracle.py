@@ -157,8 +157,9 @@ FROM events WHERE strftime(ts, '%Y-%m-%d') = '2024-01-15'""",
     "envelope_decode": f"WITH {EV} {msg('ev')}",
     "envelope_encode_tx": TX_ENV.replace("@DT@", f"strftime(o_orderdate, {TS})"),
     "envelope_encode_cur": CUR_ENV,
-    "envelope_union": (TX_ENV.replace("@DT@", f"strftime(o_orderdate, {TS})")
-                       + "\nUNION ALL\n" + CUR_ENV),
+    "envelope_union": ("SELECT value FROM ("
+                       + TX_ENV.replace("@DT@", f"strftime(o_orderdate, {TS})")
+                       + ")\nUNION ALL\nSELECT value FROM (" + CUR_ENV + ")"),
     "replay_restamp": TX_ENV.replace("@DT@", "'2026-01-01 00:00:00'"),
     "uuid5_id": f"""WITH {CUR_BASE}
 SELECT currency_code, currency_code_with, date_update, {UUID} AS object_id
