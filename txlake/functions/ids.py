@@ -15,7 +15,11 @@ from txlake.schemas import UUID_NAMESPACE
 
 
 def uuid5(name: Column, namespace: str = UUID_NAMESPACE) -> Column:
-    """UUIDv5 text of a string column (null name -> null id)."""
+    """UUIDv5 text of a string column (null name -> null id).
+
+    Built only from null-propagating expressions (no ``CASE``), so the
+    repeated digest is one common subexpression, hashed once per row.
+    """
     ns_hex = namespace.replace("-", "").lower()
     digest = F.sha1(F.concat(F.unhex(F.lit(ns_hex)), F.encode(name, "UTF-8")))
     # byte 8 of the id keeps its low 6 bits and gets the variant bits 10
@@ -26,12 +30,11 @@ def uuid5(name: Column, namespace: str = UUID_NAMESPACE) -> Column:
             .bitwiseOR(F.lit(8))
         )
     )
-    return F.concat_ws(
-        "-",
-        F.substring(digest, 1, 8),
-        F.substring(digest, 9, 4),
-        F.concat(F.lit("5"), F.substring(digest, 14, 3)),
-        F.concat(variant, F.substring(digest, 18, 3)),
+    return F.concat(
+        F.substring(digest, 1, 8), F.lit("-"),
+        F.substring(digest, 9, 4), F.lit("-5"),
+        F.substring(digest, 14, 3), F.lit("-"),
+        variant, F.substring(digest, 18, 3), F.lit("-"),
         F.substring(digest, 21, 12),
     )
 
@@ -44,9 +47,10 @@ def uuid5_from_parts(*parts: Column, namespace: str = UUID_NAMESPACE,
     (414, 70) with the same date collide; pass a separator to avoid that.
     Any null part gives a null id.
     """
-    texts = [p.cast("string") for p in parts]
-    name = F.concat_ws(sep, *texts)
-    any_null = F.lit(False)
-    for t in texts:
-        any_null = any_null | t.isNull()
-    return F.when(~any_null, uuid5(name, namespace))
+    texts: list[Column] = []
+    for i, p in enumerate(parts):
+        if i and sep:
+            texts.append(F.lit(sep))
+        texts.append(p.cast("string"))
+    # concat (unlike concat_ws) is null when any part is null
+    return uuid5(F.concat(*texts), namespace)

@@ -42,7 +42,10 @@ def late_arrivals(arrivals: DataFrame, batch_col: str, time_col: str,
     single run with one batch per trigger and no idle batches between them.
 
     Only the per-batch maxima (one row per batch) are windowed and joined
-    back, so the work is one aggregation plus a join on the batch id.
+    back: one partial aggregation plus a broadcast join. The broadcast side
+    has exactly one row per arrival batch (a timestamp and an id), so its
+    size is bounded by the batch count, never by the data; a shuffle join on
+    the batch id instead would put each whole batch in one task.
     """
     per_batch = arrivals.groupBy(batch_col).agg(F.max(time_col).alias("_bmax"))
     w = Window.orderBy(batch_col).rowsBetween(Window.unboundedPreceding, -lag)
@@ -54,7 +57,7 @@ def late_arrivals(arrivals: DataFrame, batch_col: str, time_col: str,
             - F.lit(int(round(delay_seconds * 1000)))
         ).alias("_watermark"),
     )
-    return (arrivals.join(wm, batch_col, "left")
+    return (arrivals.join(F.broadcast(wm), batch_col, "left")
             .withColumn("is_late",
                         F.coalesce(F.col(time_col) <= F.col("_watermark"),
                                    F.lit(False)))

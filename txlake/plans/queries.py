@@ -75,9 +75,11 @@ def ntz(c: str | Column, name: str | None = None) -> Column:
     return col.cast("timestamp_ntz").alias(name or (c if isinstance(c, str) else None))
 
 
-def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
+def _t(spark: SparkSession, sf: str, name: str, cpu_heavy: bool = False) -> DataFrame:
+    """A test table; ``cpu_heavy`` spreads an under-split file over the cores
+    before JSON / hashing work (a no-op for a table with many splits)."""
     apply_batch_conf(spark)
-    return read_table(spark, sf, name)
+    return read_table(spark, sf, name, balance=cpu_heavy)
 
 
 def _messages(envelopes: DataFrame, keep_rejects: bool = False) -> DataFrame:
@@ -127,15 +129,15 @@ def partition_pruned_read(spark, sf):
 # --- envelopes --------------------------------------------------------------
 
 def envelope_decode(spark, sf):
-    return _message_cols(_messages(S.events_envelopes(_t(spark, sf, "events"))))
+    return _message_cols(_messages(S.events_envelopes(_t(spark, sf, "events", cpu_heavy=True))))
 
 
 def envelope_encode_tx(spark, sf):
-    return encode_transactions(S.transactions_dump(_t(spark, sf, "orders")))
+    return encode_transactions(S.transactions_dump(_t(spark, sf, "orders", cpu_heavy=True)))
 
 
 def envelope_encode_cur(spark, sf):
-    return encode_currencies(S.currency_dump(_t(spark, sf, "lineitem")))
+    return encode_currencies(S.currency_dump(_t(spark, sf, "lineitem", cpu_heavy=True)))
 
 
 def envelope_union(spark, sf):
@@ -146,13 +148,13 @@ def envelope_union(spark, sf):
 def replay_restamp(spark, sf):
     """Replay the transactions dump with event time re-stamped to the replay
     time (a parameter; ``format_event_time(current_timestamp())`` live)."""
-    dump = S.transactions_dump(_t(spark, sf, "orders")).withColumn(
+    dump = S.transactions_dump(_t(spark, sf, "orders", cpu_heavy=True)).withColumn(
         "transaction_dt", F.lit(REPLAY_TIME))
     return encode_transactions(dump)
 
 
 def uuid5_id(spark, sf):
-    d = S.currency_dump(_t(spark, sf, "lineitem"))
+    d = S.currency_dump(_t(spark, sf, "lineitem", cpu_heavy=True))
     du = format_event_time(F.col("date_update"))
     return d.select("currency_code", "currency_code_with", du.alias("date_update"),
                     uuid5_from_parts(F.col("currency_code"),
@@ -165,7 +167,7 @@ def normalize_event_time(spark, sf):
     """Event time on the wire in three shapes: ``T`` separated (purchase,
     view), space separated (click, signup), with milliseconds (error, which
     the second-precision format rejects -> null)."""
-    ev = _t(spark, sf, "events")
+    ev = _t(spark, sf, "events", cpu_heavy=True)
     et = F.col("event_type")
     text = (F.when(et.isin("purchase", "view"), format_event_time(F.col("ts"), "T"))
             .when(et.isin("click", "signup"), format_event_time(F.col("ts")))
@@ -185,7 +187,7 @@ def ingest_metadata(spark, sf):
 
 
 def route_by_type(spark, sf):
-    m = _messages(S.events_envelopes(_t(spark, sf, "events")))
+    m = _messages(S.events_envelopes(_t(spark, sf, "events", cpu_heavy=True)))
     route = F.when(F.col("object_type").isin(TRANSACTION, CURRENCY),
                    F.col("object_type")).otherwise(F.lit("raw_only"))
     return (m.withColumn("route", route).groupBy("route", "object_type")
@@ -198,12 +200,12 @@ def _clean_tx_cols(df: DataFrame) -> DataFrame:
 
 
 def clean_transactions_q(spark, sf):
-    m = _messages(S.events_envelopes(_t(spark, sf, "events")))
+    m = _messages(S.events_envelopes(_t(spark, sf, "events", cpu_heavy=True)))
     return _clean_tx_cols(clean_transactions(m))
 
 
 def clean_currencies_q(spark, sf):
-    m = _messages(S.events_envelopes(_t(spark, sf, "events")))
+    m = _messages(S.events_envelopes(_t(spark, sf, "events", cpu_heavy=True)))
     c = clean_currencies(m)
     return c.select("object_id", ntz("date_update"), "currency_code",
                     "currency_code_with", "currency_with_div")
@@ -212,17 +214,16 @@ def clean_currencies_q(spark, sf):
 # --- dedup ------------------------------------------------------------------
 
 def _feed_with_retries(events: DataFrame) -> DataFrame:
-    return S.events_envelopes(events).unionByName(
-        S.events_envelopes(S.retry_feed(events)))
+    return S.events_envelopes(S.with_retries(events))
 
 
 def dedup_exact_q(spark, sf):
-    m = _messages(_feed_with_retries(_t(spark, sf, "events")))
+    m = _messages(_feed_with_retries(_t(spark, sf, "events", cpu_heavy=True)))
     return _message_cols(dedup_exact(m, DEDUP_KEYS))
 
 
 def _arrival_messages(spark, sf) -> DataFrame:
-    arr = S.events_envelopes(S.event_arrivals(_t(spark, sf, "events")),
+    arr = S.events_envelopes(S.event_arrivals(_t(spark, sf, "events", cpu_heavy=True)),
                              keep=("arrival",))
     return normalize_messages(decode_envelopes(arr, keep=("arrival",)),
                               keep_rejects=False)
@@ -255,7 +256,7 @@ def _stream_ingest_tables(spark: SparkSession, sf: str, name: str) -> TablePaths
     """Write the feed (events + retries) as files, stream it through the
     collector (exact dedup, several triggers) into the four tables."""
     root = scratch_path(spark, name)
-    _feed_with_retries(_t(spark, sf, "events")).write.parquet(f"{root}/feed")
+    _feed_with_retries(_t(spark, sf, "events", cpu_heavy=True)).write.parquet(f"{root}/feed")
     paths = TablePaths.under(f"{root}/tables")
     records = record_stream(spark, f"{root}/feed",
                             max_files_per_trigger=FILES_PER_TRIGGER)
@@ -295,7 +296,7 @@ def dedup_watermark(spark, sf):
     """Arrival batches delivered one trigger each into a watermark-first
     dedup (delay 1 hour); returns the raw layer: what the stream kept."""
     m_root = scratch_path(spark, "dedup_watermark")
-    arr = S.events_envelopes(S.event_arrivals(_t(spark, sf, "events")),
+    arr = S.events_envelopes(S.event_arrivals(_t(spark, sf, "events", cpu_heavy=True)),
                              keep=("arrival",))
     staged = f"{m_root}/staged"
     arr.write.partitionBy("arrival").parquet(staged)

@@ -37,10 +37,12 @@ def events_envelopes(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
     plus ``k``; fields not meant for a type are null and so left out of the
     JSON text.
     """
+    # parse props once; the projection below refers to it three times
+    events = events.withColumn("_k", _k())
     et = F.col("event_type")
     is_tx, is_cur = et == "purchase", et == "view"
     other = ~(is_tx | is_cur)
-    k = _k()
+    k = F.col("_k")
     ts_text = format_event_time(F.col("ts"))
     payload = F.struct(
         F.when(is_tx, F.col("event_id").cast("string")).alias("operation_id"),
@@ -72,6 +74,17 @@ def retry_feed(events: DataFrame) -> DataFrame:
     return events.withColumn("ts", shifted)
 
 
+def with_retries(events: DataFrame) -> DataFrame:
+    """Every event delivered twice -- the original and ``retry_feed``'s copy
+    -- from a single scan (``explode`` of the two deliveries)."""
+    d = F.explode(F.array(F.lit(0), F.lit(1))).alias("_delivery")
+    two = events.select("*", d)
+    shifted = F.when((F.col("_delivery") == 1)
+                     & (F.col("event_type") == RESTAMP_EVENT_TYPE),
+                     F.col("ts") + F.expr("INTERVAL 1 SECOND")).otherwise(F.col("ts"))
+    return two.withColumn("ts", shifted).drop("_delivery")
+
+
 def arrival_batch(ts: Column | None = None) -> Column:
     """Arrival batch of an on-time event: its 6-day slice of event time."""
     ts = F.col("ts") if ts is None else ts

@@ -1,6 +1,6 @@
 """Readers: batch Parquet, partition-pruned tables, file streams, Kafka."""
 
-from txlake.sources.files import read_parquet, read_partitioned, read_table
+from txlake.sources.files import read_parquet, read_partitioned, read_table, spread
 from txlake.sources.stream import record_stream
 from txlake.sources.kafka import KafkaSettings, kafka_stream, write_kafka
 
@@ -8,6 +8,7 @@ __all__ = [
     "read_parquet",
     "read_partitioned",
     "read_table",
+    "spread",
     "record_stream",
     "KafkaSettings",
     "kafka_stream",

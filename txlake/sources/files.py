@@ -5,12 +5,34 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's test tables (``{sf_dir}/{name}.parquet``)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over ``min_partitions`` (default: the session's
+    default parallelism) only when its scan yields fewer splits than that.
+
+    A large table already has far more splits than cores and is returned
+    untouched (no shuffle); a small file that is a single row group would
+    otherwise run every downstream projection in one task.
+    """
+    sc = df.sparkSession.sparkContext
+    target = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    # hash of a per-row id: even spread, and unlike round-robin no local
+    # sort of the whole input before the exchange
+    return df.repartition(target, F.monotonically_increasing_id())
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str,
+               balance: bool = False) -> DataFrame:
+    """One of the driver's test tables (``{sf_dir}/{name}.parquet``);
+    ``balance`` spreads it over the cores when the file is under-split
+    (use it ahead of CPU-heavy projections such as JSON or hashing)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if balance else df
 
 
 def read_parquet(spark: SparkSession, path: str,

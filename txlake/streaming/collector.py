@@ -20,7 +20,7 @@ from txlake.streaming.sinks import FanOutSink
 
 def collector_plan(records: DataFrame, watermark_delay: str | None = None,
                    keys=DEDUP_KEYS, observe_name: str | None = "collector_input",
-                   value_col: str = "value") -> DataFrame:
+                   value_col: str = "value", predup: bool = True) -> DataFrame:
     """Decode, normalise, count (before dedup), deduplicate and stamp ingest
     time. The stamp is ``current_timestamp()`` inside the streaming plan, so
     a retried micro-batch sees the same value and the same partitions."""
@@ -31,7 +31,8 @@ def collector_plan(records: DataFrame, watermark_delay: str | None = None,
             F.count(F.lit(1)).alias("input_rows"),
             F.count(F.col("reject_reason")).alias("rejected_rows"),
         )
-    return stamp_ingest_metadata(dedup_stream(msgs, keys, watermark_delay))
+    return stamp_ingest_metadata(
+        dedup_stream(msgs, keys, watermark_delay, predup=predup))
 
 
 def start_collector(records: DataFrame, sink: FanOutSink, checkpoint: str,

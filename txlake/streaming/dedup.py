@@ -9,9 +9,31 @@ from pyspark.sql import DataFrame
 from txlake.schemas import DEDUP_KEYS
 
 
+def _first_per_key(keys: list[str]):
+    def fn(batches):
+        for pdf in batches:
+            yield pdf.drop_duplicates(subset=keys, keep="first")
+    return fn
+
+
+def local_predup(messages: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Drop repeated keys inside each Arrow chunk of each input partition.
+
+    The stateful dedup has no map-side partial step: every copy of a key is
+    shuffled to the one task that owns the key. When one message is
+    delivered many times (a third of a batch, say) that task becomes the
+    straggler. Collapsing copies chunk by chunk before the shuffle bounds
+    what reaches it to one row per chunk. Narrow (no shuffle), and valid in
+    a streaming plan; the first copy in input order survives, as it would in
+    the stateful operator.
+    """
+    return messages.mapInPandas(_first_per_key(list(keys)), messages.schema)
+
+
 def dedup_stream(messages: DataFrame, keys: Sequence[str] = DEDUP_KEYS,
                  watermark_delay: str | None = None,
-                 event_time: str = "sent_dttm") -> DataFrame:
+                 event_time: str = "sent_dttm",
+                 predup: bool = False) -> DataFrame:
     """Drop repeated messages.
 
     Without ``watermark_delay`` every key is remembered forever (state grows
@@ -22,6 +44,7 @@ def dedup_stream(messages: DataFrame, keys: Sequence[str] = DEDUP_KEYS,
 
     A ``raw_value`` column (text of rejected records, null otherwise) joins
     the key, so distinct malformed messages do not collapse into one.
+    ``predup`` adds ``local_predup`` ahead of the stateful shuffle.
     """
     ks = list(keys)
     if "raw_value" in messages.columns and "raw_value" not in ks:
@@ -30,4 +53,6 @@ def dedup_stream(messages: DataFrame, keys: Sequence[str] = DEDUP_KEYS,
         if event_time not in ks:
             raise ValueError("the event-time column must be part of the key")
         messages = messages.withWatermark(event_time, watermark_delay)
+    if predup:
+        messages = local_predup(messages, ks)
     return messages.dropDuplicates(ks)
