@@ -185,3 +185,21 @@ def test_volume_listener(spark, tmp_root):
     mine = [b for b in listener.batches if b["id"] == str(q.id) and b["input_rows"]]
     assert mine and mine[0]["input_rows"] == 9
     assert mine[0]["observed"]["collector_input"]["rejected_rows"] == 1
+
+
+def test_publish_then_collect_round_trip(spark, tmp_root):
+    from txlake.operators import encode_transactions
+    from txlake.streaming import publish_envelopes
+    rows = [(f"op{i}", i, i + 1, 410, "canada", "queued", "sbp", 100 * i,
+             dt.datetime(2022, 10, 1, 0, 0, i)) for i in range(12)]
+    dump = spark.createDataFrame(rows, "operation_id string, account_number_from long, "
+                                 "account_number_to long, currency_code int, country string, "
+                                 "status string, transaction_type string, amount long, "
+                                 "transaction_dt timestamp")
+    sent = publish_envelopes(encode_transactions(dump), path=f"{tmp_root}/topic")
+    assert sent == 12
+    paths = TablePaths.under(f"{tmp_root}/tables")
+    run_collector(record_stream(spark, f"{tmp_root}/topic", fmt="text"), FanOutSink(paths),
+                  f"{tmp_root}/ck")
+    back = read_partitioned(spark, paths.transactions, CLEAN_TRANSACTIONS)
+    assert sorted(tuple(r)[:9] for r in back.collect()) == sorted(rows)

@@ -2,7 +2,12 @@
 volume metrics and the collector query (the only place a stream starts)."""
 
 from txlake.streaming.dedup import dedup_stream
-from txlake.streaming.sinks import FanOutSink, TablePaths, write_partitioned
+from txlake.streaming.sinks import (
+    FanOutSink,
+    TablePaths,
+    publish_envelopes,
+    write_partitioned,
+)
 from txlake.streaming.collector import collector_plan, run_collector, start_collector
 from txlake.streaming.metrics import VolumeCheck
 
@@ -11,6 +16,7 @@ __all__ = [
     "FanOutSink",
     "TablePaths",
     "write_partitioned",
+    "publish_envelopes",
     "collector_plan",
     "run_collector",
     "start_collector",
