@@ -36,13 +36,18 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     ``skew_safe=True`` (default) never puts a group in one task:
 
     1. range-partition on (keys, order) and sort inside partitions, so a hot
-       group is cut into contiguous slices across many tasks;
-    2. number rows inside each (group, slice) with a window on
-       (keys, partition id) -- balanced, since slices are bounded;
-    3. count rows per (group, slice) -- a partial aggregate -- and turn the
-       counts into a carry per slice with a running sum over the slices of
-       a group (a group has at most one row per partition here);
-    4. join the carry back on (keys, partition id) and add it.
+       group is cut into contiguous slices across many tasks; each row gets
+       its position inside its partition;
+    2. per (group, slice) -- a partial aggregate, one row per slice -- take
+       the row count and the first position, and turn the counts into a
+       carry with a running sum over the slices of the group (a group has
+       at most one slice per partition, so this window is small);
+    3. join that back on (keys, partition id): number = position - first
+       position + carry. The slice table has one row per (group, partition)
+       and Spark broadcasts it when small; otherwise the join shuffles on
+       (keys, partition id), which is balanced because hot groups are split.
+
+    Ties in ``order`` are numbered in an arbitrary order, as in a window.
     """
     keys, order = list(keys), list(order)
     if not skew_safe:
@@ -65,18 +70,16 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         "_pos": F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)),
     })
     slice_keys = keys + ["_pid"]
-    local = ranged.withColumn(
-        "_local",
-        F.row_number().over(Window.partitionBy(*slice_keys).orderBy("_pos")) - 1,
-    )
-    carry = (ranged.groupBy(*slice_keys).agg(F.count(F.lit(1)).alias("_n"))
-             .withColumn("_carry", F.coalesce(
-                 F.sum("_n").over(Window.partitionBy(*keys).orderBy("_pid")
-                                  .rowsBetween(Window.unboundedPreceding, -1)),
-                 F.lit(0)))
-             .select(*slice_keys, "_carry"))
-    numbered = (local.join(carry, slice_keys, "inner")
-                .withColumn(out, (F.col("_local") + F.col("_carry")).cast("int"))
+    slices = (ranged.groupBy(*slice_keys)
+              .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
+              .withColumn("_carry", F.coalesce(
+                  F.sum("_n").over(Window.partitionBy(*keys).orderBy("_pid")
+                                   .rowsBetween(Window.unboundedPreceding, -1)),
+                  F.lit(0)))
+              .select(*slice_keys, "_first", "_carry"))
+    numbered = (ranged.join(slices, slice_keys, "inner")
+                .withColumn(out, (F.col("_pos") - F.col("_first")
+                                  + F.col("_carry")).cast("int"))
                 .select(*cols, out))
     return numbered.unionByName(nulls)
 
