@@ -185,6 +185,7 @@ def test_volume_listener(spark, tmp_root):
     mine = [b for b in listener.batches if b["id"] == str(q.id) and b["input_rows"]]
     assert mine and mine[0]["input_rows"] == 9
     assert mine[0]["observed"]["collector_input"]["rejected_rows"] == 1
+    assert mine[0]["observed"]["collector_input"]["unrouted_rows"] == 1
 
 
 def test_publish_then_collect_round_trip(spark, tmp_root):

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from txlake.operators.envelope import decode_envelopes, normalize_messages
 from txlake.operators.route import stamp_ingest_metadata
-from txlake.schemas import DEDUP_KEYS, DEFAULT_TRIGGER
+from txlake.schemas import CURRENCY, DEDUP_KEYS, DEFAULT_TRIGGER, TRANSACTION
 from txlake.streaming.dedup import dedup_stream
 from txlake.streaming.sinks import FanOutSink
 
@@ -30,6 +30,10 @@ def collector_plan(records: DataFrame, watermark_delay: str | None = None,
             observe_name,
             F.count(F.lit(1)).alias("input_rows"),
             F.count(F.col("reject_reason")).alias("rejected_rows"),
+            # well-formed messages of a type no typed table takes (raw only)
+            F.count(F.when(F.col("reject_reason").isNull()
+                           & ~F.coalesce(F.col("object_type").isin(TRANSACTION, CURRENCY),
+                                         F.lit(False)), 1)).alias("unrouted_rows"),
         )
     return stamp_ingest_metadata(
         dedup_stream(msgs, keys, watermark_delay, predup=predup))
