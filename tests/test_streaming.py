@@ -49,14 +49,14 @@ FEED = [
 ]
 
 
-def _run_collect(spark, folder, ckpt, watermark):
+def _run_collect(spark, folder, ckpt, watermark, mode="watermark_first"):
     out = {}
 
     def sink(df, bid):
         out[bid] = sorted(r.object_id for r in df.collect())
 
     plan = collector_plan(record_stream(spark, folder, fmt="text", max_files_per_trigger=1),
-                          watermark_delay=watermark)
+                          watermark_delay=watermark, dedup_mode=mode)
     q = (plan.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination(120)
@@ -82,6 +82,25 @@ def test_watermark_first_dedup_stream(spark, tmp_root):
     assert max(p["stateOperators"][0]["numRowsTotal"] for p in prog) <= 3
 
 
+def test_dedup_first_order_keeps_state_and_late_rows(spark, tmp_root):
+    """The upstream order (dedup, then watermark): nothing expires and the
+    three-hour-late row passes."""
+    _write_files(f"{tmp_root}/feed", FEED)
+    out, prog = _run_collect(spark, f"{tmp_root}/feed", f"{tmp_root}/ck", "1 minute",
+                             mode="dedup_first")
+    got = [out[b] for b in sorted(out) if out[b]]
+    assert got == [["a", "b"], ["c"], ["d", "late"], ["e"], ["f"]]
+    assert [p["stateOperators"][0]["numRowsTotal"] for p in prog] == [2, 3, 5, 6, 7]
+
+
+def test_within_watermark_dedup(spark, tmp_root):
+    _write_files(f"{tmp_root}/feed", FEED)
+    out, _ = _run_collect(spark, f"{tmp_root}/feed", f"{tmp_root}/ck", "1 minute",
+                          mode="within_watermark")
+    got = [out[b] for b in sorted(out) if out[b]]
+    assert got == [["a", "b"], ["c"], ["d"], ["e"], ["f"]]
+
+
 def test_late_rule_matches_single_run(spark, tmp_root):
     """In one run with one file per trigger, the late filter of batch n uses
     the maximum event time of batches <= n - 2."""

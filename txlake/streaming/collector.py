@@ -20,7 +20,8 @@ from txlake.streaming.sinks import FanOutSink
 
 def collector_plan(records: DataFrame, watermark_delay: str | None = None,
                    keys=DEDUP_KEYS, observe_name: str | None = "collector_input",
-                   value_col: str = "value", predup: bool = True) -> DataFrame:
+                   value_col: str = "value", predup: bool = True,
+                   dedup_mode: str = "watermark_first") -> DataFrame:
     """Decode, normalise, count (before dedup), deduplicate and stamp ingest
     time. The stamp is ``current_timestamp()`` inside the streaming plan, so
     a retried micro-batch sees the same value and the same partitions."""
@@ -36,7 +37,7 @@ def collector_plan(records: DataFrame, watermark_delay: str | None = None,
                                          F.lit(False)), 1)).alias("unrouted_rows"),
         )
     return stamp_ingest_metadata(
-        dedup_stream(msgs, keys, watermark_delay, predup=predup))
+        dedup_stream(msgs, keys, watermark_delay, predup=predup, mode=dedup_mode))
 
 
 def start_collector(records: DataFrame, sink: FanOutSink, checkpoint: str,

@@ -33,14 +33,24 @@ def local_predup(messages: DataFrame, keys: Sequence[str]) -> DataFrame:
 def dedup_stream(messages: DataFrame, keys: Sequence[str] = DEDUP_KEYS,
                  watermark_delay: str | None = None,
                  event_time: str = "sent_dttm",
-                 predup: bool = False) -> DataFrame:
+                 predup: bool = False,
+                 mode: str = "watermark_first") -> DataFrame:
     """Drop repeated messages.
 
     Without ``watermark_delay`` every key is remembered forever (state grows
-    with the number of distinct messages). With it, the watermark is set
-    *before* the dedup: keys whose event time falls behind the watermark are
-    evicted, and rows arriving behind it are dropped as late and counted in
-    ``numRowsDroppedByWatermark``. ``event_time`` must be among ``keys``.
+    with the number of distinct messages). With it, ``mode`` chooses:
+
+    * ``"watermark_first"`` (default): the watermark is set *before* the
+      dedup; keys whose event time falls behind it are evicted, and rows
+      arriving behind it are dropped as late and counted in
+      ``numRowsDroppedByWatermark``. ``event_time`` must be among ``keys``.
+    * ``"within_watermark"``: ``dropDuplicatesWithinWatermark`` on the keys
+      other than ``event_time`` -- a copy is dropped while its first
+      occurrence is less than the delay behind the watermark, whatever its
+      own event time.
+    * ``"dedup_first"``: dedup, then the watermark, as the upstream collector
+      orders them. The watermark then bounds nothing: state is never evicted
+      and late rows pass. For parity checks only.
 
     A ``raw_value`` column (text of rejected records, null otherwise) joins
     the key, so distinct malformed messages do not collapse into one.
@@ -49,10 +59,23 @@ def dedup_stream(messages: DataFrame, keys: Sequence[str] = DEDUP_KEYS,
     ks = list(keys)
     if "raw_value" in messages.columns and "raw_value" not in ks:
         ks.append("raw_value")
-    if watermark_delay is not None:
-        if event_time not in ks:
-            raise ValueError("the event-time column must be part of the key")
-        messages = messages.withWatermark(event_time, watermark_delay)
+    if watermark_delay is None:
+        src = local_predup(messages, ks) if predup else messages
+        return src.dropDuplicates(ks)
+    if mode == "dedup_first":
+        src = local_predup(messages, ks) if predup else messages
+        return src.dropDuplicates(ks).withWatermark(event_time, watermark_delay)
+    if mode == "within_watermark":
+        ks = [k for k in ks if k != event_time]
+        src = messages.withWatermark(event_time, watermark_delay)
+        if predup:
+            src = local_predup(src, ks)
+        return src.dropDuplicatesWithinWatermark(ks)
+    if mode != "watermark_first":
+        raise ValueError(f"unknown dedup mode {mode!r}")
+    if event_time not in ks:
+        raise ValueError("the event-time column must be part of the key")
+    src = messages.withWatermark(event_time, watermark_delay)
     if predup:
-        messages = local_predup(messages, ks)
-    return messages.dropDuplicates(ks)
+        src = local_predup(src, ks)
+    return src.dropDuplicates(ks)
