@@ -25,9 +25,13 @@ def _skewed(spark, n=3000):
     return spark.createDataFrame(rows, "id long, acct long, st string, t int")
 
 
-def test_skew_safe_sequence_equals_window(spark):
+import pytest
+
+
+@pytest.mark.parametrize("parts", [8, None])
+def test_skew_safe_sequence_equals_window(spark, parts):
     df = _skewed(spark)
-    a = sequence_number(df, ["acct", "st"], ["t", "id"], skew_safe=True, num_partitions=8)
+    a = sequence_number(df, ["acct", "st"], ["t", "id"], skew_safe=True, num_partitions=parts)
     b = sequence_number(df, ["acct", "st"], ["t", "id"], skew_safe=False)
     assert sorted(a.collect()) == sorted(b.collect())
     hot = a.where("acct = -1 AND st = 'a'").agg(F.max("row_number")).first()[0]

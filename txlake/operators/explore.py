@@ -55,15 +55,16 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         return df.withColumn(
             out, F.when(_all_not_null(keys), F.row_number().over(w) - 1))
 
-    n = num_partitions or int(
-        df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     has_key = _all_not_null(keys)
     cols = df.columns
     keyed = df.where(has_key)
     nulls = df.where(~has_key).withColumn(out, F.lit(None).cast("int"))
 
-    ranged = (keyed.repartitionByRange(n, *keys, *order)
-              .sortWithinPartitions(*keys, *order)
+    # without an explicit count AQE sizes the range shuffle (it may merge
+    # adjacent ranges; positions are taken after that, so numbers still hold)
+    ranged = (keyed.repartitionByRange(num_partitions, *keys, *order)
+              if num_partitions else keyed.repartitionByRange(*keys, *order))
+    ranged = (ranged.sortWithinPartitions(*keys, *order)
               .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = ranged.withColumns({
         "_pid": F.shiftright(F.col("_mid"), _POS_BITS),
