@@ -8,7 +8,12 @@ from txlake.streaming.sinks import (
     publish_envelopes,
     write_partitioned,
 )
-from txlake.streaming.collector import collector_plan, run_collector, start_collector
+from txlake.streaming.collector import (
+    backfill,
+    collector_plan,
+    run_collector,
+    start_collector,
+)
 from txlake.streaming.metrics import VolumeCheck
 
 __all__ = [
@@ -17,6 +22,7 @@ __all__ = [
     "TablePaths",
     "write_partitioned",
     "publish_envelopes",
+    "backfill",
     "collector_plan",
     "run_collector",
     "start_collector",
