@@ -41,6 +41,7 @@ from txlake.operators.route import (
 )
 from txlake.plans import standins as S
 from txlake.schemas import (
+    CLEAN_CURRENCIES,
     CLEAN_TRANSACTIONS,
     CURRENCY,
     DEDUP_KEYS,
@@ -71,8 +72,10 @@ FILES_PER_TRIGGER = 4
 
 
 def ntz(c: str | Column, name: str | None = None) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    return col.cast("timestamp_ntz").alias(name or (c if isinstance(c, str) else None))
+    """``c`` as TIMESTAMP_NTZ, named ``name`` (default: the column's name)."""
+    col = (F.col(c) if isinstance(c, str) else c).cast("timestamp_ntz")
+    name = name or (c if isinstance(c, str) else None)
+    return col.alias(name) if name else col
 
 
 def _t(spark: SparkSession, sf: str, name: str, cpu_heavy: bool = False) -> DataFrame:
@@ -280,7 +283,6 @@ def stream_ingest(spark, sf):
 
 
 def stream_fanout(spark, sf):
-    from txlake.schemas import CLEAN_CURRENCIES
     paths = _stream_ingest_tables(spark, sf, "stream_fanout")
     raw = read_partitioned(spark, paths.raw, RAW_TABLE)
     per_type = raw.groupBy(F.concat(F.lit("raw/"), F.col("object_type")).alias("table_name")) \
