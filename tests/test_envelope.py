@@ -123,3 +123,11 @@ def test_round_trip_currencies(spark):
     mid_id = clean_currencies(normalize_messages(decode_envelopes(encode_currencies(mid)))) \
         .first().object_id
     assert mid_id == "0e803eaa-c494-5254-84ba-81a40ea5f0c5"
+
+
+def test_binary_kafka_value_decodes_like_text(spark):
+    recs = spark.createDataFrame([(bytearray(dumps(TX_T).encode()), 0, 7)],
+                                 "value binary, partition int, offset long")
+    m = normalize_messages(decode_envelopes(recs, keep=("offset",))).first()
+    assert m.object_id == TX_T["object_id"] and m.offset == 7
+    assert json.loads(m.payload) == TX_T["payload"]

@@ -245,3 +245,14 @@ def test_backfill_equals_stream_and_is_idempotent(spark, tmp_root):
     assert sorted(a.collect()) == sorted(b.collect())
     assert a.count() == 7
     assert [r.raw_value for r in spark.read.parquet(paths.rejects).collect()] == ["not json"]
+
+
+def test_distinct_malformed_messages_stay_distinct(spark, tmp_root):
+    bad = ["not json", "also not json", "[1, 2]", "not json"]
+    _write_files(f"{tmp_root}/feed", [bad + [json.dumps(TX_T)]])
+    paths = TablePaths.under(f"{tmp_root}/t")
+    run_collector(record_stream(spark, f"{tmp_root}/feed", fmt="text"), FanOutSink(paths),
+                  f"{tmp_root}/ck")
+    rejects = sorted(r.raw_value for r in spark.read.parquet(paths.rejects).collect())
+    assert rejects == ["[1, 2]", "also not json", "not json"]  # exact copies collapse
+    assert read_partitioned(spark, paths.raw, RAW_TABLE).count() == 1
