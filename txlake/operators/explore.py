@@ -25,9 +25,9 @@ def _all_not_null(cols: Iterable[str]) -> Column:
 def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                     out: str = "row_number", skew_safe: bool = True,
                     num_partitions: int | None = None) -> DataFrame:
-    """Zero-based position of each row inside its group of ``keys``, in
-    ``order`` (which should make rows of a group unique). Null when any key
-    is null.
+    """Zero-based position (bigint: a hot group can pass 2**31 rows) of each
+    row inside its group of ``keys``, in ``order`` (which should make rows of
+    a group unique). Null when any key is null.
 
     ``skew_safe=False`` is the textbook ``row_number()`` window: one shuffle
     on the keys, but a group lives in one task, so a key holding a third of
@@ -53,12 +53,13 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     if not skew_safe:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(
-            out, F.when(_all_not_null(keys), F.row_number().over(w) - 1))
+            out, F.when(_all_not_null(keys),
+                        (F.row_number().over(w) - 1).cast("long")))
 
     has_key = _all_not_null(keys)
     cols = df.columns
     keyed = df.where(has_key)
-    nulls = df.where(~has_key).withColumn(out, F.lit(None).cast("int"))
+    nulls = df.where(~has_key).withColumn(out, F.lit(None).cast("long"))
 
     # without an explicit count AQE sizes the range shuffle (it may merge
     # adjacent ranges; positions are taken after that, so numbers still hold)
@@ -80,7 +81,7 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],
               .select(*slice_keys, "_first", "_carry"))
     numbered = (ranged.join(slices, slice_keys, "inner")
                 .withColumn(out, (F.col("_pos") - F.col("_first")
-                                  + F.col("_carry")).cast("int"))
+                                  + F.col("_carry")).cast("long"))
                 .select(*cols, out))
     return numbered.unionByName(nulls)
 

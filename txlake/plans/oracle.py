@@ -102,7 +102,7 @@ seq AS (
   SELECT *,
     CASE WHEN account_number_from IS NOT NULL AND status IS NOT NULL THEN
       CAST(row_number() OVER (PARTITION BY account_number_from, status
-                              ORDER BY transaction_dt, operation_id) - 1 AS INTEGER)
+                              ORDER BY transaction_dt, operation_id) - 1 AS BIGINT)
     END AS row_number
   FROM tx)"""
 
