@@ -256,3 +256,19 @@ def test_distinct_malformed_messages_stay_distinct(spark, tmp_root):
     rejects = sorted(r.raw_value for r in spark.read.parquet(paths.rejects).collect())
     assert rejects == ["[1, 2]", "also not json", "not json"]  # exact copies collapse
     assert read_partitioned(spark, paths.raw, RAW_TABLE).count() == 1
+
+
+def test_null_type_reaches_raw_and_key_has_three_columns(spark, tmp_root):
+    rows = [json.dumps({**TX_T, "object_type": None}),
+            json.dumps(TX_T),
+            json.dumps({**TX_T, "sent_dttm": "2022-10-01T00:01:32"}),  # new key
+            json.dumps(TX_T)]                                          # copy
+    _write_files(f"{tmp_root}/feed", [rows])
+    paths = TablePaths.under(f"{tmp_root}/t")
+    run_collector(record_stream(spark, f"{tmp_root}/feed", fmt="text"), FanOutSink(paths),
+                  f"{tmp_root}/ck")
+    raw = read_partitioned(spark, paths.raw, RAW_TABLE)
+    got = sorted((r.object_type or "", str(r.sent_dttm)) for r in raw.collect())
+    assert got == [("", "2022-10-01 00:01:31"), ("transaction", "2022-10-01 00:01:31"),
+                   ("transaction", "2022-10-01 00:01:32")]
+    assert read_partitioned(spark, paths.transactions, CLEAN_TRANSACTIONS).count() == 2
