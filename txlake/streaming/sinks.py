@@ -70,10 +70,14 @@ class FanOutSink:
 
     def __init__(self, paths: TablePaths, date_only_currency: bool = False,
                  max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
+                 concurrent_writes: bool = True,
                  fail_after_write_once: bool = False):
         self.paths = paths
         self.date_only_currency = date_only_currency
         self.max_records_per_file = max_records_per_file
+        # the four writes are independent jobs over the cached batch; submit
+        # them together so the scheduler can overlap them
+        self.concurrent_writes = concurrent_writes
         # test hook: fail the first callback after its writes, as a crash
         # between the write and the commit would
         self._fail_once = fail_after_write_once
@@ -105,13 +109,29 @@ class FanOutSink:
         n = self.max_records_per_file
         raw = good.select("object_id", "sent_dttm", "payload", "trigger_dttm",
                           *RAW_PARTITIONS)
-        write_partitioned(raw, self.paths.raw, RAW_PARTITIONS, n)
-        write_partitioned(clean_transactions(good), self.paths.transactions,
-                          CLEAN_PARTITIONS, n)
-        write_partitioned(clean_currencies(good, date_only=self.date_only_currency),
-                          self.paths.currencies, CLEAN_PARTITIONS, n)
+        writes = [
+            (raw, self.paths.raw, RAW_PARTITIONS),
+            (clean_transactions(good), self.paths.transactions, CLEAN_PARTITIONS),
+            (clean_currencies(good, date_only=self.date_only_currency),
+             self.paths.currencies, CLEAN_PARTITIONS),
+        ]
         if rejects is not None:
-            write_partitioned(rejects, self.paths.rejects, CLEAN_PARTITIONS, n)
+            writes.append((rejects, self.paths.rejects, CLEAN_PARTITIONS))
+        if not self.concurrent_writes:
+            for df, path, parts in writes:
+                write_partitioned(df, path, parts, n)
+            return
+        from concurrent.futures import ThreadPoolExecutor
+
+        from pyspark import inheritable_thread_target
+
+        # inherit the callback thread's local properties and job tags
+        target = inheritable_thread_target(batch.sparkSession)(write_partitioned)
+        with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+            futures = [pool.submit(target, df, path, parts, n)
+                       for df, path, parts in writes]
+            for f in futures:
+                f.result()  # re-raise the first failure: the batch is retried
 
 
 def publish_envelopes(envelopes: DataFrame, path: str | None = None,
