@@ -61,10 +61,11 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     keyed = df.where(has_key)
     nulls = df.where(~has_key).withColumn(out, F.lit(None).cast("long"))
 
-    # without an explicit count AQE sizes the range shuffle (it may merge
-    # adjacent ranges; positions are taken after that, so numbers still hold)
-    ranged = (keyed.repartitionByRange(num_partitions, *keys, *order)
-              if num_partitions else keyed.repartitionByRange(*keys, *order))
+    # an explicit width: left to AQE, a small input's ranges are merged back
+    # into one task and the hot group is not split at all
+    n = num_partitions or int(
+        df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = keyed.repartitionByRange(n, *keys, *order)
     ranged = (ranged.sortWithinPartitions(*keys, *order)
               .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = ranged.withColumns({
