@@ -48,7 +48,7 @@ from txlake.schemas import (
     RAW_TABLE,
     TRANSACTION,
 )
-from txlake.session import apply_batch_conf, scratch_path
+from txlake.session import apply_batch_conf, scratch_path, stream_session
 from txlake.sources.files import read_parquet, read_partitioned, read_table
 from txlake.sources.stream import record_stream
 from txlake.streaming.collector import run_collector
@@ -261,7 +261,7 @@ def _stream_ingest_tables(spark: SparkSession, sf: str, name: str) -> TablePaths
     root = scratch_path(spark, name)
     _feed_with_retries(_t(spark, sf, "events", cpu_heavy=True)).write.parquet(f"{root}/feed")
     paths = TablePaths.under(f"{root}/tables")
-    records = record_stream(spark, f"{root}/feed",
+    records = record_stream(stream_session(spark), f"{root}/feed",
                             max_files_per_trigger=FILES_PER_TRIGGER)
     run_collector(records, FanOutSink(paths), f"{root}/checkpoint")
     return paths
@@ -304,10 +304,11 @@ def dedup_watermark(spark, sf):
     arr.write.partitionBy("arrival").parquet(staged)
     paths = TablePaths.under(f"{m_root}/tables")
     feed = f"{m_root}/feed"
+    ss = stream_session(spark)
     for b in range(S.N_ARRIVALS):
         (spark.read.parquet(staged).where(F.col("arrival") == b)
          .select("value").write.mode("append").parquet(feed))
-        run_collector(record_stream(spark, feed), FanOutSink(paths),
+        run_collector(record_stream(ss, feed), FanOutSink(paths),
                       f"{m_root}/checkpoint", watermark_delay=WATERMARK_DELAY)
     return _raw_back(spark, paths)
 

@@ -83,3 +83,22 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared root for one run of a job."""
     return f"{shared_root(spark)}/txlake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session for starting streaming queries, sharing ``spark``'s context.
+
+    A stateful query fixes its number of state partitions (the session's
+    ``spark.sql.shuffle.partitions``) in its checkpoint at first start; every
+    micro-batch then runs that many state tasks. This session sets it on
+    purpose -- by default to the cluster's parallelism -- instead of
+    inheriting whatever the batch session uses (200 by default, far too many
+    for a small stream, possibly too few for a large one). It also selects
+    the RocksDB state store and UTC. The caller's session is not changed.
+    """
+    ss = spark.newSession()
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    ss.conf.set("spark.sql.shuffle.partitions", str(n))
+    for k, v in BATCH_CONF.items():
+        ss.conf.set(k, v)
+    return ss
