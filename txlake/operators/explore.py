@@ -14,6 +14,12 @@ from pyspark.sql import functions as F
 
 _POS_BITS = 33  # monotonically_increasing_id(): partition id << 33 | position
 
+#: A group is "hot" when it holds more than 1 / (HOT_SHARE * partitions) of
+#: the keyed rows. By counting, at most HOT_SHARE * partitions groups are
+#: hot, whatever the data size; a cold group is at most 1 / HOT_SHARE of a
+#: partition's fair share.
+HOT_SHARE = 4
+
 
 def _all_not_null(cols: Iterable[str]) -> Column:
     cond = F.lit(True)
@@ -33,19 +39,25 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     on the keys, but a group lives in one task, so a key holding a third of
     the rows makes one task do a third of the work.
 
-    ``skew_safe=True`` (default) never puts a group in one task:
-
-    1. range-partition on (keys, order) and sort inside partitions, so a hot
-       group is cut into contiguous slices across many tasks; each row gets
-       its position inside its partition;
-    2. per (group, slice) -- a partial aggregate, one row per slice -- take
-       the row count and the first position, and turn the counts into a
-       carry with a running sum over the slices of the group (a group has
-       at most one slice per partition, so this window is small);
-    3. join that back on (keys, partition id): number = position - first
-       position + carry. The slice table has one row per (group, partition)
-       and Spark broadcasts it when small; otherwise the join shuffles on
-       (keys, partition id), which is balanced because hot groups are split.
+    ``skew_safe=True`` (default) shuffles every row once and never puts a
+    hot group in one task:
+
+    1. find the hot groups (more than 1 / (``HOT_SHARE`` * partitions) of
+       the keyed rows) with partial aggregates; there are at most
+       ``HOT_SHARE`` * partitions of them, so tagging rows is a broadcast
+       join of a table whose size does not grow with the data;
+    2. one range exchange on (keys, order of hot rows only). All rows of a
+       cold group share one sort key, so the group lands whole in one
+       partition; a hot group is cut by its order into contiguous slices
+       across partitions;
+    3. a window over (keys, hot-only order) -- which that range exchange
+       already satisfies, so no second shuffle -- numbers each cold group;
+    4. a hot row's number is its position in its partition minus the first
+       position of its slice plus a carry (the group's rows in earlier
+       slices). The slice table comes from partial aggregates over hot rows
+       and has at most (hot groups + partitions) rows: a group spans a
+       contiguous run of partitions and each partition boundary cuts at
+       most one group. It is broadcast back, with that bound.
 
     Ties in ``order`` are numbered in an arbitrary order, as in a window.
     """
@@ -65,26 +77,49 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     # into one task and the hot group is not split at all
     n = num_partitions or int(
         df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = keyed.repartitionByRange(n, *keys, *order)
-    ranged = (ranged.sortWithinPartitions(*keys, *order)
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = ranged.withColumns({
+
+    # 1. hot groups, at most HOT_SHARE * n rows by construction
+    # (the threshold is a scalar subquery over the same sizes, so the sizes'
+    # shuffle is computed once and reused)
+    sizes = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    limit = sizes.agg(F.sum("_size") / F.lit(HOT_SHARE * n)).scalar()
+    hot = (sizes.where(F.col("_size") > limit)
+           .select(*keys, F.lit(True).alias("_hot")))
+    tagged = keyed.join(F.broadcast(hot), keys, "left")
+
+    # 2. one range exchange; the order columns count for hot rows only
+    split = [f"_o{i}" for i in range(len(order))]
+    tagged = tagged.withColumns(
+        {s: F.when(F.col("_hot"), F.col(c)) for s, c in zip(split, order)})
+    # the explicit sort is the window's own ordering (so not sorted twice);
+    # it also stays in the slice branch below, where the window is pruned
+    ranged = (tagged.repartitionByRange(n, *keys, *split)
+              .sortWithinPartitions(*keys, *split, *order))
+
+    # 3. cold numbers, and every row's position in its sorted partition
+    w = Window.partitionBy(*keys, *split).orderBy(*order)
+    numbered = (ranged.withColumn("_rn", F.row_number().over(w) - 1)
+                .withColumn("_mid", F.monotonically_increasing_id()))
+    numbered = numbered.withColumns({
         "_pid": F.shiftright(F.col("_mid"), _POS_BITS),
         "_pos": F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)),
     })
+
+    # 4. hot slices: first position and carry per (group, partition)
     slice_keys = keys + ["_pid"]
-    slices = (ranged.groupBy(*slice_keys)
+    slices = (numbered.where(F.col("_hot")).groupBy(*slice_keys)
               .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
               .withColumn("_carry", F.coalesce(
                   F.sum("_n").over(Window.partitionBy(*keys).orderBy("_pid")
                                    .rowsBetween(Window.unboundedPreceding, -1)),
                   F.lit(0)))
               .select(*slice_keys, "_first", "_carry"))
-    numbered = (ranged.join(slices, slice_keys, "inner")
-                .withColumn(out, (F.col("_pos") - F.col("_first")
-                                  + F.col("_carry")).cast("long"))
-                .select(*cols, out))
-    return numbered.unionByName(nulls)
+    number = F.when(F.col("_hot"), F.col("_pos") - F.col("_first") + F.col("_carry")) \
+        .otherwise(F.col("_rn"))
+    result = (numbered.join(F.broadcast(slices), slice_keys, "left")
+              .withColumn(out, number.cast("long"))
+              .select(*cols, out))
+    return result.unionByName(nulls)
 
 
 def deep_groups(df: DataFrame, key: str, threshold: int,
