@@ -60,3 +60,53 @@ def test_top_k_nulls_last(spark):
     assert [r.id for r in top_k(df, ["v", "id"], 3).collect()] == [3, 2, 1]
     plan = top_k(df, ["v", "id"], 3)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def _numbers(df):
+    # (keys, order, number): tied rows may swap numbers, so compare without ids
+    rows = [tuple(r) for r in df.select("acct", "st", "t", "row_number").collect()]
+    return sorted(rows, key=lambda t: tuple((v is None, v if v is not None else 0) for v in t))
+
+
+@pytest.mark.parametrize("parts", [1, 3, 8])
+def test_skew_safe_with_ties_and_mixed_groups(spark, parts):
+    rnd = random.Random(parts)
+    rows = []
+    for i in range(1500):
+        r = rnd.random()
+        acct = -1 if r < 0.4 else 7 if r < 0.55 else None if r < 0.6 else rnd.randint(0, 200)
+        rows.append((i, acct, rnd.choice(["a", "b", None]), rnd.randint(0, 5)))
+    df = spark.createDataFrame(rows, "id long, acct long, st string, t int")
+    # order on t alone: many ties inside every group
+    a = sequence_number(df, ["acct", "st"], ["t"], num_partitions=parts)
+    b = sequence_number(df, ["acct", "st"], ["t"], skew_safe=False)
+    assert _numbers(a) == _numbers(b)
+    assert a.count() == df.count()
+
+
+def test_skew_safe_edge_shapes(spark):
+    schema = "id long, acct long, st string, t int"
+    empty = spark.createDataFrame([], schema)
+    assert sequence_number(empty, ["acct", "st"], ["t", "id"]).count() == 0
+    one = spark.createDataFrame([(i, 1, "a", i % 4) for i in range(500)], schema)
+    got = sorted(r.row_number for r in sequence_number(one, ["acct", "st"], ["t", "id"]).collect())
+    assert got == list(range(500))
+    flat = spark.createDataFrame([(i, i, "a", 0) for i in range(300)], schema)
+    assert {r.row_number for r in sequence_number(flat, ["acct", "st"], ["t", "id"]).collect()} == {0}
+
+
+def test_skew_safe_plan_shuffles_rows_once(spark):
+    df = _skewed(spark)
+    out = sequence_number(df, ["acct", "st"], ["t", "id"])
+    out.collect()  # the final (adaptive) plan of this very query
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    # one range exchange of the rows (the slice branch reuses it), joined
+    # back only through broadcasts; no shuffle join, no hash shuffle of rows
+    assert final.count("Exchange rangepartitioning") == 1
+    assert "ReusedExchange" in final and "SortMergeJoin" not in final
+    assert final.count("BroadcastHashJoin") == 2
+    for line in final.splitlines():
+        if "Exchange hashpartitioning" in line:
+            # only partial aggregates (sizes, slices) are hash-shuffled
+            assert "id#" not in line.split("hashpartitioning")[1].split(")")[0]
