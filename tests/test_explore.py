@@ -110,3 +110,13 @@ def test_skew_safe_plan_shuffles_rows_once(spark):
         if "Exchange hashpartitioning" in line:
             # only partial aggregates (sizes, slices) are hash-shuffled
             assert "id#" not in line.split("hashpartitioning")[1].split(")")[0]
+
+
+def test_deep_keys_equal_deep_groups_of_numbering(spark):
+    from txlake.operators import deep_groups, deep_keys
+    df = _skewed(spark)
+    for threshold in (0, 3, 40, 10_000):
+        seq = sequence_number(df, ["acct", "st"], ["t", "id"])
+        a = {r.acct for r in deep_groups(seq, "acct", threshold).collect()}
+        b = {r.acct for r in deep_keys(df, ["acct", "st"], "acct", threshold).collect()}
+        assert a == b, threshold

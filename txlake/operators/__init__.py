@@ -17,6 +17,7 @@ from txlake.operators.route import (
 from txlake.operators.dedup import dedup_exact, late_arrivals
 from txlake.operators.explore import (
     deep_groups,
+    deep_keys,
     exclude_values,
     exclude_sentinel,
     head_k,
@@ -40,6 +41,7 @@ __all__ = [
     "dedup_exact",
     "late_arrivals",
     "deep_groups",
+    "deep_keys",
     "exclude_values",
     "exclude_sentinel",
     "head_k",

@@ -129,6 +129,18 @@ def deep_groups(df: DataFrame, key: str, threshold: int,
     return df.where(F.col(seq_col) > F.lit(threshold)).select(key).distinct()
 
 
+def deep_keys(df: DataFrame, keys: Sequence[str], key: str,
+              threshold: int) -> DataFrame:
+    """The same set as ``deep_groups(sequence_number(df, keys, ..), key,
+    threshold)`` -- ``key`` values of groups with a row numbered above
+    ``threshold``, i.e. groups of more than ``threshold + 1`` rows -- from
+    group sizes alone: a partial aggregate, no numbering, no sort."""
+    keys = list(keys)
+    sizes = df.where(_all_not_null(keys)).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_size"))
+    return sizes.where(F.col("_size") > F.lit(threshold + 1)).select(key).distinct()
+
+
 def semi_filter(df: DataFrame, members: DataFrame, key: str,
                 member_key: str | None = None) -> DataFrame:
     """Rows of ``df`` whose ``key`` occurs in ``members`` (a left-semi join;

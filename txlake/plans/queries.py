@@ -25,6 +25,7 @@ from txlake.operators.envelope import (
 )
 from txlake.operators.explore import (
     deep_groups,
+    deep_keys,
     exclude_sentinel,
     exclude_values,
     head_k,
@@ -354,10 +355,13 @@ def _ranked_top(df: DataFrame, k: int) -> DataFrame:
 
 
 def semi_filter_topk(spark, sf):
-    seq = _seq(spark, sf)
-    deep_rows = seq.where(F.col("row_number") > DEEP)
+    tx = _tx(spark, sf)
+    seq = sequence_number(tx, SEQ_KEYS, SEQ_ORDER)
+    # the accounts of rows numbered above DEEP, from group sizes (no second
+    # numbering of the whole frame)
+    deep = deep_keys(tx, SEQ_KEYS, "account_number_from", DEEP)
     kept = semi_filter(exclude_sentinel(seq, "account_number_from", -1),
-                       deep_rows, "account_number_from")
+                       deep, "account_number_from")
     return _ranked_top(kept.where(F.col("row_number") > SEQ_MIN), 20)
 
 
