@@ -73,3 +73,17 @@ def test_processing_time_trigger(spark, tmp_path):
     finally:
         q.stop()
     assert spark.read.parquet(paths.raw).count() == 2
+
+
+def _final_plan(df):
+    df.collect()  # the adaptive plan is final only after this query ran
+    return _plan(df).split("\n+- == Initial Plan ==")[0]
+
+
+def test_numbering_is_shuffled_once_per_query(spark):
+    for name in ("sequence_number", "semi_filter_topk", "double_semi_topk"):
+        final = _final_plan(E.queries()[name](spark, SF))
+        ranges = [ln for ln in final.splitlines()
+                  if "Exchange rangepartitioning" in ln and "ReusedExchange" not in ln]
+        assert len(ranges) == 1, name
+        assert "SortMergeJoin" not in final, name
