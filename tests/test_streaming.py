@@ -272,3 +272,17 @@ def test_null_type_reaches_raw_and_key_has_three_columns(spark, tmp_root):
     assert got == [("", "2022-10-01 00:01:31"), ("transaction", "2022-10-01 00:01:31"),
                    ("transaction", "2022-10-01 00:01:32")]
     assert read_partitioned(spark, paths.transactions, CLEAN_TRANSACTIONS).count() == 2
+
+
+@pytest.mark.parametrize("mode,predup", [("within_watermark", False),
+                                         ("watermark_first", False)])
+def test_collector_takes_dedup_mode_and_predup(spark, tmp_root, mode, predup):
+    """The collector's own entry point passes the dedup mode and the
+    pre-dedup switch through; every mode keeps one row per message here."""
+    _write_files(f"{tmp_root}/feed", FEED)
+    paths = TablePaths.under(f"{tmp_root}/tables")
+    run_collector(record_stream(spark, f"{tmp_root}/feed", fmt="text"), FanOutSink(paths),
+                  f"{tmp_root}/ck", watermark_delay="1 minute", dedup_mode=mode,
+                  predup=predup)
+    raw = read_partitioned(spark, paths.raw, RAW_TABLE)
+    assert sorted(r.object_id for r in raw.collect()) == ["a", "b", "c", "d", "e", "f", "late"]

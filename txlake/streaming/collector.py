@@ -43,9 +43,13 @@ def collector_plan(records: DataFrame, watermark_delay: str | None = None,
 def start_collector(records: DataFrame, sink: FanOutSink, checkpoint: str,
                     query_name: str | None = None, trigger: str = DEFAULT_TRIGGER,
                     available_now: bool = False,
-                    watermark_delay: str | None = None) -> StreamingQuery:
-    """Start the collector on a streaming frame of records."""
-    plan = collector_plan(records, watermark_delay)
+                    watermark_delay: str | None = None,
+                    dedup_mode: str = "watermark_first",
+                    predup: bool = True) -> StreamingQuery:
+    """Start the collector on a streaming frame of records (``dedup_mode``
+    and ``predup`` as in ``dedup_stream``)."""
+    plan = collector_plan(records, watermark_delay, predup=predup,
+                          dedup_mode=dedup_mode)
     w = plan.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
@@ -56,10 +60,13 @@ def start_collector(records: DataFrame, sink: FanOutSink, checkpoint: str,
 
 def run_collector(records: DataFrame, sink: FanOutSink, checkpoint: str,
                   watermark_delay: str | None = None,
-                  timeout_s: float | None = None) -> StreamingQuery:
+                  timeout_s: float | None = None,
+                  dedup_mode: str = "watermark_first",
+                  predup: bool = True) -> StreamingQuery:
     """Process everything available now and stop (backfills, tests)."""
     q = start_collector(records, sink, checkpoint, available_now=True,
-                        watermark_delay=watermark_delay)
+                        watermark_delay=watermark_delay, dedup_mode=dedup_mode,
+                        predup=predup)
     q.awaitTermination(timeout_s)
     if q.exception() is not None:
         raise q.exception()
