@@ -286,3 +286,13 @@ def test_collector_takes_dedup_mode_and_predup(spark, tmp_root, mode, predup):
                   predup=predup)
     raw = read_partitioned(spark, paths.raw, RAW_TABLE)
     assert sorted(r.object_id for r in raw.collect()) == ["a", "b", "c", "d", "e", "f", "late"]
+
+
+def test_sink_preview_prints_schema_plan_and_rows(spark, tmp_root, capsys):
+    _write_files(f"{tmp_root}/feed", FEED[:1])
+    paths = TablePaths.under(f"{tmp_root}/tables")
+    run_collector(record_stream(spark, f"{tmp_root}/feed", fmt="text"),
+                  FanOutSink(paths, preview_rows=100), f"{tmp_root}/ck")
+    out = capsys.readouterr().out
+    assert "|-- object_id" in out and "Physical Plan" in out
+    assert "2022-10-01 10:30:00" in out  # a shown row (message b)

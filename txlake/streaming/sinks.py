@@ -71,8 +71,11 @@ class FanOutSink:
     def __init__(self, paths: TablePaths, date_only_currency: bool = False,
                  max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
                  concurrent_writes: bool = True,
-                 fail_after_write_once: bool = False):
+                 fail_after_write_once: bool = False,
+                 preview_rows: int = 0):
         self.paths = paths
+        # development aid: print each batch's schema, plan and first rows
+        self.preview_rows = preview_rows
         self.date_only_currency = date_only_currency
         self.max_records_per_file = max_records_per_file
         # the four writes are independent jobs over the cached batch; submit
@@ -96,6 +99,8 @@ class FanOutSink:
         try:
             # no-data batches (run to evict watermarked state) write nothing
             if not batch.isEmpty():
+                if self.preview_rows:
+                    self.preview(batch)
                 self.write_batch(batch)
         finally:
             batch.unpersist()
@@ -103,6 +108,13 @@ class FanOutSink:
             self._fail_once = False
             raise RuntimeError(f"injected failure after writing batch {batch_id}")
 
+    def preview(self, batch: DataFrame) -> None:
+        """Schema, formatted plan and the first ``preview_rows`` rows of a
+        batch, printed on the driver (a bounded ``limit``; for development)."""
+        batch.printSchema()
+        batch.explain("formatted")
+        batch.show(self.preview_rows, truncate=False)
+
     def write_batch(self, batch: DataFrame) -> None:
         good, rejects = split_rejects(batch) if "reject_reason" in batch.columns \
             else (batch, None)
