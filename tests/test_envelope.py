@@ -76,6 +76,12 @@ def test_currency_time_of_day_and_float_rate(spark):
     assert parity.date_update == dt.datetime(2022, 10, 12, 0, 0, 0)
     assert ours.currency_with_div == 1.0700000524520874
     assert ours.object_id == CUR["object_id"]
+    exact = clean_currencies(m, exact_rate=True)
+    assert dict(exact.dtypes)["currency_with_div"] == "decimal(18,6)"
+    assert str(exact.first().currency_with_div) == "1.070000"
+    both = clean_currencies(m, date_only=True, exact_rate=True).first()
+    assert both.date_update == dt.datetime(2022, 10, 12, 0, 0, 0)
+    assert str(both.currency_with_div) == "1.070000"
 
 
 def test_payload_as_json_string(spark):

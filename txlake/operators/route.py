@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txlake.schemas import (
     CURRENCY,
     CURRENCY_PAYLOAD,
     CURRENCY_PAYLOAD_DATE_ONLY,
+    EXACT_RATE,
     TRANSACTION,
     TRANSACTION_PAYLOAD,
 )
@@ -58,12 +60,18 @@ def clean_transactions(messages: DataFrame, routed: bool = False) -> DataFrame:
 
 
 def clean_currencies(messages: DataFrame, routed: bool = False,
-                     date_only: bool = False) -> DataFrame:
+                     date_only: bool = False, exact_rate: bool = False) -> DataFrame:
     """Currency messages -> ``object_id`` + the 4 typed rate columns (+ ingest
     columns). ``date_only=True`` reads ``date_update`` as a date (time of day
-    dropped, value at midnight), as the upstream collector does."""
+    dropped, value at midnight), as the upstream collector does.
+    ``exact_rate=True`` reads the rate as ``EXACT_RATE`` (decimal) instead of
+    the upstream float."""
     src = messages if routed else route_by_type(messages, CURRENCY)
     schema = CURRENCY_PAYLOAD_DATE_ONLY if date_only else CURRENCY_PAYLOAD
+    if exact_rate:
+        schema = T.StructType([
+            T.StructField(f.name, EXACT_RATE) if f.name == "currency_with_div" else f
+            for f in schema.fields])
     p = F.from_json(F.col("payload"), schema)
     out = src.select(F.col("object_id"), p.alias("_p"), *_passthrough(src)).select(
         "object_id", "_p.*", *_passthrough(src))

@@ -119,6 +119,10 @@ CURRENCY_PAYLOAD_DATE_ONLY = T.StructType(
     [T.StructField("date_update", T.DateType())] + CURRENCY_PAYLOAD.fields[1:]
 )
 
+#: Exact rates: the JSON number read as decimal(18, 6), not a 4-byte float
+#: (1.07 stays 1.070000 instead of 1.0700000524520874).
+EXACT_RATE = T.DecimalType(18, 6)
+
 TRANSACTION_COLUMNS = [f.name for f in TRANSACTION_PAYLOAD.fields]
 CURRENCY_COLUMNS = [f.name for f in CURRENCY_PAYLOAD.fields]
 

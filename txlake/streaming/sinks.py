@@ -69,6 +69,7 @@ class FanOutSink:
     """
 
     def __init__(self, paths: TablePaths, date_only_currency: bool = False,
+                 exact_rates: bool = False,
                  max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
                  concurrent_writes: bool = True,
                  fail_after_write_once: bool = False,
@@ -77,6 +78,7 @@ class FanOutSink:
         # development aid: print each batch's schema, plan and first rows
         self.preview_rows = preview_rows
         self.date_only_currency = date_only_currency
+        self.exact_rates = exact_rates
         self.max_records_per_file = max_records_per_file
         # the four writes are independent jobs over the cached batch; submit
         # them together so the scheduler can overlap them
@@ -124,7 +126,8 @@ class FanOutSink:
         writes = [
             (raw, self.paths.raw, RAW_PARTITIONS),
             (clean_transactions(good), self.paths.transactions, CLEAN_PARTITIONS),
-            (clean_currencies(good, date_only=self.date_only_currency),
+            (clean_currencies(good, date_only=self.date_only_currency,
+                              exact_rate=self.exact_rates),
              self.paths.currencies, CLEAN_PARTITIONS),
         ]
         if rejects is not None:
