@@ -137,3 +137,29 @@ def test_binary_kafka_value_decodes_like_text(spark):
     m = normalize_messages(decode_envelopes(recs, keep=("offset",))).first()
     assert m.object_id == TX_T["object_id"] and m.offset == 7
     assert json.loads(m.payload) == TX_T["payload"]
+
+
+from decimal import Decimal  # noqa: E402
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 999), st.integers(0, 999),
+                          st.datetimes(dt.datetime(2000, 1, 1), dt.datetime(2030, 1, 1)),
+                          st.decimals(min_value=Decimal("0.000001"), max_value=Decimal("99999"),
+                                      places=6)),
+                min_size=1, max_size=40))
+def test_round_trip_currencies_property(spark, rows):
+    rows = [(a, b, t.replace(microsecond=0), float(r)) for a, b, t, r in rows]
+    dump = spark.createDataFrame(rows, "currency_code int, currency_code_with int, "
+                                 "date_update timestamp, currency_with_div double")
+    msgs = normalize_messages(decode_envelopes(encode_currencies(dump)))
+    back = clean_currencies(msgs, exact_rate=True).collect()
+    got = sorted((r.currency_code, r.currency_code_with, r.date_update,
+                  r.currency_with_div) for r in back)
+    want = sorted((a, b, t, Decimal(repr(r)).quantize(Decimal("0.000001")))
+                  for a, b, t, r in rows)
+    assert got == want
