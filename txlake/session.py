@@ -30,6 +30,14 @@ BATCH_CONF = {
 }
 
 
+#: Streaming-only settings. With changelog checkpointing each micro-batch
+#: uploads only the state rows it changed, instead of a RocksDB snapshot of
+#: the whole dedup state; snapshots are taken in the background.
+STREAM_CONF = {
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "txlake") -> SparkSession:
     """A local-mode session for tests and the bench (UI off, UTC, AQE on)."""
@@ -94,11 +102,14 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     purpose -- by default to the cluster's parallelism -- instead of
     inheriting whatever the batch session uses (200 by default, far too many
     for a small stream, possibly too few for a large one). It also selects
-    the RocksDB state store and UTC. The caller's session is not changed.
+    the RocksDB state store with changelog checkpointing, and UTC. The
+    caller's session is not changed.
     """
     ss = spark.newSession()
     n = state_partitions or spark.sparkContext.defaultParallelism
     ss.conf.set("spark.sql.shuffle.partitions", str(n))
     for k, v in BATCH_CONF.items():
         ss.conf.set(k, v)
+    for k, v in STREAM_CONF.items():
+        ss.conf.set(k, v)
     return ss
