@@ -12,3 +12,19 @@ def test_kafka_settings_validate_each_value():
     assert o["maxOffsetsPerTrigger"] == "10000" and o["minPartitions"] == "8"
     assert o["startingOffsets"] == "earliest" and o["failOnDataLoss"] == "false"
     assert o["kafka.sasl.mechanism"] == "SCRAM-SHA-512"
+
+
+def test_tail_positions():
+    import json
+
+    from txlake.sources import tail_options
+    s = KafkaSettings("host:9091", "tx-in")
+    assert tail_options(s)["startingOffsets"] == "earliest"
+    o = tail_options(s, 42, partitions=3)
+    assert json.loads(o["startingOffsets"]) == {"tx-in": {"0": 42, "1": 42, "2": 42}}
+    assert "maxOffsetsPerTrigger" not in o and "minPartitions" not in o
+    assert tail_options(s, "s@1700000000000")["startingTimestamp"] == "1700000000000"
+    assert tail_options(s, "e@1700000000000")["endingTimestamp"] == "1700000000000"
+    for bad in ((42, None), ("end", None), ("s@x", None), (-1, 3)):
+        with pytest.raises(ValueError):
+            tail_options(s, *bad)

@@ -2,7 +2,13 @@
 
 from txlake.sources.files import read_parquet, read_partitioned, read_table, spread
 from txlake.sources.stream import record_stream
-from txlake.sources.kafka import KafkaSettings, kafka_stream, write_kafka
+from txlake.sources.kafka import (
+    KafkaSettings,
+    kafka_stream,
+    kafka_tail,
+    tail_options,
+    write_kafka,
+)
 
 __all__ = [
     "read_parquet",
@@ -12,5 +18,7 @@ __all__ = [
     "record_stream",
     "KafkaSettings",
     "kafka_stream",
+    "kafka_tail",
+    "tail_options",
     "write_kafka",
 ]

@@ -7,6 +7,7 @@ classpath.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,13 +84,41 @@ def kafka_stream(spark: SparkSession, settings: KafkaSettings) -> DataFrame:
     return spark.readStream.format("kafka").options(**settings.reader_options()).load()
 
 
-def kafka_tail(spark: SparkSession, settings: KafkaSettings,
-               starting_offsets: str = "earliest") -> DataFrame:
-    """Batch read of the topic from ``starting_offsets`` with the record
-    metadata, values as text."""
+def tail_options(settings: KafkaSettings, position: str | int = "beginning",
+                 partitions: int | None = None) -> dict[str, str]:
+    """Batch reader options for a topic tail starting at ``position``:
+
+    * ``"beginning"`` -- every partition from its earliest offset;
+    * an absolute offset ``n`` -- every partition from ``n``, as a consumer's
+      ``-o n`` does (Spark takes offsets per partition, so ``partitions``,
+      the topic's partition count, is needed);
+    * ``"s@<ms>"`` / ``"e@<ms>"`` -- start at / stop before a timestamp in
+      epoch milliseconds, on every partition.
+    """
     o = settings.reader_options()
-    o.pop("maxOffsetsPerTrigger", None)
-    o["startingOffsets"] = starting_offsets
+    for k in ("maxOffsetsPerTrigger", "minPartitions"):
+        o.pop(k, None)
+    if position == "beginning":
+        o["startingOffsets"] = "earliest"
+    elif isinstance(position, int):
+        if position < 0 or not partitions:
+            raise ValueError("an absolute offset needs offset >= 0 and the partition count")
+        o["startingOffsets"] = json.dumps(
+            {settings.topic: {str(p): position for p in range(partitions)}})
+    elif isinstance(position, str) and position[:2] in ("s@", "e@") \
+            and position[2:].isdigit():
+        o["startingTimestamp" if position[0] == "s" else "endingTimestamp"] = position[2:]
+    else:
+        raise ValueError(f"unsupported tail position {position!r}")
+    return o
+
+
+def kafka_tail(spark: SparkSession, settings: KafkaSettings,
+               position: str | int = "beginning",
+               partitions: int | None = None) -> DataFrame:
+    """Batch read of the topic from ``position`` (see ``tail_options``) with
+    the record metadata, key and value as text."""
+    o = tail_options(settings, position, partitions)
     return (spark.read.format("kafka").options(**o).load()
             .selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value",
                         "partition", "offset", "timestamp"))
