@@ -22,7 +22,7 @@ def test_tail_positions():
     assert tail_options(s)["startingOffsets"] == "earliest"
     o = tail_options(s, 42, partitions=3)
     assert json.loads(o["startingOffsets"]) == {"tx-in": {"0": 42, "1": 42, "2": 42}}
-    assert "maxOffsetsPerTrigger" not in o and "minPartitions" not in o
+    assert "maxOffsetsPerTrigger" not in o and o["minPartitions"] == "8"
     assert tail_options(s, "s@1700000000000")["startingTimestamp"] == "1700000000000"
     assert tail_options(s, "e@1700000000000")["endingTimestamp"] == "1700000000000"
     for bad in ((42, None), ("end", None), ("s@x", None), (-1, 3)):

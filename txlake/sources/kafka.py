@@ -96,8 +96,8 @@ def tail_options(settings: KafkaSettings, position: str | int = "beginning",
       epoch milliseconds, on every partition.
     """
     o = settings.reader_options()
-    for k in ("maxOffsetsPerTrigger", "minPartitions"):
-        o.pop(k, None)
+    # admission control is for streams; minPartitions still splits the read
+    o.pop("maxOffsetsPerTrigger", None)
     if position == "beginning":
         o["startingOffsets"] = "earliest"
     elif isinstance(position, int):
