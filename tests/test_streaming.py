@@ -296,3 +296,17 @@ def test_sink_preview_prints_schema_plan_and_rows(spark, tmp_root, capsys):
     out = capsys.readouterr().out
     assert "|-- object_id" in out and "Physical Plan" in out
     assert "2022-10-01 10:30:00" in out  # a shown row (message b)
+
+
+def test_finalized_dedup_emits_each_message_once_after_the_watermark(spark, tmp_root):
+    hot = [_msg("h", "10:00:05")] * 200  # one message, delivered 200 times
+    feed = [FEED[0] + hot, *FEED[1:]]
+    _write_files(f"{tmp_root}/feed", feed)
+    out, prog = _run_collect(spark, f"{tmp_root}/feed", f"{tmp_root}/ck", "1 minute",
+                             mode="finalized")
+    emitted = [oid for b in sorted(out) for oid in out[b]]
+    # each message once, the late one never; the two newest (13:00, 13:00:01)
+    # are still ahead of the final watermark (12:59:01) and wait in state
+    assert sorted(emitted) == ["a", "b", "c", "d", "h"]
+    assert out[0] == []  # nothing is final before the watermark moves
+    assert prog[-1]["stateOperators"][0]["numRowsTotal"] >= 2

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from txlake.schemas import DEDUP_KEYS
 
@@ -51,6 +52,14 @@ def dedup_stream(messages: DataFrame, keys: Sequence[str] = DEDUP_KEYS,
     * ``"dedup_first"``: dedup, then the watermark, as the upstream collector
       orders them. The watermark then bounds nothing: state is never evicted
       and late rows pass. For parity checks only.
+    * ``"finalized"``: a streaming aggregate, ``min(struct(other columns))``
+      per key, in append mode. Unlike the stateful dedup it aggregates
+      partially before its shuffle, in the JVM, so copies of a hot message
+      collapse map-side without ``predup``, and the survivor is
+      deterministic. A message is emitted once the watermark passes its
+      event time: output lags by the delay, and the newest messages of a
+      finite run wait in state for later data. ``event_time`` must be among
+      ``keys``; ``predup`` is not needed and is ignored.
 
     A ``raw_value`` column (text of rejected records, null otherwise) joins
     the key, so distinct malformed messages do not collapse into one.
@@ -71,10 +80,18 @@ def dedup_stream(messages: DataFrame, keys: Sequence[str] = DEDUP_KEYS,
         if predup:
             src = local_predup(src, ks)
         return src.dropDuplicatesWithinWatermark(ks)
-    if mode != "watermark_first":
+    if mode not in ("watermark_first", "finalized"):
         raise ValueError(f"unknown dedup mode {mode!r}")
     if event_time not in ks:
         raise ValueError("the event-time column must be part of the key")
+    if mode == "finalized":
+        others = [c for c in messages.columns if c not in ks]
+        if not others:
+            return (messages.withWatermark(event_time, watermark_delay)
+                    .groupBy(*ks).count().select(*ks))
+        agg = (messages.withWatermark(event_time, watermark_delay).groupBy(*ks)
+               .agg(F.min(F.struct(*others)).alias("_survivor")))
+        return agg.select(*ks, "_survivor.*").select(*messages.columns)
     src = messages.withWatermark(event_time, watermark_delay)
     if predup:
         src = local_predup(src, ks)
