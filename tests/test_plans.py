@@ -52,6 +52,8 @@ def test_spread_is_a_no_op_for_split_inputs(spark):
     assert "Exchange" not in _plan(spread(wide, 8))
     narrow = spark.range(0, 1000, numPartitions=1)
     assert spread(narrow, 8).rdd.getNumPartitions() == 8
+    half = spark.range(0, 1000, numPartitions=5)  # most cores busy already
+    assert "Exchange" not in _plan(spread(half, 8))
 
 
 def test_processing_time_trigger(spark, tmp_path):

@@ -11,18 +11,21 @@ from pyspark.sql import types as T
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Spread ``df`` over ``min_partitions`` (default: the session's
-    default parallelism) only when its scan yields fewer splits than that.
+    default parallelism) only when its scan is badly under-split: at most
+    half that many splits.
 
     A large table already has far more splits than cores and is returned
-    untouched (no shuffle); a small file that is a single row group would
-    otherwise run every downstream projection in one task.
+    untouched (no shuffle), and so is one that would keep at least half the
+    cores busy (a full shuffle would cost more than it gains). A small file
+    that is a single row group would otherwise run every downstream
+    projection in one task.
     """
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 -- no RDD view (e.g. Spark Connect)
         return df
-    if splits >= target:
+    if 2 * splits > target:
         return df
     # hash of a per-row id: even spread, and unlike round-robin no local
     # sort of the whole input before the exchange
