@@ -1,4 +1,5 @@
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -100,18 +101,25 @@ def test_skew_safe_plan_shuffles_rows_once(spark):
     out = sequence_number(df, ["acct", "st"], ["t", "id"])
     out.collect()  # the final (adaptive) plan of this very query
     plan = out._jdf.queryExecution().executedPlan().toString()
-    final = plan.split("== Initial Plan ==")[0]
-    # one range exchange of the rows (the slice branch reuses it), joined
-    # back only through broadcasts; no shuffle join, no hash shuffle of rows
-    ranges = [ln for ln in final.splitlines()
+    final = plan.split("\n+- == Initial Plan ==")[0]
+    lines = final.splitlines()
+    # hot rows: one range exchange (the slice branch reuses it); cold rows:
+    # one hash exchange on the keys into the window; everything else is a
+    # partial aggregate or a broadcast -- no shuffle join
+    ranges = [ln for ln in lines
               if "Exchange rangepartitioning" in ln and "ReusedExchange" not in ln]
     assert len(ranges) == 1
+    windows = [i for i, ln in enumerate(lines) if "Window [row_number()" in ln]
+    assert len(windows) == 1
+    below = next(ln for ln in lines[windows[0]:] if "Exchange " in ln)
+    assert "Exchange hashpartitioning(acct#" in below
     assert "ReusedExchange" in final and "SortMergeJoin" not in final
-    assert final.count("BroadcastHashJoin") == 2
-    for line in final.splitlines():
+    assert final.count("BroadcastHashJoin") == 3  # hot tags (twice), slices
+    for line in lines:
         if "Exchange hashpartitioning" in line:
-            # only partial aggregates (sizes, slices) are hash-shuffled
-            assert "id#" not in line.split("hashpartitioning")[1].split(")")[0]
+            # no exchange is keyed by the row id: rows move once, by group
+            part = line.split("hashpartitioning")[1].split(")")[0]
+            assert not re.search(r"(?<![\w])id#", part), part
 
 
 def test_deep_keys_equal_deep_groups_of_numbering(spark):

@@ -87,5 +87,6 @@ def test_numbering_is_shuffled_once_per_query(spark):
         final = _final_plan(E.queries()[name](spark, SF))
         ranges = [ln for ln in final.splitlines()
                   if "Exchange rangepartitioning" in ln and "ReusedExchange" not in ln]
-        assert len(ranges) == 1, name
+        # at most one: AQE drops the hot branch when a filter leaves it empty
+        assert len(ranges) <= 1, name
         assert "SortMergeJoin" not in final, name

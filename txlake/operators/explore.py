@@ -46,24 +46,23 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],
        the keyed rows) with partial aggregates; there are at most
        ``HOT_SHARE`` * partitions of them, so tagging rows is a broadcast
        join of a table whose size does not grow with the data;
-    2. one range exchange on (keys, order of hot rows only). All rows of a
-       cold group share one sort key, so the group lands whole in one
-       partition; a hot group is cut by its order into contiguous slices
-       across partitions;
-    3. a window over (keys, hot-only order) -- which that range exchange
-       already satisfies, so no second shuffle -- numbers each cold group;
-    4. a hot row's number is its position in its partition minus the first
-       position of its slice plus a carry (the group's rows in earlier
-       slices). The slice table comes from partial aggregates over hot rows
-       and has at most (hot groups + partitions) rows: a group spans a
-       contiguous run of partitions and each partition boundary cuts at
-       most one group. It is broadcast back, with that bound.
+    2. cold rows: the textbook window, one hash shuffle on the keys; each
+       cold group is at most 1 / ``HOT_SHARE`` of a partition's fair share;
+    3. hot rows: one range exchange on (keys, order) cuts each hot group into
+       contiguous slices across partitions. A hot row's number is its
+       position in its sorted partition minus the first position of its
+       slice plus a carry (the group's rows in earlier slices). The slice
+       table comes from partial aggregates over the same exchange (reused,
+       same sort, so the positions agree) and has at most (hot groups +
+       partitions) rows: a group spans a contiguous run of partitions and
+       each partition boundary cuts at most one group. It is broadcast back,
+       with that bound.
 
     Ties in ``order`` are numbered in an arbitrary order, as in a window.
     """
     keys, order = list(keys), list(order)
+    w = Window.partitionBy(*keys).orderBy(*order)
     if not skew_safe:
-        w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(
             out, F.when(_all_not_null(keys),
                         (F.row_number().over(w) - 1).cast("long")))
@@ -73,8 +72,9 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     keyed = df.where(has_key)
     nulls = df.where(~has_key).withColumn(out, F.lit(None).cast("long"))
 
-    # an explicit width: left to AQE, a small input's ranges are merged back
-    # into one task and the hot group is not split at all
+    # an explicit width for the hot rows' range exchange: left to AQE, a
+    # small input's ranges are merged back into one task and a hot group is
+    # not split at all
     n = num_partitions or int(
         df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -87,39 +87,35 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],
            .select(*keys, F.lit(True).alias("_hot")))
     tagged = keyed.join(F.broadcast(hot), keys, "left")
 
-    # 2. one range exchange; the order columns count for hot rows only
-    split = [f"_o{i}" for i in range(len(order))]
-    tagged = tagged.withColumns(
-        {s: F.when(F.col("_hot"), F.col(c)) for s, c in zip(split, order)})
-    # the explicit sort is the window's own ordering (so not sorted twice);
-    # it also stays in the slice branch below, where the window is pruned
-    ranged = (tagged.repartitionByRange(n, *keys, *split)
-              .sortWithinPartitions(*keys, *split, *order))
-
-    # 3. cold numbers, and every row's position in its sorted partition
-    w = Window.partitionBy(*keys, *split).orderBy(*order)
-    numbered = (ranged.withColumn("_rn", F.row_number().over(w) - 1)
-                .withColumn("_mid", F.monotonically_increasing_id()))
-    numbered = numbered.withColumns({
-        "_pid": F.shiftright(F.col("_mid"), _POS_BITS),
-        "_pos": F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)),
-    })
-
-    # 4. hot slices: first position and carry per (group, partition)
+    # 2. cold rows
+    cold = (tagged.where(F.col("_hot").isNull())
+            .withColumn(out, (F.row_number().over(w) - 1).cast("long"))
+            .select(*cols, out))
+
+    # 3. hot rows
+    ranged = tagged.where(F.col("_hot")).repartitionByRange(n, *keys, *order)
+
+    def positions() -> DataFrame:
+        p = (ranged.sortWithinPartitions(*keys, *order)
+             .withColumn("_mid", F.monotonically_increasing_id()))
+        return p.withColumns({
+            "_pid": F.shiftright(F.col("_mid"), _POS_BITS),
+            "_pos": F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)),
+        })
+
     slice_keys = keys + ["_pid"]
-    slices = (numbered.where(F.col("_hot")).groupBy(*slice_keys)
+    slices = (positions().groupBy(*slice_keys)
               .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
               .withColumn("_carry", F.coalesce(
                   F.sum("_n").over(Window.partitionBy(*keys).orderBy("_pid")
                                    .rowsBetween(Window.unboundedPreceding, -1)),
                   F.lit(0)))
               .select(*slice_keys, "_first", "_carry"))
-    number = F.when(F.col("_hot"), F.col("_pos") - F.col("_first") + F.col("_carry")) \
-        .otherwise(F.col("_rn"))
-    result = (numbered.join(F.broadcast(slices), slice_keys, "left")
-              .withColumn(out, number.cast("long"))
-              .select(*cols, out))
-    return result.unionByName(nulls)
+    hot_rows = (positions().join(F.broadcast(slices), slice_keys, "inner")
+                .withColumn(out, (F.col("_pos") - F.col("_first")
+                                  + F.col("_carry")).cast("long"))
+                .select(*cols, out))
+    return cold.unionByName(hot_rows).unionByName(nulls)
 
 
 def deep_groups(df: DataFrame, key: str, threshold: int,

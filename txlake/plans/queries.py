@@ -366,10 +366,16 @@ def semi_filter_topk(spark, sf):
 
 
 def double_semi_topk(spark, sf):
-    seq = _seq(spark, sf)
+    tx = _tx(spark, sf)
+    seq = sequence_number(tx, SEQ_KEYS, SEQ_ORDER)
     deep_rows = seq.where(F.col("row_number") > DEEP)
-    kept = exclude_sentinel(seq, "account_number_from", -1)
-    kept = semi_filter(kept, deep_rows, "account_number_from")
+    # the sentinel leaves through the account member set rather than as a row
+    # filter (the semi-join drops null accounts either way): a row filter on
+    # a group key would be pushed into the numbering of the kept rows only,
+    # and the two uses of the numbering would no longer share its shuffles
+    accounts = exclude_sentinel(deep_keys(tx, SEQ_KEYS, "account_number_from", DEEP),
+                                "account_number_from", -1)
+    kept = semi_filter(seq, accounts, "account_number_from")
     kept = semi_filter(kept, deep_rows, "transaction_dt")
     return _ranked_top(kept, 100)
 
