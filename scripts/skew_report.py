@@ -44,6 +44,9 @@ def main() -> None:
              .config("spark.ui.enabled", "false")
              .config("spark.sql.shuffle.partitions", "8")
              .config("spark.sql.adaptive.enabled", "true")
+             # raw partition sizes: coalescing would merge the small ones and
+             # hide how the rows were distributed
+             .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.eventLog.enabled", "true")
              .config("spark.eventLog.dir", f"file://{logdir}")
