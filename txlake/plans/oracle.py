@@ -192,6 +192,10 @@ SELECT CAST(event_id AS VARCHAR) AS object_id,
 FROM ev WHERE event_type = 'view'""",
     "dedup_exact": DEDUP,
     "raw_layer": DEDUP,
+    # emitted once the watermark (max event time - 1 hour, inclusive) passed
+    "dedup_finalized": f"""WITH {EV}, {RETRY}, m AS ({msg('feed')})
+SELECT DISTINCT object_id, object_type, sent_dttm, payload FROM m
+WHERE sent_dttm <= (SELECT max(sent_dttm) FROM m) - INTERVAL 1 HOUR""",
     "stream_ingest": CLEAN_TX,
     "stream_fanout": f"""WITH {EV}, {RETRY},
 d AS (SELECT DISTINCT object_id, object_type, sent_dttm, payload

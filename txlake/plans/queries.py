@@ -314,6 +314,20 @@ def dedup_watermark(spark, sf):
     return _raw_back(spark, paths)
 
 
+def dedup_finalized(spark, sf):
+    """The feed (events + retries) in one trigger through the finalized
+    dedup (a streaming aggregate, delay 1 hour); returns the raw layer: each
+    message once, emitted when the watermark passed it. The newest hour of
+    event time is still in state when the run ends."""
+    root = scratch_path(spark, "dedup_finalized")
+    _feed_with_retries(_t(spark, sf, "events", cpu_heavy=True)).write.parquet(f"{root}/feed")
+    paths = TablePaths.under(f"{root}/tables")
+    run_collector(record_stream(stream_session(spark), f"{root}/feed"), FanOutSink(paths),
+                  f"{root}/checkpoint", watermark_delay=WATERMARK_DELAY,
+                  dedup_mode="finalized")
+    return _raw_back(spark, paths)
+
+
 # --- analysis frame -------------------------------------------------------------
 
 def filter_sentinel(spark, sf):
@@ -432,6 +446,7 @@ QUERIES: dict[str, Query] = {
     "stream_ingest": stream_ingest,
     "dedup_exact": dedup_exact_q,
     "dedup_watermark": dedup_watermark,
+    "dedup_finalized": dedup_finalized,
     "late_rows": late_rows,
     "filter_sentinel": filter_sentinel,
     "filter_not_in": filter_not_in,
