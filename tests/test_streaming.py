@@ -310,3 +310,14 @@ def test_finalized_dedup_emits_each_message_once_after_the_watermark(spark, tmp_
     assert sorted(emitted) == ["a", "b", "c", "d", "h"]
     assert out[0] == []  # nothing is final before the watermark moves
     assert prog[-1]["stateOperators"][0]["numRowsTotal"] >= 2
+
+
+def test_sink_writes_exact_rates(spark, tmp_root):
+    from tests.fixtures import CUR, dumps
+    _write_files(f"{tmp_root}/feed", [[dumps(CUR)]])
+    paths = TablePaths.under(f"{tmp_root}/tables")
+    run_collector(record_stream(spark, f"{tmp_root}/feed", fmt="text"),
+                  FanOutSink(paths, exact_rates=True), f"{tmp_root}/ck")
+    cur = spark.read.parquet(paths.currencies)
+    assert dict(cur.dtypes)["currency_with_div"] == "decimal(18,6)"
+    assert str(cur.first().currency_with_div) == "1.070000"
