@@ -72,9 +72,11 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     keyed = df.where(has_key)
     nulls = df.where(~has_key).withColumn(out, F.lit(None).cast("long"))
 
-    # an explicit width for the hot rows' range exchange: left to AQE, a
-    # small input's ranges are merged back into one task and a hot group is
-    # not split at all
+    # an explicit width for the hot rows' range exchange. AQE never
+    # coalesces it, which matters twice: left to AQE, a small input's ranges
+    # are merged back into one task and a hot group is not split at all; and
+    # the positions below are read from this exchange twice (rows and slice
+    # table), so both reads must see the very same partitions
     n = num_partitions or int(
         df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
