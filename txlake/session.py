@@ -35,6 +35,10 @@ BATCH_CONF = {
 #: the whole dedup state; snapshots are taken in the background.
 STREAM_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # a batch without new data still runs when the watermark moved: it
+    # evicts expired dedup state and emits finalized messages (Spark's
+    # default, pinned because both depend on it)
+    "spark.sql.streaming.noDataMicroBatches.enabled": "true",
 }
 
 
