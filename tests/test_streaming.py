@@ -321,3 +321,19 @@ def test_sink_writes_exact_rates(spark, tmp_root):
     cur = spark.read.parquet(paths.currencies)
     assert dict(cur.dtypes)["currency_with_div"] == "decimal(18,6)"
     assert str(cur.first().currency_with_div) == "1.070000"
+
+
+def test_finalized_dedup_combines_before_its_shuffle(spark, tmp_root, capsys):
+    _write_files(f"{tmp_root}/feed", FEED[:1])
+    plan = collector_plan(record_stream(spark, f"{tmp_root}/feed", fmt="text"),
+                          watermark_delay="1 minute", dedup_mode="finalized")
+    q = (plan.writeStream.format("noop").option("checkpointLocation", f"{tmp_root}/ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    capsys.readouterr()
+    q.explain()
+    text = capsys.readouterr().out
+    # the tree prints top-down: the partial aggregate sits below the
+    # stateful operator's exchange, and nothing runs in Python
+    assert text.index("partial_min") > text.index("Exchange hashpartitioning")
+    assert "StateStoreSave" in text and "Python" not in text
