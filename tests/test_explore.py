@@ -69,8 +69,8 @@ def _numbers(df):
     return sorted(rows, key=lambda t: tuple((v is None, v if v is not None else 0) for v in t))
 
 
-@pytest.mark.parametrize("parts", [1, 3, 8])
-def test_skew_safe_with_ties_and_mixed_groups(spark, parts):
+@pytest.mark.parametrize("parts,share", [(1, 4), (3, 4), (8, 4), (8, 1), (8, 50)])
+def test_skew_safe_with_ties_and_mixed_groups(spark, parts, share):
     rnd = random.Random(parts)
     rows = []
     for i in range(1500):
@@ -79,7 +79,7 @@ def test_skew_safe_with_ties_and_mixed_groups(spark, parts):
         rows.append((i, acct, rnd.choice(["a", "b", None]), rnd.randint(0, 5)))
     df = spark.createDataFrame(rows, "id long, acct long, st string, t int")
     # order on t alone: many ties inside every group
-    a = sequence_number(df, ["acct", "st"], ["t"], num_partitions=parts)
+    a = sequence_number(df, ["acct", "st"], ["t"], num_partitions=parts, hot_share=share)
     b = sequence_number(df, ["acct", "st"], ["t"], skew_safe=False)
     assert _numbers(a) == _numbers(b)
     assert a.count() == df.count()

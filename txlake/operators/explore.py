@@ -30,7 +30,8 @@ def _all_not_null(cols: Iterable[str]) -> Column:
 
 def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                     out: str = "row_number", skew_safe: bool = True,
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None,
+                    hot_share: int = HOT_SHARE) -> DataFrame:
     """Zero-based position (bigint: a hot group can pass 2**31 rows) of each
     row inside its group of ``keys``, in ``order`` (which should make rows of
     a group unique). Null when any key is null.
@@ -58,6 +59,10 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],
        each partition boundary cuts at most one group. It is broadcast back,
        with that bound.
 
+    ``hot_share`` trades the two bounds: a larger value keeps cold groups
+    smaller (at most 1 / ``hot_share`` of a partition's share) and lets more
+    groups be hot (at most ``hot_share`` * partitions rows to broadcast).
+
     Ties in ``order`` are numbered in an arbitrary order, as in a window.
     """
     keys, order = list(keys), list(order)
@@ -80,11 +85,11 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     n = num_partitions or int(
         df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    # 1. hot groups, at most HOT_SHARE * n rows by construction
+    # 1. hot groups, at most hot_share * n rows by construction
     # (the threshold is a scalar subquery over the same sizes, so the sizes'
     # shuffle is computed once and reused)
     sizes = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    limit = sizes.agg(F.sum("_size") / F.lit(HOT_SHARE * n)).scalar()
+    limit = sizes.agg(F.sum("_size") / F.lit(hot_share * n)).scalar()
     hot = (sizes.where(F.col("_size") > limit)
            .select(*keys, F.lit(True).alias("_hot")))
     tagged = keyed.join(F.broadcast(hot), keys, "left")
