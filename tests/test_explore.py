@@ -92,6 +92,8 @@ def test_skew_safe_edge_shapes(spark):
     one = spark.createDataFrame([(i, 1, "a", i % 4) for i in range(500)], schema)
     got = sorted(r.row_number for r in sequence_number(one, ["acct", "st"], ["t", "id"]).collect())
     assert got == list(range(500))
+    with pytest.raises(ValueError):
+        sequence_number(one, ["acct", "st"], [])
     flat = spark.createDataFrame([(i, i, "a", 0) for i in range(300)], schema)
     assert {r.row_number for r in sequence_number(flat, ["acct", "st"], ["t", "id"]).collect()} == {0}
 

@@ -66,6 +66,9 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     Ties in ``order`` are numbered in an arbitrary order, as in a window.
     """
     keys, order = list(keys), list(order)
+    if not order:
+        raise ValueError("a sequence number needs an order (and a hot group "
+                         "can only be cut by it)")
     w = Window.partitionBy(*keys).orderBy(*order)
     if not skew_safe:
         return df.withColumn(
