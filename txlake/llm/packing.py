@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from txlake.llm.common import scratch
 
 SEQ = 2048
-STEP = 4
+STEP = 8
 END_ID = 1
 #: The linear program ends when no pattern promises more than this share.
 GAP = 2e-4
