@@ -114,7 +114,9 @@ def mix(docs: DataFrame, seed: int = 17) -> tuple[DataFrame, DataFrame, DataFram
     t = targets.withColumnRenamed("source", "s")
     rows = scratch(sizes.join(t, F.col("source").eqNullSafe(F.col("s"))).drop("s", "source"), "mix-rows")
     placed = scratch(place(rows), "mix-placed")
-    return rows, placed, pieces(placed).join(slots(targets, seed), ["sno", "block"])
+    # the slots come from a row per source, so their estimated size is far too
+    # small: a merge join keeps them from being broadcast
+    return rows, placed, pieces(placed).join(slots(targets, seed).hint("merge"), ["sno", "block"])
 
 
 def mix_report(docs: DataFrame, seed: int = 17) -> DataFrame:
