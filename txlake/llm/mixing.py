@@ -85,7 +85,7 @@ def slots(targets: DataFrame, seed: int = 17) -> DataFrame:
          .withColumn("slots", F.least(F.round(F.col("target") * F.col("blocks") / F.col("source_size")).cast("long"), F.col("blocks") * int(MOST)))
          .where("slots > 0").select("sno", "blocks", "slots"))
     runs = (t.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(SLOT_RUN).cast("long"))))
-            .repartition("sno", "from"))
+            .repartition(int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions")), "sno", "from"))
     each = runs.select("sno", "blocks", F.explode(F.sequence("from", F.least(F.col("from") + SLOT_RUN, F.col("slots")) - 1)).alias("slot"))
     index = F.col("slot") - F.col("pass") * F.col("blocks")
     return (each.withColumn("pass", F.expr("slot div blocks"))

@@ -20,6 +20,7 @@ long text needs no large encoding at once.
 from __future__ import annotations
 
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,8 @@ STEP = 8
 END_ID = 1
 #: The linear program ends when no pattern promises more than this share.
 GAP = 2e-4
-#: Strings whose ids a task remembers.
-REMEMBER = 200_000
+#: White-space-separated strings, and pieces of such, whose ids a worker remembers.
+REMEMBER = 250_000
 
 
 def default_tokenizer() -> str:
@@ -42,23 +43,58 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: The tokenizer's own cut of lower-cased text into the strings it encodes one
+#: by one (a fixed value of its file).
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+
+
+@lru_cache(maxsize=2)
 def _encoder(path: str):
-    """text -> its ids with the end id, as little-endian unsigned 32-bit bytes."""
+    """[text] -> each text's ids with the end id, as little-endian unsigned
+    32-bit bytes. Strings already met come from memory, which a worker keeps
+    between tasks; new ones are encoded together, in one text. The cut is made
+    here for characters below U+0130, where lower case and normal form need no
+    context; other white-space-separated strings are encoded whole."""
+    import regex
     from tokenizers import Tokenizer
-    tokenizer, known = Tokenizer.from_file(path), {}
+    tokenizer, known, strings = Tokenizer.from_file(path), {}, {}
+    cut, plain = regex.compile(_PIECES).findall, regex.compile(r"[\x20-\x7E\t\n\r\xA1-\u012F]*").fullmatch
 
-    def encode(texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").encode().split() for t in texts]
-        new = list({w for s in split for w in s if w not in known})
-        if len(known) + len(new) > REMEMBER:
-            known.clear()
-            new = list({w for s in split for w in s})
+    def learn(new: list[str], plainly: bool) -> None:
         for i in range(0, len(new), 4096):
             part = new[i:i + 4096]
-            for w, e in zip(part, tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
+            if plainly:
+                e = tokenizer.encode(" ".join(part), add_special_tokens=False)
+                word = np.asarray(e.word_ids, np.int64)
+                if len(word) and word[-1] == len(part) - 1 and (np.diff(word) <= 1).all() and word[0] == 0:
+                    ids, ends = np.asarray(e.ids, "<u4"), np.searchsorted(word, np.arange(len(part) + 1))
+                    known.update((w, ids[a:b].tobytes()) for w, a, b in zip(part, ends[:-1].tolist(), ends[1:].tolist(), strict=True))
+                    continue
+            for w, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 known[w] = np.asarray(e.ids, "<u4").tobytes()
+
+    def encode(texts: list[str | None]) -> list[bytes]:
+        split = []
+        for t in texts:
+            t = t or ""
+            # a space marks a string that is encoded whole
+            split.append(t.lower().split() if plain(t) and "<|" not in t else [" " + w.decode() for w in t.encode().split()])
+        new = set().union(*split).difference(strings)
+        if new:
+            if len(strings) + len(new) > REMEMBER:
+                strings.clear()
+                new = set().union(*split)
+            if len(known) > REMEMBER:
+                known.clear()
+            whole = [w for w in new if w[0] == " "]
+            cuts = {w: cut(w) for w in new if w[0] != " "}
+            learn(list({p for c in cuts.values() for p in c}.difference(known)), True)
+            learn(whole, False)
+            strings.update((w, known[c[0]] if len(c) == 1 else b"".join([known[p] for p in c])) for w, c in cuts.items())
+            strings.update((w, known.pop(w)) for w in whole)
         end = END_ID.to_bytes(4, "little")
-        return [b"".join([known[w] for w in s]) + end for s in split]
+        find = strings.__getitem__
+        return [b"".join(map(find, s)) + end for s in split]
     return encode
 
 
