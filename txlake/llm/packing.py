@@ -34,8 +34,8 @@ STEP = 8
 END_ID = 1
 #: The linear program ends when no pattern promises more than this share.
 GAP = 2e-4
-#: White-space-separated strings, and pieces of such, whose ids a worker remembers.
-REMEMBER = 250_000
+#: Strings whose ids a worker remembers.
+REMEMBER = 800_000
 
 
 def default_tokenizer() -> str:
@@ -57,7 +57,7 @@ def _encoder(path: str):
     context; other white-space-separated strings are encoded whole."""
     import regex
     from tokenizers import Tokenizer
-    tokenizer, known, strings = Tokenizer.from_file(path), {}, {}
+    tokenizer, known = Tokenizer.from_file(path), {}
     cut, plain = regex.compile(_PIECES).findall, regex.compile(r"[\x20-\x7E\t\n\r\xA1-\u012F]*").fullmatch
 
     def learn(new: list[str], plainly: bool) -> None:
@@ -74,26 +74,15 @@ def _encoder(path: str):
                 known[w] = np.asarray(e.ids, "<u4").tobytes()
 
     def encode(texts: list[str | None]) -> list[bytes]:
-        split = []
-        for t in texts:
-            t = t or ""
-            # a space marks a string that is encoded whole
-            split.append(t.lower().split() if plain(t) and "<|" not in t else [" " + w.decode() for w in t.encode().split()])
-        new = set().union(*split).difference(strings)
-        if new:
-            if len(strings) + len(new) > REMEMBER:
-                strings.clear()
-                new = set().union(*split)
-            if len(known) > REMEMBER:
-                known.clear()
-            whole = [w for w in new if w[0] == " "]
-            cuts = {w: cut(w) for w in new if w[0] != " "}
-            learn(list({p for c in cuts.values() for p in c}.difference(known)), True)
-            learn(whole, False)
-            strings.update((w, known[c[0]] if len(c) == 1 else b"".join([known[p] for p in c])) for w, c in cuts.items())
-            strings.update((w, known.pop(w)) for w in whole)
-        end = END_ID.to_bytes(4, "little")
-        find = strings.__getitem__
+        # a space marks a string that is encoded whole; no piece holds one
+        split = [cut(t.lower()) if plain(t) and "<|" not in t else [" " + w.decode() for w in t.encode().split()] for t in (t or "" for t in texts)]
+        new = set().union(*split).difference(known)
+        if len(known) + len(new) > REMEMBER:
+            known.clear()
+            new = set().union(*split)
+        learn([w for w in new if w[0] != " "], True)
+        learn([w for w in new if w[0] == " "], False)
+        end, find = END_ID.to_bytes(4, "little"), known.__getitem__
         return [b"".join(map(find, s)) + end for s in split]
     return encode
 
@@ -104,10 +93,10 @@ def tokenized(docs: DataFrame, tokenizer: str, ids: bool = False) -> DataFrame:
         encode = _encoder(tokenizer)
         for batch in batches:
             texts = batch.column("text")
-            for a in range(0, batch.num_rows, 64):
-                data = encode(texts.slice(a, 64).to_pylist())
+            for a in range(0, batch.num_rows, 256):
+                data = encode(texts.slice(a, 256).to_pylist())
                 cuts = [[d[i:i + 4 * SEQ] for i in range(0, len(d), 4 * SEQ)] for d in data]
-                cols = [batch.column("doc_id").slice(a, 64), pa.array([len(d) // 4 for d in data], pa.int64()),
+                cols = [batch.column("doc_id").slice(a, 256), pa.array([len(d) // 4 for d in data], pa.int64()),
                         pa.array([[zlib.crc32(c) for c in cs] for cs in cuts], pa.list_(pa.int64()))]
                 if ids:
                     cols.append(pa.array([[np.frombuffer(c, "<u4").astype(np.int32) for c in cs] for cs in cuts], pa.list_(pa.list_(pa.int32()))))
