@@ -75,7 +75,7 @@ def _encoder(path: str):
 
     def encode(texts: list[str | None]) -> list[bytes]:
         # a space marks a string that is encoded whole; no piece holds one
-        split = [cut(t.lower()) if plain(t) and "<|" not in t else [" " + w.decode() for w in t.encode().split()] for t in (t or "" for t in texts)]
+        split = [cut(t.lower()) if (t.isascii() and t.isprintable() or plain(t)) and "<|" not in t else [" " + w.decode() for w in t.encode().split()] for t in (t or "" for t in texts)]
         new = set().union(*split).difference(known)
         if len(known) + len(new) > REMEMBER:
             known.clear()
