@@ -8,7 +8,7 @@
 3. The matches of a document with an anchor document are chained: increasing
    in both texts, gaps costing ``GAP_COST`` a word, the best predecessor found
    in a Fenwick tree of prefix maxima.
-4. Chains are aligned word by word: gaps by edit distance, ends extended over
+4. Chains that add to what a longer one covers are aligned word by word: gaps by edit distance, ends extended over
    short differences. Aligned spans of both documents, where at least
    ``IDENTITY`` of the words match, are merged per document; passages of
    ``MIN_WORDS`` or more are the result.
@@ -41,6 +41,8 @@ MIN_WORDS = 50
 NEAR = 8
 #: Span requests of one document answered by one reading of its text.
 REQUESTS = 256
+#: A chain with a seed for so many words aligns all of its span.
+DENSE = 24
 
 
 def seeds_of(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -126,6 +128,19 @@ def _chained(groups):
                                           pa.array([x[p] for p in parts], pa.list_(pa.int64())), pa.array([y[p] for p in parts], pa.list_(pa.int64()))], ["k", "anchor", "xs", "ys"])
 
 
+def _uncovered(groups):
+    """The chains of a document that another one does not cover already: a
+    dense chain that starts no later and ends no earlier aligns their words too."""
+    for _, t in groups:
+        x0, x1, n, cid = (t.column(c).to_numpy() for c in ("x0", "x1", "n", "cid"))
+        order = np.lexsort((cid, -x1, x0))
+        dense = np.where(n * DENSE >= x1 - x0, x1, 0)[order]
+        reach = np.maximum.accumulate(dense)
+        keep = np.ones(len(order), bool)
+        keep[order[1:]] = x1[order[1:]] > reach[:-1]
+        yield pa.RecordBatch.from_arrays([pa.array(cid), pa.array(keep)], ["cid", "keep"])
+
+
 def _edits_matched(a: list, b: list) -> int:
     """Equal words in a cheapest edit script of two short word runs."""
     if not a or not b:
@@ -230,6 +245,14 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     chains = scratch(by_group(matches, ["k", "anchor"], _chained, "k long, anchor long, xs array<long>, ys array<long>")
                      .withColumn("cid", F.monotonically_increasing_id()), "sub-chains")
 
+    # a near copy shares seeds with many earlier copies: align only the chains
+    # that cover more of it, and for the anchors' sake one chain per region
+    ends = chains.select("cid", "k", "anchor", F.element_at("xs", 1).alias("x0"), (F.element_at("xs", -1) + K).alias("x1"),
+                         F.size("xs").alias("n"), F.expr(f"ys[0] div {MARGIN}").alias("region"))
+    tested = scratch(ends.select("cid", "anchor", "region").join(by_group(ends, ["k"], _uncovered, "cid long, keep boolean"), "cid"), "sub-tested")
+    once = tested.groupBy("anchor", "region").agg(F.max("keep").alias("any"), F.min("cid").alias("cid")).where(~F.col("any"))
+    chains = scratch(chains.join(tested.where("keep").select("cid").unionByName(once.select("cid")), "cid"), "sub-kept")
+
     lo, hi = (lambda c: F.greatest(F.element_at(c, 1) - MARGIN, F.lit(0).cast("long"))), (lambda c: F.element_at(c, -1) + K + MARGIN)
     asked = chains.select("cid", F.explode(F.array(
         F.struct(F.lit(0).alias("side"), F.col("k"), lo("xs").alias("lo"), hi("xs").alias("hi")),
