@@ -64,19 +64,21 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Bloom filter of the labelled ids keeps other texts out of the shuffle."""
     known = (labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
              .withColumn("fold", crc_mod("doc_id", FOLDS)).where(F.col("fold") != HELD_OUT))
-    known = scratch(known.withColumn("h", F.xxhash64("doc_id")), "toxic-labels")
-    may = bloom_filter(known, "h")
-    rows = (docs.select("doc_id", "text").where(may(F.xxhash64("doc_id"))).join(known.drop("h"), "doc_id")
-            .withColumn("h", F.xxhash64("text")).dropDuplicates(["h", "toxic", "fold"]))
-    return scratch(rows.drop("h"), "toxic-rows")
+    # one row per distinct text, class and fold, found on hashes alone; only
+    # the texts of these rows are shuffled
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("h"))
+    once = hashed.join(known, "doc_id").groupBy("h", "toxic", "fold").agg(F.min("doc_id").alias("doc_id"))
+    once = scratch(once.withColumn("k", F.xxhash64("doc_id")), "toxic-labels")
+    may = bloom_filter(once, "k")
+    return scratch(docs.select("doc_id", "text").where(may(F.xxhash64("doc_id"))).join(once.drop("k", "h"), "doc_id"), "toxic-rows")
 
 
 def count_bigrams(rows: DataFrame) -> DataFrame:
     """key, n0, n1: occurrences of each bigram in ordinary and toxic rows."""
     def run(batches):
         for batch in batches:
-            for a in range(0, batch.num_rows, 2048):
-                part = batch.slice(a, 2048)
+            for a in range(0, batch.num_rows, 4096):
+                part = batch.slice(a, 4096)
                 texts, toxic = part.column("text").to_pylist(), part.column("toxic").to_pylist()
                 found = [np.unique(np.concatenate([_bigrams(t) for t, y in zip(texts, toxic, strict=True) if bool(y) == c] + [np.zeros(0, np.int64)]), return_counts=True) for c in (False, True)]
                 keys = np.concatenate([k for k, _ in found])
@@ -138,7 +140,13 @@ def _tables(bigrams: DataFrame) -> Model:
             F.sum(F.signum("n1")).cast("long").alias("t1"), F.count(F.lit(1)).alias("t")).toPandas()
     halves = bigrams.withColumn("v", F.shiftrightunsigned("key", 32)).withColumn("w", F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)))
     as_word, as_context = by("w"), by("v")
-    kept = bigrams.where("n0 + n1 > 1").orderBy(F.desc(F.col("n0") + F.col("n1")), "key").limit(BIGRAMS).toPandas().sort_values("key")
+    # the least count whose bigrams, with all commoner ones, fit the bound; the
+    # histogram has a row per distinct count, counts from 4096 on as one
+    seen = F.least(F.col("n0") + F.col("n1"), F.lit(4096).cast("long"))
+    histogram = bigrams.groupBy(seen.alias("n")).count().toPandas().sort_values("n", ascending=False)
+    fit = histogram["n"][(histogram["count"].cumsum() <= BIGRAMS) & (histogram["n"] > 1)]
+    least = int(fit.min()) if len(fit) else 1 << 62
+    kept = bigrams.where(F.col("n0") + F.col("n1") >= least).toPandas().sort_values("key")
     sides = [pd.Series(kept["key"].to_numpy(np.int64) >> 32), pd.Series(kept["key"].to_numpy(np.int64) & 0xFFFFFFFF)]
     kept = kept[np.logical_and(*[(x.map(x.value_counts()) >= PARTNERS).to_numpy() for x in sides])] if len(kept) else kept
 
