@@ -51,6 +51,9 @@ def seeds_of(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
     size = min(WINDOW, len(h))
     at = np.lib.stride_tricks.sliding_window_view(h, size).argmin(axis=1) + np.arange(len(h) - size + 1)
     at = np.unique(at)
+    # one word over and over makes equal neighbours: one in WINDOW is enough
+    new = np.concatenate([[True], (np.diff(at) > 1) | (np.diff(h[at].view(np.int64)) != 0)])
+    at = at[(at - at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]) % WINDOW == 0]
     return at, h[at]
 
 
