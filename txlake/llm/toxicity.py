@@ -21,7 +21,7 @@ the back-off. The logistic fit reads at most ``FIT_ROWS`` labelled rows.
 Cases: null and empty texts score like a text without evidence; labels with a
 null doc_id or null class teach nothing; several labels of a document count as
 toxic if one does; equal texts of a class and fold teach once; without labelled rows of both
-classes every score is 0; extra columns are not looked at.
+classes every score is 0; an empty table gives an empty result; extra columns are not looked at.
 """
 
 from __future__ import annotations
@@ -64,13 +64,14 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Bloom filter of the labelled ids keeps other texts out of the shuffle."""
     known = (labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
              .withColumn("fold", crc_mod("doc_id", FOLDS)).where(F.col("fold") != HELD_OUT))
+    # labels grow with the documents, so neither join may broadcast them;
     # one row per distinct text, class and fold, found on hashes alone; only
     # the texts of these rows are shuffled
     hashed = docs.select("doc_id", F.xxhash64("text").alias("h"))
-    once = hashed.join(known, "doc_id").groupBy("h", "toxic", "fold").agg(F.min("doc_id").alias("doc_id"))
+    once = hashed.join(known.hint("merge"), "doc_id").groupBy("h", "toxic", "fold").agg(F.min("doc_id").alias("doc_id"))
     once = scratch(once.withColumn("k", F.xxhash64("doc_id")), "toxic-labels")
     may = bloom_filter(once, "k")
-    return scratch(docs.select("doc_id", "text").where(may(F.xxhash64("doc_id"))).join(once.drop("k", "h"), "doc_id"), "toxic-rows")
+    return scratch(docs.select("doc_id", "text").where(may(F.xxhash64("doc_id"))).join(once.drop("k", "h").hint("merge"), "doc_id"), "toxic-rows")
 
 
 def count_bigrams(rows: DataFrame) -> DataFrame:
