@@ -3,7 +3,8 @@
 1. Seeds: of every ``WINDOW`` neighbouring eight-word runs the one of least
    hash. Equal runs of ``K + WINDOW - 1`` words always share a seed.
 2. Every seed occurrence is joined with one anchor, the occurrence in the
-   document of least key that has it, so the number of matches is that of the
+   document of least key that has it (that document's own occurrences with the
+   document of largest key), so the number of matches is that of the
    occurrences, however common a passage is.
 3. The matches of a document with an anchor document are chained: increasing
    in both texts, gaps costing ``GAP_COST`` a word, the best predecessor found
@@ -227,9 +228,12 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     in another document; other_id is one that shares it."""
     seeds = scratch(_seeds(docs), "sub-seeds")
     anchors = (seeds.groupBy("seed").agg(F.min("k").alias("anchor"), F.max("k").alias("most"),
-                                         F.min_by("pos", F.when(F.col("first"), F.col("k"))).alias("apos"))
-               .where("anchor <> most").drop("most"))
-    matches = seeds.join(scratch(anchors, "sub-anchors"), "seed").where("k <> anchor").select("k", "anchor", "pos", "apos")
+                                         F.min_by("pos", F.when(F.col("first"), F.col("k"))).alias("apos"),
+                                         F.max_by("pos", F.when(F.col("first"), F.col("k"))).alias("mpos"))
+               .where("anchor <> most"))
+    own = F.col("k") == F.col("anchor")
+    matches = seeds.join(scratch(anchors, "sub-anchors"), "seed").select(
+        "k", F.when(own, F.col("most")).otherwise(F.col("anchor")).alias("anchor"), "pos", F.when(own, F.col("mpos")).otherwise(F.col("apos")).alias("apos"))
     chains = scratch(by_group(matches, ["k", "anchor"], _chained, "k long, anchor long, xs array<long>, ys array<long>")
                      .withColumn("cid", F.monotonically_increasing_id()), "sub-chains")
 
