@@ -12,7 +12,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_POS_BITS = 33  # monotonically_increasing_id(): partition id << 33 | position
+from txlake.session import scratch_path
 
 #: A group is "hot" when it holds more than 1 / (HOT_SHARE * partitions) of
 #: the keyed rows. By counting, at most HOT_SHARE * partitions groups are
@@ -40,8 +40,7 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     on the keys, but a group lives in one task, so a key holding a third of
     the rows makes one task do a third of the work.
 
-    ``skew_safe=True`` (default) shuffles every row once and never puts a
-    hot group in one task:
+    ``skew_safe=True`` (default) never puts a hot group in one task:
 
     1. find the hot groups (more than 1 / (``HOT_SHARE`` * partitions) of
        the keyed rows) with partial aggregates; there are at most
@@ -50,14 +49,12 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     2. cold rows: the textbook window, one hash shuffle on the keys; each
        cold group is at most 1 / ``HOT_SHARE`` of a partition's fair share;
     3. hot rows: one range exchange on (keys, order) cuts each hot group into
-       contiguous slices across partitions. A hot row's number is its
-       position in its sorted partition minus the first position of its
-       slice plus a carry (the group's rows in earlier slices). The slice
-       table comes from partial aggregates over the same exchange (reused,
-       same sort, so the positions agree) and has at most (hot groups +
-       partitions) rows: a group spans a contiguous run of partitions and
-       each partition boundary cuts at most one group. It is broadcast back,
-       with that bound.
+       contiguous slices across partitions; the hot rows are written with
+       their slice to the shared folder. A hot row's number is its
+       ``row_number`` in its slice plus a carry (the group's rows in earlier
+       slices). The carry table has at most (hot groups + partitions) rows:
+       a group spans a contiguous run of partitions and each partition
+       boundary cuts at most one group. It is broadcast back, with that bound.
 
     ``hot_share`` trades the two bounds: a larger value keeps cold groups
     smaller (at most 1 / ``hot_share`` of a partition's share) and lets more
@@ -80,11 +77,8 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     keyed = df.where(has_key)
     nulls = df.where(~has_key).withColumn(out, F.lit(None).cast("long"))
 
-    # an explicit width for the hot rows' range exchange. AQE never
-    # coalesces it, which matters twice: left to AQE, a small input's ranges
-    # are merged back into one task and a hot group is not split at all; and
-    # the positions below are read from this exchange twice (rows and slice
-    # table), so both reads must see the very same partitions
+    # an explicit width for the hot rows' range exchange: left to AQE, a small
+    # input's ranges are merged back into one task and a hot group is not split
     n = num_partitions or int(
         df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -102,28 +96,24 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             .withColumn(out, (F.row_number().over(w) - 1).cast("long"))
             .select(*cols, out))
 
-    # 3. hot rows
-    ranged = tagged.where(F.col("_hot")).repartitionByRange(n, *keys, *order)
-
-    def positions() -> DataFrame:
-        p = (ranged.sortWithinPartitions(*keys, *order)
-             .withColumn("_mid", F.monotonically_increasing_id()))
-        return p.withColumns({
-            "_pid": F.shiftright(F.col("_mid"), _POS_BITS),
-            "_pos": F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)),
-        })
-
-    slice_keys = keys + ["_pid"]
-    slices = (positions().groupBy(*slice_keys)
-              .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
-              .withColumn("_carry", F.coalesce(
-                  F.sum("_n").over(Window.partitionBy(*keys).orderBy("_pid")
-                                   .rowsBetween(Window.unboundedPreceding, -1)),
-                  F.lit(0)))
-              .select(*slice_keys, "_first", "_carry"))
-    hot_rows = (positions().join(F.broadcast(slices), slice_keys, "inner")
-                .withColumn(out, (F.col("_pos") - F.col("_first")
-                                  + F.col("_carry")).cast("long"))
+    # 3. hot rows: the slice a row was dealt to becomes a column of a table
+    # written once, so counts and numbers read the same slices whatever
+    # columns each of them needs
+    path = scratch_path(df.sparkSession, "sequence")
+    (tagged.where(F.col("_hot")).drop("_hot").repartitionByRange(n, *keys, *order)
+     .withColumn("_slice", F.spark_partition_id()).write.parquet(path))
+    sliced = df.sparkSession.read.parquet(path)
+    slice_keys = [*keys, "_slice"]
+    carry = (sliced.groupBy(*slice_keys).agg(F.count(F.lit(1)).alias("_n"))
+             .withColumn("_carry", F.coalesce(
+                 F.sum("_n").over(Window.partitionBy(*keys).orderBy("_slice")
+                                  .rowsBetween(Window.unboundedPreceding, -1)),
+                 F.lit(0)))
+             .select(*slice_keys, "_carry"))
+    own = Window.partitionBy(*slice_keys).orderBy(*order)
+    hot_rows = (sliced.withColumn("_own", F.row_number().over(own) - 1)
+                .join(F.broadcast(carry), slice_keys, "inner")
+                .withColumn(out, (F.col("_own") + F.col("_carry")).cast("long"))
                 .select(*cols, out))
     return cold.unionByName(hot_rows).unionByName(nulls)
 

@@ -182,6 +182,6 @@ CLEAN_CURRENCIES = T.StructType(
 REJECTS = T.StructType(
     [
         T.StructField("raw_value", T.StringType()),
-        T.StructField("reason", T.StringType()),
+        T.StructField("reject_reason", T.StringType()),
     ]
 )

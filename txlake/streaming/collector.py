@@ -20,7 +20,7 @@ from txlake.streaming.sinks import FanOutSink
 
 def collector_plan(records: DataFrame, watermark_delay: str | None = None,
                    keys=DEDUP_KEYS, observe_name: str | None = "collector_input",
-                   value_col: str = "value", predup: bool = True,
+                   value_col: str = "value", predup: bool = False,
                    dedup_mode: str = "watermark_first") -> DataFrame:
     """Decode, normalise, count (before dedup), deduplicate and stamp ingest
     time. The stamp is ``current_timestamp()`` inside the streaming plan, so
@@ -45,7 +45,7 @@ def start_collector(records: DataFrame, sink: FanOutSink, checkpoint: str,
                     available_now: bool = False,
                     watermark_delay: str | None = None,
                     dedup_mode: str = "watermark_first",
-                    predup: bool = True) -> StreamingQuery:
+                    predup: bool = False) -> StreamingQuery:
     """Start the collector on a streaming frame of records (``dedup_mode``
     and ``predup`` as in ``dedup_stream``)."""
     plan = collector_plan(records, watermark_delay, predup=predup,
@@ -62,7 +62,7 @@ def run_collector(records: DataFrame, sink: FanOutSink, checkpoint: str,
                   watermark_delay: str | None = None,
                   timeout_s: float | None = None,
                   dedup_mode: str = "watermark_first",
-                  predup: bool = True) -> StreamingQuery:
+                  predup: bool = False) -> StreamingQuery:
     """Process everything available now and stop (backfills, tests)."""
     q = start_collector(records, sink, checkpoint, available_now=True,
                         watermark_delay=watermark_delay, dedup_mode=dedup_mode,
