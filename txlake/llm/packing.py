@@ -21,9 +21,11 @@ from __future__ import annotations
 
 import zlib
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,8 +36,11 @@ STEP = 8
 END_ID = 1
 #: The linear program ends when no pattern promises more than this share.
 GAP = 2e-4
-#: Strings whose ids a worker remembers.
-REMEMBER = 800_000
+#: Strings whose ids a worker remembers, and the characters of the longest.
+REMEMBER = 1_500_000
+LONGEST = 64
+#: Bytes of text that are cut at once.
+RUN = 8 << 20
 
 
 def default_tokenizer() -> str:
@@ -46,19 +51,24 @@ def default_tokenizer() -> str:
 #: The tokenizer's own cut of lower-cased text into the strings it encodes one
 #: by one (a fixed value of its file).
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+#: Texts with these are not cut here: from U+0130 on, and for the signs left
+#: out, lower case or normal form may need context; "<|" may begin a special id.
+_ODD = r"[^\x20-\x7E\t\n\r\x{A1}-\x{12F}]|<\|"
 
 
 @lru_cache(maxsize=2)
 def _encoder(path: str):
-    """[text] -> each text's ids with the end id, as little-endian unsigned
-    32-bit bytes. Strings already met come from memory, which a worker keeps
-    between tasks; new ones are encoded together, in one text. The cut is made
-    here for characters below U+0130, where lower case and normal form need no
-    context; other white-space-separated strings are encoded whole."""
+    """Arrow array of texts -> each text's ids with the end id, as
+    little-endian unsigned 32-bit bytes.
+
+    Arrow cuts the texts at white space and numbers the different strings.
+    Those already met come from memory, which a worker keeps between tasks; the
+    pieces of new ones are encoded together, in one text. Strings of a text
+    that matches ``_ODD`` are encoded whole."""
     import regex
     from tokenizers import Tokenizer
     tokenizer, known = Tokenizer.from_file(path), {}
-    cut, plain = regex.compile(_PIECES).findall, regex.compile(r"[\x20-\x7E\t\n\r\xA1-\u012F]*").fullmatch
+    cut = regex.compile(_PIECES).findall
 
     def learn(new: list[str], plainly: bool) -> None:
         for i in range(0, len(new), 4096):
@@ -73,30 +83,68 @@ def _encoder(path: str):
             for w, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 known[w] = np.asarray(e.ids, "<u4").tobytes()
 
-    def encode(texts: list[str | None]) -> list[bytes]:
-        # a space marks a string that is encoded whole; no piece holds one
-        split = [cut(t.lower()) if (t.isascii() and t.isprintable() or plain(t)) and "<|" not in t else [" " + w.decode() for w in t.encode().split()] for t in (t or "" for t in texts)]
-        new = set().union(*split).difference(known)
+    def find(strings: list[str]) -> list[bytes]:
+        """The ids of different strings; a space before one asks for it whole."""
+        new = [w for w in strings if w not in known]
         if len(known) + len(new) > REMEMBER:
+            # the strings met first are the commonest as a rule
+            first = list(islice(known.items(), REMEMBER // 2))
             known.clear()
-            new = set().union(*split)
-        learn([w for w in new if w[0] != " "], True)
-        learn([w for w in new if w[0] == " "], False)
-        end, find = END_ID.to_bytes(4, "little"), known.__getitem__
-        return [b"".join(map(find, s)) + end for s in split]
+            known.update(first)
+            new = [w for w in strings if w not in known]
+        pieces = {w: [w] if w.isalpha() else cut(w) for w in new if w[:1] != " "}
+        learn(list(set().union(*pieces.values()).difference(known)), True)
+        learn([w for w in new if w[:1] == " "], False)
+        got = known.__getitem__
+        known.update([(w, b"".join(map(got, p))) for w, p in pieces.items() if p != [w]])
+        out = list(map(got, strings))
+        for w in new:
+            if len(w) > LONGEST:
+                del known[w]
+        return out
+
+    def encode(texts: pa.Array) -> list[bytes]:
+        texts = pc.fill_null(texts, "")
+        split = pc.utf8_split_whitespace(pc.utf8_lower(texts))
+        odd = pc.match_substring_regex(texts, _ODD)
+        if odd.true_count:
+            whole = [[" " + w.decode() for w in t.as_py().encode().split()] if o else None for t, o in zip(texts, odd.to_pylist(), strict=True)]
+            split = pc.coalesce(pa.array(whole, split.type), split)
+        strings = split.flatten().dictionary_encode()
+        data = find(strings.dictionary.to_pylist())
+        ids, size = np.frombuffer(b"".join(data), "<u4"), np.fromiter(map(len, data), np.int64, len(data)) // 4
+        # string by string, its run of ids
+        start, at = np.cumsum(size) - size, strings.indices.to_numpy()
+        n = size[at]
+        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(n)])
+        ids = ids[np.arange(ends[-1]) + np.repeat(start[at] - ends[:-1], n)]
+        bounds = ends[np.concatenate([np.zeros(1, np.int64), np.cumsum(pc.list_value_length(split).to_numpy())])].tolist()
+        end = END_ID.to_bytes(4, "little")
+        return [ids[a:b].tobytes() + end for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
     return encode
 
 
+def _runs(texts: pa.Array) -> list[tuple[int, int]]:
+    """(first row, rows) of runs of up to ``RUN`` bytes; a longer text is alone."""
+    total = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    out, a = [], 0
+    while a < len(texts):
+        b = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + RUN, "right")))
+        out.append((a, b - a))
+        a = b
+    return out
+
+
 def tokenized(docs: DataFrame, tokenizer: str, ids: bool = False) -> DataFrame:
     """doc_id, doc_tokens, crcs (one per piece), and with ``ids`` the pieces' ids."""
     def run(batches):
         encode = _encoder(tokenizer)
         for batch in batches:
             texts = batch.column("text")
-            for a in range(0, batch.num_rows, 256):
-                data = encode(texts.slice(a, 256).to_pylist())
+            for a, n in _runs(texts):
+                data = encode(texts.slice(a, n))
                 cuts = [[d[i:i + 4 * SEQ] for i in range(0, len(d), 4 * SEQ)] for d in data]
-                cols = [batch.column("doc_id").slice(a, 256), pa.array([len(d) // 4 for d in data], pa.int64()),
+                cols = [batch.column("doc_id").slice(a, n), pa.array([len(d) // 4 for d in data], pa.int64()),
                         pa.array([[zlib.crc32(c) for c in cs] for cs in cuts], pa.list_(pa.int64()))]
                 if ids:
                     cols.append(pa.array([[np.frombuffer(c, "<u4").astype(np.int32) for c in cs] for cs in cuts], pa.list_(pa.list_(pa.int32()))))
