@@ -174,6 +174,24 @@ def test_packing(docs, empty):
     assert packing.pack(empty).count() == 0
 
 
+def test_remembered_strings_keep_the_tokenizers_ids(monkeypatch):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(packing.default_tokenizer())
+    bits = ["don't", "we'll", "a", "\u0130x", "\u1e9e\u00df", "<|endoftext|>", "\u00e9", "e\u0301", "\u00a0", "\u0085", "\x0b", "\x1c", "\x00", "12", "3.5", "!!",
+            "x" * 70, "\u03a3\u0391\u03a3", "\u65e5\u672c", "\t", "\n", "  ", "hello,", "'S", "\u0110", "\ufb01", "\u00ad", "</w>", "\x7f", "''''", "'re're"]
+    rng = np.random.default_rng(5)
+    texts = ["".join(str(rng.choice(bits)) + " " * int(rng.random() < .4) for _ in range(rng.integers(0, 12))) for _ in range(1500)] + ["", None, " "]
+    want = [np.array(t.encode(x or "", add_special_tokens=False).ids + [packing.END_ID], "<u4").tobytes() for x in texts]
+    encode = packing._encoder(packing.default_tokenizer())
+    for remember in (packing.REMEMBER, 50):
+        monkeypatch.setattr(packing, "REMEMBER", remember)
+        assert encode(pa.array(texts, pa.string())) == want
+    monkeypatch.setattr(packing, "RUN", 100)
+    runs = packing._runs(pa.array(texts, pa.string()))
+    assert [a for a, _ in runs] == list(np.cumsum([0] + [n for _, n in runs[:-1]])) and sum(n for _, n in runs) == len(texts)
+
+
 def test_patterns_cover_the_histogram():
     rng = np.random.default_rng(0)
     h = dict(zip(*np.unique(rng.integers(1, 65, 3000), return_counts=True), strict=True))
