@@ -22,6 +22,8 @@ long.
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,6 +42,10 @@ IDENTITY = 0.75
 MIN_WORDS = 50
 #: Spans of a document that are this near belong to one passage.
 NEAR = 8
+#: Chains of two documents that begin in the same so many words of both are one
+#: row, whose words are read once: a line repeated all over a document asks for
+#: its surroundings once, not at every repeat.
+REGION = 256
 #: Span requests of one document answered by one reading of its text.
 REQUESTS = 256
 
@@ -125,9 +131,14 @@ def _chained(groups):
         x, y = t.column("pos").to_numpy().astype(np.int64), t.column("apos").to_numpy().astype(np.int64)
         order = np.lexsort((y, x))
         x, y = x[order], y[order]
-        parts = chains_of(x, y)
+        regions = defaultdict(list)
+        for p in chains_of(x, y):
+            regions[int(x[p[0]]) // REGION, int(y[p[0]]) // REGION].append(p)
+        parts, lists = list(regions.values()), pa.list_(pa.list_(pa.int64()))
+        spans = [[(max(min(int(z[p[0]]) for p in r) - MARGIN, 0), max(int(z[p[-1]]) for p in r) + K + MARGIN) for r in parts] for z in (x, y)]
         yield pa.RecordBatch.from_arrays([pa.array([k] * len(parts), pa.int64()), pa.array([anchor] * len(parts), pa.int64()),
-                                          pa.array([x[p] for p in parts], pa.list_(pa.int64())), pa.array([y[p] for p in parts], pa.list_(pa.int64()))], ["k", "anchor", "xs", "ys"])
+                                          *(pa.array([[z[p].tolist() for p in r] for r in parts], lists) for z in (x, y)),
+                                          *(pa.array([b[i] for b in side], pa.int64()) for side in spans for i in (0, 1))], ["k", "anchor", "xs", "ys", "lo0", "hi0", "lo1", "hi1"])
 
 
 def _edits_matched(a: list, b: list) -> int:
@@ -188,10 +199,14 @@ def align(a: np.ndarray, b: np.ndarray, xs: np.ndarray, ys: np.ndarray) -> tuple
 def _aligned(batches):
     for batch in batches:
         rows = []
-        for k, anchor, xs, ys, f0, w0, f1, w1 in zip(*(batch.column(c).to_pylist() for c in ("k", "anchor", "xs", "ys", "f0", "w0", "f1", "w1")), strict=True):
-            s, e, u, v, matched = align(np.frombuffer(w0, np.uint32), np.frombuffer(w1, np.uint32), np.array(xs) - f0, np.array(ys) - f1)
-            if matched >= IDENTITY * max(e - s, v - u):
-                rows += [(k, anchor, f0 + s, f0 + e), (anchor, k, f1 + u, f1 + v)]
+        for k, anchor, chains, others, f0, w0, f1, w1 in zip(*(batch.column(c).to_pylist() for c in ("k", "anchor", "xs", "ys", "f0", "w0", "f1", "w1")), strict=True):
+            for xs, ys in zip(chains, others, strict=True):
+                # of the region's words, those up to MARGIN beyond the chain
+                f, g = max(xs[0] - MARGIN, 0), max(ys[0] - MARGIN, 0)
+                a, b = np.frombuffer(w0, np.uint32)[f - f0:xs[-1] + K + MARGIN - f0], np.frombuffer(w1, np.uint32)[g - f1:ys[-1] + K + MARGIN - f1]
+                s, e, u, v, matched = align(a, b, np.array(xs) - f, np.array(ys) - g)
+                if matched >= IDENTITY * max(e - s, v - u):
+                    rows += [(k, anchor, f + s, f + e), (anchor, k, g + u, g + v)]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(4)], ["k", "other", "start", "end"])
 
 
@@ -234,13 +249,12 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     own = F.col("k") == F.col("anchor")
     matches = seeds.join(scratch(anchors, "sub-anchors"), "seed").select(
         "k", F.when(own, F.col("most")).otherwise(F.col("anchor")).alias("anchor"), "pos", F.when(own, F.col("mpos")).otherwise(F.col("apos")).alias("apos"))
-    chains = scratch(by_group(matches, ["k", "anchor"], _chained, "k long, anchor long, xs array<long>, ys array<long>")
+    chains = scratch(by_group(matches, ["k", "anchor"], _chained, "k long, anchor long, xs array<array<long>>, ys array<array<long>>, lo0 long, hi0 long, lo1 long, hi1 long")
                      .withColumn("cid", F.monotonically_increasing_id()), "sub-chains")
 
-    lo, hi = (lambda c: F.greatest(F.element_at(c, 1) - MARGIN, F.lit(0).cast("long"))), (lambda c: F.element_at(c, -1) + K + MARGIN)
     asked = chains.select("cid", F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), F.col("k"), lo("xs").alias("lo"), hi("xs").alias("hi")),
-        F.struct(F.lit(1).alias("side"), F.col("anchor").alias("k"), lo("ys").alias("lo"), hi("ys").alias("hi")))).alias("r")).select("cid", "r.*")
+        F.struct(F.lit(0).alias("side"), F.col("k"), F.col("lo0").alias("lo"), F.col("hi0").alias("hi")),
+        F.struct(F.lit(1).alias("side"), F.col("anchor").alias("k"), F.col("lo1").alias("lo"), F.col("hi1").alias("hi")))).alias("r")).select("cid", "r.*")
     count = scratch(asked.groupBy("k").agg(F.expr(f"(count(1) + {REQUESTS - 1}) div {REQUESTS}").alias("n")), "sub-count")
     wanted = bloom_filter(count, "k")
     lists = scratch(asked.join(count, "k").groupBy("k", F.pmod(F.xxhash64("cid"), F.col("n")).alias("part"))
