@@ -210,7 +210,7 @@ def test_volume_listener(spark, tmp_root):
 def test_publish_then_collect_round_trip(spark, tmp_root):
     from txlake.operators import encode_transactions
     from txlake.streaming import publish_envelopes
-    rows = [(f"op{i}", i, i + 1, 410, "canada", "queued", "sbp", 100 * i,
+    rows = [(f"op{i}", i, i + 1, 11, "sylvania", "queued", "sbp", 100 * i,
              dt.datetime(2022, 10, 1, 0, 0, i)) for i in range(12)]
     dump = spark.createDataFrame(rows, "operation_id string, account_number_from long, "
                                  "account_number_to long, currency_code int, country string, "
@@ -247,6 +247,41 @@ def test_backfill_equals_stream_and_is_idempotent(spark, tmp_root):
     assert [r.raw_value for r in spark.read.parquet(paths.rejects).collect()] == ["not json"]
 
 
+def test_backfill_keeps_its_ingest_time_when_run_again(spark, tmp_root):
+    from txlake.streaming import backfill
+    recs = spark.read.text(_tx_records(6, tmp_root))
+    paths = TablePaths.under(f"{tmp_root}/bf")
+    for day, hour in ((1, 10), (1, 11), (2, 3)):  # another hour, another day
+        backfill(recs, FanOutSink(paths), run_id="bf1", now=dt.datetime(2024, 5, day, hour))
+    raw = read_partitioned(spark, paths.raw, RAW_TABLE)
+    assert raw.count() == 7
+    for path in (paths.raw, paths.transactions, paths.rejects):
+        stamps = spark.read.parquet(path).select("date", "hour").distinct().collect()
+        assert [(str(r.date), r.hour) for r in stamps] == [("2024-05-01", 10)]
+    assert raw.select("trigger_dttm").distinct().count() == 1
+    backfill(recs, FanOutSink(paths), run_id="bf2", now=dt.datetime(2024, 5, 3))
+    assert read_partitioned(spark, paths.raw, RAW_TABLE).count() == 14
+
+
+@pytest.mark.parametrize("mode", ["watermark_first", "within_watermark", "finalized"])
+def test_rejects_and_timeless_messages_pass_beside_the_state(spark, tmp_root, mode):
+    bad = ["not json"] * 3 + [json.dumps({**TX_T, "object_id": None})]
+    timeless = [_msg("t1", "10:00:00.123"), json.dumps({"object_id": "t2", "object_type": "x", "sent_dttm": None})]
+    feed = [[*rows, *bad, *timeless] for rows in FEED]
+    feed[0] += [json.dumps({**TX_T, "object_id": o, "sent_dttm": t}) for o, t in
+                (("first", "0001-01-01T00:00:00"),)]
+    _write_files(f"{tmp_root}/feed", feed)
+    paths = TablePaths.under(f"{tmp_root}/tables")
+    q = run_collector(record_stream(spark, f"{tmp_root}/feed", fmt="text", max_files_per_trigger=1),
+                      FanOutSink(paths), f"{tmp_root}/ck", watermark_delay="1 minute", dedup_mode=mode)
+    assert spark.read.parquet(paths.rejects).count() == 5 * len(bad)
+    raw = read_partitioned(spark, paths.raw, RAW_TABLE)
+    assert raw.where("sent_dttm is null").count() == 5 * len(timeless)
+    assert raw.where("object_id = 'first'").count() == 1
+    state = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["numInputRows"] > 0]
+    assert max(state) <= 4  # messages with a time only
+
+
 def test_distinct_malformed_messages_stay_distinct(spark, tmp_root):
     bad = ["not json", "also not json", "[1, 2]", "not json"]
     _write_files(f"{tmp_root}/feed", [bad + [json.dumps(TX_T)]])
@@ -254,7 +289,7 @@ def test_distinct_malformed_messages_stay_distinct(spark, tmp_root):
     run_collector(record_stream(spark, f"{tmp_root}/feed", fmt="text"), FanOutSink(paths),
                   f"{tmp_root}/ck")
     rejects = sorted(r.raw_value for r in spark.read.parquet(paths.rejects).collect())
-    assert rejects == ["[1, 2]", "also not json", "not json"]  # exact copies collapse
+    assert rejects == ["[1, 2]", "also not json", "not json", "not json"]  # equal ones too
     assert read_partitioned(spark, paths.raw, RAW_TABLE).count() == 1
 
 

@@ -7,6 +7,8 @@ streaming query.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -74,22 +76,49 @@ def run_collector(records: DataFrame, sink: FanOutSink, checkpoint: str,
 
 
 def backfill(records: DataFrame, sink: FanOutSink, run_id: str = "backfill",
-             keys=DEDUP_KEYS, value_col: str = "value") -> None:
+             keys=DEDUP_KEYS, value_col: str = "value",
+             now: dt.datetime | None = None) -> None:
     """Replay a batch of records (e.g. a topic dump) into the collector's
     tables in one batch job.
 
     History replayed in file order through a watermark would drop every
     out-of-order row as late, so a backfill deduplicates in batch instead:
-    ``dedup_exact`` (a partial aggregate, safe for hot keys), then the same
-    ingest stamp and the same idempotent writer, under ``stream_id = run_id``
-    and ``batch_id = 0`` -- re-running a backfill replaces its own output.
+    ``dedup_exact`` (a partial aggregate, safe for hot keys; rejects pass it
+    by), then the same writer, under ``stream_id = run_id`` and
+    ``batch_id = 0``.
+
+    A run has one ingest time: that of its first start, kept in a small table
+    beside the raw layer (``_runs/<run_id>``; ``now`` sets it, for tests). A
+    re-run reads it back and so replaces its own output, whenever it runs.
+    The deduplicated batch is written once under the shared folder, and the
+    four tables are written from there.
     """
     from txlake.operators.dedup import dedup_exact
+    from txlake.session import scratch_path
 
+    spark = records.sparkSession
+    stamp = _run_stamp(spark, f"{sink.paths.runs}/{run_id}", now)
     msgs = normalize_messages(decode_envelopes(records, value_col))
-    ks = list(keys) + ["raw_value"]
-    batch = stamp_ingest_metadata(dedup_exact(msgs, ks)).withColumns({
+    bad = F.col("reject_reason").isNotNull()
+    once = dedup_exact(msgs.where(~bad), keys).unionByName(msgs.where(bad))
+    staged = scratch_path(spark, f"backfill-{run_id}")
+    once.write.parquet(staged)
+    batch = stamp_ingest_metadata(spark.read.schema(once.schema).parquet(staged),
+                                  trigger=F.timestamp_micros(F.lit(stamp))).withColumns({
         "stream_id": F.lit(run_id),
         "batch_id": F.lit(0).cast("long"),
     })
     sink.write_batch(batch)
+
+
+def _run_stamp(spark, path: str, now: dt.datetime | None) -> int:
+    """The ingest time of a run, in microseconds: read back if the run has
+    one, else ``now`` (default: the clock), written for its re-runs."""
+    schema = "stamp long"
+    at = now or dt.datetime.now(dt.timezone.utc)
+    if at.tzinfo is None:
+        at = at.replace(tzinfo=dt.timezone.utc)
+    micros = (at - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1)
+    # "ignore" leaves a stamp that is there; one row
+    spark.createDataFrame([(micros,)], schema).coalesce(1).write.mode("ignore").parquet(path)
+    return spark.read.schema(schema).parquet(path).first()["stamp"]

@@ -61,13 +61,29 @@ def dedup_stream(messages: DataFrame, keys: Sequence[str] = DEDUP_KEYS,
       finite run wait in state for later data. ``event_time`` must be among
       ``keys``; ``predup`` is not needed and is ignored.
 
-    A ``raw_value`` column (text of rejected records, null otherwise) joins
-    the key, so distinct malformed messages do not collapse into one.
+    Rejects (``reject_reason`` not null) never enter the state: each one
+    passes, equal ones too. With a watermark that evicts state
+    (``watermark_first``, ``within_watermark``, ``finalized``) neither do
+    messages without an event time, which no watermark could ever evict or
+    release, or dated up to 1970, which every watermark is past: they pass as
+    they come, copies included. The price is that the input is read and
+    decoded once for either side.
     ``predup`` adds ``local_predup`` ahead of the stateful shuffle.
     """
     ks = list(keys)
-    if "raw_value" in messages.columns and "raw_value" not in ks:
-        ks.append("raw_value")
+    past = F.lit(False)
+    if "reject_reason" in messages.columns:
+        past = F.col("reject_reason").isNotNull()
+    if watermark_delay is not None and mode != "dedup_first":
+        time = F.col(event_time)
+        past = past | time.isNull() | (time <= F.timestamp_seconds(F.lit(0)))
+    through = messages.where(past)
+    kept = _dedup(messages.where(~past), ks, watermark_delay, event_time, predup, mode)
+    return kept.unionByName(through) if "reject_reason" in messages.columns or watermark_delay else kept
+
+
+def _dedup(messages: DataFrame, ks: list[str], watermark_delay: str | None,
+           event_time: str, predup: bool, mode: str) -> DataFrame:
     if watermark_delay is None:
         src = local_predup(messages, ks) if predup else messages
         return src.dropDuplicates(ks)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections import deque
 
 from pyspark.sql.streaming import StreamingQueryListener
 
@@ -15,21 +16,25 @@ class VolumeCheck(StreamingQueryListener):
     more than ``tolerance`` rows (the split count: the source may round the
     limit down once per split)."""
 
-    def __init__(self, limit: int | None = None, tolerance: int = 0):
+    def __init__(self, limit: int | None = None, tolerance: int = 0, history: int = 10_000):
         self.limit = limit
         self.tolerance = tolerance
-        self.batches: list[dict] = []
+        # the latest batches only: a live query runs for ever
+        self.batches: deque[dict] = deque(maxlen=history)
 
     def onQueryStarted(self, event):  # noqa: N802 (listener API)
         pass
 
     def onQueryProgress(self, event):  # noqa: N802
         p = event.progress
-        rows = int(p.numInputRows)
         dropped = sum(int(s.numRowsDroppedByWatermark or 0)
                       for s in p.stateOperators)
         state_rows = sum(int(s.numRowsTotal or 0) for s in p.stateOperators)
         observed = {k: v.asDict() for k, v in (p.observedMetrics or {}).items()}
+        # the collector reads its input once for the dedup and once for what
+        # passes beside it; its observed count is of one reading
+        rows = int(next((o["input_rows"] for o in observed.values() if "input_rows" in o),
+                        p.numInputRows))
         self.batches.append({"id": str(p.id), "batch_id": p.batchId,
                              "input_rows": rows, "dropped_late": dropped,
                              "state_rows": state_rows, "observed": observed})

@@ -52,12 +52,14 @@ class TablePaths:
     transactions: str
     currencies: str
     rejects: str
+    #: ingest times of backfill runs, one small table per run id
+    runs: str
 
     @classmethod
     def under(cls, root: str) -> "TablePaths":
         root = root.rstrip("/")
         return cls(f"{root}/raw", f"{root}/clean/transactions",
-                   f"{root}/clean/currencies", f"{root}/rejects")
+                   f"{root}/clean/currencies", f"{root}/rejects", f"{root}/_runs")
 
 
 class FanOutSink:
