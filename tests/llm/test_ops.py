@@ -338,6 +338,34 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.toxicity(empty, known).count() == 0
 
 
+def test_toxicity_keeps_every_bigram(spark):
+    from pyspark.sql import functions as F
+    # 400,000 ordinary bigrams, commoner than the toxic ones: more than any fixed table
+    ordinary = spark.range(400_000).select((F.col("id") % 640).alias("v"), (F.expr("id div 640") + 10_000).alias("w"), F.lit(1000).cast("long").alias("n0"), F.lit(0).cast("long").alias("n1"))
+    toxic = spark.createDataFrame([(90_000 + i, 95_000 + j, 0, 60) for i in range(8) for j in range(8)], "v long, w long, n0 long, n1 long")
+    counts = ordinary.unionByName(toxic)
+    table, base = toxicity.model(counts)
+    got = {r.key: (r.a, r.b) for r in table.collect()}
+    key = lambda v, w: int(toxicity.bigram_key(np.array([v], np.uint64), np.array([w], np.uint64)).view(np.int64)[0])
+    assert all(got[key(90_000 + i, 95_000 + j)][0] > 1 for i in range(8) for j in range(8))
+    # a text is scored by the table's rows, whichever block it falls into
+    rng = np.random.default_rng(8)
+    texts = [None, "", "x"] + [prose(i % 7, int(rng.integers(1, 60))) for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    h = lambda w: int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little")
+    signed = lambda u: u - (1 << 64) if u >> 63 else u
+    vocabulary = sorted({w for t in texts for w in common.words(t)})
+    single = {h(w): (float(rng.normal()), float(rng.normal())) for w in vocabulary[::2]} | {toxicity.START: (0.5, 0.25)}
+    runs = [[toxicity.START, *map(h, common.words(t))] for t in texts]
+    pairs = {p for r in runs for p in zip(r, r[1:], strict=False)}
+    own = {p: float(rng.normal()) for p in sorted(pairs)[::3]}
+    rows = [(signed(u), *ab) for u, ab in single.items()] + [(key(*p), r, None) for p, r in own.items()]
+    found = {r.doc_id: r.x for r in toxicity.features(docs, spark.createDataFrame(rows, "key long, a double, b double"), 0.125).collect()}
+    for i, r in enumerate(runs):
+        want = [own.get(p, single.get(p[0], (0, 0))[0] + single.get(p[1], (0, 0.125))[1]) for p in zip(r, r[1:], strict=False)]
+        assert np.allclose(found[i], toxicity._features(np.array(want)))
+
+
 def test_pipeline_stages(spark, tmp_path, docs):
     import corpus_pipeline as P
     docs.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")

@@ -8,15 +8,20 @@ off to the continuation counts both classes share. Continuations, unlike
 occurrences, do not grow when a text is copied. The larger class's counts are
 first scaled to the smaller one's size, so that neither has more unseen mass by
 sample size alone, and up to ``DISCOUNT`` continuations, of a bigram so many
-standard errors, go to the back-off: a rare expression is judged by shared counts. Explicit bigrams join words that both stand in at
-least ``PARTNERS`` of them. A text is scored by the difference of its length-normalised
+standard errors, go to the back-off: a rare expression is judged by shared
+counts. Explicit bigrams join words that both stand in at least ``PARTNERS``
+repeated ones. A text is scored by the difference of its length-normalised
 log-likelihoods, over the whole text and over its most suspicious runs of
 ``WINDOWS`` words and its ``TOP`` most suspicious words; a logistic function of these, fitted on rows the models have
 not seen, gives the score.
 
-Model size is bounded: words fall into ``BUCKETS`` hash buckets, and the
-``BIGRAMS`` commonest bigrams are kept explicitly, all others being served by
-the back-off. The logistic fit reads at most ``FIT_ROWS`` labelled rows.
+No part of the model is bounded: all bigram, context and continuation counts
+are tables keyed by 64-bit hashes, and so is what follows from them, the log
+ratio of every bigram, context and word that has one of its own. Texts are cut
+into blocks of about ``BLOCK_WORDS`` words; a block asks the table once for each
+of its distinct words and bigrams, and the answers meet the block's texts. A
+Bloom filter spares it asking for what the table does not have. The logistic
+fit reads all its rows, in Spark.
 
 Cases: null and empty texts score like a text without evidence; labels with a
 null doc_id or null class teach nothing; several labels of a document count as
@@ -26,23 +31,22 @@ classes every score is 0; an empty table gives an empty result; extra columns ar
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections import defaultdict
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txlake.llm.common import bloom_filter, crc_mod, scratch, word_hashes, words
+from txlake.llm.common import bloom_filter, by_group, crc_mod, keep_rows, mix64, row_key, scratch, words
 
 FOLDS = 5
 HELD_OUT = 0
 #: The fold the logistic function is fitted on; the others feed the models.
 FIT_FOLD = 4
-FIT_ROWS = 20_000
-BUCKETS = 1 << 18
-BIGRAMS = 1 << 18
 DISCOUNT = 3.0
 WINDOWS = (2, 16)
 PARTNERS = 3
@@ -50,181 +54,262 @@ PARTNERS = 3
 PRIOR = 200.0
 #: So many words count as a text's most suspicious ones.
 TOP = 4
-
-
-def _bigrams(text: str | None) -> np.ndarray:
-    """(previous word, word) hashes as one 64-bit key per word; 0 starts a text."""
-    h = word_hashes(words(text)).astype(np.uint64)
-    before = np.concatenate([np.zeros(1, np.uint64), h[:-1]]) if len(h) else h
-    return ((before << np.uint64(32)) | h).view(np.int64)
+#: Words of the texts that are looked up, or counted, together.
+BLOCK_WORDS = 1 << 18
+#: Stands before a text's first word.
+START = 1
+
+
+class _Block:
+    """Texts as runs of word numbers, and the 64-bit hashes of the words; the
+    last number is that of ``START``."""
+
+    def __init__(self):
+        self.codes: defaultdict = defaultdict()
+        self.codes.default_factory = self.codes.__len__
+        self.runs: list[np.ndarray] = []
+        self.rows: list[tuple] = []
+        self.n = 0
+
+    def add(self, text: str | None, *row) -> bool:
+        """Takes a text; True when the block is full."""
+        found = words(text)
+        self.runs.append(np.fromiter(map(self.codes.__getitem__, found), np.int64, len(found)))
+        self.rows.append(row)
+        self.n += len(found)
+        return self.n >= BLOCK_WORDS or len(self.rows) >= BLOCK_WORDS // 16
+
+    def close(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(hashes, sizes, word number, number of the word before)"""
+        h = [int.from_bytes(blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") for w in self.codes]
+        sizes = np.array([len(r) for r in self.runs], np.int64)
+        flat = np.concatenate([*self.runs, np.zeros(0, np.int64)])
+        before = np.concatenate([[0], flat[:-1]])[:len(flat)]
+        before[(np.cumsum(sizes) - sizes)[sizes > 0]] = len(h)
+        return np.array([*h, START], np.uint64), sizes, flat, before
+
+
+def _blocks(batches, columns):
+    block = _Block()
+    for batch in batches:
+        for text, *row in zip(batch.column("text").to_pylist(), *(batch.column(c).to_pylist() for c in columns), strict=True):
+            if block.add(text, *row):
+                yield block
+                block = _Block()
+    if block.rows:
+        yield block
+
+
+def bigram_key(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """64-bit key of a bigram by its words' hashes."""
+    return mix64(mix64(v + np.uint64(0x9E3779B97F4A7C15)) + w)
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text, toxic, fold of the labelled rows outside the held-out fold. A
-    Bloom filter of the labelled ids keeps other texts out of the shuffle."""
+    """doc_id, toxic, fold of the labelled rows outside the held-out fold: one
+    per distinct text, class and fold, found on hashes alone."""
     known = (labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
              .withColumn("fold", crc_mod("doc_id", FOLDS)).where(F.col("fold") != HELD_OUT))
-    # labels grow with the documents, so neither join may broadcast them;
-    # one row per distinct text, class and fold, found on hashes alone; only
-    # the texts of these rows are shuffled
+    # labels grow with the documents, so no join may broadcast them
     hashed = docs.select("doc_id", F.xxhash64("text").alias("h"))
-    once = hashed.join(known.hint("merge"), "doc_id").groupBy("h", "toxic", "fold").agg(F.min("doc_id").alias("doc_id"))
-    once = scratch(once.withColumn("k", F.xxhash64("doc_id")), "toxic-labels")
-    may = bloom_filter(once, "k")
-    return scratch(docs.select("doc_id", "text").where(may(F.xxhash64("doc_id"))).join(once.drop("k", "h").hint("merge"), "doc_id"), "toxic-rows")
+    return scratch(hashed.join(known.hint("merge"), "doc_id").groupBy("h", "toxic", "fold").agg(F.min("doc_id").alias("doc_id")).drop("h"), "toxic-labels")
+
+
+def training_rows(docs: DataFrame, once: DataFrame) -> DataFrame:
+    """text, toxic of the rows that feed the models. A Bloom filter of their
+    ids keeps other texts out of the shuffle."""
+    once = once.where(F.col("fold") != FIT_FOLD).select("doc_id", "toxic")
+    may = bloom_filter(once.withColumn("k", F.xxhash64("doc_id")), "k")
+    return docs.select("doc_id", "text").where(may(F.xxhash64("doc_id"))).join(once.hint("merge"), "doc_id").select("text", "toxic")
 
 
 def count_bigrams(rows: DataFrame) -> DataFrame:
-    """key, n0, n1: occurrences of each bigram in ordinary and toxic rows."""
+    """v, w, n0, n1: occurrences of each bigram in ordinary and toxic rows."""
     def run(batches):
+        for block in _blocks(batches, ["toxic"]):
+            h, sizes, flat, before = block.close()
+            toxic = np.repeat(np.array([bool(r[0]) for r in block.rows]), sizes)
+            pairs, at = np.unique(before * len(h) + flat, return_inverse=True)
+            n = [np.bincount(at[toxic == c], minlength=len(pairs)) for c in (False, True)]
+            cols = [h[pairs // len(h)].view(np.int64), h[pairs % len(h)].view(np.int64), *n]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["v", "w", "n0", "n1"])
+    return (rows.mapInArrow(run, "v long, w long, n0 long, n1 long")
+            .groupBy("v", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
+
+
+def model(counts: DataFrame) -> tuple[DataFrame, float]:
+    """(key, a, b) and the log ratio of a word without evidence. A bigram's row
+    has its log ratio as a; a word's has what it gives as a context, a, and as
+    the word, b, to bigrams without a row. Left out is only what has no ratio of
+    its own: bigrams without ``PARTNERS`` or of which the discount leaves nothing
+    in either class, and words without evidence before which there are only such."""
+    of = {c: [F.col(f"{c}{i}") for i in (0, 1)] for c in ("n", "t", "e", "own", "total", "mass", "word")}
+    sums = counts.agg(*[F.coalesce(F.sum(x), F.lit(0)).alias(f"n{c}") for c, x in enumerate(of["n"])],
+                      *[F.coalesce(F.sum(F.signum(x)), F.lit(0)).alias(f"t{c}") for c, x in enumerate(of["n"])], F.count(F.lit(1)).alias("t")).first()
+    scale = {k: [min(sums[f"{k}0"], sums[f"{k}1"]) / max(sums[f"{k}{c}"], 1) for c in (0, 1)] for k in "nt"}
+
+    repeated = F.col("n0") + F.col("n1") > 1
+    by_word = counts.groupBy("w").agg(*[F.sum(F.signum(x)).alias(f"t{c}") for c, x in enumerate(of["n"])], F.count(F.lit(1)).alias("t"), F.count_if(repeated).alias("after"))
+    by_word = scratch(by_word.select("w", "t", "after", *[F.greatest(x * scale["t"][c] - DISCOUNT, F.lit(0.0)).alias(f"own{c}") for c, x in enumerate(of["t"])]), "toxic-words")
+    owned = by_word.agg(F.count(F.lit(1)).alias("words"), *[F.coalesce(F.sum(x), F.lit(0.0)).alias(f"own{c}") for c, x in enumerate(of["own"])]).first()
+    size = [sums[f"t{c}"] * scale["t"][c] for c in (0, 1)]
+    left = [size[c] - owned[f"own{c}"] + 1 for c in (0, 1)]
+    shared = (F.col("t") + 0.5) / (sums["t"] + 0.5 * (owned["words"] + 1))
+    word = by_word.select("w", "after", (F.col("own0") + F.col("own1") > 0).alias("evident"), *[((x + left[c] * shared) / (size[c] + 1)).alias(f"word{c}") for c, x in enumerate(of["own"])])
+    base = float(np.log(left[1] / (size[1] + 1)) - np.log(left[0] / (size[0] + 1)))
+
+    scaled = [x * scale["n"][c] for c, x in enumerate(of["n"])]
+    rest = [F.greatest(x - DISCOUNT * F.sqrt(x), F.lit(0.0)).alias(f"e{c}") for c, x in enumerate(scaled)]
+    by_context = scratch(counts.groupBy("v").agg(*[F.sum(x).alias(f"total{c}") for c, x in enumerate(scaled)], F.count_if(repeated).alias("before")), "toxic-sides")
+    kept = scratch(counts.select("v", "w", *rest).where("e0 > 0 or e1 > 0").join(word.drop("evident"), "w").join(by_context, "v")
+                   .where((F.col("before") >= PARTNERS) & (F.col("after") >= PARTNERS)).drop("before", "after"), "toxic-kept")
+    # what the kept bigrams leave of the context goes to the back-off
+    gone = kept.groupBy("v").agg(*[F.first(x).alias(f"total{c}") for c, x in enumerate(of["total"])], *[F.sum(x).alias(f"s{c}") for c, x in enumerate(of["e"])])
+    context = scratch(gone.select("v", *[x.alias(f"total{c}") for c, x in enumerate(of["total"])], *[(x - F.col(f"s{c}")).alias(f"mass{c}") for c, x in enumerate(of["total"])]), "toxic-contexts")
+
+    def ratio(p):
+        return F.log(p[1]) - F.log(p[0])
+    bigrams = (kept.drop("total0", "total1").join(context, "v")
+               .select("v", "w", ratio([(of["e"][c] + (of["mass"][c] + PRIOR) * of["word"][c]) / (of["total"][c] + PRIOR) for c in (0, 1)]).alias("a")))
+
+    def keyed(batches):
         for batch in batches:
-            for a in range(0, batch.num_rows, 4096):
-                part = batch.slice(a, 4096)
-                texts, toxic = part.column("text").to_pylist(), part.column("toxic").to_pylist()
-                found = [np.unique(np.concatenate([_bigrams(t) for t, y in zip(texts, toxic, strict=True) if bool(y) == c] + [np.zeros(0, np.int64)]), return_counts=True) for c in (False, True)]
-                keys = np.concatenate([k for k, _ in found])
-                zero = [np.zeros(len(k), np.int64) for k, _ in found]
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.concatenate([found[0][1], zero[1]])), pa.array(np.concatenate([zero[0], found[1][1]]))], ["key", "n0", "n1"])
-    return (rows.select("text", "toxic").mapInArrow(run, "key long, n0 long, n1 long")
-            .groupBy("key").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
-
-
-@dataclass
-class Model:
-    """Arrays over word buckets (class word probabilities, context totals and
-    back-off masses; index 0 ordinary, 1 toxic) and the kept bigrams."""
-    word: np.ndarray
-    total: np.ndarray
-    mass: np.ndarray
-    keys: np.ndarray
-    seen: np.ndarray
-    weights: np.ndarray
-
-    def ratios(self, text: str | None) -> np.ndarray:
-        """log P(word | toxic) - log P(word | ordinary) for each word."""
-        key = _bigrams(text)
-        u = key.view(np.uint64)
-        v, w = (u >> np.uint64(32)) % np.uint64(BUCKETS), (u & np.uint64(0xFFFFFFFF)) % np.uint64(BUCKETS)
-        at = np.searchsorted(self.keys, key)
-        at[at == len(self.keys)] = 0
-        hit = self.keys[at] == key if len(self.keys) else np.zeros(len(key), bool)
-        logs = []
-        for c in (0, 1):
-            own = np.where(hit, self.seen[c][at], 0) if len(self.keys) else 0
-            back = self.word[c][w]
-            # what the kept bigrams leave of the context goes to the back-off
-            logs.append(np.log((own + (self.mass[c][v] + PRIOR) * back) / (self.total[c][v] + PRIOR)))
-        return logs[1] - logs[0]
-
-    def features(self, text: str | None) -> list[float]:
-        r = self.ratios(text)
-        n = len(r)
-        if n == 0:
-            return [0.0] * (3 + len(WINDOWS))
-        sums = np.concatenate([[0.0], np.cumsum(r)])
-        runs = [float((sums[min(k, n):] - sums[:n + 1 - min(k, n)]).max() / min(k, n)) for k in WINDOWS]
-        return [float(r.mean()), *runs, float(np.sort(r)[-TOP:].mean()), float(np.log1p(n))]
-
-    def score(self, texts) -> np.ndarray:
-        if not len(self.weights):
-            return np.zeros(len(texts))
-        x = np.array([(1.0, *self.features(t)) for t in texts]).reshape(len(texts), -1)
-        return 1 / (1 + np.exp(-np.clip(x @ self.weights, -30, 30)))
-
-
-def _tables(bigrams: DataFrame) -> Model:
-    """The bounded model from the counts of all bigrams."""
-    def by(word):
-        bucket = F.pmod(F.col(word), F.lit(BUCKETS))
-        return halves.groupBy(bucket.alias("b")).agg(
-            F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum(F.signum("n0")).cast("long").alias("t0"),
-            F.sum(F.signum("n1")).cast("long").alias("t1"), F.count(F.lit(1)).alias("t")).toPandas()
-    halves = bigrams.withColumn("v", F.shiftrightunsigned("key", 32)).withColumn("w", F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)))
-    as_word, as_context = by("w"), by("v")
-    # the least count whose bigrams, with all commoner ones, fit the bound; the
-    # histogram has a row per distinct count, counts from 4096 on as one
-    seen = F.least(F.col("n0") + F.col("n1"), F.lit(4096).cast("long"))
-    histogram = bigrams.groupBy(seen.alias("n")).count().toPandas().sort_values("n", ascending=False)
-    fit = histogram["n"][(histogram["count"].cumsum() <= BIGRAMS) & (histogram["n"] > 1)]
-    least = int(fit.min()) if len(fit) else 1 << 62
-    kept = bigrams.where(F.col("n0") + F.col("n1") >= least).toPandas().sort_values("key")
-    sides = [pd.Series(kept["key"].to_numpy(np.int64) >> 32), pd.Series(kept["key"].to_numpy(np.int64) & 0xFFFFFFFF)]
-    kept = kept[np.logical_and(*[(x.map(x.value_counts()) >= PARTNERS).to_numpy() for x in sides])] if len(kept) else kept
-
-    def dense(frame, column):
-        out = np.zeros(BUCKETS)
-        out[frame["b"].to_numpy(np.int64)] = frame[column].to_numpy(np.float64)
-        return out
-    contexts = dense(as_word, "t")
-    shared = (contexts + 0.5) / (contexts.sum() + 0.5 * BUCKETS)
-    word, total, mass, seen = [], [], [], []
-    keys = kept["key"].to_numpy(np.int64)
-    context_of = ((keys.view(np.uint64) >> np.uint64(32)) % np.uint64(BUCKETS)).astype(np.int64)
-    all_of, types_of = ([dense(as_word, f"{x}{c}").sum() for c in (0, 1)] for x in "nt")
-    for c in (0, 1):
-        scale = min(all_of) / max(all_of[c], 1)
-        n = dense(as_word, f"t{c}") * min(types_of) / max(types_of[c], 1)
-        own = np.maximum(n - DISCOUNT, 0)
-        word.append((own + (n.sum() - own.sum() + 1) * shared) / (n.sum() + 1))
-        own = kept[f"n{c}"].to_numpy(np.float64) * scale
-        own = np.maximum(own - DISCOUNT * np.sqrt(own), 0)
-        t = dense(as_context, f"n{c}") * scale
-        total.append(t)
-        mass.append(t - np.bincount(context_of, own, BUCKETS))
-        seen.append(own)
-    f = np.float32
-    return Model(*(np.array(a).astype(f) for a in (word, total, mass)), keys, np.array(seen).astype(f), np.zeros(0))
-
-
-def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 30, ridge: float = 1e-3) -> np.ndarray:
-    """Newton steps for ridge logistic regression, features scaled inside."""
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-    z = np.column_stack([np.ones(len(x)), (x - mean) / scale])
-    b = np.zeros(z.shape[1])
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(z @ b, -30, 30)))
-        h = (z * (p * (1 - p))[:, None]).T @ z + ridge * len(x) * np.eye(len(b))
-        b += np.linalg.solve(h, z.T @ (y - p) - ridge * len(x) * b)
-    w = b[1:] / scale
-    return np.concatenate([[b[0] - (w * mean).sum()], w])
+            v, w = (batch.column(c).to_numpy().view(np.uint64) for c in "vw")
+            yield pa.RecordBatch.from_arrays([pa.array(bigram_key(v, w).view(np.int64)), batch.column("a"), pa.nulls(len(v), pa.float64())], ["key", "a", "b"])
+    before = context.select(F.col("v").alias("key"), ratio([(of["mass"][c] + PRIOR) / (of["total"][c] + PRIOR) for c in (0, 1)]).alias("a"))
+    single = (word.where("evident").select(F.col("w").alias("key"), ratio(of["word"]).alias("b")).join(before, "key", "full")
+              .select("key", F.coalesce("a", F.lit(0.0)).alias("a"), F.coalesce("b", F.lit(base)).alias("b")))
+    return scratch(bigrams.mapInArrow(keyed, "key long, a double, b double").unionByName(single), "toxic-model"), base
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Model:
-    rows = labelled(docs, labels)
-    model = _tables(scratch(count_bigrams(rows.where(F.col("fold") != FIT_FOLD)), "toxic-bigrams"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def _asked(docs: DataFrame, table: DataFrame) -> DataFrame:
+    """Blocks of texts: rows of part 0 ask for a key under a number of their
+    block, rows of part 1 are texts written in these numbers (0: not in the
+    model): for START and each word the word's, then for each word the bigram's."""
+    may, kind = bloom_filter(table, "key").func, docs.schema["doc_id"].dataType.simpleString()
 
-    @F.pandas_udf("array<double>")
-    def features(text: pd.Series) -> pd.Series:
-        return pd.Series([list(shared.value.features(t)) for t in text])
-
-    fit = (rows.where(F.col("fold") == FIT_FOLD).select(F.xxhash64("doc_id", "text").alias("o"), "toxic", features("text").alias("x"))
-           .orderBy("o").limit(FIT_ROWS).toPandas())
-    if fit["toxic"].nunique() == 2:
-        model.weights = _logistic(np.array(fit["x"].tolist()), fit["toxic"].to_numpy(np.float64))
-    return model
-
-
-def scorer(docs: DataFrame, labels: DataFrame):
-    """A function Column (text) -> Column (score), trained on ``labels``."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
+    def run(batches):
+        at, id_type = TaskContext.get().partitionId() << 32, None
+
+        def seen(batches):
+            nonlocal id_type
+            for batch in batches:
+                id_type = batch.schema.field("doc_id").type
+                yield batch
+        for block in _blocks(seen(batches), ["doc_id", "__key"]):
+            h, sizes, flat, before = block.close()
+            pairs, pair = np.unique(before * len(h) + flat, return_inverse=True)
+            keys = np.concatenate([h, bigram_key(h[pairs // len(h)], h[pairs % len(h)])]).view(np.int64)
+            hit = may(pd.Series(keys)).to_numpy(bool)
+            number = np.where(hit, np.cumsum(hit), 0).astype(np.uint32)
+            asked, n = keys[hit], len(block.rows)
+            ends, out = np.cumsum(sizes), []
+            of_word, of_pair = number[flat], number[len(h) + pair]
+            for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True):
+                out.append(pa.compress(np.concatenate([number[len(h) - 1:len(h)], of_word[a:b], of_pair[a:b]]).tobytes(), "zstd", asbytes=True))
+            m = len(asked)
+            for a in range(0, m, 65536):
+                k = len(asked[a:a + 65536])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(k, at)), pa.array(np.zeros(k, np.int32)), pa.array(np.arange(a + 1, a + k + 1)), pa.array(asked[a:a + k]),
+                    pa.nulls(k, id_type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary())], ["block", "part", "number", "key", "doc_id", "n", "text"])
+            for a in range(0, n, 1024):
+                rows = block.rows[a:a + 1024]
+                k = len(rows)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(k, at)), pa.array(np.ones(k, np.int32)), pa.array(np.full(k, m)), pa.array([r[1] for r in rows], pa.int64()),
+                    pa.array([r[0] for r in rows], id_type), pa.array(sizes[a:a + k]), pa.array(out[a:a + k], pa.binary())], ["block", "part", "number", "key", "doc_id", "n", "text"])
+            at += 1
+    rows = docs.select("doc_id", row_key().alias("__key"), "text")
+    return scratch(rows.mapInArrow(run, f"block long, part int, number long, key long, doc_id {kind}, n long, text binary"), "toxic-asked")
+
+
+def _features(r: np.ndarray) -> list[float]:
+    n = len(r)
+    if n == 0:
+        return [0.0] * (3 + len(WINDOWS))
+    sums = np.concatenate([[0.0], np.cumsum(r)])
+    runs = [float((sums[min(k, n):] - sums[:n + 1 - min(k, n)]).max() / min(k, n)) for k in WINDOWS]
+    return [float(r.mean()), *runs, float(np.sort(r)[-TOP:].mean()), float(np.log1p(n))]
+
+
+def features(docs: DataFrame, table: DataFrame, base: float) -> DataFrame:
+    """doc_id, __key, x (the text's features) for every row of ``docs``."""
+    asked, kind = _asked(docs, table), docs.schema["doc_id"].dataType.simpleString()
+    none = F.lit(None)
+    answers = (asked.where("part = 0").select("block", "part", "number", "key").join(table, "key")
+               .select("block", "part", "number", none.cast("long").alias("key"), none.cast(kind).alias("doc_id"), none.cast("long").alias("n"), none.cast("binary").alias("text"), "a", "b"))
+    texts = asked.where("part = 1").withColumn("a", none.cast("double")).withColumn("b", none.cast("double"))
+
+    def run(groups):
+        for _, t in groups:
+            answered = int(t.num_rows - pa.compute.sum(t.column("part")).as_py())
+            hits, rows = t.slice(0, answered), t.slice(answered)
+            if not rows.num_rows:
+                continue
+            m = rows.column("number")[0].as_py() + 1
+            a, b, pair = np.zeros(m), np.full(m, base), np.full(m, np.nan)
+            at = hits.column("number").to_numpy()
+            a[at] = pair[at] = hits.column("a").to_numpy()
+            b[at] = hits.column("b").to_numpy()
+            x = []
+            for n, text in zip(rows.column("n").to_pylist(), rows.column("text").to_pylist(), strict=True):
+                c = np.frombuffer(pa.decompress(text, 4 * (2 * n + 1), "zstd", asbytes=True), np.uint32)
+                r = pair[c[n + 1:]]
+                x.append(_features(np.where(np.isnan(r), a[c[:n]] + b[c[1:n + 1]], r)))
+            for lo in range(0, len(x), 4096):
+                part = rows.slice(lo, 4096).combine_chunks()
+                yield pa.RecordBatch.from_arrays([*(part.column(c).combine_chunks() if part.column(c).num_chunks != 1 else part.column(c).chunk(0) for c in ("doc_id", "key")), pa.array(x[lo:lo + 4096], pa.list_(pa.float64()))], ["doc_id", "__key", "x"])
+    return scratch(by_group(answers.unionByName(texts), ["block"], run, f"doc_id {kind}, __key long, x array<double>", order=["part"]), "toxic-features")
+
+
+def logistic(rows: DataFrame, rounds: int = 30, ridge: float = 1e-3) -> np.ndarray:
+    """Newton steps for ridge logistic regression of toxic on x, features
+    scaled inside; every step sums over all rows in Spark."""
+    wide = 3 + len(WINDOWS)
+    moments = rows.agg(F.count(F.lit(1)), *[f(F.col("x")[i]) for f in (F.avg, F.stddev_pop) for i in range(wide)]).first()
+    n, mean, scale = moments[0], np.array(moments[1:wide + 1]), np.array(moments[wide + 1:]) + 1e-9
+    b = np.zeros(wide + 1)
+    for _ in range(rounds):
+        def run(batches, b=b):
+            h, g = np.zeros((wide + 1, wide + 1)), np.zeros(wide + 1)
+            for batch in batches:
+                x, y = batch.column("x").flatten().to_numpy().reshape(-1, wide), batch.column("toxic").to_numpy() > 0
+                z = np.column_stack([np.ones(len(x)), (x - mean) / scale])
+                p = 1 / (1 + np.exp(-np.clip(z @ b, -30, 30)))
+                h, g = h + (z * (p * (1 - p))[:, None]).T @ z, g + z.T @ (y - p)
+            yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([h.ravel(), g]).tolist()], pa.list_(pa.float64()))], ["s"])
+        s = rows.mapInArrow(run, "s array<double>").agg(*[F.sum(F.col("s")[i]) for i in range((wide + 1) * (wide + 2))]).first()
+        h, g = np.array(s[:-wide - 1]).reshape(wide + 1, -1), np.array(s[-wide - 1:])
+        step = np.linalg.solve(h + ridge * n * np.eye(wide + 1), g - ridge * n * b)
+        b = b + step
+        if np.abs(step).max() < 1e-7:
+            break
+    w = b[1:] / scale
+    return np.concatenate([[b[0] - (w * mean).sum()], w])
 
-    @F.pandas_udf("double")
-    def score(text: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.score(text), dtype="float64")
 
-    return score
+def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, __key, score for every row of ``docs``, trained on ``labels``."""
+    once = labelled(docs, labels)
+    if once.where(F.col("fold") == FIT_FOLD).agg(F.count_distinct(F.col("toxic") > 0)).first()[0] < 2:
+        return docs.select("doc_id", row_key().alias("__key"), F.lit(0.0).alias("score"))
+    counts = scratch(count_bigrams(training_rows(docs, once)), "toxic-bigrams")
+    found = features(docs, *model(counts))
+    fit = once.where(F.col("fold") == FIT_FOLD).select("doc_id", F.col("toxic").cast("long").alias("toxic"))
+    w = logistic(scratch(found.join(fit.hint("merge"), "doc_id").select("x", "toxic"), "toxic-fit"))
+    z = sum((F.col("x")[i] * float(x) for i, x in enumerate(w[1:])), F.lit(float(w[0])))
+    return found.select("doc_id", "__key", (1 / (1 + F.exp(-F.least(F.greatest(z, F.lit(-30.0)), F.lit(30.0))))).alias("score"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs``."""
-    score = scorer(docs, labels)
     held: Column = crc_mod("doc_id", FOLDS) == HELD_OUT
-    return (docs.select("doc_id", held.alias("held_out"), score("text").alias("score"))
+    return (scored(docs, labels).select("doc_id", held.alias("held_out"), "score")
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the rows predicted toxic; all columns kept."""
-    score = scorer(docs, labels)
-    return docs.withColumn("__score", score("text")).where("__score < 0.5").drop("__score")
+    toxic = scored(docs, labels).where("score >= 0.5").select("doc_id", "__key").distinct()
+    return keep_rows(docs, scratch(toxic.withColumn("kept", F.lit(False)), "toxic-drop"))
