@@ -343,7 +343,7 @@ def test_toxicity_keeps_every_bigram(spark):
     # 400,000 ordinary bigrams, commoner than the toxic ones: more than any fixed table
     ordinary = spark.range(400_000).select((F.col("id") % 640).alias("v"), (F.expr("id div 640") + 10_000).alias("w"), F.lit(1000).cast("long").alias("n0"), F.lit(0).cast("long").alias("n1"))
     toxic = spark.createDataFrame([(90_000 + i, 95_000 + j, 0, 60) for i in range(8) for j in range(8)], "v long, w long, n0 long, n1 long")
-    counts = ordinary.unionByName(toxic)
+    counts = ordinary.unionByName(toxic).withColumns({"d0": F.col("n0"), "d1": F.col("n1")})
     table, base = toxicity.model(counts)
     got = {r.key: (r.a, r.b) for r in table.collect()}
     key = lambda v, w: int(toxicity.bigram_key(np.array([v], np.uint64), np.array([w], np.uint64)).view(np.int64)[0])
@@ -366,6 +366,26 @@ def test_toxicity_keeps_every_bigram(spark):
         assert np.allclose(found[i], toxicity._features(np.array(want)))
 
 
+def test_toxicity_fixed_expressions(spark):
+    # the insult always follows the same two common words
+    rng = np.random.default_rng(9)
+    rows, labels = [], []
+    for i in range(1500):
+        w = prose(5000 + i, int(rng.integers(30, 60))).split()
+        at = int(rng.integers(2, 28))
+        w[at - 2:at] = ["you", "are"]
+        if i % 4 == 0:
+            w[at] = "grobian"
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(i % 4 == 0)))
+    # held-out rows where it follows a word it never followed
+    rows += [(i, prose(5000 + i, 20) + " what grobian " + prose(9000 + i, 20)) for i in range(2000, 2040)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = toxicity.toxicity(table, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    assert np.mean([g.predicted == (g.doc_id % 4 == 0) for g in got if g.held_out and g.doc_id < 2000]) > 0.95
+    assert np.mean([g.predicted for g in got if g.doc_id >= 2000]) > 0.9
+
+
 def test_pipeline_stages(spark, tmp_path, docs):
     import corpus_pipeline as P
     docs.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")

@@ -9,8 +9,11 @@ occurrences, do not grow when a text is copied. The larger class's counts are
 first scaled to the smaller one's size, so that neither has more unseen mass by
 sample size alone, and up to ``DISCOUNT`` continuations, of a bigram so many
 standard errors, go to the back-off: a rare expression is judged by shared
-counts. Explicit bigrams join words that both stand in at least ``PARTNERS``
-repeated ones. A text is scored by the difference of its length-normalised
+counts. What the classes' texts differ in by more than ``NOISE`` standard errors
+is no passage of a few copies: of such a word the texts that have it count as
+evidence too, not only the words before it, and such a bigram is explicit
+whatever else its words stand in; the others join words that both stand in at
+least ``PARTNERS`` repeated ones. A text is scored by the difference of its length-normalised
 log-likelihoods, over the whole text and over its most suspicious runs of
 ``WINDOWS`` words and its ``TOP`` most suspicious words; a logistic function of these, fitted on rows the models have
 not seen, gives the score.
@@ -50,12 +53,13 @@ FIT_FOLD = 4
 DISCOUNT = 3.0
 WINDOWS = (2, 16)
 PARTNERS = 3
+NOISE = 6.0
 #: Weight, in occurrences, of the back-off in every context.
 PRIOR = 200.0
 #: So many words count as a text's most suspicious ones.
 TOP = 4
 #: Words of the texts that are looked up, or counted, together.
-BLOCK_WORDS = 1 << 18
+BLOCK_WORDS = 1 << 20
 #: Stands before a text's first word.
 START = 1
 
@@ -124,35 +128,42 @@ def training_rows(docs: DataFrame, once: DataFrame) -> DataFrame:
 
 
 def count_bigrams(rows: DataFrame) -> DataFrame:
-    """v, w, n0, n1: occurrences of each bigram in ordinary and toxic rows."""
+    """v, w, n0, n1, d0, d1: occurrences of each bigram in ordinary and toxic
+    rows, and rows that have it."""
     def run(batches):
         for block in _blocks(batches, ["toxic"]):
             h, sizes, flat, before = block.close()
-            toxic = np.repeat(np.array([bool(r[0]) for r in block.rows]), sizes)
+            toxic, row = np.array([bool(r[0]) for r in block.rows]), np.repeat(np.arange(len(sizes)), sizes)
             pairs, at = np.unique(before * len(h) + flat, return_inverse=True)
-            n = [np.bincount(at[toxic == c], minlength=len(pairs)) for c in (False, True)]
+            each = np.unique(at * len(sizes) + row)
+            n = [np.bincount(x[toxic[r] == c], minlength=len(pairs)) for x, r in ((at, row), (each // len(sizes), each % len(sizes))) for c in (False, True)]
             cols = [h[pairs // len(h)].view(np.int64), h[pairs % len(h)].view(np.int64), *n]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["v", "w", "n0", "n1"])
-    return (rows.mapInArrow(run, "v long, w long, n0 long, n1 long")
-            .groupBy("v", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["v", "w", "n0", "n1", "d0", "d1"])
+    return (rows.mapInArrow(run, "v long, w long, n0 long, n1 long, d0 long, d1 long")
+            .groupBy("v", "w").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "d0", "d1")]))
 
 
 def model(counts: DataFrame) -> tuple[DataFrame, float]:
     """(key, a, b) and the log ratio of a word without evidence. A bigram's row
     has its log ratio as a; a word's has what it gives as a context, a, and as
     the word, b, to bigrams without a row. Left out is only what has no ratio of
-    its own: bigrams without ``PARTNERS`` or of which the discount leaves nothing
-    in either class, and words without evidence before which there are only such."""
-    of = {c: [F.col(f"{c}{i}") for i in (0, 1)] for c in ("n", "t", "e", "own", "total", "mass", "word")}
+    its own: bigrams that differ by noise and lack ``PARTNERS``, or of which the
+    discount leaves nothing in either class, and words without evidence before which there are only such."""
+    of = {c: [F.col(f"{c}{i}") for i in (0, 1)] for c in ("n", "d", "t", "e", "own", "total", "mass", "word")}
     sums = counts.agg(*[F.coalesce(F.sum(x), F.lit(0)).alias(f"n{c}") for c, x in enumerate(of["n"])],
+                      *[F.coalesce(F.sum(x), F.lit(0)).alias(f"d{c}") for c, x in enumerate(of["d"])],
                       *[F.coalesce(F.sum(F.signum(x)), F.lit(0)).alias(f"t{c}") for c, x in enumerate(of["n"])], F.count(F.lit(1)).alias("t")).first()
-    scale = {k: [min(sums[f"{k}0"], sums[f"{k}1"]) / max(sums[f"{k}{c}"], 1) for c in (0, 1)] for k in "nt"}
+    scale = {k: [min(sums[f"{k}0"], sums[f"{k}1"]) / max(sums[f"{k}{c}"], 1) for c in (0, 1)] for k in "ndt"}
+    texts = [x * scale["d"][c] for c, x in enumerate(of["d"])]
+    differs = F.abs(texts[1] - texts[0]) > NOISE * F.sqrt(texts[1] + texts[0])
 
     repeated = F.col("n0") + F.col("n1") > 1
-    by_word = counts.groupBy("w").agg(*[F.sum(F.signum(x)).alias(f"t{c}") for c, x in enumerate(of["n"])], F.count(F.lit(1)).alias("t"), F.count_if(repeated).alias("after"))
-    by_word = scratch(by_word.select("w", "t", "after", *[F.greatest(x * scale["t"][c] - DISCOUNT, F.lit(0.0)).alias(f"own{c}") for c, x in enumerate(of["t"])]), "toxic-words")
-    owned = by_word.agg(F.count(F.lit(1)).alias("words"), *[F.coalesce(F.sum(x), F.lit(0.0)).alias(f"own{c}") for c, x in enumerate(of["own"])]).first()
-    size = [sums[f"t{c}"] * scale["t"][c] for c in (0, 1)]
+    by_word = counts.groupBy("w").agg(*[F.sum(x).alias(f"d{c}") for c, x in enumerate(of["d"])], *[F.sum(F.signum(x)).alias(f"t{c}") for c, x in enumerate(of["n"])], F.count(F.lit(1)).alias("t"), F.count_if(repeated).alias("after"))
+    by_word = by_word.select("w", "t", "after", *[(x * scale["t"][c]).alias(f"t{c}") for c, x in enumerate(of["t"])], *[F.when(differs, x).otherwise(0.0).alias(f"d{c}") for c, x in enumerate(texts)])
+    by_word = scratch(by_word.select("w", "t", "after", *[F.greatest(t, d).alias(f"t{c}") for c, (t, d) in enumerate(zip(of["t"], of["d"], strict=True))],
+                                     *[F.greatest(t - DISCOUNT, d - DISCOUNT * F.sqrt(d), F.lit(0.0)).alias(f"own{c}") for c, (t, d) in enumerate(zip(of["t"], of["d"], strict=True))]), "toxic-words")
+    owned = by_word.agg(F.count(F.lit(1)).alias("words"), *[F.coalesce(F.sum(x), F.lit(0.0)).alias(f"{k}{c}") for k in ("t", "own") for c, x in enumerate(of[k])]).first()
+    size = [owned[f"t{c}"] for c in (0, 1)]
     left = [size[c] - owned[f"own{c}"] + 1 for c in (0, 1)]
     shared = (F.col("t") + 0.5) / (sums["t"] + 0.5 * (owned["words"] + 1))
     word = by_word.select("w", "after", (F.col("own0") + F.col("own1") > 0).alias("evident"), *[((x + left[c] * shared) / (size[c] + 1)).alias(f"word{c}") for c, x in enumerate(of["own"])])
@@ -161,8 +172,8 @@ def model(counts: DataFrame) -> tuple[DataFrame, float]:
     scaled = [x * scale["n"][c] for c, x in enumerate(of["n"])]
     rest = [F.greatest(x - DISCOUNT * F.sqrt(x), F.lit(0.0)).alias(f"e{c}") for c, x in enumerate(scaled)]
     by_context = scratch(counts.groupBy("v").agg(*[F.sum(x).alias(f"total{c}") for c, x in enumerate(scaled)], F.count_if(repeated).alias("before")), "toxic-sides")
-    kept = scratch(counts.select("v", "w", *rest).where("e0 > 0 or e1 > 0").join(word.drop("evident"), "w").join(by_context, "v")
-                   .where((F.col("before") >= PARTNERS) & (F.col("after") >= PARTNERS)).drop("before", "after"), "toxic-kept")
+    kept = scratch(counts.select("v", "w", differs.alias("differs"), *rest).where("e0 > 0 or e1 > 0").join(word.drop("evident"), "w").join(by_context, "v")
+                   .where(F.col("differs") | (F.col("before") >= PARTNERS) & (F.col("after") >= PARTNERS)).drop("differs", "before", "after"), "toxic-kept")
     # what the kept bigrams leave of the context goes to the back-off
     gone = kept.groupBy("v").agg(*[F.first(x).alias(f"total{c}") for c, x in enumerate(of["total"])], *[F.sum(x).alias(f"s{c}") for c, x in enumerate(of["e"])])
     context = scratch(gone.select("v", *[x.alias(f"total{c}") for c, x in enumerate(of["total"])], *[(x - F.col(f"s{c}")).alias(f"mass{c}") for c, x in enumerate(of["total"])]), "toxic-contexts")
@@ -238,8 +249,8 @@ def features(docs: DataFrame, table: DataFrame, base: float) -> DataFrame:
     asked, kind = _asked(docs, table), docs.schema["doc_id"].dataType.simpleString()
     none = F.lit(None)
     answers = (asked.where("part = 0").select("block", "part", "number", "key").join(table, "key")
-               .select("block", "part", "number", none.cast("long").alias("key"), none.cast(kind).alias("doc_id"), none.cast("long").alias("n"), none.cast("binary").alias("text"), "a", "b"))
-    texts = asked.where("part = 1").withColumn("a", none.cast("double")).withColumn("b", none.cast("double"))
+               .select("block", "part", "number", none.cast("long").alias("key"), none.cast(kind).alias("doc_id"), none.cast("long").alias("n"), none.cast("binary").alias("text"), *[F.col(c).cast("float").alias(c) for c in "ab"]))
+    texts = asked.where("part = 1").withColumn("a", none.cast("float")).withColumn("b", none.cast("float"))
 
     def run(groups):
         for _, t in groups:
