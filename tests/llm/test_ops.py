@@ -248,6 +248,20 @@ def test_licences(docs, empty):
     assert licenses.scan(empty).count() == 0
 
 
+def test_licences_of_a_notice_file(spark):
+    of = {label: text for label, text, _ in licenses.TEMPLATES}
+    parts = ("mit", "bsd", "lgpl", "cc0", "unlicense", "mpl", "agpl", "cc-by-sa")
+    long = [t for _, t, _ in licenses.TEMPLATES if len(t.split()) > 9]
+    notice = " filler ".join([*long, *(of[p] for p in parts)])
+    chatter = " ".join(["permission", "binary", "granted", "dedicated", "hereby", "obtaining", "redistribution", "unencumbered", "mozilla", "affero"] * 30)
+    rows = [(0, notice), (1, chatter + " " + of["mpl"]), (2, chatter), (3, of["cc0"])] + [(10 + i, prose(i, 30)) for i in range(20)]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(parts) <= set(got[0].labels.split(",")) and got[1].labels == "mpl" and got[2].labels == "" and got[3].labels == "cc0"
+    words = notice.split()
+    for m in got[0].matches:
+        assert any(words[m.position:m.position + len(t.split())] == t.split() for n, t, _ in licenses.TEMPLATES if n == m.template)
+
+
 def test_urls(spark):
     link = '<link href="{0}" rel="canonical">'
     pages = [(0, "http://A.Example.org/es/x", None), (1, "https://x.net/1", link.format("http://b.com/de/q")), (2, "https://x.net/1?utm=1", ""),

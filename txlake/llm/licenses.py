@@ -1,10 +1,10 @@
 """Licence scan by a positional rare-token index, DataFrame functions only.
 
-The templates' words form a small positional index. A file's licence words are
-looked up with their positions; the file's ``LOOK_UP`` words of highest inverse
-document frequency, counted over all files, vote by their postings for a
-template and its position in the file. Where the votes agree on one relative
-position and weigh at least ``SHARE`` of the template, the template's mandatory
+The templates' words form a small positional index, weighted by inverse document
+frequency over all files. A template's rarest words, without which its others
+weigh less than ``SHARE`` of it, propose places of the template wherever they
+stand in a file; each place is then looked up for all the template's index
+words. Where those found weigh at least ``SHARE``, the template's mandatory
 key phrase is verified word by word there. Function words are no index words
 but must stand in the key phrase where the template has them.
 
@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 
 from txlake.llm.common import scratch
 
-LOOK_UP = 8
 SHARE = 0.5
 
 #: Label, notice text, and its mandatory key phrase.
@@ -107,13 +106,15 @@ def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     posting = spark.createDataFrame(postings, "tid int, tpos long, word string")
     weight = scratch(posting.join(idf, "word", "left").withColumn("idf", F.coalesce("idf", F.log(F.lit(n_files + 1.0)))), "licence-index")
     total = weight.groupBy("tid").agg(F.sum("idf").alias("total"))
-    idf_word = weight.select("word", "idf").distinct()
 
-    # each file's rarest licence words vote for template and relative position
-    rare = (hits.join(F.broadcast(idf_word), "word").groupBy("rid", "word").agg(F.first("idf").alias("idf"))
-            .withColumn("n", F.row_number().over(Window.partitionBy("rid").orderBy(F.desc("idf"), "word"))).where(F.col("n") <= LOOK_UP).select("rid", "word"))
-    looked = hits.join(rare, ["rid", "word"]).join(F.broadcast(weight), "word")
-    votes = (looked.groupBy("rid", "tid", (F.col("pos") - F.col("tpos")).alias("at")).agg(F.sum("idf").alias("votes"))
+    # a template's rarest words propose its places; a place without any of them
+    # cannot reach SHARE
+    on = Window.partitionBy("tid").orderBy("idf", F.desc("tpos")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    starts = weight.withColumn("rest", F.sum("idf").over(on)).join(total, "tid").where(F.col("rest") >= SHARE * (1 - 1e-9) * F.col("total"))
+    places = hits.join(F.broadcast(starts.select("tid", "tpos", "word")), "word").select("rid", "tid", (F.col("pos") - F.col("tpos")).alias("at")).distinct()
+    looked = (places.join(F.broadcast(weight), "tid").select("rid", "tid", "at", (F.col("at") + F.col("tpos")).alias("pos"), "word", "idf")
+              .join(hits, ["rid", "pos", "word"]))
+    votes = (looked.groupBy("rid", "tid", "at").agg(F.sum("idf").alias("votes"))
              .join(F.broadcast(total), "tid").withColumn("share", F.col("votes") / F.col("total")).where(F.col("share") >= SHARE))
 
     # mandatory key phrases, word by word
