@@ -222,6 +222,21 @@ def test_passages(docs, empty):
     assert substrings.repeated_passages(empty).count() == 0
 
 
+def test_passages_with_changed_words(spark):
+    rows, at = [], {}
+    for i in range(120):
+        rng = np.random.default_rng(700 + i)
+        passage, p = prose(20_000 + i, int(rng.integers(58, 101))).split(), 8 + i % 5
+        edited = [f"other{i}x{j}" if j % p == p - 1 else w for j, w in enumerate(passage)]
+        for k, body in ((2 * i, passage), (2 * i + 1, edited)):
+            before = int(rng.integers(0, 40))
+            rows.append((k, " ".join([prose(30_000 + k, before), *body, prose(40_000 + k, 30)]).strip()))
+            at[k] = (before, before + len(body))
+    found = {g.doc_id: g for g in substrings.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(found) == set(at)
+    assert all(g.other_id == k ^ 1 and abs(g.start_word - at[k][0]) <= 12 and abs(g.end_word - at[k][1]) <= 12 for k, g in found.items())
+
+
 def test_chains():
     rng = np.random.default_rng(2)
     for _ in range(30):

@@ -1,7 +1,7 @@
 """Substring deduplication by collinear chaining.
 
-1. Seeds: of every ``WINDOW`` neighbouring eight-word runs the one of least
-   hash. Equal runs of ``K + WINDOW - 1`` words always share a seed.
+1. Seeds: every run of ``K`` words, so equal runs of ``K`` words always share
+   one, however often a passage is changed elsewhere.
 2. Every seed occurrence is joined with one anchor, the occurrence in the
    document of least key that has it (that document's own occurrences with the
    document of largest key), so the number of matches is that of the
@@ -31,8 +31,9 @@ from pyspark.sql import functions as F
 
 from txlake.llm.common import bloom_filter, by_group, grams, mix64, row_key, scratch, word_hashes, words
 
-K = 8
-WINDOW = 16
+K = 5
+#: Of neighbouring equal runs (one word over and over) one in so many is a seed.
+SAME = 16
 GAP_COST = 0.1
 MAX_GAP = 64
 MARGIN = 64
@@ -55,12 +56,9 @@ def seeds_of(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
     if len(tokens) < K:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     h = mix64(grams(tokens, K))
-    size = min(WINDOW, len(h))
-    at = np.lib.stride_tricks.sliding_window_view(h, size).argmin(axis=1) + np.arange(len(h) - size + 1)
-    at = np.unique(at)
-    # one word over and over makes equal neighbours: one in WINDOW is enough
-    new = np.concatenate([[True], (np.diff(at) > 1) | (np.diff(h[at].view(np.int64)) != 0)])
-    at = at[(at - at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]) % WINDOW == 0]
+    at = np.arange(len(h))
+    new = np.concatenate([[True], h[1:] != h[:-1]])
+    at = at[(at - np.maximum.accumulate(np.where(new, at, 0))) % SAME == 0]
     return at, h[at]
 
 
@@ -126,6 +124,13 @@ def chains_of(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def _corners(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Of a chain the first and last match of every stretch of one diagonal:
+    alignment compares the words between them one by one."""
+    turn = np.diff(x - y) != 0
+    return np.concatenate([[True], turn]) | np.concatenate([turn, [True]])
+
+
 def _chained(groups):
     for (k, anchor), t in groups:
         x, y = t.column("pos").to_numpy().astype(np.int64), t.column("apos").to_numpy().astype(np.int64)
@@ -133,7 +138,7 @@ def _chained(groups):
         x, y = x[order], y[order]
         regions = defaultdict(list)
         for p in chains_of(x, y):
-            regions[int(x[p[0]]) // REGION, int(y[p[0]]) // REGION].append(p)
+            regions[int(x[p[0]]) // REGION, int(y[p[0]]) // REGION].append(p[_corners(x[p], y[p])])
         parts, lists = list(regions.values()), pa.list_(pa.list_(pa.int64()))
         spans = [[(max(min(int(z[p[0]]) for p in r) - MARGIN, 0), max(int(z[p[-1]]) for p in r) + K + MARGIN) for r in parts] for z in (x, y)]
         yield pa.RecordBatch.from_arrays([pa.array([k] * len(parts), pa.int64()), pa.array([anchor] * len(parts), pa.int64()),
