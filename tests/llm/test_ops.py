@@ -310,6 +310,39 @@ def test_top_products(spark):
     assert topk.top_products(few.where("false")).count() == 0
 
 
+def _best_products(rows, k=20):
+    q = np.array([np.floor(64 * np.array(v)) for _, v, _ in rows]).astype(np.int64)
+    ids = np.array([i for i, _, _ in rows])
+    want = set()
+    for a in np.flatnonzero(ids % 20 == 0):
+        s = (q @ q[a]).tolist()
+        best = sorted((-s[b], int(ids[b])) for b in range(len(ids)) if b != a)[:k]
+        want |= {(int(ids[a]), r, j, -x) for r, (x, j) in enumerate(best, 1)}
+    return want
+
+
+@pytest.mark.parametrize("kind", ["clustered", "copies", "ties", "long"])
+@pytest.mark.parametrize("blocks", [(24, 8), (1024, 256)])
+def test_top_products_of_close_vectors(spark, monkeypatch, kind, blocks):
+    # a query's best neighbours share its block
+    monkeypatch.setattr(topk, "CANDIDATES", blocks[0])
+    monkeypatch.setattr(topk, "QUERIES", blocks[1])
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(20, 6))
+    if kind == "clustered":
+        v = centres[rng.integers(20, size=900)] + 0.05 * rng.normal(size=(900, 6))
+        v /= np.linalg.norm(v, axis=1, keepdims=True)
+    elif kind == "copies":
+        v = centres[rng.integers(20, size=600)]
+    elif kind == "ties":
+        v = rng.integers(-1, 2, size=(600, 6)) / 8
+    else:
+        v = 1000 * (centres[rng.integers(20, size=600)] + 0.001 * rng.normal(size=(600, 6)))
+    rows = [(i, [float(x) for x in r], 0) for i, r in enumerate(v)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)
+    assert {tuple(r) for r in topk.top_products(vectors).collect()} == _best_products(rows)
+
+
 def test_language(spark, docs, empty):
     rng = np.random.default_rng(1)
     vocabulary = {"en": ["the", "thing", "with", "other"], "fr": ["être", "les", "château", "où"]}

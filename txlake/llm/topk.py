@@ -18,7 +18,9 @@ Cases: null vectors and those with a null or non-finite component take no part;
 a shorter vector counts as ended by zeros; equal scores go to the smaller
 vec_id; a vec_id's own row is not its candidate (equal ids count as the same
 row); with fewer than k candidates all are returned; an empty table gives an
-empty result; extra columns are not looked at.
+empty result; extra columns are not looked at. Products are exact while they
+fit in a long, whatever the vectors' length; the bounds' slack grows with the
+largest norm. Components so large that a product leaves the longs have none.
 """
 
 from __future__ import annotations
@@ -37,6 +39,7 @@ PIVOTS = 48
 SAMPLE = 2048
 CANDIDATES = 1024
 QUERIES = 256
+#: Distances are rounded: the least slack of the bounds, see ``slack`` below.
 SLACK = 1e-3
 
 
@@ -87,7 +90,7 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 class _Running:
     """The k best (score, id) of every query of a block so far."""
-    LOW = np.iinfo(np.int64).min
+    LOW = np.iinfo(np.int64).min + 1  # its negative is a long too
 
     def __init__(self, n: int, k: int, floor: np.ndarray):
         self.k, self.floor = k, floor
@@ -149,6 +152,8 @@ def top_products(vectors: DataFrame, k: int = TOP, every: int = 20) -> DataFrame
     if stats["m"] is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     m, dims = float(stats["m"]), max(1, int(stats["dims"]))
+    # a squared distance near 0 is a difference of numbers up to 4 m, each of them a sum over the dimensions
+    slack = SLACK + float(np.sqrt(8 * (dims + 4) * np.finfo(float).eps * m))
     # pivots: a bounded sample by hash of the row, thinned to the farthest ones
     sample = base.orderBy(F.xxhash64("vec_id", "q")).limit(SAMPLE).select("q", "norm").toArrow()
     x = _matrix(sample.column("q"), dims).astype(np.float64)
@@ -185,9 +190,9 @@ def top_products(vectors: DataFrame, k: int = TOP, every: int = 20) -> DataFrame
                     state = ((r["qid"], r["salt"]), own, q, _Running(len(own), k, floor), _to_pivots(q, np.zeros(len(own)), pivots, m), (q.astype(np.float64)**2).sum(axis=1))
                 _, own, q, best, dist, norm = state
                 least = best.least()
-                radius = np.where(least == _Running.LOW, np.inf, np.sqrt(np.maximum(norm + m - 2.0 * np.where(least == _Running.LOW, 0, least), 0)) + SLACK)
+                radius = np.where(least == _Running.LOW, np.inf, np.sqrt(np.maximum(norm + m - 2.0 * np.where(least == _Running.LOW, 0, least), 0)) + slack)
                 d = dist[:, r["cell"]]
-                near = np.flatnonzero((d - radius <= r["hi"] + SLACK) & (d + radius >= r["lo"] - SLACK))
+                near = np.flatnonzero((d - radius <= r["hi"] + slack) & (d + radius >= r["lo"] - slack))
                 if len(near):
                     ids = np.frombuffer(r["ids"], np.int64)
                     s = np.full((len(own), len(ids)), _Running.LOW)
@@ -220,11 +225,11 @@ def top_products(vectors: DataFrame, k: int = TOP, every: int = 20) -> DataFrame
                 q = _large(data, dims)
                 least = np.frombuffer(kth, np.int64)
                 norm = (q.astype(np.float64)**2).sum(axis=1)
-                r = np.where(least == _Running.LOW, np.inf, np.sqrt(np.maximum(norm + m - 2.0 * np.where(least == _Running.LOW, 0, least), 0)) + SLACK)
+                r = np.where(least == _Running.LOW, np.inf, np.sqrt(np.maximum(norm + m - 2.0 * np.where(least == _Running.LOW, 0, least), 0)) + slack)
                 d = _to_pivots(q, np.zeros(len(q)), pivots, m)
                 yield pa.RecordBatch.from_arrays([pa.array([qid] * len(pivots), pa.int64()), pa.array(np.arange(len(pivots), dtype=np.int32)), pa.array((d - r[:, None]).min(axis=0)), pa.array((d + r[:, None]).max(axis=0)), pa.array(d.min(axis=0)), pa.array(d.max(axis=0))], ["qid", "cell", "from", "to", "dmin", "dmax"])
     rings = queries.select(F.col("bid").alias("qid"), "q").join(floor, "qid").mapInArrow(annuli, "qid long, cell int, from double, to double, dmin double, dmax double")
-    chosen = (rings.join(meta, (rings["cell"] == meta["cell"]) & (F.col("hi") >= F.col("from") - SLACK) & (F.col("lo") <= F.col("to") + SLACK))
+    chosen = (rings.join(meta, (rings["cell"] == meta["cell"]) & (F.col("hi") >= F.col("from") - slack) & (F.col("lo") <= F.col("to") + slack))
               .withColumn("gap", gap).withColumn("salt", F.pmod(F.xxhash64("bid"), F.lit(8)).cast("int"))
               .select("qid", "bid", "salt", "gap", meta["cell"], "lo", "hi"))
 
