@@ -31,7 +31,18 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
     here, and a lost executor costs no recomputation of what went before."""
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes scratch tables after their last reader: what was derived from
+    them must be written, or it could not be recomputed."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(t.scratch_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def crc_mod(column: str, n: int) -> Column:

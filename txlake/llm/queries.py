@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txlake.llm import exact_dedup, langid, licenses, mixing, ngram_join, packing, substrings, topk, toxicity, url_filter
+from txlake.llm import exact_dedup, langid, licenses, mixing, ngram_join, packing, prefix_trie, substrings, topk, toxicity, url_filter
 from txlake.llm.common import table
 
 
@@ -51,8 +51,13 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages")).drop("component")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), texts=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_toxicity, op2_ngram_join, op3_language, op4_mixing, op5_substrings, op6_packing, op7_exact_dedup, op8_topk, op9_licenses, op10_urls)}
+    op1_toxicity, op2_ngram_join, op3_language, op4_mixing, op5_substrings, op6_packing, op7_exact_dedup, op8_topk, op9_licenses, op10_urls,
+    op13_prefix_trie)}
 
 ORACLES: dict[str, str] = {
     "op7_exact_dedup": r"""
@@ -69,4 +74,26 @@ ORACLES: dict[str, str] = {
                    FROM v a, v b WHERE a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id),
              r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+    # crc32 bit by bit; a node is the list of its turns
+    "op13_prefix_trie": """
+        WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+             o AS (SELECT conv_id, list({'r': role, 't': text} ORDER BY turn NULLS FIRST, left(role, 64), left(text, 64), sha256(role || chr(0) || text)) AS own,
+                          xor(4294967295::UBIGINT, list_reduce(list_concat([4294967295::UBIGINT], [CAST(ascii(c) AS UBIGINT) for c in string_split(CAST(conv_id AS VARCHAR), '')]),
+                              lambda a, b: list_reduce(list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+                                                       lambda x, y: xor(x >> 1, 3988292384::UBIGINT * (x & 1))))) % 6 AS h
+                   FROM t GROUP BY conv_id),
+             b AS (SELECT o.conv_id, list_concat(coalesce(base.own[1:o.h], []), o.own[o.h + 1:]) AS turns
+                   FROM o LEFT JOIN o AS base ON base.conv_id = o.conv_id - o.conv_id % 100),
+             p AS (SELECT conv_id, len(turns) AS n, d, turns[1:d] AS prefix FROM b, unnest(range(0, len(turns) + 1)) AS u(d)),
+             node AS (SELECT prefix, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+                             sha256(coalesce(string_agg(CASE WHEN n = d THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256
+                      FROM p GROUP BY prefix, d),
+             kids AS (SELECT prefix[1:d - 1] AS prefix, count(*) AS n_children FROM node WHERE d > 0 GROUP BY 1),
+             one AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids USING (prefix)),
+             sums AS (SELECT one.prefix[1:k] AS prefix, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+                             sum(CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * length(one.prefix[d].t) END) AS saved_tokens
+                      FROM one, unnest(range(0, d + 1)) AS u(k) GROUP BY 1)
+        SELECT one.conv_id, one.d AS depth, up.conv_id AS parent_conv_id, one.n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+               CAST(saved_tokens AS BIGINT) AS saved_tokens, one.ends_sha256
+        FROM one JOIN sums USING (prefix) LEFT JOIN node AS up ON one.d > 0 AND up.prefix = one.prefix[1:one.d - 1]""",
 }
