@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txlake.llm import exact_dedup, langid, licenses, mixing, ngram_join, packing, prefix_trie, substrings, topk, toxicity, url_filter
+from txlake.llm import exact_dedup, langid, licenses, mixing, ngram_join, packing, prefix_trie, repetition, substrings, topk, toxicity, url_filter
 from txlake.llm.common import table
 
 
@@ -51,13 +51,17 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages")).drop("component")
 
 
+def op12_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.judge_quality(table(spark, sf_dir, "documents")).drop("longest_repeat", "spans")
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), texts=False)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_toxicity, op2_ngram_join, op3_language, op4_mixing, op5_substrings, op6_packing, op7_exact_dedup, op8_topk, op9_licenses, op10_urls,
-    op13_prefix_trie)}
+    op12_repetition, op13_prefix_trie)}
 
 ORACLES: dict[str, str] = {
     "op7_exact_dedup": r"""
@@ -74,6 +78,24 @@ ORACLES: dict[str, str] = {
                    FROM v a, v b WHERE a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id),
              r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+    # a text has a repeat of more than 50 words where a run of 51 stands twice
+    "op12_repetition": r"""
+        WITH t AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+             w AS (SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+                          list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM t),
+             p AS (SELECT rid, k, i, md5(array_to_string(ws[i:i + k - 1], ' ')) AS g
+                   FROM w, (VALUES (3), (5), (51)) AS s(k), unnest(range(1, len(ws) - k + 2)) AS u(i)),
+             r AS (SELECT *, count(*) OVER (PARTITION BY rid, k, g) AS c FROM p),
+             v AS (SELECT rid, k, count(DISTINCT i + j) AS n FROM r, unnest(range(0, k)) AS u(j) WHERE c > 1 GROUP BY rid, k),
+             m AS (SELECT doc_id, len(ws) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+                          len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
+                          coalesce(v5.n, 0) AS n_repeat_words, coalesce(v3.n, 0) AS united_words, v51.n IS NULL AS short
+                   FROM w LEFT JOIN v AS v3 ON v3.rid = w.rid AND v3.k = 3 LEFT JOIN v AS v5 ON v5.rid = w.rid AND v5.k = 5
+                   LEFT JOIN v AS v51 ON v51.rid = w.rid AND v51.k = 51)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, united_words,
+               n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+               NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 100 * united_words <= 60 * n_words AND short AS kept
+        FROM m""",
     # crc32 bit by bit; a node is the list of its turns
     "op13_prefix_trie": """
         WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
