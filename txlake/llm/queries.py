@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txlake.llm import exact_dedup, langid, licenses, mixing, ngram_join, packing, prefix_trie, repetition, substrings, topk, toxicity, url_filter
+from txlake.llm import exact_dedup, langid, licenses, mixing, ngram_join, packing, prefix_trie, repetition, substrings, topk, toxicity, url_filter, whitening
 from txlake.llm.common import table
 
 
@@ -51,6 +51,10 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages")).drop("component")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings"))
+
+
 def op12_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.judge_quality(table(spark, sf_dir, "documents")).drop("longest_repeat", "spans")
 
@@ -61,7 +65,7 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_toxicity, op2_ngram_join, op3_language, op4_mixing, op5_substrings, op6_packing, op7_exact_dedup, op8_topk, op9_licenses, op10_urls,
-    op12_repetition, op13_prefix_trie)}
+    op11_whitening, op12_repetition, op13_prefix_trie)}
 
 ORACLES: dict[str, str] = {
     "op7_exact_dedup": r"""
