@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import random
+import uuid
 
 from tests.fixtures import CUR, TX_SPACE, TX_T, dumps
 from txlake.operators import (
@@ -12,6 +13,7 @@ from txlake.operators import (
     normalize_messages,
     split_rejects,
 )
+from txlake.schemas import UUID_NAMESPACE
 
 
 def _records(spark, values):
@@ -23,15 +25,15 @@ def _msgs(spark, values):
 
 
 def test_t_and_space_give_same_time(spark):
-    m = _msgs(spark, [dumps(TX_T), dumps({**TX_T, "sent_dttm": "2022-10-01 00:01:31"})])
+    m = _msgs(spark, [dumps(TX_T), dumps({**TX_T, "sent_dttm": "2021-03-09 05:42:17"})])
     times = [r.sent_dttm for r in m.collect()]
-    assert times[0] == times[1] == dt.datetime(2022, 10, 1, 0, 1, 31)
+    assert times[0] == times[1] == dt.datetime(2021, 3, 9, 5, 42, 17)
 
 
 def test_key_order_does_not_matter(spark):
-    m = _msgs(spark, [dumps(TX_SPACE)]).first()
+    m = _msgs(spark, [dumps(dict(reversed(TX_SPACE.items())))]).first()
     assert m.object_type == "transaction"
-    assert m.sent_dttm == dt.datetime(2022, 10, 1, 7, 3, 50)
+    assert m.sent_dttm == dt.datetime(2021, 3, 9, 16, 25, 4)
     assert json.loads(m.payload) == TX_SPACE["payload"]
 
 
@@ -47,7 +49,7 @@ def test_rejects_keep_text(spark):
 
 def test_garbage_time_is_null_not_error(spark):
     m = _msgs(spark, [dumps({**TX_T, "sent_dttm": "garbage"}),
-                      dumps({**TX_T, "sent_dttm": "2022-10-01 00:01:50.123"})])
+                      dumps({**TX_T, "sent_dttm": "2021-03-09 05:42:58.321"})])
     assert [r.sent_dttm for r in m.collect()] == [None, None]
 
 
@@ -64,24 +66,24 @@ def test_wrong_typed_field_nulls_only_itself(spark):
     r = clean_transactions(m).first()
     assert r.amount is None
     assert r.account_number_from == 5001 and r.status == "queued"
-    assert r.transaction_dt == dt.datetime(2022, 10, 1, 0, 1, 31)
+    assert r.transaction_dt == dt.datetime(2021, 3, 9, 5, 42, 17)
 
 
 def test_currency_time_of_day_and_float_rate(spark):
-    p = {**CUR["payload"], "date_update": "2022-10-12 10:11:12"}
+    p = {**CUR["payload"], "date_update": "2021-03-14 10:11:12"}
     m = _msgs(spark, [dumps({**CUR, "payload": p})])
     ours = clean_currencies(m).first()
     parity = clean_currencies(m, date_only=True).first()
-    assert ours.date_update == dt.datetime(2022, 10, 12, 10, 11, 12)
-    assert parity.date_update == dt.datetime(2022, 10, 12, 0, 0, 0)
-    assert ours.currency_with_div == 1.0700000524520874
+    assert ours.date_update == dt.datetime(2021, 3, 14, 10, 11, 12)
+    assert parity.date_update == dt.datetime(2021, 3, 14, 0, 0, 0)
+    assert ours.currency_with_div == 2.359999895095825
     assert ours.object_id == CUR["object_id"]
     exact = clean_currencies(m, exact_rate=True)
     assert dict(exact.dtypes)["currency_with_div"] == "decimal(18,6)"
-    assert str(exact.first().currency_with_div) == "1.070000"
+    assert str(exact.first().currency_with_div) == "2.360000"
     both = clean_currencies(m, date_only=True, exact_rate=True).first()
-    assert both.date_update == dt.datetime(2022, 10, 12, 0, 0, 0)
-    assert str(both.currency_with_div) == "1.070000"
+    assert both.date_update == dt.datetime(2021, 3, 14, 0, 0, 0)
+    assert str(both.currency_with_div) == "2.360000"
 
 
 def test_payload_as_json_string(spark):
@@ -102,7 +104,7 @@ def test_round_trip_transactions(spark):
             rnd.choice(["queued", "done", "in_progress"]),
             rnd.choice(["sbp_incoming", "sbp_outgoing"]),
             rnd.randint(-10**6, 10**6),
-            dt.datetime(2022, 10, 1) + dt.timedelta(seconds=rnd.randint(0, 10**7)),
+            dt.datetime(2021, 3, 9) + dt.timedelta(seconds=rnd.randint(0, 10**7)),
         ))
     dump = spark.createDataFrame(rows, "operation_id string, account_number_from long, "
                                  "account_number_to long, currency_code int, country string, "
@@ -113,7 +115,7 @@ def test_round_trip_transactions(spark):
 
 
 def test_round_trip_currencies(spark):
-    rows = [(410, 470, dt.datetime(2022, 10, 12, 10, 11, 12), 1.07),
+    rows = [(31, 32, dt.datetime(2021, 3, 14, 10, 11, 12), 2.36),
             (1, 2, dt.datetime(2023, 1, 1), 0.5)]
     dump = spark.createDataFrame(rows, "currency_code int, currency_code_with int, "
                                  "date_update timestamp, currency_with_div double")
@@ -122,13 +124,14 @@ def test_round_trip_currencies(spark):
     got = sorted((r.currency_code, r.currency_code_with, r.date_update, r.currency_with_div)
                  for r in back.collect())
     assert got[0][:3] == (1, 2, dt.datetime(2023, 1, 1))
-    assert got[1][3] == 1.0700000524520874
+    assert got[1][3] == 2.359999895095825
     ids = {r.object_id for r in back.collect()}
-    assert "0e803eaa-c494-5254-84ba-81a40ea5f0c5" not in ids  # 10:11:12, not midnight
-    mid = spark.createDataFrame([(410, 470, dt.datetime(2022, 10, 12), 1.07)], dump.schema)
+    midnight = str(uuid.uuid5(uuid.UUID(UUID_NAMESPACE), "31322021-03-14 00:00:00"))
+    assert midnight not in ids  # 10:11:12, not midnight
+    mid = spark.createDataFrame([(31, 32, dt.datetime(2021, 3, 14), 2.36)], dump.schema)
     mid_id = clean_currencies(normalize_messages(decode_envelopes(encode_currencies(mid)))) \
         .first().object_id
-    assert mid_id == "0e803eaa-c494-5254-84ba-81a40ea5f0c5"
+    assert mid_id == midnight
 
 
 def test_binary_kafka_value_decodes_like_text(spark):

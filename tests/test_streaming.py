@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.utils import StreamingQueryException
 
-from tests.fixtures import TX_T
+from tests.fixtures import TX_T, failing_once
 from txlake.operators import late_arrivals
 from txlake.schemas import CLEAN_TRANSACTIONS, RAW_TABLE
 from txlake.sources import read_partitioned, record_stream
@@ -26,7 +26,7 @@ from txlake.streaming import (
 
 def _msg(oid, hhmmss, otype="TRANSACTION"):
     return json.dumps({"object_id": oid, "object_type": otype,
-                       "sent_dttm": f"2022-10-01T{hhmmss}", "payload": {"k": 1}})
+                       "sent_dttm": f"2021-03-09T{hhmmss}", "payload": {"k": 1}})
 
 
 def _write_files(folder, batches):
@@ -124,10 +124,10 @@ def test_watermark_bound_is_inclusive_in_millis(spark, tmp_root):
     folder = f"{tmp_root}/feed"
     os.makedirs(folder)
     files = [
-        [("m", "2022-10-01 12:00:00")],
-        [("filler", "2022-10-01 11:00:00")],
-        [("p1", "2022-10-01 11:58:59.999"), ("p2", "2022-10-01 11:59:00"),
-         ("p3", "2022-10-01 11:59:00.000500"), ("p4", "2022-10-01 11:59:00.001")],
+        [("m", "2021-03-09 12:00:00")],
+        [("filler", "2021-03-09 11:00:00")],
+        [("p1", "2021-03-09 11:58:59.999"), ("p2", "2021-03-09 11:59:00"),
+         ("p3", "2021-03-09 11:59:00.000500"), ("p4", "2021-03-09 11:59:00.001")],
     ]
     t0 = time.time() - 1000
     for i, rows in enumerate(files):
@@ -162,7 +162,7 @@ def test_fanout_idempotent_across_crash_and_restart(spark, tmp_root):
     ckpt = f"{tmp_root}/ck"
     with pytest.raises((StreamingQueryException, RuntimeError, Exception)):
         run_collector(record_stream(spark, feed, fmt="text"),
-                      FanOutSink(paths, fail_after_write_once=True), ckpt)
+                      failing_once(FanOutSink(paths)), ckpt)
     run_collector(record_stream(spark, feed, fmt="text"), FanOutSink(paths), ckpt)
     raw = read_partitioned(spark, paths.raw, RAW_TABLE)
     assert raw.count() == 11  # 10 transactions + 1 unrouted, once each
@@ -211,7 +211,7 @@ def test_publish_then_collect_round_trip(spark, tmp_root):
     from txlake.operators import encode_transactions
     from txlake.streaming import publish_envelopes
     rows = [(f"op{i}", i, i + 1, 11, "sylvania", "queued", "sbp", 100 * i,
-             dt.datetime(2022, 10, 1, 0, 0, i)) for i in range(12)]
+             dt.datetime(2021, 3, 9, 0, 0, i)) for i in range(12)]
     dump = spark.createDataFrame(rows, "operation_id string, account_number_from long, "
                                  "account_number_to long, currency_code int, country string, "
                                  "status string, transaction_type string, amount long, "
@@ -296,7 +296,7 @@ def test_distinct_malformed_messages_stay_distinct(spark, tmp_root):
 def test_null_type_reaches_raw_and_key_has_three_columns(spark, tmp_root):
     rows = [json.dumps({**TX_T, "object_type": None}),
             json.dumps(TX_T),
-            json.dumps({**TX_T, "sent_dttm": "2022-10-01T00:01:32"}),  # new key
+            json.dumps({**TX_T, "sent_dttm": "2021-03-09T05:42:18"}),  # new key
             json.dumps(TX_T)]                                          # copy
     _write_files(f"{tmp_root}/feed", [rows])
     paths = TablePaths.under(f"{tmp_root}/t")
@@ -304,8 +304,8 @@ def test_null_type_reaches_raw_and_key_has_three_columns(spark, tmp_root):
                   f"{tmp_root}/ck")
     raw = read_partitioned(spark, paths.raw, RAW_TABLE)
     got = sorted((r.object_type or "", str(r.sent_dttm)) for r in raw.collect())
-    assert got == [("", "2022-10-01 00:01:31"), ("transaction", "2022-10-01 00:01:31"),
-                   ("transaction", "2022-10-01 00:01:32")]
+    assert got == [("", "2021-03-09 05:42:17"), ("transaction", "2021-03-09 05:42:17"),
+                   ("transaction", "2021-03-09 05:42:18")]
     assert read_partitioned(spark, paths.transactions, CLEAN_TRANSACTIONS).count() == 2
 
 
@@ -330,7 +330,7 @@ def test_sink_preview_prints_schema_plan_and_rows(spark, tmp_root, capsys):
                   FanOutSink(paths, preview_rows=100), f"{tmp_root}/ck")
     out = capsys.readouterr().out
     assert "|-- object_id" in out and "Physical Plan" in out
-    assert "2022-10-01 10:30:00" in out  # a shown row (message b)
+    assert "2021-03-09 10:30:00" in out  # a shown row (message b)
 
 
 def test_finalized_dedup_emits_each_message_once_after_the_watermark(spark, tmp_root):
@@ -355,7 +355,7 @@ def test_sink_writes_exact_rates(spark, tmp_root):
                   FanOutSink(paths, exact_rates=True), f"{tmp_root}/ck")
     cur = spark.read.parquet(paths.currencies)
     assert dict(cur.dtypes)["currency_with_div"] == "decimal(18,6)"
-    assert str(cur.first().currency_with_div) == "1.070000"
+    assert str(cur.first().currency_with_div) == "2.360000"
 
 
 def test_finalized_dedup_combines_before_its_shuffle(spark, tmp_root, capsys):

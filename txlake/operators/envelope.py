@@ -76,6 +76,15 @@ def encode_currencies(dump: DataFrame, namespace: str = UUID_NAMESPACE,
     )
 
 
+def restamp(dump: DataFrame, column: str, at: Column | str | None = None) -> DataFrame:
+    """``dump`` with its event time set to the replay's: ``at`` (a time or its
+    text), or now, once for the whole job, as a live replay stamps it. The
+    encoders send it as both the message's and the payload's time."""
+    if isinstance(at, str):
+        at = F.lit(at).cast("timestamp")
+    return dump.withColumn(column, (F.current_timestamp() if at is None else at).cast("timestamp"))
+
+
 def decode_envelopes(records: DataFrame, value_col: str = "value",
                      keep: tuple[str, ...] = ()) -> DataFrame:
     """Record values -> envelope columns, plus ``raw_value`` and the parser's
@@ -104,15 +113,21 @@ def reject_reason(raw: Column | None = None, corrupt: Column | None = None,
             .when(object_id.isNull(), F.lit("missing_object_id")))
 
 
-def normalize_messages(decoded: DataFrame, keep_rejects: bool = True) -> DataFrame:
+def normalize_messages(decoded: DataFrame, keep_rejects: bool = True,
+                       not_after: Column | None = None) -> DataFrame:
     """Decoded envelopes -> messages ``object_id, object_type (lower),
     sent_dttm (timestamp), payload`` (+ ``reject_reason, raw_value``).
 
     With ``keep_rejects`` the raw text of a rejected record is carried (null
     for good records), so distinct bad messages stay distinct through a
-    dedup instead of collapsing into one all-null key.
+    dedup instead of collapsing into one all-null key. A message dated after
+    ``not_after`` is set aside as ``future_time``: its event time cannot be
+    believed, and would move a watermark past everything that follows.
     """
     reason = reject_reason()
+    if not_after is not None:
+        reason = F.coalesce(reason, F.when(
+            parse_event_time(F.col("sent_dttm")) > not_after, F.lit("future_time")))
     cols = [
         F.col("object_id"),
         F.lower(F.col("object_type")).alias("object_type"),

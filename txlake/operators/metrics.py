@@ -1,8 +1,8 @@
-"""Frame metrics: shape, distinct values, observed counts."""
+"""Frame metrics: shape and distinct values."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,10 +17,3 @@ def shape(df: DataFrame, label: str | None = None) -> DataFrame:
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
     """Distinct values of one column (a two-phase hash aggregate)."""
     return df.select(col).distinct()
-
-
-def observed_count(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Attach a row counter that is filled by the next action over ``df``
-    (no extra pass over the data)."""
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs

@@ -71,6 +71,21 @@ wm AS (
            - INTERVAL 1 HOUR AS watermark
   FROM bm)"""
 
+#: One run, an arrival per micro-batch: rows are late for the watermark of the
+#: batch before, which has seen the arrivals before that; state is evicted by
+#: the batch's own.
+ONE_RUN = f"""{ARRIVALS},
+wm2 AS (
+  SELECT arrival,
+         max(bmax) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING)
+           - INTERVAL 1 HOUR AS late_mark,
+         max(bmax) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+           - INTERVAL 1 HOUR AS evict_mark
+  FROM bm),
+seen AS (
+  SELECT m.*, coalesce(sent_dttm <= late_mark, false) AS is_late
+  FROM m JOIN wm2 USING (arrival))"""
+
 CLEAN_TX = f"""WITH {EV}
 SELECT CAST(event_id AS VARCHAR) AS operation_id,
        user_id AS account_number_from,
@@ -193,9 +208,7 @@ FROM ev WHERE event_type = 'view'""",
     "dedup_exact": DEDUP,
     "raw_layer": DEDUP,
     # emitted once the watermark (max event time - 1 hour, inclusive) passed
-    "dedup_finalized": f"""WITH {EV}, {RETRY}, m AS ({msg('feed')})
-SELECT DISTINCT object_id, object_type, sent_dttm, payload FROM m
-WHERE sent_dttm <= (SELECT max(sent_dttm) FROM m) - INTERVAL 1 HOUR""",
+    "dedup_finalized": DEDUP,
     "stream_ingest": CLEAN_TX,
     "stream_fanout": f"""WITH {EV}, {RETRY},
 d AS (SELECT DISTINCT object_id, object_type, sent_dttm, payload
@@ -267,4 +280,58 @@ SELECT 'all' AS frame, count(*) AS rows, CAST(6 AS INTEGER) AS columns FROM tx
 UNION ALL
 SELECT 'filtered', count(*), CAST(6 AS INTEGER) FROM tx
 WHERE NOT coalesce(account_number_from IN (-1, 42, 77), false)""",
+    "late_table": f"""WITH {EV}, {ONE_RUN}
+SELECT mode, CAST(arrival AS BIGINT) AS batch_id, object_id, object_type, sent_dttm
+FROM seen, (VALUES ('watermark_first'), ('within_watermark'), ('finalized')) v(mode) WHERE is_late""",
+    "guarded_clock": f"""WITH {EV}, {ONE_RUN}
+SELECT DISTINCT 'raw' AS table_name, object_id, sent_dttm FROM seen WHERE NOT is_late
+UNION ALL SELECT 'late', object_id, sent_dttm FROM seen WHERE is_late
+UNION ALL SELECT 'future_time', 'wild', TIMESTAMP '9999-12-31 00:00:00'""",
+    "dedup_bounded": DEDUP,
+    "reject_feed": f"""WITH {EV}, {RETRY},
+r AS (
+  SELECT event_type, {OBJECT_TYPE} AS object_type, event_id FROM feed)
+SELECT CASE event_type WHEN 'click' THEN 'malformed' WHEN 'signup' THEN 'null_value' ELSE 'missing_object_id' END AS reject_reason,
+       CASE event_type WHEN 'click' THEN left('{{"object_id":"' || CAST(event_id AS VARCHAR) || '","object_type":"CLICK","sent_dttm":', 30)
+         WHEN 'error' THEN '{{}}' END AS raw_value
+FROM r WHERE event_type IN ('click', 'signup', 'error')""",
+    "observed_metrics": f"""WITH {EV}, {ARRIVALS},
+o AS (SELECT object_id, object_type, sent_dttm, min(arrival) AS arrival FROM m GROUP BY ALL)
+SELECT arrival, count(*) AS rows_in, (SELECT count(*) FROM o WHERE o.arrival = m.arrival) AS rows_out, 0::BIGINT AS rejected
+FROM m GROUP BY arrival""",
+    "state_audit": f"""WITH {EV}, {ONE_RUN}
+SELECT CAST(wm2.arrival AS BIGINT) AS batch_id,
+       (SELECT count(*) FROM (SELECT DISTINCT object_id, object_type, sent_dttm FROM seen
+        WHERE NOT is_late AND seen.arrival <= wm2.arrival AND (wm2.evict_mark IS NULL OR sent_dttm > wm2.evict_mark))) AS state_rows
+FROM wm2""",
+    "compacted_layer": """SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS rows, count(DISTINCT event_id % 3) AS folders_before,
+       CAST(1 AS BIGINT) AS folders_after, CAST(ceil(count(*) / 100.0) AS BIGINT) AS files_after
+FROM events GROUP BY 1""",
+    "manifest_read": """SELECT event_id, ts, event_type, user_id, value,
+       CAST(ceil(count(*) OVER () / 100.0) AS BIGINT) AS files_listed
+FROM events WHERE strftime(ts, '%Y-%m-%d') = '2024-01-15'""",
+    "publish_once": f"""SELECT value, count(*) OVER () AS sent, count(*) OVER () AS sent_again
+FROM ({TX_ENV.replace("@DT@", f"strftime(o_orderdate, {TS})")})""",
+    "log_tail": f"""WITH {EV}, {ARRIVALS},
+l AS (SELECT CAST(event_id % 3 AS INTEGER) AS partition, event_id, event_type, ts AS timestamp,
+             row_number() OVER (PARTITION BY event_id % 3 ORDER BY arrival, ts, event_id) - 1 AS "offset" FROM deliv),
+f AS (SELECT partition, min("offset") AS first FROM l WHERE timestamp >= TIMESTAMP '2024-01-20 12:00:00' GROUP BY partition)
+SELECT 'offset' AS start, partition, "offset", event_id, event_type, timestamp FROM l WHERE "offset" >= 100
+UNION ALL
+SELECT 'time', l.partition, "offset", event_id, event_type, timestamp FROM l JOIN f USING (partition) WHERE "offset" >= first""",
+    # a frame has no order: the view's scan keeps the file's
+    "lookalike_in_order": f"""WITH o AS (SELECT *, row_number() OVER () AS place FROM orders),
+t AS (SELECT place, o_orderkey AS operation_id,
+        CASE WHEN o_orderpriority = '1-URGENT' THEN -1 ELSE o_custkey % 50 END AS account_number_from,
+        CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey % 3 END AS account_number_to,
+        CAST(o_custkey % 2 + 840 AS INTEGER) AS currency_code,
+        CASE WHEN o_custkey % 2 = 0 THEN 'usa' ELSE 'turkey' END AS country,
+        CASE o_orderstatus WHEN 'O' THEN 'queued' WHEN 'P' THEN 'in_progress' WHEN 'F' THEN 'done' END AS status,
+        o_orderpriority AS transaction_type, CAST(floor(o_totalprice / 200000) AS BIGINT) AS amount,
+        o_orderdate AS transaction_dt FROM o)
+SELECT * EXCLUDE (place), {RANK} AS status_rank,
+       CASE WHEN account_number_from IS NOT NULL AND account_number_to IS NOT NULL THEN
+         CAST(row_number() OVER (PARTITION BY account_number_from, account_number_to, currency_code, country, transaction_type, amount
+                                 ORDER BY place) - 1 AS BIGINT) END AS row_number
+FROM t""",
 }

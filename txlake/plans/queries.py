@@ -22,9 +22,9 @@ from txlake.operators.envelope import (
     encode_currencies,
     encode_transactions,
     normalize_messages,
+    restamp,
 )
 from txlake.operators.explore import (
-    deep_groups,
     deep_keys,
     exclude_sentinel,
     exclude_values,
@@ -46,14 +46,19 @@ from txlake.schemas import (
     CLEAN_TRANSACTIONS,
     CURRENCY,
     DEDUP_KEYS,
+    LOOKALIKE_KEYS,
     RAW_TABLE,
     TRANSACTION,
 )
 from txlake.session import apply_batch_conf, scratch_path, stream_session
-from txlake.sources.files import read_parquet, read_partitioned, read_table
+from txlake.sources.files import read_in_order, read_parquet, read_partitioned, read_table
+from txlake.sources.log import FileLog
+from txlake.sources.manifest import commit, compact, live_files, read_manifest
 from txlake.sources.stream import record_stream
 from txlake.streaming.collector import run_collector
-from txlake.streaming.sinks import FanOutSink, TablePaths
+from txlake.streaming.metrics import batch_metrics_table
+from txlake.streaming.sinks import FanOutSink, TablePaths, publish_envelopes, write_partitioned
+from txlake.streaming.state import state_sizes, unfinalized
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -113,7 +118,7 @@ def scan_parquet(spark, sf):
 
 def partition_pruned_read(spark, sf):
     """Lay ``events`` out by (date, hour) and read one date back; only that
-    date's folders are listed (``PartitionFilters``)."""
+    date's folders are read (``PartitionFilters``)."""
     ev = _t(spark, sf, "events")
     path = scratch_path(spark, "events_by_hour")
     laid = ev.withColumns({"date": F.date_format("ts", "yyyy-MM-dd"),
@@ -151,10 +156,9 @@ def envelope_union(spark, sf):
 
 def replay_restamp(spark, sf):
     """Replay the transactions dump with event time re-stamped to the replay
-    time (a parameter; ``format_event_time(current_timestamp())`` live)."""
-    dump = S.transactions_dump(_t(spark, sf, "orders", cpu_heavy=True)).withColumn(
-        "transaction_dt", F.lit(REPLAY_TIME))
-    return encode_transactions(dump)
+    time (a parameter; a live replay takes the clock's)."""
+    dump = S.transactions_dump(_t(spark, sf, "orders", cpu_heavy=True))
+    return encode_transactions(restamp(dump, "transaction_dt", REPLAY_TIME))
 
 
 def uuid5_id(spark, sf):
@@ -317,17 +321,218 @@ def dedup_watermark(spark, sf):
 def dedup_finalized(spark, sf):
     """The feed (events + retries) in one trigger through the finalized
     dedup (a streaming aggregate, delay 1 hour); returns the raw layer: each
-    message once, emitted when the watermark passed it. The newest hour of
-    event time is still in state when the run ends."""
+    message once, emitted when the watermark passed it. The feed ends there, so
+    the newest hour, still in state, is read from the checkpoint."""
     root = scratch_path(spark, "dedup_finalized")
     _feed_with_retries(_t(spark, sf, "events", cpu_heavy=True)).write.parquet(f"{root}/feed")
     paths = TablePaths.under(f"{root}/tables")
     run_collector(record_stream(stream_session(spark), f"{root}/feed"), FanOutSink(paths),
                   f"{root}/checkpoint", watermark_delay=WATERMARK_DELAY,
                   dedup_mode="finalized")
+    left = unfinalized(spark, f"{root}/checkpoint")
+    return _raw_back(spark, paths).unionByName(
+        left.select("object_id", "object_type", ntz("sent_dttm"), "payload"))
+
+
+WATERMARK_MODES = ("watermark_first", "within_watermark", "finalized")
+FAR_FUTURE = "9999-12-31 00:00:00"
+FEED_FILES = 2                        # files of one arrival: one trigger's
+
+
+def _arrival_feed(spark, sf, root: str, first: DataFrame | None = None) -> str:
+    """The arrivals as a feed of ``FEED_FILES`` files each, oldest arrival
+    first, so that a stream admitting as many files per trigger takes one
+    arrival per micro-batch. ``first`` are records for the first arrival."""
+    arr = S.events_envelopes(S.event_arrivals(_t(spark, sf, "events", cpu_heavy=True)), keep=("arrival",))
+    arr.write.partitionBy("arrival").parquet(f"{root}/staged")
+    for b in range(S.N_ARRIVALS):
+        part = spark.read.parquet(f"{root}/staged").where(F.col("arrival") == b).select("value")
+        if first is not None and b == 0:
+            part = part.unionByName(first)
+        part.repartition(FEED_FILES).write.mode("append").parquet(f"{root}/feed")
+    return f"{root}/feed"
+
+
+def late_table(spark, sf):
+    """The rows a watermark drops as late, kept in the late table, in each mode
+    that has a watermark; one run, an arrival per micro-batch."""
+    root = scratch_path(spark, "late_table")
+    feed, ss, out = _arrival_feed(spark, sf, root), stream_session(spark), None
+    for mode in WATERMARK_MODES:
+        paths = TablePaths.under(f"{root}/{mode}")
+        run_collector(record_stream(ss, feed, max_files_per_trigger=FEED_FILES), FanOutSink(paths),
+                      f"{root}/checkpoints/{mode}", watermark_delay=WATERMARK_DELAY, dedup_mode=mode)
+        one = spark.read.parquet(paths.late).select(
+            F.lit(mode).alias("mode"), "batch_id", "object_id", "object_type", ntz("sent_dttm"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def guarded_clock(spark, sf):
+    """A message dated 9999 among the first arrival: it is set aside, the
+    watermark stays with the others, and every other message is in the raw
+    layer or the late table."""
+    root = scratch_path(spark, "guarded_clock")
+    wild = spark.range(1).select(S.envelope_json(F.lit("wild"), F.lit("TRANSACTION"), F.lit(FAR_FUTURE),
+                                                 F.struct(F.lit(1).alias("k"))).alias("value"))
+    feed = _arrival_feed(spark, sf, root, wild)
+    paths = TablePaths.under(f"{root}/tables")
+    run_collector(record_stream(stream_session(spark), feed, max_files_per_trigger=FEED_FILES), FanOutSink(paths),
+                  f"{root}/checkpoint", watermark_delay=WATERMARK_DELAY)
+    cols = ("object_id", ntz("sent_dttm"))
+    aside = spark.read.parquet(paths.rejects)
+    return (_raw_back(spark, paths).select(F.lit("raw").alias("table_name"), *cols)
+            .unionByName(spark.read.parquet(paths.late).select(F.lit("late").alias("table_name"), *cols))
+            .unionByName(aside.select(F.col("reject_reason").alias("table_name"),
+                                      F.get_json_object("raw_value", "$.object_id").alias("object_id"),
+                                      ntz(parse_event_time(F.get_json_object("raw_value", "$.sent_dttm")), "sent_dttm"))))
+
+
+def dedup_bounded(spark, sf):
+    """The feed (events + retries) in several triggers through the exact dedup
+    over bounded state: keys leave the state at once, older ones are found in
+    the key table. Returns the raw layer."""
+    root = scratch_path(spark, "dedup_bounded")
+    (_feed_with_retries(_t(spark, sf, "events", cpu_heavy=True)).repartition(FILES_PER_TRIGGER)
+     .write.parquet(f"{root}/feed"))
+    paths = TablePaths.under(f"{root}/tables")
+    run_collector(record_stream(stream_session(spark), f"{root}/feed", max_files_per_trigger=1),
+                  FanOutSink(paths, key_hours=24), f"{root}/checkpoint",
+                  watermark_delay="0 seconds", dedup_mode="bounded")
     return _raw_back(spark, paths)
 
 
+def reject_feed(spark, sf):
+    """Every event delivered twice, clicks cut short, signups without a value,
+    errors without an id: the rejects table keeps each of them with its text."""
+    root = scratch_path(spark, "reject_feed")
+    ev = S.with_retries(_t(spark, sf, "events", cpu_heavy=True))
+    good = S.events_envelopes(ev, keep=("event_type",))
+    et = F.col("event_type")
+    value = (F.when(et == "click", F.left("value", F.lit(30))).when(et == "signup", F.lit(None).cast("string"))
+             .when(et == "error", F.lit("{}")).otherwise(F.col("value")))
+    good.select(value.alias("value")).write.parquet(f"{root}/feed")
+    paths = TablePaths.under(f"{root}/tables")
+    run_collector(record_stream(stream_session(spark), f"{root}/feed"), FanOutSink(paths),
+                  f"{root}/checkpoint", watermark_delay=WATERMARK_DELAY)
+    return spark.read.parquet(paths.rejects).select("reject_reason", "raw_value")
+
+
+def observed_metrics(spark, sf):
+    """Per arrival, what the collector observed while it ran: records in
+    (before the dedup) and out of it. No table is read for it."""
+    root = scratch_path(spark, "observed_metrics")
+    feed = _arrival_feed(spark, sf, root)
+    q = run_collector(record_stream(stream_session(spark), feed, max_files_per_trigger=FEED_FILES),
+                      FanOutSink(TablePaths.under(f"{root}/tables")), f"{root}/checkpoint")
+    return batch_metrics_table(spark, q).select(
+        F.col("batch_id").cast("int").alias("arrival"), "rows_in", "rows_out", "rejected")
+
+
+def state_audit(spark, sf):
+    """How many keys the watermarked dedup held after each arrival, read from
+    its checkpoint."""
+    root = scratch_path(spark, "state_audit")
+    feed = _arrival_feed(spark, sf, root)
+    run_collector(record_stream(stream_session(spark), feed, max_files_per_trigger=FEED_FILES),
+                  FanOutSink(TablePaths.under(f"{root}/tables")), f"{root}/checkpoint",
+                  watermark_delay=WATERMARK_DELAY)
+    return state_sizes(spark, f"{root}/checkpoint", range(S.N_ARRIVALS))
+
+
+# --- file counts, manifest, log -------------------------------------------------
+
+SMALL_PARTS = ("date", "arrival")     # a folder per day and arrival batch
+ROWS_PER_FILE = 100
+
+
+def _small_files_table(spark, sf) -> tuple[str, T.StructType]:
+    """Events by (date, arrival), each arrival written on its own, in many
+    small files, and entered in the table's manifest."""
+    ev = _t(spark, sf, "events")
+    path = scratch_path(spark, "small_files")
+    laid = ev.withColumns({"date": F.date_format("ts", "yyyy-MM-dd"), "arrival": F.pmod(F.col("event_id"), F.lit(3)).cast("int")})
+    for b in range(3):
+        part = laid.where(F.col("arrival") == b).repartition(4)
+        write_partitioned(part, path, SMALL_PARTS)
+        commit(spark, path, f"arrival-{b}", part.select(*SMALL_PARTS).distinct().collect())
+    return path, laid.schema
+
+
+def compacted_layer(spark, sf):
+    """Files per day before and after a compaction, by the manifest: small ones
+    of three folders become evenly sized ones of a single folder."""
+    path, schema = _small_files_table(spark, sf)
+
+    def files(name: str) -> DataFrame:
+        rows = (live_files(spark, path, schema, SMALL_PARTS).groupBy("date")
+                .agg(F.countDistinct("arrival").alias(f"folders_{name}"), F.count(F.lit(1)).alias(f"files_{name}")).collect())
+        return spark.createDataFrame(rows, f"date string, folders_{name} long, files_{name} long")
+    before = files("before").drop("files_before")
+    compact(spark, path, schema, SMALL_PARTS, {"arrival": F.lit(-1)}, ROWS_PER_FILE)
+    rows = read_manifest(spark, path, schema, SMALL_PARTS).groupBy("date").agg(F.count(F.lit(1)).alias("rows"))
+    return rows.join(before, "date").join(files("after"), "date")
+
+
+def manifest_read(spark, sf):
+    """One day of the compacted table: the files the manifest names for it are
+    opened, no folder is listed."""
+    path, schema = _small_files_table(spark, sf)
+    compact(spark, path, schema, SMALL_PARTS, {"arrival": F.lit(-1)}, ROWS_PER_FILE)
+    day = read_manifest(spark, path, schema, SMALL_PARTS, F.col("date") == PRUNE_DATE)
+    return day.select("event_id", ntz("ts"), "event_type", "user_id", "value",
+                      F.lit(len(day.inputFiles())).cast("long").alias("files_listed"))
+
+
+def publish_once(spark, sf):
+    """The transactions published twice as one run: the second adds nothing.
+    Returns what a reader of the folder finds, with the count either reported."""
+    path = scratch_path(spark, "published")
+    env = encode_transactions(S.transactions_dump(_t(spark, sf, "orders", cpu_heavy=True)))
+    sent = [publish_envelopes(env, path, run_id="day-1") for _ in range(2)]
+    return spark.read.text(path).select("value", F.lit(sent[0]).cast("long").alias("sent"),
+                                        F.lit(sent[1]).cast("long").alias("sent_again"))
+
+
+LOG_PARTITIONS = 3
+LOG_OFFSET = 100
+LOG_TIME = "2024-01-20 12:00:00"
+
+
+def _event_log(spark, sf) -> FileLog:
+    """Events appended to a log of three partitions, an arrival at a time; the
+    second append is tried twice."""
+    ev = S.event_arrivals(_t(spark, sf, "events")).withColumn("timestamp", F.col("ts").cast("timestamp"))
+    log = FileLog(spark, scratch_path(spark, "event_log"))
+    for b in [0, 1, 1, *range(2, S.N_ARRIVALS)]:
+        log.append(ev.where(F.col("arrival") == b).select("event_id", "event_type", "timestamp"),
+                   f"{b:03d}", F.pmod(F.col("event_id"), F.lit(LOG_PARTITIONS)), ["timestamp", "event_id"])
+    return log
+
+
+def log_tail(spark, sf):
+    """The log read from an offset on every partition, and from a time."""
+    log = _event_log(spark, sf)
+    ms = int(spark.sql(f"SELECT unix_millis(TIMESTAMP '{LOG_TIME} UTC') AS ms").first().ms)
+    out = None
+    for name, start in (("offset", LOG_OFFSET), ("time", f"s@{ms}")):
+        one = log.tail(start).select(F.lit(name).alias("start"), "partition", "offset", "event_id", "event_type", ntz("timestamp"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+# --- numbering in input order ---------------------------------------------------
+
+def lookalike_in_order(spark, sf):
+    """Whole rows numbered among their look-alikes (six keys), in the order in
+    which the file holds them; no number where a key is null."""
+    apply_batch_conf(spark)
+    tx = S.lookalike_transactions(read_in_order(spark, f"{sf}/orders.parquet"))
+    seq = sequence_number(tx, LOOKALIKE_KEYS, ("_file", "_row"))
+    ranked = seq.withColumn("status_rank", status_rank(F.col("status")))
+    return ranked.select("operation_id", *LOOKALIKE_KEYS, "status", "status_rank", ntz("transaction_dt"), "row_number")
+
+
 # --- analysis frame -------------------------------------------------------------
 
 def filter_sentinel(spark, sf):
@@ -357,7 +562,8 @@ def sequence_number_q(spark, sf):
 
 
 def deep_groups_q(spark, sf):
-    return deep_groups(_seq(spark, sf), "account_number_from", DEEP)
+    # group sizes tell it: nothing is numbered
+    return deep_keys(_tx(spark, sf), SEQ_KEYS, "account_number_from", DEEP)
 
 
 def _ranked_top(df: DataFrame, k: int) -> DataFrame:
@@ -381,12 +587,12 @@ def semi_filter_topk(spark, sf):
 
 def double_semi_topk(spark, sf):
     tx = _tx(spark, sf)
-    seq = sequence_number(tx, SEQ_KEYS, SEQ_ORDER)
+    # numbered and written once, read for the rows and for the date members
+    path = scratch_path(spark, "numbered")
+    numbered = sequence_number(tx, SEQ_KEYS, SEQ_ORDER)
+    numbered.write.parquet(path)
+    seq = spark.read.schema(numbered.schema).parquet(path)
     deep_rows = seq.where(F.col("row_number") > DEEP)
-    # the sentinel leaves through the account member set rather than as a row
-    # filter (the semi-join drops null accounts either way): a row filter on
-    # a group key would be pushed into the numbering of the kept rows only,
-    # and the two uses of the numbering would no longer share its shuffles
     accounts = exclude_sentinel(deep_keys(tx, SEQ_KEYS, "account_number_from", DEEP),
                                 "account_number_from", -1)
     kept = semi_filter(seq, accounts, "account_number_from")
@@ -464,4 +670,15 @@ QUERIES: dict[str, Query] = {
     "status_rank": status_rank_q,
     "uuid5_id": uuid5_id,
     "replay_restamp": replay_restamp,
+    "late_table": late_table,
+    "guarded_clock": guarded_clock,
+    "dedup_bounded": dedup_bounded,
+    "reject_feed": reject_feed,
+    "observed_metrics": observed_metrics,
+    "state_audit": state_audit,
+    "compacted_layer": compacted_layer,
+    "manifest_read": manifest_read,
+    "publish_once": publish_once,
+    "log_tail": log_tail,
+    "lookalike_in_order": lookalike_in_order,
 }

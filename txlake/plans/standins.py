@@ -65,18 +65,10 @@ def events_envelopes(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
     return events.select(*keep, value.alias("value"))
 
 
-def retry_feed(events: DataFrame) -> DataFrame:
-    """An at-least-once producer's second delivery of every event; events of
-    ``RESTAMP_EVENT_TYPE`` are re-sent with an event time one second later
-    (a new message under the 3-column key)."""
-    shifted = F.when(F.col("event_type") == RESTAMP_EVENT_TYPE,
-                     F.col("ts") + F.expr("INTERVAL 1 SECOND")).otherwise(F.col("ts"))
-    return events.withColumn("ts", shifted)
-
-
 def with_retries(events: DataFrame) -> DataFrame:
-    """Every event delivered twice -- the original and ``retry_feed``'s copy
-    -- from a single scan (``explode`` of the two deliveries)."""
+    """Every event delivered twice, as an at-least-once producer does, from a
+    single scan (``explode`` of the two deliveries). The second copy of a
+    ``RESTAMP_EVENT_TYPE`` event is one second later: a new message."""
     d = F.explode(F.array(F.lit(0), F.lit(1))).alias("_delivery")
     two = events.select("*", d)
     shifted = F.when((F.col("_delivery") == 1)
@@ -134,6 +126,25 @@ def orders_as_transactions(orders: DataFrame) -> DataFrame:
     )
 
 
+def lookalike_transactions(orders: DataFrame) -> DataFrame:
+    """``orders`` as transactions with all six look-alike keys, few values each
+    so that groups are deep; columns other than the orders' own are kept."""
+    own = [c for c in orders.columns if not c.startswith("o_")]
+    key = F.col("o_custkey")
+    status = (F.when(F.col("o_orderstatus") == "O", "queued").when(F.col("o_orderstatus") == "P", "in_progress")
+              .when(F.col("o_orderstatus") == "F", "done"))
+    prio = F.col("o_orderpriority")
+    return orders.select(
+        F.col("o_orderkey").alias("operation_id"),
+        F.when(prio == "1-URGENT", F.lit(-1).cast("long")).otherwise(key % 50).alias("account_number_from"),
+        F.when(prio != "5-LOW", key % 3).alias("account_number_to"),
+        (key % 2 + 840).cast("int").alias("currency_code"),
+        F.when(key % 2 == 0, "usa").otherwise("turkey").alias("country"),
+        status.alias("status"), prio.alias("transaction_type"),
+        F.floor(F.col("o_totalprice") / 200_000).cast("long").alias("amount"),
+        F.col("o_orderdate").alias("transaction_dt"), *own)
+
+
 def transactions_dump(orders: DataFrame) -> DataFrame:
     """``orders`` as the producer's transactions dump (9 payload columns;
     counterpart-less fields are null)."""

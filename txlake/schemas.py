@@ -31,10 +31,6 @@ CURRENCY_TAG = "CURRENCY"
 TRANSACTION = "transaction"
 CURRENCY = "currency"
 
-#: Sentinel "no source account", and accounts the analysis treats as outliers.
-SENTINEL_ACCOUNT = -1
-OUTLIER_ACCOUNTS = (-1, 903810, 914810)
-
 #: Columns a message is deduplicated on.
 DEDUP_KEYS = ("object_id", "object_type", "sent_dttm")
 
@@ -55,7 +51,8 @@ EVENT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DEFAULT_MAX_OFFSETS_PER_TRIGGER = 10_000
 DEFAULT_MIN_PARTITIONS = 8
 DEFAULT_TRIGGER = "1 minute"
-DEFAULT_WATERMARK_DELAY = "1 minute"
+#: How far ahead of its ingest time a message may be dated under a watermark.
+DEFAULT_FUTURE_TOLERANCE = "1 day"
 
 # ---------------------------------------------------------------------------
 # Schemas
@@ -103,16 +100,6 @@ CURRENCY_PAYLOAD = T.StructType(
     ]
 )
 
-#: Normalised message: what the dedup and the sinks see.
-MESSAGE = T.StructType(
-    [
-        T.StructField("object_id", T.StringType()),
-        T.StructField("object_type", T.StringType()),
-        T.StructField("sent_dttm", T.TimestampType()),
-        T.StructField("payload", T.StringType()),
-    ]
-)
-
 #: Parity variant: ``date_update`` read as a DATE, so the time of day is lost
 #: and the clean value is midnight.
 CURRENCY_PAYLOAD_DATE_ONLY = T.StructType(
@@ -120,12 +107,9 @@ CURRENCY_PAYLOAD_DATE_ONLY = T.StructType(
 )
 
 #: Exact rates: the JSON number read as decimal(18, 6), not a 4-byte float
-#: (1.07 stays 1.070000 instead of 1.0700000524520874).
+#: (2.36 stays 2.360000 instead of 2.359999895095825).
 EXACT_RATE = T.DecimalType(18, 6)
 
-TRANSACTION_COLUMNS = [f.name for f in TRANSACTION_PAYLOAD.fields]
-CURRENCY_COLUMNS = [f.name for f in CURRENCY_PAYLOAD.fields]
-
 #: Partition layout of the three output tables. ``stream_id`` and
 #: ``batch_id`` make a retried micro-batch replace exactly its own files.
 RAW_PARTITIONS = ("object_type", "date", "hour", "stream_id", "batch_id")
@@ -178,10 +162,3 @@ CLEAN_CURRENCIES = T.StructType(
         T.StructField("batch_id", T.LongType()),
     ]
 )
-
-REJECTS = T.StructType(
-    [
-        T.StructField("raw_value", T.StringType()),
-        T.StructField("reject_reason", T.StringType()),
-    ]
-)

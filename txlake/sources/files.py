@@ -20,11 +20,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     that is a single row group would otherwise run every downstream
     projection in one task.
     """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 -- no RDD view (e.g. Spark Connect)
-        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    splits = df.rdd.getNumPartitions()
     if 2 * splits > target:
         return df
     # hash of a per-row id: even spread, and unlike round-robin no local
@@ -48,12 +45,23 @@ def read_parquet(spark: SparkSession, path: str,
     return df.select(*columns) if columns else df
 
 
+def read_in_order(spark: SparkSession, path: str,
+                  columns: Sequence[str] | None = None) -> DataFrame:
+    """A Parquet dump with each row's place in it: ``_file`` and ``_row``. A
+    frame has no order of its own; these two are the input's, for numbering
+    rows as they come."""
+    df = spark.read.parquet(path)
+    return df.select(*(columns or df.columns), F.col("_metadata.file_path").alias("_file"),
+                     F.col("_metadata.row_index").alias("_row"))
+
+
 def read_partitioned(spark: SparkSession, path: str, schema: T.StructType,
                      where: Column | str | None = None) -> DataFrame:
     """A Hive-partitioned table read with an explicit schema (partition
     inference would turn a ``date`` text column into DATE). A predicate on
     partition columns becomes a ``PartitionFilters`` entry: only matching
-    folders are listed and read."""
+    folders are read, though the whole table is listed
+    (``manifest.read_manifest`` lists nothing)."""
     df = (spark.read.schema(schema)
           .option("basePath", path)
           .parquet(path))

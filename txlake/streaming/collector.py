@@ -15,7 +15,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from txlake.operators.envelope import decode_envelopes, normalize_messages
 from txlake.operators.route import stamp_ingest_metadata
-from txlake.schemas import CURRENCY, DEDUP_KEYS, DEFAULT_TRIGGER, TRANSACTION
+from txlake.schemas import (
+    CURRENCY,
+    DEDUP_KEYS,
+    DEFAULT_FUTURE_TOLERANCE,
+    DEFAULT_TRIGGER,
+    TRANSACTION,
+)
 from txlake.streaming.dedup import dedup_stream
 from txlake.streaming.sinks import FanOutSink
 
@@ -23,11 +29,21 @@ from txlake.streaming.sinks import FanOutSink
 def collector_plan(records: DataFrame, watermark_delay: str | None = None,
                    keys=DEDUP_KEYS, observe_name: str | None = "collector_input",
                    value_col: str = "value", predup: bool = False,
-                   dedup_mode: str = "watermark_first") -> DataFrame:
+                   dedup_mode: str = "watermark_first", late: bool = False,
+                   future_tolerance: str | None = DEFAULT_FUTURE_TOLERANCE) -> DataFrame:
     """Decode, normalise, count (before dedup), deduplicate and stamp ingest
     time. The stamp is ``current_timestamp()`` inside the streaming plan, so
-    a retried micro-batch sees the same value and the same partitions."""
-    msgs = normalize_messages(decode_envelopes(records, value_col))
+    a retried micro-batch sees the same value and the same partitions.
+
+    Under an event-time watermark, messages dated more than
+    ``future_tolerance`` after their ingest time are rejects
+    (``future_time``): the clock the watermark follows never runs ahead of the
+    wall clock by more. ``late`` is for a sink that keeps the late rows (see
+    ``dedup_stream``)."""
+    guard = None
+    if watermark_delay is not None and future_tolerance and dedup_mode != "bounded":
+        guard = F.current_timestamp() + F.expr(f"INTERVAL {future_tolerance}")
+    msgs = normalize_messages(decode_envelopes(records, value_col), not_after=guard)
     if observe_name:
         msgs = msgs.observe(
             observe_name,
@@ -38,8 +54,16 @@ def collector_plan(records: DataFrame, watermark_delay: str | None = None,
                            & ~F.coalesce(F.col("object_type").isin(TRANSACTION, CURRENCY),
                                          F.lit(False)), 1)).alias("unrouted_rows"),
         )
-    return stamp_ingest_metadata(
-        dedup_stream(msgs, keys, watermark_delay, predup=predup, mode=dedup_mode))
+    if dedup_mode == "bounded":
+        # its state time is the ingest stamp
+        out = dedup_stream(stamp_ingest_metadata(msgs), keys, watermark_delay, mode=dedup_mode)
+    else:
+        out = stamp_ingest_metadata(
+            dedup_stream(msgs, keys, watermark_delay, predup=predup, mode=dedup_mode, late=late))
+    if observe_name:
+        through = F.when(~F.col("_side"), 1) if "_side" in out.columns else F.lit(1)
+        out = out.observe("collector_output", F.count(through).alias("rows_out"))
+    return out
 
 
 def start_collector(records: DataFrame, sink: FanOutSink, checkpoint: str,
@@ -47,11 +71,15 @@ def start_collector(records: DataFrame, sink: FanOutSink, checkpoint: str,
                     available_now: bool = False,
                     watermark_delay: str | None = None,
                     dedup_mode: str = "watermark_first",
-                    predup: bool = False) -> StreamingQuery:
+                    predup: bool = False,
+                    future_tolerance: str | None = DEFAULT_FUTURE_TOLERANCE) -> StreamingQuery:
     """Start the collector on a streaming frame of records (``dedup_mode``
-    and ``predup`` as in ``dedup_stream``)."""
+    and ``predup`` as in ``dedup_stream``). Late rows, which a watermark
+    drops, go to the sink's late table."""
     plan = collector_plan(records, watermark_delay, predup=predup,
-                          dedup_mode=dedup_mode)
+                          dedup_mode=dedup_mode, late=True,
+                          future_tolerance=future_tolerance)
+    sink.follow(checkpoint, exact=dedup_mode == "bounded")
     w = plan.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)

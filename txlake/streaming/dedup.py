@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txlake.schemas import DEDUP_KEYS
+from txlake.streaming.keys import DEFAULT_RECENT, recent_dedup
 
 
 def _first_per_key(keys: list[str]):
@@ -35,7 +36,8 @@ def dedup_stream(messages: DataFrame, keys: Sequence[str] = DEDUP_KEYS,
                  watermark_delay: str | None = None,
                  event_time: str = "sent_dttm",
                  predup: bool = False,
-                 mode: str = "watermark_first") -> DataFrame:
+                 mode: str = "watermark_first",
+                 late: bool = False) -> DataFrame:
     """Drop repeated messages.
 
     Without ``watermark_delay`` every key is remembered forever (state grows
@@ -69,16 +71,31 @@ def dedup_stream(messages: DataFrame, keys: Sequence[str] = DEDUP_KEYS,
     they come, copies included. The price is that the input is read and
     decoded once for either side.
     ``predup`` adds ``local_predup`` ahead of the stateful shuffle.
+
+    With ``late`` (modes that drop late rows) the second reading carries every
+    message, and a column ``_side`` marks those that also went to the stateful
+    operator. Behind the dedup, where a batch's watermark is known, the marked
+    ones at or before it are the late rows, each of them, and the other marked
+    ones go (``late.late_split``): the same reading, no second state.
+
+    * ``"bounded"``: exact dedup over bounded state, see
+      ``keys.recent_dedup``; ``watermark_delay`` is then how long, by ingest
+      time (``trigger_dttm``), a key stays in state.
     """
     ks = list(keys)
+    if mode == "bounded":
+        return recent_dedup(messages, ks, watermark_delay or DEFAULT_RECENT)
     past = F.lit(False)
     if "reject_reason" in messages.columns:
         past = F.col("reject_reason").isNotNull()
     if watermark_delay is not None and mode != "dedup_first":
         time = F.col(event_time)
         past = past | time.isNull() | (time <= F.timestamp_seconds(F.lit(0)))
-    through = messages.where(past)
     kept = _dedup(messages.where(~past), ks, watermark_delay, event_time, predup, mode)
+    if late and watermark_delay is not None and mode != "dedup_first":
+        return (kept.withColumn("_side", F.lit(False))
+                .unionByName(messages.withColumn("_side", ~past)))
+    through = messages.where(past)
     return kept.unionByName(through) if "reject_reason" in messages.columns or watermark_delay else kept
 
 

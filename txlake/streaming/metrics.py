@@ -1,14 +1,35 @@
-"""Per-batch volume check (input rows against the admission limit)."""
+"""Per-batch metrics: the volume check (input rows against the admission
+limit), and what a query observed as a table."""
 
 from __future__ import annotations
 
 import logging
 from collections import deque
 
-from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 log = logging.getLogger("txlake.volume")
 
+METRICS = "batch_id long, rows_in long, rejected long, unrouted long, rows_out long, dropped_late long, state_rows long"
+
+
+def batch_metrics_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+    """A row per micro-batch that read something, from the query's own progress
+    (the latest ``spark.sql.streaming.numRecentProgressUpdates`` batches): what
+    ``collector_plan`` observed on its way, so no data is read for it."""
+    rows = []
+    for p in query.recentProgress:
+        seen = {k: v.asDict() for k, v in (p.observedMetrics or {}).items()}
+        got, out = seen.get("collector_input"), seen.get("collector_output")
+        if not got or not got["input_rows"]:
+            continue
+        rows.append((p.batchId, got["input_rows"], got["rejected_rows"], got["unrouted_rows"],
+                     out["rows_out"] if out else None,
+                     sum(int(s.numRowsDroppedByWatermark or 0) for s in p.stateOperators),
+                     sum(int(s.numRowsTotal or 0) for s in p.stateOperators)))
+    return spark.createDataFrame(rows, METRICS)
+
 
 class VolumeCheck(StreamingQueryListener):
     """Records every micro-batch's progress and warns when a batch read a

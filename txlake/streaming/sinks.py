@@ -13,14 +13,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txlake.operators.envelope import split_rejects
 from txlake.operators.route import clean_currencies, clean_transactions
 from txlake.schemas import CLEAN_PARTITIONS, RAW_PARTITIONS
+from txlake.sources.manifest import commit, has_entry, put_entry
+from txlake.streaming.keys import drop_known, remember
+from txlake.streaming.late import late_split
 
 #: Upper bound on rows per output file, so a large batch never makes one
 #: huge file per task and partition.
@@ -44,6 +49,37 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
      .save(path))
 
 
+def write_sized(df: DataFrame, path: str, partition_cols: Sequence[str],
+                rows_per_file: int) -> list[Row]:
+    """``write_partitioned`` with the file count under control: a partition of
+    n rows becomes ceil(n / ``rows_per_file``) files of about equal size.
+
+    The rows of each partition are counted first (a partial aggregate), and one
+    shuffle then deals them to a task per file: a hot partition is written by as
+    many tasks as it has files. The counts, one row per folder being written,
+    are broadcast. Returns the partitions written.
+    """
+    parts = list(partition_cols)
+    sizes = df.groupBy(*parts).agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).alias("_files")).collect()
+    if not sizes:
+        return []
+    spark = df.sparkSession
+    schema = T.StructType([df.schema[p] for p in parts] + [
+        T.StructField("_files", T.LongType()), T.StructField("_first", T.LongType())])
+    first = [0, *accumulate(r["_files"] for r in sizes)]
+    counts = spark.createDataFrame([(*r, n) for r, n in zip(sizes, first, strict=False)], schema).select(
+        *[F.col(p).alias(f"_p_{p}") for p in parts], "_files", "_first")
+    same = F.lit(True)
+    for p in parts:
+        same = same & F.col(p).eqNullSafe(F.col(f"_p_{p}"))
+    others = [c for c in df.columns if c not in parts]
+    dealt = (df.join(F.broadcast(counts), same)
+             .withColumn("_file", (F.col("_first") + F.pmod(F.xxhash64(*others), F.col("_files"))).cast("int")))
+    write_partitioned(dealt.repartitionById(first[-1], "_file").select(*df.columns), path, parts)
+    return [Row(**{p: r[p] for p in parts}) for r in sizes]
+
+
 @dataclass(frozen=True)
 class TablePaths:
     """Output locations of the collector."""
@@ -54,12 +90,17 @@ class TablePaths:
     rejects: str
     #: ingest times of backfill runs, one small table per run id
     runs: str
+    #: rows a watermark's dedup dropped as late
+    late: str
+    #: keys of all messages, for the exact dedup over bounded state
+    keys: str
 
     @classmethod
     def under(cls, root: str) -> "TablePaths":
         root = root.rstrip("/")
         return cls(f"{root}/raw", f"{root}/clean/transactions",
-                   f"{root}/clean/currencies", f"{root}/rejects", f"{root}/_runs")
+                   f"{root}/clean/currencies", f"{root}/rejects", f"{root}/_runs",
+                   f"{root}/late", f"{root}/_keys")
 
 
 class FanOutSink:
@@ -74,9 +115,19 @@ class FanOutSink:
                  exact_rates: bool = False,
                  max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
                  concurrent_writes: bool = True,
-                 fail_after_write_once: bool = False,
-                 preview_rows: int = 0):
+                 preview_rows: int = 0,
+                 rows_per_file: int | None = None,
+                 manifest: bool = False,
+                 key_hours: int = 1):
         self.paths = paths
+        # file counts: by size (one more shuffle), or by the input's tasks
+        self.rows_per_file = rows_per_file
+        # whether each table keeps a list of its files (needs rows_per_file)
+        self.manifest = manifest
+        if manifest and not rows_per_file:
+            raise ValueError("a manifest is kept by sized writes: give rows_per_file")
+        # event hours that share a folder of the key table
+        self.key_hours = key_hours
         # development aid: print each batch's schema, plan and first rows
         self.preview_rows = preview_rows
         self.date_only_currency = date_only_currency
@@ -85,9 +136,13 @@ class FanOutSink:
         # the four writes are independent jobs over the cached batch; submit
         # them together so the scheduler can overlap them
         self.concurrent_writes = concurrent_writes
-        # test hook: fail the first callback after its writes, as a crash
-        # between the write and the commit would
-        self._fail_once = fail_after_write_once
+        self.checkpoint: str | None = None
+        self.exact = False
+
+    def follow(self, checkpoint: str, exact: bool = False) -> None:
+        """The query this sink belongs to: where its watermarks are logged, and
+        whether older keys are looked up in the key table."""
+        self.checkpoint, self.exact = checkpoint, exact
 
     @staticmethod
     def stream_id(df: DataFrame) -> str:
@@ -95,22 +150,26 @@ class FanOutSink:
         return sc.getLocalProperty("sql.streaming.queryId") or "batch"
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
+        stream = self.stream_id(df)
+        if "_side" in df.columns:
+            df = late_split(df, self.checkpoint, batch_id)
         batch = df.withColumns({
-            "stream_id": F.lit(self.stream_id(df)),
+            "stream_id": F.lit(stream),
             "batch_id": F.lit(batch_id).cast("long"),
         })
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        held = [batch.persist(StorageLevel.MEMORY_AND_DISK)]
         try:
             # no-data batches (run to evict watermarked state) write nothing
             if not batch.isEmpty():
+                if self.exact:
+                    batch = drop_known(batch, self.paths.keys, stream, batch_id, hours=self.key_hours)
+                    held.append(batch.persist(StorageLevel.MEMORY_AND_DISK))
                 if self.preview_rows:
                     self.preview(batch)
                 self.write_batch(batch)
         finally:
-            batch.unpersist()
-        if self._fail_once:
-            self._fail_once = False
-            raise RuntimeError(f"injected failure after writing batch {batch_id}")
+            for df in held:
+                df.unpersist()
 
     def preview(self, batch: DataFrame) -> None:
         """Schema, formatted plan and the first ``preview_rows`` rows of a
@@ -120,6 +179,11 @@ class FanOutSink:
         batch.show(self.preview_rows, truncate=False)
 
     def write_batch(self, batch: DataFrame) -> None:
+        late = None
+        if "_side" in batch.columns:
+            late = batch.where("_side").select("object_id", "object_type", "sent_dttm", "payload", "trigger_dttm",
+                                               F.col("_watermark").alias("watermark"), *CLEAN_PARTITIONS)
+            batch = batch.where("not _side").drop("_side", "_watermark")
         good, rejects = split_rejects(batch) if "reject_reason" in batch.columns \
             else (batch, None)
         n = self.max_records_per_file
@@ -134,16 +198,32 @@ class FanOutSink:
         ]
         if rejects is not None:
             writes.append((rejects, self.paths.rejects, CLEAN_PARTITIONS))
+        if late is not None:
+            writes.append((late, self.paths.late, CLEAN_PARTITIONS))
+        if self.exact:
+            # before the tables: a batch that fails between them runs again and
+            # does not see its own keys
+            remember(good, self.paths.keys, hours=self.key_hours)
+        stamp = batch.select("stream_id", "batch_id").first() if self.manifest else None
+
+        def write(df: DataFrame, path: str, parts: Sequence[str], n: int) -> None:
+            if not self.rows_per_file:
+                write_partitioned(df, path, parts, n)
+                return
+            written = write_sized(df, path, parts, self.rows_per_file)
+            if self.manifest:
+                # a batch that runs again replaces its entry with its files
+                commit(df.sparkSession, path, f"{stamp.stream_id}-{stamp.batch_id}", written)
         if not self.concurrent_writes:
             for df, path, parts in writes:
-                write_partitioned(df, path, parts, n)
+                write(df, path, parts, n)
             return
         from concurrent.futures import ThreadPoolExecutor
 
         from pyspark import inheritable_thread_target
 
         # inherit the callback thread's local properties and job tags
-        target = inheritable_thread_target(batch.sparkSession)(write_partitioned)
+        target = inheritable_thread_target(batch.sparkSession)(write)
         with ThreadPoolExecutor(max_workers=len(writes)) as pool:
             futures = [pool.submit(target, df, path, parts, n)
                        for df, path, parts in writes]
@@ -152,7 +232,8 @@ class FanOutSink:
 
 
 def publish_envelopes(envelopes: DataFrame, path: str | None = None,
-                      kafka=None, fmt: str = "text") -> int:
+                      kafka=None, fmt: str = "text", run_id: str | None = None,
+                      log: str | None = None) -> int:
     """Publish a frame of envelopes (column ``value``) and return how many
     were sent.
 
@@ -160,15 +241,32 @@ def publish_envelopes(envelopes: DataFrame, path: str | None = None,
     topic (``kafka``: ``KafkaSettings``) or to a folder (``text``: one JSON
     envelope per line, the offline stand-in for a topic). The count comes
     from an ``observe`` on the write itself, not from a second pass.
+
+    With ``run_id`` a run is published once: its count is recorded in ``log``
+    (default: ``_published`` in the folder) when the write is done, and a run
+    that is recorded sends nothing again. A folder's run writes to a folder of
+    its own, so an attempt that failed half way is replaced; what a failed
+    attempt sent to Kafka stays there, for the collector's dedup to drop.
     """
     from pyspark.sql import Observation
 
+    spark = envelopes.sparkSession
+    if kafka is None and path is None:
+        raise ValueError("give a folder or Kafka settings")
+    log = log or (f"{path}/_published" if path else None)
+    if run_id and not log:
+        raise ValueError("a run published to Kafka needs a log folder")
+    if run_id and has_entry(spark, log, run_id):
+        return int(spark.read.schema("sent long").json(f"{log}/{run_id}.json").first()["sent"])
     obs = Observation("published")
     out = envelopes.select("value").observe(obs, F.count(F.lit(1)).alias("sent"))
     if kafka is not None:
         out.write.format("kafka").options(**kafka.writer_options()).save()
-    elif path is not None:
-        out.write.mode("append").format(fmt).save(path)
+    elif run_id:
+        out.write.mode("overwrite").format(fmt).save(f"{path}/run_id={run_id}")
     else:
-        raise ValueError("give a folder or Kafka settings")
-    return int(obs.get["sent"])
+        out.write.mode("append").format(fmt).save(path)
+    sent = int(obs.get["sent"])
+    if run_id:
+        put_entry(spark, log, run_id, [{"sent": sent}])
+    return sent
