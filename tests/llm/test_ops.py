@@ -460,3 +460,38 @@ def test_pipeline_stages(spark, tmp_path, docs):
         at = nxt
     pieces = P.run(spark, str(tmp_path)).collect()
     assert pieces and all(p.length <= packing.SEQ for p in pieces)
+
+
+def test_near_group_of_many_classes(spark):
+    # 700 edits of one text: rows and edges grow with the classes, links are exact
+    rng = np.random.default_rng(12)
+    base = prose(77, 150).split()
+    texts = []
+    for i in range(700):
+        w = list(base)
+        for at in rng.integers(0, 150, 1 + i % 3):
+            w[at] = f"edit{i}"
+        texts.append(" ".join(w))
+    texts += [prose(7000 + i, 60) for i in range(50)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    sets = [set(zip(*(t.split()[k:] for k in range(5)), strict=False)) for t in texts]
+    want = [sum(5 * len(a & b) >= 4 * len(a | b) for b in sets) - 1 for a in sets]
+    made = {}
+    keep = ngram_join.scratch
+    ngram_join.scratch = lambda df, name: made.setdefault(name, keep(df, name))
+    try:
+        got = {r.doc_id: r for r in ngram_join.near_duplicates(table).collect()}
+    finally:
+        ngram_join.scratch = keep
+    assert [got[i].n_links for i in range(750)] == want
+    assert all(got[i].class_id == i for i in range(700, 750))
+    # the plain components of the linked pairs
+    root = list(range(750))
+    for i in range(700):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                a, b = root[i], root[j]
+                if a != b:
+                    root = [min(a, b) if x == max(a, b) else x for x in root]
+    assert [got[i].class_id for i in range(750)] == root
+    assert made["near-edges"].count() < 2 * 700 and made["near-dealt"].count() <= 2 * 700

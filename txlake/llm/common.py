@@ -217,21 +217,3 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         labels = new.select("node", "comp")
         if new.where("moved").limit(1).count() == 0:
             return labels
-
-
-class Forest:
-    """Union-find over 0..n-1 for the pairs inside one block."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = self.up[self.up[x]]
-            x = self.up[x]
-        return x
-
-    def join(self, x: int, y: int) -> None:
-        x, y = self.root(x), self.root(y)
-        if x != y:
-            self.up[max(x, y)] = min(x, y)

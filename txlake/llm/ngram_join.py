@@ -10,10 +10,13 @@ class; everything after runs on one row per class, so copies are never expanded.
    never holds more than two blocks of a bucket. Inside, MinHash values are
    compared 16 at a time, and a pair is dropped when the posterior probability
    of reaching the threshold (uniform prior) falls below ``TOLERANCE``; what
-   survives is passed on as spanning edges, not pairs.
+   survives is passed on as spanning edges, not pairs: from the least class of
+   the bucket, which is the same one for most bands of a group of copies.
 3. Connected survivors form clusters. In each, again block against block, all
    pairs are verified exactly on the whole sets of 64-bit run hashes; a text's
    links are counted there, and only counts and spanning edges leave the task.
+   Sets are large, blocks hold ``BLOCK`` of them, so a class's text is read by
+   one task more for every ``BLOCK`` classes of its cluster.
 
 Cases: a text of one to four words has one run, all its words; texts without
 words (null, empty, punctuation) are linked to nothing and are their own class;
@@ -31,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txlake.llm.common import Forest, bloom_filter, by_group, components, grams, keep_rows, mix64, row_key, scratch, words
+from txlake.llm.common import bloom_filter, by_group, components, grams, keep_rows, mix64, row_key, scratch, words
 
 SIZE = 5
 THRESHOLD = 0.8
@@ -39,9 +42,11 @@ HASHES = 128
 STEP = 16
 TOLERANCE = 1e-6
 #: Classes, and run hashes, in one block.
-BLOCK = 256
-BLOCK_GRAMS = 400_000
-BUCKET_BLOCK = 2048
+BLOCK = 2048
+BLOCK_GRAMS = 2_000_000
+BUCKET_BLOCK = 16_384
+#: Rows and columns of the matrices that a task multiplies.
+TILE = 1024
 
 _A = (mix64(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)).astype(np.uint32)
 _B = mix64(np.arange(1001, HASHES + 1001, dtype=np.uint64)).astype(np.uint32)
@@ -127,6 +132,21 @@ def _survivors(groups):
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
 
+def _first_reached(linked: np.ndarray) -> np.ndarray:
+    """For each member of a symmetric relation, the first one it is connected
+    with."""
+    root = np.full(len(linked), -1)
+    for first in range(len(linked)):
+        if root[first] >= 0:
+            continue
+        root[first], queue = first, [first]
+        while queue:
+            new = np.flatnonzero(linked[queue.pop()] & (root < 0))
+            root[new] = first
+            queue += new.tolist()
+    return root
+
+
 def _verified(groups):
     """Per class of a cluster block pair: links to other classes, weighted by
     their copies, and an edge to the first class it is linked with."""
@@ -145,26 +165,31 @@ def _verified(groups):
         n = np.array([len(seen[c][2]) for c in names], np.int64)
         _, ids = np.unique(np.concatenate([seen[c][2] for c in names]), return_inverse=True)
         row = np.repeat(np.arange(len(names)), n)
-        both = np.zeros((len(names), len(names)))
+        # a run that one set has links nothing
+        shared = np.bincount(ids) > 1
+        keep = shared[ids]
+        ids, row = (np.cumsum(shared) - 1)[ids[keep]], row[keep]
         order = np.argsort(ids, kind="stable")
         ids, row = ids[order], row[order]
-        for lo in range(0, int(ids[-1]) + 1, 8192):
-            a, b = np.searchsorted(ids, [lo, lo + 8192])
-            x = np.zeros((len(names), 8192), np.float32)
+        both = np.zeros((len(names), len(names)), np.float32)
+        for lo in range(0, int(ids[-1]) + 1 if len(ids) else 0, TILE):
+            a, b = np.searchsorted(ids, [lo, lo + TILE])
+            x = np.zeros((len(names), TILE), np.float32)
             x[row[a:b], ids[a:b] - lo] = 1
-            both += x @ x.T
-        both = np.rint(both).astype(np.int64)
-        linked = 5 * both >= 4 * (n[:, None] + n[None, :] - both)
+            for at in range(0, len(names), TILE):
+                both[at:at + TILE] += x[at:at + TILE] @ x.T
+        linked = np.zeros(both.shape, bool)
+        for at in range(0, len(names), TILE):
+            some = np.rint(both[at:at + TILE]).astype(np.int64)
+            linked[at:at + TILE] = 5 * some >= 4 * (n[at:at + TILE, None] + n[None, :] - some)
         np.fill_diagonal(linked, False)
+        root = _first_reached(linked)
         if i != j:
             linked &= blk[:, None] != blk[None, :]
-        links = linked @ w
-        forest = Forest(len(names))
-        for x, y in zip(*np.nonzero(np.triu(linked)), strict=True):
-            forest.join(int(x), int(y))
-        hit = np.flatnonzero(links)
+        links = np.concatenate([linked[at:at + TILE] @ w for at in range(0, len(names), TILE)])
+        hit = np.flatnonzero(linked.any(axis=1))
         if len(hit):
-            yield pa.RecordBatch.from_arrays([pa.array([names[k] for k in hit], pa.binary()), pa.array([names[forest.root(int(k))] for k in hit], pa.binary()), pa.array(links[hit])], ["a", "b", "links"])
+            yield pa.RecordBatch.from_arrays([pa.array([names[k] for k in hit], pa.binary()), pa.array([names[k] for k in root[hit]], pa.binary()), pa.array(links[hit])], ["a", "b", "links"])
 
 
 def _blocked(rows: DataFrame, key: str, blocks) -> DataFrame:
@@ -188,7 +213,11 @@ def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     many = scratch(bands.groupBy("bucket").count().where("count > 1"), "near-buckets")
     member = bands.join(many, "bucket")
     member = _blocked(member, "bucket", F.expr(f"(count + {BUCKET_BLOCK - 1}) div {BUCKET_BLOCK}")).select("bucket", "i", "j", "cls")
-    edges = scratch(by_group(member.join(reps.select("cls", "sig"), "cls"), ["bucket", "i", "j"], _survivors, "a binary, b binary").distinct(), "near-edges")
+    found = by_group(member.join(reps.select("cls", "sig"), "cls"), ["bucket", "i", "j"], _survivors, "a binary, b binary", order=["cls"])
+    # a class's least neighbour stands for the others, which it is tied to: about one edge a class, whatever the bands
+    ties = found.groupBy(F.greatest("a", "b").alias("b")).agg(F.collect_set(F.least("a", "b")).alias("near"))
+    a = F.array_min("near")
+    edges = scratch(ties.select(a.alias("a"), F.explode(F.concat(F.array("b"), F.filter("near", lambda x: x != a))).alias("b")).distinct(), "near-edges")
 
     cluster = components(edges, "near").withColumnRenamed("node", "cls")
     sizes = scratch(reps.drop("sig").join(cluster, "cls"), "near-cluster")
