@@ -495,3 +495,26 @@ def test_near_group_of_many_classes(spark):
                     root = [min(a, b) if x == max(a, b) else x for x in root]
     assert [got[i].class_id for i in range(750)] == root
     assert made["near-edges"].count() < 2 * 700 and made["near-dealt"].count() <= 2 * 700
+
+
+def test_toxicity_without_a_class_to_fit_on(spark):
+    rng = np.random.default_rng(13)
+    rows, labels = [], []
+    for i in range(800):
+        w = prose(20_000 + i, 40).split()
+        toxic = i % 4 == 0
+        if toxic:
+            for _ in range(6):
+                w[int(rng.integers(40))] = ["vile", "rotten", "awful"][int(rng.integers(3))]
+        rows.append((i, " ".join(w)))
+        fold = zlib.crc32(str(i).encode()) % 5
+        if not (fold == toxicity.FIT_FOLD and toxic):
+            labels.append((i, int(toxic)))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    clashing = spark.createDataFrame([(*x, 7, "s") for x in labels], "doc_id long, toxic int, text int, score string")
+    got = toxicity.toxicity(table, clashing).collect()
+    held = [g for g in got if g.held_out]
+    assert np.mean([g.predicted == (g.doc_id % 4 == 0) for g in held]) > 0.9
+    # no toxic text teaches the models: no evidence, no score
+    none = spark.createDataFrame([x for x in labels if not x[1]], "doc_id long, toxic int")
+    assert {g.score for g in toxicity.toxicity(table, none).collect()} == {0.0}

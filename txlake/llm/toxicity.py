@@ -28,8 +28,10 @@ fit reads all its rows, in Spark.
 
 Cases: null and empty texts score like a text without evidence; labels with a
 null doc_id or null class teach nothing; several labels of a document count as
-toxic if one does; equal texts of a class and fold teach once; without labelled rows of both
-classes every score is 0; an empty table gives an empty result; extra columns are not looked at.
+toxic if one does; equal texts of a class and fold teach once; where the folds that
+feed the models lack a class every score is 0; where only the fit fold does, the length-normalised
+log ratio is the score's logit; very long texts are one block, read whole; texts that tie score alike;
+an empty table gives an empty result; extra columns are not looked at.
 """
 
 from __future__ import annotations
@@ -44,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txlake.llm.common import bloom_filter, by_group, crc_mod, keep_rows, mix64, row_key, scratch, words
+from txlake.llm.common import bloom_filter, by_group, crc_mod, discard, keep_rows, mix64, row_key, scratch, words
 
 FOLDS = 5
 HELD_OUT = 0
@@ -62,6 +64,7 @@ TOP = 4
 BLOCK_WORDS = 1 << 20
 #: Stands before a text's first word.
 START = 1
+_ANSWER = np.dtype([("number", np.uint32), ("a", np.float32), ("b", np.float32)])
 
 
 class _Block:
@@ -190,7 +193,9 @@ def model(counts: DataFrame) -> tuple[DataFrame, float]:
     before = context.select(F.col("v").alias("key"), ratio([(of["mass"][c] + PRIOR) / (of["total"][c] + PRIOR) for c in (0, 1)]).alias("a"))
     single = (word.where("evident").select(F.col("w").alias("key"), ratio(of["word"]).alias("b")).join(before, "key", "full")
               .select("key", F.coalesce("a", F.lit(0.0)).alias("a"), F.coalesce("b", F.lit(base)).alias("b")))
-    return scratch(bigrams.mapInArrow(keyed, "key long, a double, b double").unionByName(single), "toxic-model"), base
+    out = scratch(bigrams.mapInArrow(keyed, "key long, a double, b double").unionByName(single), "toxic-model")
+    discard(by_word, by_context, kept, context)
+    return out, base
 
 
 def _asked(docs: DataFrame, table: DataFrame) -> DataFrame:
@@ -248,30 +253,61 @@ def features(docs: DataFrame, table: DataFrame, base: float) -> DataFrame:
     """doc_id, __key, x (the text's features) for every row of ``docs``."""
     asked, kind = _asked(docs, table), docs.schema["doc_id"].dataType.simpleString()
     none = F.lit(None)
-    answers = (asked.where("part = 0").select("block", "part", "number", "key").join(table, "key")
-               .select("block", "part", "number", none.cast("long").alias("key"), none.cast(kind).alias("doc_id"), none.cast("long").alias("n"), none.cast("binary").alias("text"), *[F.col(c).cast("float").alias(c) for c in "ab"]))
-    texts = asked.where("part = 1").withColumn("a", none.cast("float")).withColumn("b", none.cast("float"))
+    schema = f"block long, part int, number long, key long, doc_id {kind}, n long, text binary"
+    id_type = docs.select("doc_id").limit(0).toArrow().schema.field("doc_id").type
+
+    def packed(batches):
+        """A row per block for many answers: their numbers and log ratios as bytes."""
+        held, n = [], 0
+
+        def flush():
+            t = pa.Table.from_batches(held)
+            block = t.column("block").to_numpy()
+            order = np.argsort(block, kind="stable")
+            out = np.empty(len(block), _ANSWER)
+            for c in _ANSWER.names:
+                out[c] = t.column(c).to_numpy()[order]
+            of, first = np.unique(block[order], return_index=True)
+            blobs = [x.tobytes() for x in np.split(out, first[1:])]
+            k = len(of)
+            return pa.RecordBatch.from_arrays([pa.array(of), pa.array(np.zeros(k, np.int32)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, id_type), pa.nulls(k, pa.int64()),
+                                               pa.array(blobs, pa.binary())], ["block", "part", "number", "key", "doc_id", "n", "text"])
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= 1 << 18:
+                yield flush()
+                held, n = [], 0
+        if n:
+            yield flush()
+    answers = (asked.where("part = 0").select("block", "number", "key").join(table, "key")
+               .select("block", "number", F.col("a").cast("float").alias("a"), F.col("b").cast("float").alias("b")).mapInArrow(packed, schema))
+    texts = asked.where("part = 1").select(*[c.split()[0] for c in schema.split(", ")])
 
     def run(groups):
         for _, t in groups:
             answered = int(t.num_rows - pa.compute.sum(t.column("part")).as_py())
-            hits, rows = t.slice(0, answered), t.slice(answered)
+            blobs, rows = t.slice(0, answered), t.slice(answered)
             if not rows.num_rows:
                 continue
             m = rows.column("number")[0].as_py() + 1
-            a, b, pair = np.zeros(m), np.full(m, base), np.full(m, np.nan)
-            at = hits.column("number").to_numpy()
-            a[at] = pair[at] = hits.column("a").to_numpy()
-            b[at] = hits.column("b").to_numpy()
+            a, b, pair = np.zeros(m, np.float32), np.full(m, base, np.float32), np.full(m, np.nan, np.float32)
+            for blob in blobs.column("text"):
+                hits = np.frombuffer(blob.as_buffer(), _ANSWER)
+                at = hits["number"]
+                a[at] = pair[at] = hits["a"]
+                b[at] = hits["b"]
             x = []
             for n, text in zip(rows.column("n").to_pylist(), rows.column("text").to_pylist(), strict=True):
                 c = np.frombuffer(pa.decompress(text, 4 * (2 * n + 1), "zstd", asbytes=True), np.uint32)
                 r = pair[c[n + 1:]]
-                x.append(_features(np.where(np.isnan(r), a[c[:n]] + b[c[1:n + 1]], r)))
+                x.append(_features(np.where(np.isnan(r), a[c[:n]] + b[c[1:n + 1]], r).astype(np.float64)))
             for lo in range(0, len(x), 4096):
                 part = rows.slice(lo, 4096).combine_chunks()
                 yield pa.RecordBatch.from_arrays([*(part.column(c).combine_chunks() if part.column(c).num_chunks != 1 else part.column(c).chunk(0) for c in ("doc_id", "key")), pa.array(x[lo:lo + 4096], pa.list_(pa.float64()))], ["doc_id", "__key", "x"])
-    return scratch(by_group(answers.unionByName(texts), ["block"], run, f"doc_id {kind}, __key long, x array<double>", order=["part"]), "toxic-features")
+    out = scratch(by_group(answers.unionByName(texts), ["block"], run, f"doc_id {kind}, __key long, x array<double>", order=["part"]), "toxic-features")
+    discard(asked)
+    return out
 
 
 def logistic(rows: DataFrame, rounds: int = 30, ridge: float = 1e-3) -> np.ndarray:
@@ -303,10 +339,17 @@ def logistic(rows: DataFrame, rounds: int = 30, ridge: float = 1e-3) -> np.ndarr
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, __key, score for every row of ``docs``, trained on ``labels``."""
     once = labelled(docs, labels)
-    if once.where(F.col("fold") == FIT_FOLD).agg(F.count_distinct(F.col("toxic") > 0)).first()[0] < 2:
+    fitted, toxic = F.col("fold") == FIT_FOLD, F.col("toxic") > 0
+    seen = once.agg(F.count_distinct(F.when(~fitted, toxic)).alias("models"), F.count_distinct(F.when(fitted, toxic)).alias("fit")).first()
+    if seen["models"] < 2:
         return docs.select("doc_id", row_key().alias("__key"), F.lit(0.0).alias("score"))
     counts = scratch(count_bigrams(training_rows(docs, once)), "toxic-bigrams")
-    found = features(docs, *model(counts))
+    table, base = model(counts)
+    discard(counts)
+    found = features(docs, table, base)
+    discard(table)
+    if seen["fit"] < 2:  # nothing to fit on: the length-normalised log ratio itself
+        return found.select("doc_id", "__key", (1 / (1 + F.exp(-F.col("x")[0]))).alias("score"))
     fit = once.where(F.col("fold") == FIT_FOLD).select("doc_id", F.col("toxic").cast("long").alias("toxic"))
     w = logistic(scratch(found.join(fit.hint("merge"), "doc_id").select("x", "toxic"), "toxic-fit"))
     z = sum((F.col("x")[i] * float(x) for i, x in enumerate(w[1:])), F.lit(float(w[0])))
