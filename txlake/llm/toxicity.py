@@ -64,6 +64,8 @@ TOP = 4
 BLOCK_WORDS = 1 << 20
 #: Stands before a text's first word.
 START = 1
+#: Words of a row of texts.
+CHUNK_WORDS = 1 << 16
 _ANSWER = np.dtype([("number", np.uint32), ("a", np.float32), ("b", np.float32)])
 
 
@@ -198,11 +200,33 @@ def model(counts: DataFrame) -> tuple[DataFrame, float]:
     return out, base
 
 
+def _planes(codes: np.ndarray) -> bytes:
+    """Word numbers as bytes: all first bytes, all second ones and so on, which
+    pack well where small numbers are the common words."""
+    return pa.compress(np.ascontiguousarray(codes.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes(), "zstd", asbytes=True)
+
+
+def _unplanes(data: bytes, n: int) -> np.ndarray:
+    flat = np.frombuffer(pa.decompress(data, 4 * n, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(flat.reshape(4, n).T).view(np.uint32).ravel().astype(np.int64)
+
+
+def _pairs(flat: np.ndarray, sizes: np.ndarray, h: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct bigrams, ascending; the bigram of each word; the word before),
+    ``h - 1`` being the number of ``START``. The same for a block's texts in any
+    order, so a reader of the words finds the writer's numbers."""
+    before = np.concatenate([[0], flat[:-1]])[:len(flat)]
+    before[(np.cumsum(sizes) - sizes)[sizes > 0]] = h - 1
+    pairs, pair = np.unique(before * h + flat, return_inverse=True)
+    return pairs, pair, before
+
+
 def _asked(docs: DataFrame, table: DataFrame) -> DataFrame:
-    """Blocks of texts: rows of part 0 ask for a key under a number of their
-    block, rows of part 1 are texts written in these numbers (0: not in the
-    model): for START and each word the word's, then for each word the bigram's."""
+    """Blocks of texts. Part 0 asks for keys, each under a number of its block;
+    part 1 says which of the block's words and bigrams asked; part 2 are the
+    texts as word numbers, about ``CHUNK_WORDS`` words a row."""
     may, kind = bloom_filter(table, "key").func, docs.schema["doc_id"].dataType.simpleString()
+    names = ["block", "part", "number", "key", "ids", "keys", "sizes", "text"]
 
     def run(batches):
         at, id_type = TaskContext.get().partitionId() << 32, None
@@ -213,31 +237,35 @@ def _asked(docs: DataFrame, table: DataFrame) -> DataFrame:
                 id_type = batch.schema.field("doc_id").type
                 yield batch
         for block in _blocks(seen(batches), ["doc_id", "__key"]):
-            h, sizes, flat, before = block.close()
-            pairs, pair = np.unique(before * len(h) + flat, return_inverse=True)
+            h, sizes, flat, _ = block.close()
+            # common words first; START, which is no text's word, stays last
+            order = np.argsort(-np.bincount(flat, minlength=len(h)), kind="stable")
+            rank = np.empty(len(h), np.int64)
+            rank[order] = np.arange(len(h))
+            h, flat = h[order], rank[flat]
+            pairs, _, _ = _pairs(flat, sizes, len(h))
             keys = np.concatenate([h, bigram_key(h[pairs // len(h)], h[pairs % len(h)])]).view(np.int64)
             hit = may(pd.Series(keys)).to_numpy(bool)
-            number = np.where(hit, np.cumsum(hit), 0).astype(np.uint32)
-            asked, n = keys[hit], len(block.rows)
-            ends, out = np.cumsum(sizes), []
-            of_word, of_pair = number[flat], number[len(h) + pair]
-            for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True):
-                out.append(pa.compress(np.concatenate([number[len(h) - 1:len(h)], of_word[a:b], of_pair[a:b]]).tobytes(), "zstd", asbytes=True))
-            m = len(asked)
-            for a in range(0, m, 65536):
-                k = len(asked[a:a + 65536])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(k, at)), pa.array(np.zeros(k, np.int32)), pa.array(np.arange(a + 1, a + k + 1)), pa.array(asked[a:a + k]),
-                    pa.nulls(k, id_type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary())], ["block", "part", "number", "key", "doc_id", "n", "text"])
-            for a in range(0, n, 1024):
-                rows = block.rows[a:a + 1024]
-                k = len(rows)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(k, at)), pa.array(np.ones(k, np.int32)), pa.array(np.full(k, m)), pa.array([r[1] for r in rows], pa.int64()),
-                    pa.array([r[0] for r in rows], id_type), pa.array(sizes[a:a + k]), pa.array(out[a:a + k], pa.binary())], ["block", "part", "number", "key", "doc_id", "n", "text"])
+            asked = keys[hit]
+
+            def batch(part, number, key=None, ids=None, of=None, size=None, text=None, at=at):
+                k = len(number)
+                values = [pa.nulls(k, t) if x is None else pa.array(x, t) for x, t in (
+                    (key, pa.int64()), (ids, pa.list_(id_type)), (of, pa.list_(pa.int64())), (size, pa.list_(pa.int64())), (text, pa.binary()))]
+                return pa.RecordBatch.from_arrays([pa.array(np.full(k, at)), pa.array(np.full(k, part, np.int32)), pa.array(number, pa.int64()), *values], names)
+            for a in range(0, len(asked), 65536):
+                yield batch(0, np.arange(a + 1, a + 1 + len(asked[a:a + 65536])), key=asked[a:a + 65536])
+            yield batch(1, [len(asked)], size=[[len(h), len(hit)]], text=[pa.compress(np.packbits(hit).tobytes(), "zstd", asbytes=True)])
+            ends = np.cumsum(sizes)
+            a = 0
+            while a < len(sizes):
+                b = max(a + 1, int(np.searchsorted(ends, ends[a] - sizes[a] + CHUNK_WORDS)))
+                rows = block.rows[a:b]
+                yield batch(2, [a], ids=[[r[0] for r in rows]], of=[[r[1] for r in rows]], size=[sizes[a:b].tolist()], text=[_planes(flat[ends[a] - sizes[a]:ends[b - 1]])])
+                a = b
             at += 1
     rows = docs.select("doc_id", row_key().alias("__key"), "text")
-    return scratch(rows.mapInArrow(run, f"block long, part int, number long, key long, doc_id {kind}, n long, text binary"), "toxic-asked")
+    return scratch(rows.mapInArrow(run, f"block long, part int, number long, key long, ids array<{kind}>, keys array<long>, sizes array<long>, text binary"), "toxic-asked")
 
 
 def _features(r: np.ndarray) -> list[float]:
@@ -252,8 +280,7 @@ def _features(r: np.ndarray) -> list[float]:
 def features(docs: DataFrame, table: DataFrame, base: float) -> DataFrame:
     """doc_id, __key, x (the text's features) for every row of ``docs``."""
     asked, kind = _asked(docs, table), docs.schema["doc_id"].dataType.simpleString()
-    none = F.lit(None)
-    schema = f"block long, part int, number long, key long, doc_id {kind}, n long, text binary"
+    schema = f"block long, part int, ids array<{kind}>, keys array<long>, sizes array<long>, text binary"
     id_type = docs.select("doc_id").limit(0).toArrow().schema.field("doc_id").type
 
     def packed(batches):
@@ -270,8 +297,8 @@ def features(docs: DataFrame, table: DataFrame, base: float) -> DataFrame:
             of, first = np.unique(block[order], return_index=True)
             blobs = [x.tobytes() for x in np.split(out, first[1:])]
             k = len(of)
-            return pa.RecordBatch.from_arrays([pa.array(of), pa.array(np.zeros(k, np.int32)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, id_type), pa.nulls(k, pa.int64()),
-                                               pa.array(blobs, pa.binary())], ["block", "part", "number", "key", "doc_id", "n", "text"])
+            return pa.RecordBatch.from_arrays([pa.array(of), pa.array(np.zeros(k, np.int32)), pa.nulls(k, pa.list_(id_type)), pa.nulls(k, pa.list_(pa.int64())), pa.nulls(k, pa.list_(pa.int64())),
+                                               pa.array(blobs, pa.binary())], ["block", "part", "ids", "keys", "sizes", "text"])
         for batch in batches:
             held.append(batch)
             n += batch.num_rows
@@ -282,29 +309,33 @@ def features(docs: DataFrame, table: DataFrame, base: float) -> DataFrame:
             yield flush()
     answers = (asked.where("part = 0").select("block", "number", "key").join(table, "key")
                .select("block", "number", F.col("a").cast("float").alias("a"), F.col("b").cast("float").alias("b")).mapInArrow(packed, schema))
-    texts = asked.where("part = 1").select(*[c.split()[0] for c in schema.split(", ")])
+    texts = asked.where("part > 0").select(*[c.split()[0] for c in schema.split(", ")])
 
     def run(groups):
         for _, t in groups:
-            answered = int(t.num_rows - pa.compute.sum(t.column("part")).as_py())
-            blobs, rows = t.slice(0, answered), t.slice(answered)
-            if not rows.num_rows:
-                continue
-            m = rows.column("number")[0].as_py() + 1
-            a, b, pair = np.zeros(m, np.float32), np.full(m, base, np.float32), np.full(m, np.nan, np.float32)
+            part = t.column("part").to_numpy()
+            blobs, (head,), rows = t.filter(part == 0), t.filter(part == 1).to_pylist(), t.filter(part == 2)
+            h, n_keys = head["sizes"]
+            hit = np.unpackbits(np.frombuffer(pa.decompress(head["text"], -(-n_keys // 8), "zstd", asbytes=True), np.uint8), count=n_keys).astype(bool)
+            number = np.where(hit, np.cumsum(hit), 0)
+            m = int(number.max(initial=0)) + 1
+            a, b, own = np.zeros(m, np.float32), np.full(m, base, np.float32), np.full(m, np.nan, np.float32)
             for blob in blobs.column("text"):
                 hits = np.frombuffer(blob.as_buffer(), _ANSWER)
                 at = hits["number"]
-                a[at] = pair[at] = hits["a"]
+                a[at] = own[at] = hits["a"]
                 b[at] = hits["b"]
-            x = []
-            for n, text in zip(rows.column("n").to_pylist(), rows.column("text").to_pylist(), strict=True):
-                c = np.frombuffer(pa.decompress(text, 4 * (2 * n + 1), "zstd", asbytes=True), np.uint32)
-                r = pair[c[n + 1:]]
-                x.append(_features(np.where(np.isnan(r), a[c[:n]] + b[c[1:n + 1]], r).astype(np.float64)))
+            per = [np.array(x, np.int64) for x in rows.column("sizes").to_pylist()]
+            sizes = np.concatenate(per)
+            flat = np.concatenate([_unplanes(x.as_py(), int(n.sum())) for x, n in zip(rows.column("text"), per, strict=True)])
+            _, pair, before = _pairs(flat, sizes, h)
+            r = own[number[h + pair]]
+            r = np.where(np.isnan(r), a[number[before]] + b[number[flat]], r).astype(np.float64)
+            ends = np.cumsum(sizes)
+            x = [_features(r[e - n:e]) for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
+            ids, keys = (pa.concat_arrays([c.flatten() for c in rows.column(k).chunks]) for k in ("ids", "keys"))
             for lo in range(0, len(x), 4096):
-                part = rows.slice(lo, 4096).combine_chunks()
-                yield pa.RecordBatch.from_arrays([*(part.column(c).combine_chunks() if part.column(c).num_chunks != 1 else part.column(c).chunk(0) for c in ("doc_id", "key")), pa.array(x[lo:lo + 4096], pa.list_(pa.float64()))], ["doc_id", "__key", "x"])
+                yield pa.RecordBatch.from_arrays([ids.slice(lo, 4096), keys.slice(lo, 4096), pa.array(x[lo:lo + 4096], pa.list_(pa.float64()))], ["doc_id", "__key", "x"])
     out = scratch(by_group(answers.unionByName(texts), ["block"], run, f"doc_id {kind}, __key long, x array<double>", order=["part"]), "toxic-features")
     discard(asked)
     return out
