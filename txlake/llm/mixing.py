@@ -1,18 +1,21 @@
 """Mixing sources to target weights, DataFrame functions only.
 
-The words of a source, in document order, are packed into blocks of
-``BLOCK_WORDS``. A source's target decides how many slots of the mix it fills;
-each slot is dealt to an output shard by a hash, so the counts a source has in
-the shards are one multinomial draw given its total. Slot number i of a source
-is pass ``i div blocks`` over its blocks; within a pass the number goes through
+The words of a source, in document order, are packed into blocks of equal
+length (``BLOCK_WORDS``, fewer in a source of under ``BLOCK_WORDS`` blocks, so
+that whole blocks come near any target). A source's target decides how many
+slots of the mix it fills. Each slot falls into one of ``SHARDS`` output shards,
+and only the counts are kept: one multinomial draw per source. A shard's slots
+of a source are then numbered through, shard after shard. Slot number i is pass
+``i div blocks`` over the source's blocks; within a pass the number goes through
 a pseudorandom permutation of the block indices (swap-or-not rounds, a
 bijection on any domain), so no block repeats before all were used, and none is
-taken more than twice. Blocks then join the slots by index.
+taken more than twice. Blocks then join the slots by index: which shard a block
+stands in is decided by the counts.
 
 Cases: null or wordless text has size 0 and is never taken; the null source is
 a source and comes last; documents of the same id and source stand in order of
-size and text hash; an empty table gives an empty result; extra columns do not
-matter.
+size and text hash, equal rows in any; very long texts reach over many blocks;
+an empty table gives an empty result; extra columns do not matter.
 """
 
 from __future__ import annotations
@@ -78,28 +81,51 @@ def permuted(index: Column, size: Column, *key: Column) -> Column:
     return F.aggregate(F.array(*[F.lit(r) for r in range(ROUNDS)]), index.cast("long"), swap)
 
 
-def slots(targets: DataFrame, seed: int = 17) -> DataFrame:
-    """sno, shard, slot, pass, block: every slot of the mix. The slots of a
-    large source are generated in runs, spread over the tasks."""
-    t = (targets.where("source_size > 0").withColumn("blocks", F.expr(f"(source_size + {BLOCK_WORDS - 1}) div {BLOCK_WORDS}"))
-         .withColumn("slots", F.least(F.round(F.col("target") * F.col("blocks") / F.col("source_size")).cast("long"), F.col("blocks") * int(MOST)))
+def block_words() -> Column:
+    """Words of a block of a source, by ``source_size``."""
+    return F.greatest(F.lit(1), F.least(F.lit(BLOCK_WORDS), F.expr(f"source_size div {BLOCK_WORDS}"))).cast("long")
+
+
+def _numbers(rows: DataFrame, start: Column, end: Column, name: str) -> DataFrame:
+    """A row per number from ``start`` up to ``end``, made in runs that are
+    spread over the tasks."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = (rows.withColumn("__end", end).withColumn("__from", F.explode(F.sequence(start, end - 1, F.lit(SLOT_RUN).cast("long"))))
+            .repartition(n, "sno", "__from"))
+    return runs.withColumn(name, F.explode(F.sequence("__from", F.least(F.col("__from") + SLOT_RUN, F.col("__end")) - 1))).drop("__from", "__end")
+
+
+def shard_counts(targets: DataFrame, seed: int = 17) -> DataFrame:
+    """sno, shard, blocks, first, n: how many slots of a shard each source
+    fills, drawn, and the number of the first of them."""
+    t = (targets.where("source_size > 0").withColumn("words", block_words())
+         .withColumn("blocks", F.expr("(source_size + words - 1) div words"))
+         .withColumn("slots", F.least(F.round(F.col("target") / F.col("words")).cast("long"), F.col("blocks") * int(MOST)))
          .where("slots > 0").select("sno", "blocks", "slots"))
-    runs = (t.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(SLOT_RUN).cast("long"))))
-            .repartition(int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions")), "sno", "from"))
-    each = runs.select("sno", "blocks", F.explode(F.sequence("from", F.least(F.col("from") + SLOT_RUN, F.col("slots")) - 1)).alias("slot"))
+    zero = F.lit(0).cast("long")
+    drawn = (_numbers(t, zero, F.col("slots"), "draw")
+             .groupBy("sno", "blocks", F.pmod(F.xxhash64(F.lit(seed), F.lit("shard"), "sno", "draw"), F.lit(SHARDS)).alias("shard"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    # at most SHARDS rows a source
+    before = Window.partitionBy("sno").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    return scratch(drawn.withColumn("first", F.coalesce(F.sum("n").over(before), zero)), "mix-shards")
+
+
+def slots(targets: DataFrame, seed: int = 17) -> DataFrame:
+    """sno, shard, slot, pass, block: every slot of the mix."""
+    each = _numbers(shard_counts(targets, seed), F.col("first"), F.col("first") + F.col("n"), "slot")
     index = F.col("slot") - F.col("pass") * F.col("blocks")
     return (each.withColumn("pass", F.expr("slot div blocks"))
-            .withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), F.lit("shard"), "sno", "slot"), F.lit(SHARDS)))
             .withColumn("block", permuted(index, F.col("blocks"), F.lit(seed), F.col("sno"), F.col("pass")))
             .select("sno", "shard", "slot", "pass", "block"))
 
 
 def pieces(placed: DataFrame) -> DataFrame:
     """One row per document and block it reaches into: from_word, n."""
-    p = placed.withColumn("block", F.explode(F.sequence(
-        F.expr(f"first div {BLOCK_WORDS}"), F.expr(f"(first + size - 1) div {BLOCK_WORDS}"))))
-    begin = F.greatest(F.col("block") * BLOCK_WORDS, F.col("first"))
-    end = F.least((F.col("block") + 1) * BLOCK_WORDS, F.col("first") + F.col("size"))
+    p = placed.withColumn("words", block_words()).withColumn("block", F.explode(F.sequence(
+        F.expr("first div words"), F.expr("(first + size - 1) div words"))))
+    begin = F.greatest(F.col("block") * F.col("words"), F.col("first"))
+    end = F.least((F.col("block") + 1) * F.col("words"), F.col("first") + F.col("size"))
     return p.select("sno", "block", "first", "doc_id", "__key", "size", (begin - F.col("first")).alias("from_word"), (end - begin).alias("n"))
 
 
@@ -120,13 +146,16 @@ def mix(docs: DataFrame, seed: int = 17) -> tuple[DataFrame, DataFrame, DataFram
 
 
 def mix_report(docs: DataFrame, seed: int = 17) -> DataFrame:
-    """doc_id, size, source_size, target, taken of every row of ``docs``."""
+    """doc_id, size, source_size, target, taken, shards (output shards with
+    words of it) of every row of ``docs``."""
     rows, placed, drawn = mix(docs, seed)
-    sums = drawn.groupBy("sno", "first").agg(F.sum("n").alias("taken"))
+    # a document in many blocks is summed by shard first
+    sums = (drawn.groupBy("sno", "first", "shard").agg(F.sum("n").alias("n"))
+            .groupBy("sno", "first").agg(F.sum("n").alias("taken"), F.count(F.lit(1)).alias("shards")))
     none = F.lit(0).cast("long")
     cols = ["doc_id", "size", "source_size", "target"]
-    return (placed.join(sums, ["sno", "first"], "left").select(*cols, F.coalesce("taken", none).alias("taken"))
-            .unionByName(rows.where("size = 0").select(*cols, none.alias("taken"))))
+    return (placed.join(sums, ["sno", "first"], "left").select(*cols, F.coalesce("taken", none).alias("taken"), F.coalesce("shards", none).alias("shards"))
+            .unionByName(rows.where("size = 0").select(*cols, none.alias("taken"), none.alias("shards"))))
 
 
 def mix_documents(docs: DataFrame, seed: int = 17) -> DataFrame:
