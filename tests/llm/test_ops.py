@@ -385,6 +385,23 @@ def test_language(spark, docs, empty):
     assert langid.language(docs).count() == docs.count() and langid.language(empty).count() == 0
 
 
+def test_long_words_are_read_whole():
+    a, b = "x" * 47 + "q" + "x" * 48, "x" * 47 + "z" + "x" * 48
+    assert "".join(langid.letter_words(a)) == a and max(map(len, langid.letter_words(a))) <= langid.LONGEST
+    fa, fb = (langid.word_features(langid.letter_words(w)) for w in (a, b))
+    assert fa.shape == fb.shape and (fa != fb).any()
+
+
+def test_a_long_text_takes_no_other_rows_place(spark):
+    # one huge text of a language before many short ones that look otherwise
+    rng = np.random.default_rng(14)
+    rows = [(0, "zzyzx qqkx " * 200_000, "aa")]
+    rows += [(i, " ".join(rng.choice(["bone", "tale", "mare", "sole"], 30)), "aa") for i in range(1, 200)]
+    rows += [(1000 + i, " ".join(rng.choice(["būtų", "ąžuol", "šių", "čia"], 30)), "bb") for i in range(200)]
+    got = {r.doc_id: r for r in langid.language(spark.createDataFrame([*rows, (5000, "bonemaretalesole" * 40, None)], "doc_id long, text string, lang string")).collect()}
+    assert all(got[i].lang_pred == x for i, _, x in rows) and got[5000].lang_pred == "aa"
+
+
 def test_marginals_agree_with_plain_forward_backward():
     rng = np.random.default_rng(3)
     crf = langid.Crf(["a", "b", "c"], np.zeros((1, 3)), np.zeros((1, 3)), np.zeros(3), rng.normal(size=(3, 3)), rng.normal(size=3))

@@ -35,7 +35,10 @@ HELD_OUT = 2
 FEATURES = 1 << 16
 BUCKETS = 1 << 17
 FIT_ROWS = 300
-FIT_WORDS = 120_000
+#: Words of the passage that a sampled row gives, from a place its hash chooses.
+FIT_PASSAGE = 400
+#: Letters of a word; a longer run of letters is read in pieces.
+LONGEST = 32
 EPOCHS = 40
 BLOCK = 64
 #: Words whose emissions a task remembers.
@@ -46,21 +49,23 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 
 def letter_words(text: str | None) -> list[str]:
     found = _LETTERS.findall(text.lower()) if text else []
-    return found if any(any(map(str.isalpha, w)) for w in found) else []
+    if not any(any(map(str.isalpha, w)) for w in found):
+        return []
+    if max(map(len, found)) <= LONGEST:
+        return found
+    return [w[i:i + LONGEST] for w in found for i in range(0, len(w), LONGEST)]
 
 
 def word_features(tokens: list[str]) -> np.ndarray:
     """(words, features) hashed ids of prefixes and suffixes of one to three
-    letters and of letter bigrams and trigrams; 0 stands for none. Of a word
-    over 32 letters the first and last 16 count."""
-    short = [w if len(w) <= 32 else w[:16] + w[-16:] for w in tokens]
-    wide = max(4, max(map(len, short), default=0))
-    c = np.array(short, f"U{wide}").view(np.uint32).reshape(len(short), wide).astype(np.uint64)
+    letters and of letter bigrams and trigrams; 0 stands for none."""
+    wide = max(4, max(map(len, tokens), default=0))
+    c = np.array(tokens, f"U{wide}").view(np.uint32).reshape(len(tokens), wide).astype(np.uint64)
     n = (c > 0).sum(axis=1)
-    rows, out = np.arange(len(short)), []
+    rows, out = np.arange(len(tokens)), []
 
     def add(kind: int, chars: list[np.ndarray], ok: np.ndarray) -> None:
-        h = np.full(len(short), kind, np.uint64)
+        h = np.full(len(tokens), kind, np.uint64)
         for x in chars:
             h = mix64(h * np.uint64(0x10001) + x + np.uint64(1))
         out.append(np.where(ok, 1 + h % np.uint64(FEATURES - 1), 0))
@@ -193,7 +198,7 @@ def _sequences(sample: pd.DataFrame, langs: list[str], size: int = 128, seed: in
     rng = np.random.default_rng(seed)
     pools = []
     for x in langs:
-        pool = [w for t in sample.loc[sample["lang"] == x, "text"] for w in letter_words(t)][:FIT_WORDS]
+        pool = [w for t in sample.loc[sample["lang"] == x, "text"] for w in t.split(" ")]
         pools.append(pool or ["?"])
     seqs, tags = [], []
     for _ in range(min(800, max(40, sum(map(len, pools)) // size))):
@@ -274,8 +279,19 @@ def train(docs: DataFrame) -> Crf:
     own = Window.partitionBy("lang").orderBy("o")
     picked = scratch(rows.select("lang", "doc_id", order.alias("o")).withColumn("r", F.row_number().over(own)).where(F.col("r") <= FIT_ROWS).drop("r"), "langid-picked")
     langs = sorted(r["lang"] for r in picked.select("lang").distinct().collect())
-    sample = (rows.withColumn("o", order).join(F.broadcast(picked.select("o", F.col("lang").alias("l"))), "o")
-              .where("lang = l").orderBy("lang", "o", "doc_id").select("lang", "text").toPandas())
+
+    def passages(batches):
+        for batch in batches:
+            out = []
+            for text, o in zip(batch.column("text").to_pylist(), batch.column("o").to_pylist(), strict=True):
+                found = letter_words(text)
+                at = o % max(1, len(found) - FIT_PASSAGE + 1)
+                out.append(" ".join(found[at:at + FIT_PASSAGE]))
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("o"), pa.array(out, pa.string())], ["lang", "o", "text"])
+    # the words are cut out where the texts are: FIT_ROWS passages a language reach the driver
+    sample = (rows.withColumn("o", order).join(F.broadcast(picked.select("o", F.col("lang").alias("l"))), "o").where("lang = l")
+              .select("lang", "o", "text").mapInArrow(passages, "lang string, o long, text string")
+              .where("text <> ''").orderBy("lang", "o", "text").toPandas())
     return fit(sample, langs, count_lexicon(rows, langs) if langs else np.zeros((BUCKETS, 0)))
 
 
