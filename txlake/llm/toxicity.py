@@ -22,9 +22,9 @@ No part of the model is bounded: all bigram, context and continuation counts
 are tables keyed by 64-bit hashes, and so is what follows from them, the log
 ratio of every bigram, context and word that has one of its own. Texts are cut
 into blocks of about ``BLOCK_WORDS`` words; a block asks the table once for each
-of its distinct words and bigrams, and the answers meet the block's texts. A
-Bloom filter spares it asking for what the table does not have. The logistic
-fit reads all its rows, in Spark.
+of its distinct words and bigrams, its keys packed by key range, and the packed
+answers meet the block's texts. A Bloom filter spares it asking for what the
+table does not have. The logistic fit reads all its rows, in Spark.
 
 Cases: null and empty texts score like a text without evidence; labels with a
 null doc_id or null class teach nothing; several labels of a document count as
@@ -62,6 +62,10 @@ PRIOR = 200.0
 TOP = 4
 #: Words of the texts that are looked up, or counted, together.
 BLOCK_WORDS = 1 << 20
+COUNT_WORDS = 1 << 18
+#: Rows of the model in one key range, about; and the fewest ranges.
+RANGE_ROWS = 1 << 17
+RANGES = 16
 #: Stands before a text's first word.
 START = 1
 #: Words of a row of texts.
@@ -73,7 +77,8 @@ class _Block:
     """Texts as runs of word numbers, and the 64-bit hashes of the words; the
     last number is that of ``START``."""
 
-    def __init__(self):
+    def __init__(self, size: int):
+        self.size = size
         self.codes: defaultdict = defaultdict()
         self.codes.default_factory = self.codes.__len__
         self.runs: list[np.ndarray] = []
@@ -86,7 +91,7 @@ class _Block:
         self.runs.append(np.fromiter(map(self.codes.__getitem__, found), np.int64, len(found)))
         self.rows.append(row)
         self.n += len(found)
-        return self.n >= BLOCK_WORDS or len(self.rows) >= BLOCK_WORDS // 16
+        return self.n >= self.size or len(self.rows) >= self.size // 16
 
     def close(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(hashes, sizes, word number, number of the word before)"""
@@ -98,13 +103,13 @@ class _Block:
         return np.array([*h, START], np.uint64), sizes, flat, before
 
 
-def _blocks(batches, columns):
-    block = _Block()
+def _blocks(batches, columns, size):
+    block = _Block(size)
     for batch in batches:
         for text, *row in zip(batch.column("text").to_pylist(), *(batch.column(c).to_pylist() for c in columns), strict=True):
             if block.add(text, *row):
                 yield block
-                block = _Block()
+                block = _Block(size)
     if block.rows:
         yield block
 
@@ -136,7 +141,7 @@ def count_bigrams(rows: DataFrame) -> DataFrame:
     """v, w, n0, n1, d0, d1: occurrences of each bigram in ordinary and toxic
     rows, and rows that have it."""
     def run(batches):
-        for block in _blocks(batches, ["toxic"]):
+        for block in _blocks(batches, ["toxic"], COUNT_WORDS):
             h, sizes, flat, before = block.close()
             toxic, row = np.array([bool(r[0]) for r in block.rows]), np.repeat(np.arange(len(sizes)), sizes)
             pairs, at = np.unique(before * len(h) + flat, return_inverse=True)
@@ -200,15 +205,17 @@ def model(counts: DataFrame) -> tuple[DataFrame, float]:
     return out, base
 
 
-def _planes(codes: np.ndarray) -> bytes:
-    """Word numbers as bytes: all first bytes, all second ones and so on, which
-    pack well where small numbers are the common words."""
-    return pa.compress(np.ascontiguousarray(codes.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes(), "zstd", asbytes=True)
+def _planes(records: np.ndarray) -> bytes:
+    """Records as bytes: all first bytes, all second ones and so on, which pack
+    well where some bytes are small or alike."""
+    return pa.compress(np.ascontiguousarray(records.view(np.uint8).reshape(len(records), -1).T).tobytes(), "zstd", asbytes=True) if len(records) else b""
 
 
-def _unplanes(data: bytes, n: int) -> np.ndarray:
-    flat = np.frombuffer(pa.decompress(data, 4 * n, "zstd", asbytes=True), np.uint8)
-    return np.ascontiguousarray(flat.reshape(4, n).T).view(np.uint32).ravel().astype(np.int64)
+def _unplanes(data: bytes, n: int, kind) -> np.ndarray:
+    if n == 0:
+        return np.zeros(0, kind)
+    flat = np.frombuffer(pa.decompress(data, np.dtype(kind).itemsize * n, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(flat.reshape(-1, n).T).view(kind).ravel()
 
 
 def _pairs(flat: np.ndarray, sizes: np.ndarray, h: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -221,12 +228,13 @@ def _pairs(flat: np.ndarray, sizes: np.ndarray, h: int) -> tuple[np.ndarray, np.
     return pairs, pair, before
 
 
-def _asked(docs: DataFrame, table: DataFrame) -> DataFrame:
-    """Blocks of texts. Part 0 asks for keys, each under a number of its block;
+def _asked(docs: DataFrame, table: DataFrame, ranges: int) -> DataFrame:
+    """Blocks of texts. Part 0 asks for the keys of one range, each under a
+    number of its block (``sizes``: how many, and the bytes of the numbers);
     part 1 says which of the block's words and bigrams asked; part 2 are the
     texts as word numbers, about ``CHUNK_WORDS`` words a row."""
     may, kind = bloom_filter(table, "key").func, docs.schema["doc_id"].dataType.simpleString()
-    names = ["block", "part", "number", "key", "ids", "keys", "sizes", "text"]
+    names = ["block", "part", "range", "ids", "keys", "sizes", "text"]
 
     def run(batches):
         at, id_type = TaskContext.get().partitionId() << 32, None
@@ -236,7 +244,7 @@ def _asked(docs: DataFrame, table: DataFrame) -> DataFrame:
             for batch in batches:
                 id_type = batch.schema.field("doc_id").type
                 yield batch
-        for block in _blocks(seen(batches), ["doc_id", "__key"]):
+        for block in _blocks(seen(batches), ["doc_id", "__key"], BLOCK_WORDS):
             h, sizes, flat, _ = block.close()
             # common words first; START, which is no text's word, stays last
             order = np.argsort(-np.bincount(flat, minlength=len(h)), kind="stable")
@@ -248,24 +256,29 @@ def _asked(docs: DataFrame, table: DataFrame) -> DataFrame:
             hit = may(pd.Series(keys)).to_numpy(bool)
             asked = keys[hit]
 
-            def batch(part, number, key=None, ids=None, of=None, size=None, text=None, at=at):
-                k = len(number)
+            def batch(part, of_range, ids=None, of=None, size=None, text=None, at=at):
+                k = len(of_range)
                 values = [pa.nulls(k, t) if x is None else pa.array(x, t) for x, t in (
-                    (key, pa.int64()), (ids, pa.list_(id_type)), (of, pa.list_(pa.int64())), (size, pa.list_(pa.int64())), (text, pa.binary()))]
-                return pa.RecordBatch.from_arrays([pa.array(np.full(k, at)), pa.array(np.full(k, part, np.int32)), pa.array(number, pa.int64()), *values], names)
-            for a in range(0, len(asked), 65536):
-                yield batch(0, np.arange(a + 1, a + 1 + len(asked[a:a + 65536])), key=asked[a:a + 65536])
-            yield batch(1, [len(asked)], size=[[len(h), len(hit)]], text=[pa.compress(np.packbits(hit).tobytes(), "zstd", asbytes=True)])
+                    (ids, pa.list_(id_type)), (of, pa.list_(pa.int64())), (size, pa.list_(pa.int64())), (text, pa.binary()))]
+                return pa.RecordBatch.from_arrays([pa.array(np.full(k, at)), pa.array(np.full(k, part, np.int32)), pa.array(of_range, pa.int32()), *values], names)
+            # a range's keys in the order of their numbers, which are differences
+            of_key = (asked.view(np.uint64) >> np.uint64(64 - ranges.bit_length() + 1)).astype(np.int64)
+            order = np.argsort(of_key, kind="stable")
+            found, first = np.unique(of_key[order], return_index=True)
+            for r, at_range in zip(found.tolist(), np.split(order, first[1:]), strict=True):
+                steps = _planes(np.diff(at_range + 1, prepend=0).astype(np.uint32))
+                yield batch(0, [r], size=[[len(at_range), len(steps)]], text=[steps + asked[at_range].tobytes()])
+            yield batch(1, [0], size=[[len(h), len(hit)]], text=[pa.compress(np.packbits(hit).tobytes(), "zstd", asbytes=True)])
             ends = np.cumsum(sizes)
             a = 0
             while a < len(sizes):
                 b = max(a + 1, int(np.searchsorted(ends, ends[a] - sizes[a] + CHUNK_WORDS)))
                 rows = block.rows[a:b]
-                yield batch(2, [a], ids=[[r[0] for r in rows]], of=[[r[1] for r in rows]], size=[sizes[a:b].tolist()], text=[_planes(flat[ends[a] - sizes[a]:ends[b - 1]])])
+                yield batch(2, [0], ids=[[r[0] for r in rows]], of=[[r[1] for r in rows]], size=[sizes[a:b].tolist()], text=[_planes(flat[ends[a] - sizes[a]:ends[b - 1]].astype(np.uint32))])
                 a = b
             at += 1
     rows = docs.select("doc_id", row_key().alias("__key"), "text")
-    return scratch(rows.mapInArrow(run, f"block long, part int, number long, key long, ids array<{kind}>, keys array<long>, sizes array<long>, text binary"), "toxic-asked")
+    return scratch(rows.mapInArrow(run, f"block long, part int, range int, ids array<{kind}>, keys array<long>, sizes array<long>, text binary"), "toxic-asked")
 
 
 def _features(r: np.ndarray) -> list[float]:
@@ -279,36 +292,52 @@ def _features(r: np.ndarray) -> list[float]:
 
 def features(docs: DataFrame, table: DataFrame, base: float) -> DataFrame:
     """doc_id, __key, x (the text's features) for every row of ``docs``."""
-    asked, kind = _asked(docs, table), docs.schema["doc_id"].dataType.simpleString()
+    ranges = RANGES
+    while ranges * RANGE_ROWS < table.count():
+        ranges *= 2
+    asked, kind = _asked(docs, table, ranges), docs.schema["doc_id"].dataType.simpleString()
     schema = f"block long, part int, ids array<{kind}>, keys array<long>, sizes array<long>, text binary"
     id_type = docs.select("doc_id").limit(0).toArrow().schema.field("doc_id").type
 
-    def packed(batches):
-        """A row per block for many answers: their numbers and log ratios as bytes."""
-        held, n = [], 0
-
-        def flush():
-            t = pa.Table.from_batches(held)
-            block = t.column("block").to_numpy()
-            order = np.argsort(block, kind="stable")
-            out = np.empty(len(block), _ANSWER)
-            for c in _ANSWER.names:
-                out[c] = t.column(c).to_numpy()[order]
-            of, first = np.unique(block[order], return_index=True)
-            blobs = [x.tobytes() for x in np.split(out, first[1:])]
-            k = len(of)
-            return pa.RecordBatch.from_arrays([pa.array(of), pa.array(np.zeros(k, np.int32)), pa.nulls(k, pa.list_(id_type)), pa.nulls(k, pa.list_(pa.int64())), pa.nulls(k, pa.list_(pa.int64())),
-                                               pa.array(blobs, pa.binary())], ["block", "part", "ids", "keys", "sizes", "text"])
+    def answered(batches):
+        """A range's part of the table, sorted, then what blocks ask of it."""
+        held, own, known = [], None, None
         for batch in batches:
-            held.append(batch)
-            n += batch.num_rows
-            if n >= 1 << 18:
-                yield flush()
-                held, n = [], 0
-        if n:
-            yield flush()
-    answers = (asked.where("part = 0").select("block", "number", "key").join(table, "key")
-               .select("block", "number", F.col("a").cast("float").alias("a"), F.col("b").cast("float").alias("b")).mapInArrow(packed, schema))
+            of, asks = batch.column("range").to_numpy(), batch.column("asks").to_numpy(zero_copy_only=False)
+            cut = np.flatnonzero((np.diff(of) != 0) | (np.diff(asks.astype(np.int8)) != 0)) + 1
+            for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(of)], strict=True):
+                if a == b:
+                    continue
+                if own != of[a]:
+                    held, own, known = [], of[a], None
+                part = batch.slice(a, b - a)
+                if not asks[a]:
+                    held.append([part.column(c).to_numpy(zero_copy_only=False) for c in ("key", "a", "b")])
+                    continue
+                if known is None:
+                    known = [np.concatenate(x) for x in zip(*held, strict=True)] or [np.zeros(0, np.int64)] + [np.zeros(0)] * 2
+                key, log_a, log_b = known
+                blocks, sizes, texts = [], [], []
+                for block, (n, size), text in zip(*(part.column(c).to_pylist() for c in ("block", "sizes", "text")), strict=True):
+                    number = np.cumsum(_unplanes(text[:size], n, np.uint32), dtype=np.int64)
+                    ask = np.frombuffer(text, np.int64, n, size)
+                    at = np.minimum(np.searchsorted(key, ask), max(len(key) - 1, 0))
+                    hit = np.flatnonzero(key[at] == ask) if len(key) else np.zeros(0, np.int64)
+                    if len(hit):
+                        out = np.empty(len(hit), _ANSWER)
+                        out["number"], out["a"], out["b"] = np.diff(number[hit], prepend=0), log_a[at[hit]], log_b[at[hit]]
+                        blocks.append(block)
+                        sizes.append([len(hit)])
+                        texts.append(_planes(out))
+                k = len(blocks)
+                yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(np.zeros(k, np.int32)), pa.nulls(k, pa.list_(id_type)), pa.nulls(k, pa.list_(pa.int64())),
+                                                  pa.array(sizes, pa.list_(pa.int64())), pa.array(texts, pa.binary())], ["block", "part", "ids", "keys", "sizes", "text"])
+    none = F.lit(None)
+    rows = table.select(F.shiftrightunsigned("key", 64 - ranges.bit_length() + 1).cast("int").alias("range"), F.lit(False).alias("asks"), "key", "a", "b",
+                        none.cast("long").alias("block"), none.cast("array<long>").alias("sizes"), none.cast("binary").alias("text"))
+    asks = asked.where("part = 0").select("range", F.lit(True).alias("asks"), none.cast("long").alias("key"), none.cast("double").alias("a"), none.cast("double").alias("b"), "block", "sizes", "text")
+    answers = (rows.unionByName(asks).repartitionById(ranges, "range").sortWithinPartitions("range", "asks", "key")
+               .mapInArrow(answered, schema))
     texts = asked.where("part > 0").select(*[c.split()[0] for c in schema.split(", ")])
 
     def run(groups):
@@ -320,14 +349,14 @@ def features(docs: DataFrame, table: DataFrame, base: float) -> DataFrame:
             number = np.where(hit, np.cumsum(hit), 0)
             m = int(number.max(initial=0)) + 1
             a, b, own = np.zeros(m, np.float32), np.full(m, base, np.float32), np.full(m, np.nan, np.float32)
-            for blob in blobs.column("text"):
-                hits = np.frombuffer(blob.as_buffer(), _ANSWER)
-                at = hits["number"]
+            for blob, (k,) in zip(blobs.column("text"), blobs.column("sizes").to_pylist(), strict=True):
+                hits = _unplanes(blob.as_py(), k, _ANSWER)
+                at = np.cumsum(hits["number"], dtype=np.int64)
                 a[at] = own[at] = hits["a"]
                 b[at] = hits["b"]
             per = [np.array(x, np.int64) for x in rows.column("sizes").to_pylist()]
             sizes = np.concatenate(per)
-            flat = np.concatenate([_unplanes(x.as_py(), int(n.sum())) for x, n in zip(rows.column("text"), per, strict=True)])
+            flat = np.concatenate([_unplanes(x.as_py(), int(n.sum()), np.uint32).astype(np.int64) for x, n in zip(rows.column("text"), per, strict=True)])
             _, pair, before = _pairs(flat, sizes, h)
             r = own[number[h + pair]]
             r = np.where(np.isnan(r), a[number[before]] + b[number[flat]], r).astype(np.float64)
