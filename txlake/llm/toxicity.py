@@ -88,28 +88,33 @@ class _Block:
     def add(self, text: str | None, *row) -> bool:
         """Takes a text; True when the block is full."""
         found = words(text)
-        self.runs.append(np.fromiter(map(self.codes.__getitem__, found), np.int64, len(found)))
+        self.runs.append(np.fromiter(map(self.codes.__getitem__, found), np.int32, len(found)))
         self.rows.append(row)
         self.n += len(found)
         return self.n >= self.size or len(self.rows) >= self.size // 16
 
     def close(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(hashes, sizes, word number, number of the word before)"""
-        h = [int.from_bytes(blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") for w in self.codes]
-        sizes = np.array([len(r) for r in self.runs], np.int64)
-        flat = np.concatenate([*self.runs, np.zeros(0, np.int64)])
+        """(hashes, sizes, word number, number of the word before). The block's
+        strings and runs are let go first: what follows needs the memory."""
+        h = np.fromiter((int.from_bytes(blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") for w in self.codes), np.uint64, len(self.codes))
+        self.codes.clear()
+        sizes = np.fromiter(map(len, self.runs), np.int64, len(self.runs))
+        flat = np.concatenate([*self.runs, np.zeros(0, np.int32)]).astype(np.int64)
+        self.runs.clear()
         before = np.concatenate([[0], flat[:-1]])[:len(flat)]
         before[(np.cumsum(sizes) - sizes)[sizes > 0]] = len(h)
-        return np.array([*h, START], np.uint64), sizes, flat, before
+        return np.append(h, np.uint64(START)), sizes, flat, before
 
 
 def _blocks(batches, columns, size):
     block = _Block(size)
     for batch in batches:
-        for text, *row in zip(batch.column("text").to_pylist(), *(batch.column(c).to_pylist() for c in columns), strict=True):
-            if block.add(text, *row):
-                yield block
-                block = _Block(size)
+        for a in range(0, batch.num_rows, 256):
+            part = batch.slice(a, 256)
+            for text, *row in zip(part.column("text").to_pylist(), *(part.column(c).to_pylist() for c in columns), strict=True):
+                if block.add(text, *row):
+                    yield block
+                    block = _Block(size)
     if block.rows:
         yield block
 
@@ -251,10 +256,11 @@ def _asked(docs: DataFrame, table: DataFrame, ranges: int) -> DataFrame:
             rank = np.empty(len(h), np.int64)
             rank[order] = np.arange(len(h))
             h, flat = h[order], rank[flat]
-            pairs, _, _ = _pairs(flat, sizes, len(h))
+            pairs = _pairs(flat, sizes, len(h))[0]
             keys = np.concatenate([h, bigram_key(h[pairs // len(h)], h[pairs % len(h)])]).view(np.int64)
-            hit = may(pd.Series(keys)).to_numpy(bool)
+            hit = np.concatenate([may(pd.Series(keys[i:i + 65536])).to_numpy(bool) for i in range(0, len(keys), 65536)])
             asked = keys[hit]
+            del keys, pairs, rank, order
 
             def batch(part, of_range, ids=None, of=None, size=None, text=None, at=at):
                 k = len(of_range)
