@@ -37,7 +37,7 @@ END_ID = 1
 #: The linear program ends when no pattern promises more than this share.
 GAP = 2e-4
 #: Strings whose ids a worker remembers, and the characters of the longest.
-REMEMBER = 500_000
+REMEMBER = 700_000
 LONGEST = 64
 #: Bytes of text that are cut at once.
 RUN = 4 << 20
