@@ -565,3 +565,23 @@ def test_toxicity_without_a_class_to_fit_on(spark):
     # no toxic text teaches the models: no evidence, no score
     none = spark.createDataFrame([x for x in labels if not x[1]], "doc_id long, toxic int")
     assert {g.score for g in toxicity.toxicity(table, none).collect()} == {0.0}
+
+
+def test_matches_of_all_shared_seeds(docs, monkeypatch):
+    """Small blocks and many ranges: every occurrence of a seed that two
+    documents have is matched, with the least or the greatest of them."""
+    monkeypatch.setattr(substrings, "BLOCK_WORDS", 700)
+    monkeypatch.setattr(substrings, "RANGE_SEEDS", 300)
+    runs, names = substrings._matches(docs)
+    key = {r.k: r.key for r in names.collect()}
+    text = {r.key: common.words(r.text) for r in docs.select(common.row_key().alias("key"), "text").collect()}
+    assert sorted(key.values()) == sorted(k for k, w in text.items() if len(w) >= substrings.K)
+    number = {v: k for k, v in key.items()}
+    at = defaultdict(lambda: defaultdict(set))
+    for k in key.values():
+        for p, h in zip(*(x.tolist() for x in substrings.seeds_of(text[k])), strict=True):
+            at[h][number[k]].add(p)
+    want = {(k, p): {(o, q) for o in {min(of) if min(of) != k else max(of)} for q in of[o]}
+            for of in at.values() if len(of) > 1 for k, ps in of.items() for p in ps}
+    got = [((r.k, r.pos + i), (r.anchor, r.apos + i)) for r in runs.collect() for i in range(r.n)]
+    assert len(got) == len(want) == len(dict(got)) and all(b in want[a] for a, b in got)

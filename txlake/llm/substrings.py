@@ -2,10 +2,12 @@
 
 1. Seeds: every run of ``K`` words, so equal runs of ``K`` words always share
    one, however often a passage is changed elsewhere.
-2. Every seed occurrence is joined with one anchor, the occurrence in the
-   document of least key that has it (that document's own occurrences with the
-   document of largest key), so the number of matches is that of the
-   occurrences, however common a passage is.
+2. Every seed occurrence is joined with one anchor, the occurrence in the least
+   document that has it (that document's own occurrences with the greatest), so
+   the number of matches is that of the occurrences, however common a passage
+   is. Blocks of texts name their distinct seeds packed by range of hashes, the
+   ranges answer with the anchors of those that another document has, and only
+   these become rows: one for each run of matches on one diagonal.
 3. The matches of a document with an anchor document are chained: increasing
    in both texts, gaps costing ``GAP_COST`` a word, the best predecessor found
    in a Fenwick tree of prefix maxima.
@@ -26,10 +28,11 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txlake.llm.common import bloom_filter, by_group, grams, mix64, row_key, scratch, word_hashes, words
+from txlake.llm.common import bloom_filter, by_group, discard, grams, mix64, row_key, scratch, word_hashes, words
 
 K = 5
 #: Of neighbouring equal runs (one word over and over) one in so many is a seed.
@@ -47,6 +50,17 @@ NEAR = 8
 #: row, whose words are read once: a line repeated all over a document asks for
 #: its surroundings once, not at every repeat.
 REGION = 256
+#: Words of the texts whose seeds are named together; seeds of one range of
+#: hashes, about, and the fewest ranges; characters of a word, about.
+BLOCK_WORDS = 1 << 20
+RANGE_SEEDS = 1 << 19
+RANGES = 16
+CHARS = 6
+#: Bytes by which a range tells its seeds apart: with the range's size fixed, one
+#: in some two million seeds is taken for another, whatever the table's size.
+TAIL = 5
+_COLUMNS = ("block", "base", "part", "range", "n", "m", "a", "b", "c", "d", "e", "f")
+_SCHEMA = "block long, base long, part int, range int, n int, m int, a binary, b binary, c binary, d binary, e binary, f binary"
 #: Span requests of one document answered by one reading of its text.
 REQUESTS = 256
 
@@ -62,23 +76,198 @@ def seeds_of(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return at, h[at]
 
 
-def _seeds(docs: DataFrame) -> DataFrame:
+def _once(docs: DataFrame) -> DataFrame:
+    """key, text: rows equal in id and text once. Only rows whose key stands
+    twice, found on keys alone, are shuffled with their texts."""
+    keyed = docs.select(row_key().alias("key"), "text")
+    twice = scratch(keyed.groupBy("key").count().where("count > 1").select("key"), "sub-twice")
+    if twice.isEmpty():
+        return keyed
+    may = bloom_filter(twice, "key")
+    return keyed.where(~may("key")).unionByName(keyed.where(may("key")).dropDuplicates(["key"]))
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """Whole numbers below 2^32: all first bytes, all second ones and so on."""
+    return pa.compress(np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), "zstd", asbytes=True) if len(values) else b""
+
+
+def _unpack(data: bytes, n: int) -> np.ndarray:
+    if n == 0:
+        return np.zeros(0, np.int64)
+    flat = np.frombuffer(pa.decompress(data, 4 * n, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(flat.reshape(4, n).T).view("<u4").ravel().astype(np.int64)
+
+
+def _pack_places(doc: np.ndarray, pos: np.ndarray) -> tuple[bytes, bytes]:
+    """Places in reading order, as steps."""
+    step = np.diff(doc, prepend=0)
+    return _pack(step), _pack(np.where(step == 0, np.diff(pos, prepend=0), pos))
+
+
+def _unpack_places(doc: bytes, pos: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    step, p = _unpack(doc, n), _unpack(pos, n)
+    sums = np.cumsum(p)
+    new = step != 0
+    # a document's first position is given whole
+    base = np.maximum.accumulate(np.where(new, np.arange(n), 0)) if n else np.zeros(0, np.int64)
+    return np.cumsum(step), sums - (sums[base] - p[base])
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), *[pa.binary()] * 6)
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], list(_COLUMNS))
+
+
+def _block_rows(block: int, base: int, keys: list[int], found: list[tuple[np.ndarray, np.ndarray]], ranges: int):
+    """A block's rows of ``_asked``."""
+    doc = np.repeat(np.arange(len(found)), [len(at) for at, _ in found])
+    pos, h = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+    seeds, first, number = np.unique(h, return_index=True, return_inverse=True)
+    last = len(h) - 1 - np.unique(h[::-1], return_index=True)[1]
+    bits = np.uint64(ranges.bit_length() - 1)
+    of = (seeds >> (np.uint64(64) - bits)).astype(np.int64)
+    order = np.lexsort((first, of))
+    starts = np.searchsorted(of, np.arange(ranges + 1))
+    entry = np.empty(len(seeds), np.int64)
+    entry[order] = np.arange(len(seeds)) - starts[of[order]]
+    tail = np.ascontiguousarray(((seeds << bits) >> np.uint64(64 - 8 * TAIL)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :TAIL])
+    again = np.flatnonzero(np.arange(len(h)) != first[number])
+    again = again[np.lexsort((again, of[number[again]]))]
+    cuts = np.searchsorted(of[number[again]], np.arange(ranges + 1))
+    yield block, base, 2, 0, len(keys), 0, np.array(keys, "<i8").tobytes(), b"", b"", b"", b"", b""
+    for r in range(ranges):
+        o = order[starts[r]:starts[r + 1]]
+        if len(o) == 0:
+            continue
+        more = o[doc[last[o]] != doc[first[o]]]
+        yield (block, base, 0, r, len(o), len(more), *_pack_places(doc[first[o]], pos[first[o]]), tail[o].tobytes(),
+               _pack(np.diff(entry[more], prepend=0)), _pack(doc[last[more]]), _pack(pos[last[more]]))
+        m = again[cuts[r]:cuts[r + 1]]
+        if len(m):
+            yield block, base, 1, r, len(m), 0, *_pack_places(doc[m], pos[m]), _pack(entry[number[m]]), b"", b"", b""
+
+
+def _asked(texts: DataFrame, ranges: int) -> DataFrame:
+    """Blocks of about ``BLOCK_WORDS`` words, whose documents with seeds are
+    numbered from ``base`` on. Part 0 names the block's distinct seeds of one
+    range of hashes, each where it stands first and, if several documents have
+    it, where it stands last; part 1 says where else they stand; part 2 are the
+    documents' keys. However common a seed is, a block names it twice at most."""
     def run(batches):
+        task = TaskContext.get().partitionId()
+        block, base, keys, found, size = task << 32, task << 40, [], [], 0
         for batch in batches:
-            for a in range(0, batch.num_rows, 512):
-                part = batch.slice(a, 512)
-                keys, pos, hashes, first = [], [], [], []
-                for key, text in zip(part.column("__key").to_pylist(), part.column("text").to_pylist(), strict=True):
+            for a in range(0, batch.num_rows, 256):
+                part = batch.slice(a, 256)
+                for key, text in zip(part.column("key").to_pylist(), part.column("text").to_pylist(), strict=True):
                     at, h = seeds_of(words(text))
-                    new = np.zeros(len(h), bool)
-                    new[np.unique(h, return_index=True)[1]] = True
-                    keys.append(np.full(len(at), key, np.int64))
-                    pos.append(at)
-                    hashes.append(h)
-                    first.append(new)
-                cols = [np.concatenate(hashes).view(np.int64), np.concatenate(keys), np.concatenate(pos).astype(np.int32), np.concatenate(first)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["seed", "k", "pos", "first"])
-    return docs.select(row_key().alias("__key"), "text").mapInArrow(run, "seed long, k long, pos int, first boolean")
+                    if len(at) == 0:
+                        continue
+                    keys.append(key)
+                    found.append((at, h))
+                    size += len(at)
+                    if size >= BLOCK_WORDS:
+                        yield from (_rows([r]) for r in _block_rows(block, base, keys, found, ranges))
+                        block, base, keys, found, size = block + 1, base + len(keys), [], [], 0
+        if keys:
+            yield from (_rows([r]) for r in _block_rows(block, base, keys, found, ranges))
+    return scratch(texts.mapInArrow(run, _SCHEMA), "sub-asked")
+
+
+def _answered(groups):
+    """Tells every block which of its seeds of a range another document has, and
+    where: in the anchor, the least document that has it, or, where the block's
+    first is the anchor, in the greatest."""
+    for (r,), t in groups:
+        asked = list(zip(*(t.column(c).to_pylist() for c in ("block", "base", "n", "m", "a", "b", "c", "d", "e", "f")), strict=True))
+        seeds, docs, places = [], [], []
+        for _, base, n, m, a, b, c, *_ in asked:
+            doc, pos = _unpack_places(a, b, n)
+            h = np.zeros((n, 8), np.uint8)
+            h[:, :TAIL] = np.frombuffer(c, np.uint8).reshape(n, TAIL)
+            seeds.append(h.view("<u8").ravel())
+            docs.append(base + doc)
+            places.append(pos)
+        named = len(seeds)
+        for i, (_, base, _, m, *_, d, e, f) in enumerate(asked):
+            if m:
+                seeds.append(seeds[i][np.cumsum(_unpack(d, m))])
+                docs.append(base + _unpack(e, m))
+                places.append(_unpack(f, m))
+        ends = np.cumsum([len(x) for x in seeds[:named]])
+        h, doc, pos = map(np.concatenate, (seeds, docs, places))
+        del seeds, docs, places
+        order = np.lexsort((doc, h))
+        new = np.concatenate([[True], np.diff(h[order]) != 0])
+        group = np.empty(len(h), np.int64)
+        group[order] = np.cumsum(new) - 1
+        low = order[np.flatnonzero(new)]
+        high = order[np.append(np.flatnonzero(new)[1:], len(h)) - 1]
+        shared = doc[low] != doc[high]
+        for (block, base, n, *_), end in zip(asked, ends.tolist(), strict=True):
+            at = np.arange(end - n, end)
+            at = at[shared[group[at]]]
+            if len(at) == 0:
+                continue
+            of = group[at]
+            target = np.where(doc[low[of]] != doc[at], low[of], high[of])
+            others, which = np.unique(doc[target], return_inverse=True)
+            yield _rows([(block, base, 0, r, len(at), len(others), *_pack_places(doc[at] - base, pos[at]),
+                          _pack(np.diff(at - (end - n), prepend=0)), _pack(which), others.astype("<i8").tobytes(), _pack(pos[target]))])
+
+
+def _matched(groups):
+    """Runs of matches of a block's documents: ``n`` seeds from ``pos`` on are
+    those from ``apos`` on of the anchor."""
+    for _, t in groups:
+        hits, parts = {}, []
+        for part, r, base, n, m, a, b, c, d, e, f in zip(*(t.column(x).to_pylist() for x in ("part", "range", "base", "n", "m", "a", "b", "c", "d", "e", "f")), strict=True):
+            doc, pos = _unpack_places(a, b, n)
+            if part == 0:
+                other = np.frombuffer(e, "<i8")[_unpack(d, n)]
+                hits[r] = np.cumsum(_unpack(c, n)), base + doc, pos, other, _unpack(f, n)
+                parts.append((base + doc, pos, other, hits[r][4]))
+            elif r in hits:
+                entry, doc0, pos0, other, apos = hits[r]
+                asks = _unpack(c, n)
+                i = np.minimum(np.searchsorted(entry, asks), len(entry) - 1)
+                keep = entry[i] == asks
+                i, doc, pos = i[keep], base + doc[keep], pos[keep]
+                # others than the anchor go with it, which may be the block's own
+                own = (other[i] > doc0[i]) & (doc != doc0[i])
+                parts.append((doc, pos, np.where(own, doc0[i], other[i]), np.where(own, pos0[i], apos[i])))
+        if not parts:
+            continue
+        doc, pos, other, apos = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((pos, pos - apos, other, doc))
+        doc, pos, other, apos = doc[order], pos[order], other[order], apos[order]
+        start = np.flatnonzero(np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(other) != 0) | (np.diff(pos) != 1) | (np.diff(apos) != 1)]))
+        size = np.diff(np.append(start, len(doc)))
+        for i in range(0, len(start), 1 << 16):
+            s = start[i:i + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (doc[s], other[s], pos[s].astype(np.int32), apos[s].astype(np.int32), size[i:i + (1 << 16)].astype(np.int32))], ["k", "anchor", "pos", "apos", "n"])
+
+
+def _numbered(batches):
+    for batch in batches:
+        for base, keys in zip(batch.column("base").to_pylist(), batch.column("a").to_pylist(), strict=True):
+            k = np.frombuffer(keys, "<i8")
+            yield pa.RecordBatch.from_arrays([pa.array(base + np.arange(len(k))), pa.array(k)], ["k", "key"])
+
+
+def _matches(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(runs of matches between numbered documents, the numbers' keys)."""
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    ranges = RANGES
+    while ranges * RANGE_SEEDS * CHARS < chars:
+        ranges *= 2
+    asked = _asked(_once(docs), ranges)
+    answers = scratch(by_group(asked.where("part = 0"), ["range"], _answered, _SCHEMA), "sub-answers")
+    runs = scratch(by_group(answers.unionByName(asked.where("part = 1")), ["block"], _matched, "k long, anchor long, pos int, apos int, n int", order=["part"]), "sub-matches")
+    names = scratch(asked.where("part = 2").select("base", "a").mapInArrow(_numbered, "k long, key long"), "sub-numbers")
+    discard(asked, answers)
+    return runs, names
 
 
 def chains_of(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
@@ -133,7 +322,9 @@ def _corners(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def _chained(groups):
     for (k, anchor), t in groups:
-        x, y = t.column("pos").to_numpy().astype(np.int64), t.column("apos").to_numpy().astype(np.int64)
+        n = t.column("n").to_numpy().astype(np.int64)
+        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        x, y = (np.repeat(t.column(c).to_numpy().astype(np.int64), n) + step for c in ("pos", "apos"))
         order = np.lexsort((y, x))
         x, y = x[order], y[order]
         regions = defaultdict(list)
@@ -246,16 +437,12 @@ def _merged(groups):
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """doc_id, start_word, end_word, n_words, other_id: passages that also stand
     in another document; other_id is one that shares it."""
-    seeds = scratch(_seeds(docs), "sub-seeds")
-    anchors = (seeds.groupBy("seed").agg(F.min("k").alias("anchor"), F.max("k").alias("most"),
-                                         F.min_by("pos", F.when(F.col("first"), F.col("k"))).alias("apos"),
-                                         F.max_by("pos", F.when(F.col("first"), F.col("k"))).alias("mpos"))
-               .where("anchor <> most"))
-    own = F.col("k") == F.col("anchor")
-    matches = seeds.join(scratch(anchors, "sub-anchors"), "seed").select(
-        "k", F.when(own, F.col("most")).otherwise(F.col("anchor")).alias("anchor"), "pos", F.when(own, F.col("mpos")).otherwise(F.col("apos")).alias("apos"))
-    chains = scratch(by_group(matches, ["k", "anchor"], _chained, "k long, anchor long, xs array<array<long>>, ys array<array<long>>, lo0 long, hi0 long, lo1 long, hi1 long")
-                     .withColumn("cid", F.monotonically_increasing_id()), "sub-chains")
+    runs, numbers = _matches(docs)
+    chains = by_group(runs, ["k", "anchor"], _chained, "k long, anchor long, xs array<array<long>>, ys array<array<long>>, lo0 long, hi0 long, lo1 long, hi1 long")
+    for c in ("k", "anchor"):
+        chains = chains.join(numbers.select(F.col("k").alias(c), F.col("key").alias(f"{c}_key")).hint("merge"), c).drop(c).withColumnRenamed(f"{c}_key", c)
+    chains = scratch(chains.withColumn("cid", F.monotonically_increasing_id()), "sub-chains")
+    discard(runs, numbers)
 
     asked = chains.select("cid", F.explode(F.array(
         F.struct(F.lit(0).alias("side"), F.col("k"), F.col("lo0").alias("lo"), F.col("hi0").alias("hi")),
