@@ -572,7 +572,12 @@ def test_matches_of_all_shared_seeds(docs, monkeypatch):
     documents have is matched, with the least or the greatest of them."""
     monkeypatch.setattr(substrings, "BLOCK_WORDS", 700)
     monkeypatch.setattr(substrings, "RANGE_SEEDS", 300)
-    runs, names = substrings._matches(docs)
+    def runs_of(groups):
+        import pyarrow as pa
+
+        for columns in substrings._runs(groups):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["k", "anchor", "pos", "apos", "n"])
+    runs, names = substrings._chains(docs, runs_of, "k long, anchor long, pos long, apos long, n long")
     key = {r.k: r.key for r in names.collect()}
     text = {r.key: common.words(r.text) for r in docs.select(common.row_key().alias("key"), "text").collect()}
     assert sorted(key.values()) == sorted(k for k, w in text.items() if len(w) >= substrings.K)

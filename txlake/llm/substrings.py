@@ -40,6 +40,9 @@ SAME = 16
 GAP_COST = 0.1
 MAX_GAP = 64
 MARGIN = 64
+#: Words beyond a chain that are read first; only where an alignment looks farther
+#: are ``MARGIN`` words read.
+NARROW = 12
 SKIP = 6
 RESUME = 3
 IDENTITY = 0.75
@@ -59,6 +62,7 @@ CHARS = 6
 #: Bytes by which a range tells its seeds apart: with the range's size fixed, one
 #: in some two million seeds is taken for another, whatever the table's size.
 TAIL = 5
+CHAINS = "k long, anchor long, xs array<array<int>>, ys array<array<int>>, lo0 long, hi0 long, lo1 long, hi1 long"
 _COLUMNS = ("block", "base", "part", "range", "n", "m", "a", "b", "c", "d", "e", "f")
 _SCHEMA = "block long, base long, part int, range int, n int, m int, a binary, b binary, c binary, d binary, e binary, f binary"
 #: Span requests of one document answered by one reading of its text.
@@ -217,9 +221,9 @@ def _answered(groups):
                           _pack(np.diff(at - (end - n), prepend=0)), _pack(which), others.astype("<i8").tobytes(), _pack(pos[target]))])
 
 
-def _matched(groups):
-    """Runs of matches of a block's documents: ``n`` seeds from ``pos`` on are
-    those from ``apos`` on of the anchor."""
+def _runs(groups):
+    """Of each block the runs (k, anchor, pos, apos, n) of its matches: ``n``
+    seeds from ``pos`` on are those from ``apos`` on of the anchor."""
     for _, t in groups:
         hits, parts = {}, []
         for part, r, base, n, m, a, b, c, d, e, f in zip(*(t.column(x).to_pylist() for x in ("part", "range", "base", "n", "m", "a", "b", "c", "d", "e", "f")), strict=True):
@@ -244,9 +248,12 @@ def _matched(groups):
         doc, pos, other, apos = doc[order], pos[order], other[order], apos[order]
         start = np.flatnonzero(np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(other) != 0) | (np.diff(pos) != 1) | (np.diff(apos) != 1)]))
         size = np.diff(np.append(start, len(doc)))
-        for i in range(0, len(start), 1 << 16):
-            s = start[i:i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (doc[s], other[s], pos[s].astype(np.int32), apos[s].astype(np.int32), size[i:i + (1 << 16)].astype(np.int32))], ["k", "anchor", "pos", "apos", "n"])
+        yield doc[start], other[start], pos[start], apos[start], size
+
+
+def _matched(groups):
+    for runs in _runs(groups):
+        yield from _chained(*runs)
 
 
 def _numbered(batches):
@@ -256,18 +263,19 @@ def _numbered(batches):
             yield pa.RecordBatch.from_arrays([pa.array(base + np.arange(len(k))), pa.array(k)], ["k", "key"])
 
 
-def _matches(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(runs of matches between numbered documents, the numbers' keys)."""
+def _chains(docs: DataFrame, step=_matched, schema: str = CHAINS) -> tuple[DataFrame, DataFrame]:
+    """(chains between numbered documents, the numbers' keys)."""
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     ranges = RANGES
     while ranges * RANGE_SEEDS * CHARS < chars:
         ranges *= 2
     asked = _asked(_once(docs), ranges)
     answers = scratch(by_group(asked.where("part = 0"), ["range"], _answered, _SCHEMA), "sub-answers")
-    runs = scratch(by_group(answers.unionByName(asked.where("part = 1")), ["block"], _matched, "k long, anchor long, pos int, apos int, n int", order=["part"]), "sub-matches")
+    chains = by_group(answers.unionByName(asked.where("part = 1")), ["block"], step, schema, order=["part"])
+    chains = scratch(chains.withColumn("cid", F.monotonically_increasing_id()), "sub-chains")
     names = scratch(asked.where("part = 2").select("base", "a").mapInArrow(_numbered, "k long, key long"), "sub-numbers")
     discard(asked, answers)
-    return runs, names
+    return chains, names
 
 
 def chains_of(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
@@ -320,21 +328,55 @@ def _corners(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.concatenate([[True], turn]) | np.concatenate([turn, [True]])
 
 
-def _chained(groups):
-    for (k, anchor), t in groups:
-        n = t.column("n").to_numpy().astype(np.int64)
-        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        x, y = (np.repeat(t.column(c).to_numpy().astype(np.int64), n) + step for c in ("pos", "apos"))
-        order = np.lexsort((y, x))
-        x, y = x[order], y[order]
-        regions = defaultdict(list)
-        for p in chains_of(x, y):
-            regions[int(x[p[0]]) // REGION, int(y[p[0]]) // REGION].append(p[_corners(x[p], y[p])])
-        parts, lists = list(regions.values()), pa.list_(pa.list_(pa.int64()))
-        spans = [[(max(min(int(z[p[0]]) for p in r) - MARGIN, 0), max(int(z[p[-1]]) for p in r) + K + MARGIN) for r in parts] for z in (x, y)]
-        yield pa.RecordBatch.from_arrays([pa.array([k] * len(parts), pa.int64()), pa.array([anchor] * len(parts), pa.int64()),
-                                          *(pa.array([[z[p].tolist() for p in r] for r in parts], lists) for z in (x, y)),
-                                          *(pa.array([b[i] for b in side], pa.int64()) for side in spans for i in (0, 1))], ["k", "anchor", "xs", "ys", "lo0", "hi0", "lo1", "hi1"])
+def _regions(x: np.ndarray, y: np.ndarray) -> list[list[np.ndarray]]:
+    """The chains of two documents' matches, corners only, by the regions they
+    begin in."""
+    order = np.lexsort((y, x))
+    x, y = x[order], y[order]
+    regions = defaultdict(list)
+    for p in chains_of(x, y):
+        p = p[_corners(x[p], y[p])]
+        regions[int(x[p[0]]) // REGION, int(y[p[0]]) // REGION].append((x[p], y[p]))
+    return list(regions.values())
+
+
+def _chained(k: np.ndarray, anchor: np.ndarray, pos: np.ndarray, apos: np.ndarray, n: np.ndarray):
+    """Rows of chains from runs of matches sorted by (k, anchor): all of a
+    document's runs are its block's."""
+    start = np.flatnonzero(np.concatenate([[True], (np.diff(k) != 0) | (np.diff(anchor) != 0)]))
+    end = np.append(start[1:], len(k))
+    lists = pa.list_(pa.list_(pa.int32()))
+
+    def batch(rows):
+        xs, ys = ([[c[i].tolist() for c in r] for _, r in rows] for i in (0, 1))
+        return pa.RecordBatch.from_arrays([pa.array(k[[i for i, _ in rows]]), pa.array(anchor[[i for i, _ in rows]]), pa.array(xs, lists), pa.array(ys, lists),
+                                           *(pa.array(side, pa.int64()) for z in (xs, ys) for side in ([min(c[0] for c in r) for r in z], [max(c[-1] for c in r) + K for r in z]))],
+                                          ["k", "anchor", "xs", "ys", "lo0", "hi0", "lo1", "hi1"])
+    alone = start[end - start == 1]
+    for i in range(0, len(alone), 1 << 13):
+        at = alone[i:i + (1 << 13)]
+        # a run has one corner or two
+        two = (n[at] > 1).astype(np.int64)
+        offsets = pa.array(np.concatenate([[0], np.cumsum(1 + two)]).astype(np.int32))
+        outer = pa.array(np.arange(len(at) + 1, dtype=np.int32))
+        first = np.cumsum(1 + two) - 1 - two
+        columns = [pa.array(k[at]), pa.array(anchor[at])]
+        for z in (pos, apos):
+            corners = np.repeat(z[at], 1 + two)
+            corners[first + two] += n[at] - 1
+            columns.append(pa.ListArray.from_arrays(outer, pa.ListArray.from_arrays(offsets, pa.array(corners.astype(np.int32)))))
+        columns += [pa.array(c) for z in (pos, apos) for c in (z[at], z[at] + n[at] - 1 + K)]
+        yield pa.RecordBatch.from_arrays(columns, ["k", "anchor", "xs", "ys", "lo0", "hi0", "lo1", "hi1"])
+    rows = []
+    for a, b in zip(start.tolist(), end.tolist(), strict=True):
+        if b - a > 1:
+            step = np.arange(n[a:b].sum()) - np.repeat(np.cumsum(n[a:b]) - n[a:b], n[a:b])
+            rows += [(a, r) for r in _regions(*(np.repeat(z[a:b], n[a:b]) + step for z in (pos, apos)))]
+            if len(rows) >= 4096:
+                yield batch(rows)
+                rows = []
+    if rows:
+        yield batch(rows)
 
 
 def _edits_matched(a: list, b: list) -> int:
@@ -352,10 +394,10 @@ def _edits_matched(a: list, b: list) -> int:
     return -row[-1][1]
 
 
-def _extend(a: list, b: list) -> tuple[int, int, int]:
+def _extend(a: list, b: list) -> tuple[int, int, int, int, int]:
     """(words of a, words of b, matches) an alignment reaches from the start of
     both, over differences of up to ``SKIP`` words that ``RESUME`` equal words
-    follow."""
+    follow; and how far in a and b it looked for them."""
     i = j = matched = 0
     end = (0, 0, 0)
     while i < len(a) and j < len(b):
@@ -363,6 +405,8 @@ def _extend(a: list, b: list) -> tuple[int, int, int]:
             i, j, matched = i + 1, j + 1, matched + 1
             end = (i, j, matched)
             continue
+        if {tuple(a[m:m + RESUME]) for m in range(i, i + SKIP + 1)}.isdisjoint(tuple(b[m:m + RESUME]) for m in range(j, j + SKIP + 1)):
+            break
         for total in range(1, 2 * SKIP + 1):
             hit = next(((d, total - d) for d in sorted(range(max(0, total - SKIP), min(SKIP, total) + 1), key=lambda d: abs(total - 2 * d))
                         if (w := a[i + d:i + d + RESUME]) == b[j + total - d:j + total - d + RESUME] and len(w) == RESUME), None)
@@ -371,15 +415,16 @@ def _extend(a: list, b: list) -> tuple[int, int, int]:
                 break
         else:
             break
-    return end
+    return *end, i + SKIP + RESUME, j + SKIP + RESUME
 
 
-def align(a: np.ndarray, b: np.ndarray, xs: np.ndarray, ys: np.ndarray) -> tuple[int, int, int, int, int]:
+def align(a: np.ndarray, b: np.ndarray, xs: np.ndarray, ys: np.ndarray) -> tuple[int, ...]:
     """(start, end, start, end, matches) of the alignment through the seeds
-    (start positions xs in a, ys in b)."""
+    (start positions xs in a, ys in b), and the first and last word looked at in
+    a and in b, which may lie outside."""
     x, y = int(xs[0]), int(ys[0])
-    li, lj, matched = _extend(a[:x][::-1].tolist(), b[:y][::-1].tolist())
-    start, astart = x - li, y - lj
+    li, lj, matched, back, aback = _extend(a[:x][::-1].tolist(), b[:y][::-1].tolist())
+    start, astart, low, alow = x - li, y - lj, x - back, y - aback
     for nx, ny in zip(xs[1:].tolist(), ys[1:].tolist(), strict=True):
         if nx - x == ny - y:
             matched += int((a[x:nx] == b[y:ny]).sum())
@@ -388,22 +433,31 @@ def align(a: np.ndarray, b: np.ndarray, xs: np.ndarray, ys: np.ndarray) -> tuple
             both = min(p - x, q - y)
             matched += both + _edits_matched(a[x + both:nx].tolist(), b[y + both:ny].tolist())
         x, y = nx, ny
-    ri, rj, more = _extend(a[x:].tolist(), b[y:].tolist())
-    return start, x + ri, astart, y + rj, matched + more
+    ri, rj, more, on, aon = _extend(a[x:].tolist(), b[y:].tolist())
+    return start, x + ri, astart, y + rj, matched + more, low, x + on, alow, y + aon
 
 
-def _aligned(batches):
-    for batch in batches:
-        rows = []
-        for k, anchor, chains, others, f0, w0, f1, w1 in zip(*(batch.column(c).to_pylist() for c in ("k", "anchor", "xs", "ys", "f0", "w0", "f1", "w1")), strict=True):
-            for xs, ys in zip(chains, others, strict=True):
-                # of the region's words, those up to MARGIN beyond the chain
-                f, g = max(xs[0] - MARGIN, 0), max(ys[0] - MARGIN, 0)
-                a, b = np.frombuffer(w0, np.uint32)[f - f0:xs[-1] + K + MARGIN - f0], np.frombuffer(w1, np.uint32)[g - f1:ys[-1] + K + MARGIN - f1]
-                s, e, u, v, matched = align(a, b, np.array(xs) - f, np.array(ys) - g)
-                if matched >= IDENTITY * max(e - s, v - u):
-                    rows += [(k, anchor, f + s, f + e), (anchor, k, g + u, g + v)]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(4)], ["k", "other", "start", "end"])
+def _aligner(margin: int):
+    """Aligns chains on words up to ``margin`` beyond them. A row whose
+    alignments looked farther, where the texts go on, comes back by its ``cid``
+    alone, unless ``margin`` is the last."""
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for cid, k, anchor, chains, others, f0, w0, f1, w1 in zip(*(batch.column(c).to_pylist() for c in ("cid", "k", "anchor", "xs", "ys", "f0", "w0", "f1", "w1")), strict=True):
+                found, wide = [], False
+                for xs, ys in zip(chains, others, strict=True):
+                    f, g = max(xs[0] - margin, 0), max(ys[0] - margin, 0)
+                    a, b = np.frombuffer(w0, np.uint32)[f - f0:xs[-1] + K + margin - f0], np.frombuffer(w1, np.uint32)[g - f1:ys[-1] + K + margin - f1]
+                    s, e, u, v, matched, low, high, alow, ahigh = align(a, b, np.array(xs) - f, np.array(ys) - g)
+                    if margin < MARGIN and (low < 0 < f or alow < 0 < g or high > len(a) == xs[-1] + K + margin - f or ahigh > len(b) == ys[-1] + K + margin - g):
+                        wide = True
+                        break
+                    if matched >= IDENTITY * max(e - s, v - u):
+                        found += [(None, k, anchor, f + s, f + e), (None, anchor, k, g + u, g + v)]
+                rows += [(cid, None, None, None, None)] if wide else found
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(5)], ["cid", "k", "other", "start", "end"])
+    return run
 
 
 def _slices(batches):
@@ -434,32 +488,37 @@ def _merged(groups):
             yield pa.RecordBatch.from_arrays([pa.array([k] * int(ok.sum()), pa.int64()), pa.array(s[first][ok]), pa.array(reach[last][ok]), pa.array(np.array(pick)[ok])], ["k", "start", "end", "other"])
 
 
+def _alignments(docs: DataFrame, chains: DataFrame, numbers: DataFrame, margin: int) -> DataFrame:
+    """cid, k, other, start, end as of ``_aligner``, the words read by document."""
+    asked = chains.select("cid", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("side"), F.col(c).alias("k"), F.greatest(F.col(f"lo{i}") - margin, F.lit(0)).alias("lo"), (F.col(f"hi{i}") + margin).alias("hi"))
+        for i, c in enumerate(("k", "anchor"))])).alias("r")).select("cid", "r.*")
+    count = scratch(asked.groupBy("k").agg(F.expr(f"(count(1) + {REQUESTS - 1}) div {REQUESTS}").alias("n")).join(numbers, "k"), "sub-count")
+    wanted = bloom_filter(count, "key")
+    lists = scratch(asked.join(count, "k").groupBy("key", F.pmod(F.xxhash64("cid"), F.col("n")).alias("part"))
+                    .agg(F.collect_list(F.struct("cid", "side", "lo", "hi")).alias("asked")), "sub-asked-words")
+    texts = docs.select(row_key().alias("key"), "text").where(wanted("key")).dropDuplicates(["key"])
+    spans = scratch(lists.join(texts, "key").select("text", "asked").mapInArrow(_slices, "cid long, side int, lo long, w binary"), "sub-spans")
+    one = [spans.where(F.col("side") == s).select("cid", F.col("lo").alias(f"f{s}"), F.col("w").alias(f"w{s}")) for s in (0, 1)]
+    found = scratch(chains.join(one[0], "cid").join(one[1], "cid").select("cid", "k", "anchor", "xs", "ys", "f0", "w0", "f1", "w1")
+                    .mapInArrow(_aligner(margin), "cid long, k long, other long, start long, end long"), "sub-aligned")
+    discard(count, lists, spans)
+    return found
+
+
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """doc_id, start_word, end_word, n_words, other_id: passages that also stand
     in another document; other_id is one that shares it."""
-    runs, numbers = _matches(docs)
-    chains = by_group(runs, ["k", "anchor"], _chained, "k long, anchor long, xs array<array<long>>, ys array<array<long>>, lo0 long, hi0 long, lo1 long, hi1 long")
-    for c in ("k", "anchor"):
-        chains = chains.join(numbers.select(F.col("k").alias(c), F.col("key").alias(f"{c}_key")).hint("merge"), c).drop(c).withColumnRenamed(f"{c}_key", c)
-    chains = scratch(chains.withColumn("cid", F.monotonically_increasing_id()), "sub-chains")
-    discard(runs, numbers)
-
-    asked = chains.select("cid", F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), F.col("k"), F.col("lo0").alias("lo"), F.col("hi0").alias("hi")),
-        F.struct(F.lit(1).alias("side"), F.col("anchor").alias("k"), F.col("lo1").alias("lo"), F.col("hi1").alias("hi")))).alias("r")).select("cid", "r.*")
-    count = scratch(asked.groupBy("k").agg(F.expr(f"(count(1) + {REQUESTS - 1}) div {REQUESTS}").alias("n")), "sub-count")
-    wanted = bloom_filter(count, "k")
-    lists = scratch(asked.join(count, "k").groupBy("k", F.pmod(F.xxhash64("cid"), F.col("n")).alias("part"))
-                    .agg(F.collect_list(F.struct("cid", "side", "lo", "hi")).alias("asked")), "sub-asked")
-    texts = docs.select(row_key().alias("k"), "doc_id", "text").where(wanted("k")).dropDuplicates(["k"])
-    spans = scratch(lists.join(texts.select("k", "text"), "k").select("text", "asked").mapInArrow(_slices, "cid long, side int, lo long, w binary"), "sub-spans")
-    one = [spans.where(F.col("side") == s).select("cid", F.col("lo").alias(f"f{s}"), F.col("w").alias(f"w{s}")) for s in (0, 1)]
-    found = (chains.join(one[0], "cid").join(one[1], "cid").select("k", "anchor", "xs", "ys", "f0", "w0", "f1", "w1")
-             .mapInArrow(_aligned, "k long, other long, start long, end long"))
+    chains, numbers = _chains(docs)
+    near = _alignments(docs, chains, numbers, NARROW)
+    far = _alignments(docs, chains.join(near.where("cid is not null").select("cid"), "cid", "left_semi"), numbers, MARGIN)
     # equal spans of a document meet in a map-side combined aggregate
-    found = found.groupBy("k", "start", "end").agg(F.min("other").alias("other"))
+    found = near.unionByName(far).where("k is not null").groupBy("k", "start", "end").agg(F.min("other").alias("other"))
     passages = scratch(by_group(found, ["k"], _merged, "k long, start long, end long, other long"), "sub-passages")
-    names = scratch(docs.select(row_key().alias("k"), "doc_id").where(wanted("k")).distinct(), "sub-names")
+    ends = passages.select("k").union(passages.select("other")).distinct().join(numbers, "k")
+    wanted = bloom_filter(ends, "key")
+    ids = docs.select(row_key().alias("key"), "doc_id").where(wanted("key")).distinct()
+    names = scratch(ends.join(ids, "key").select("k", "doc_id"), "sub-names")
     other = names.select(F.col("k").alias("other"), F.col("doc_id").alias("other_id"))
     return (passages.join(names, "k").join(other, "other")
             .select("doc_id", F.col("start").alias("start_word"), F.col("end").alias("end_word"), (F.col("end") - F.col("start")).alias("n_words"), "other_id"))
