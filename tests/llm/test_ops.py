@@ -577,7 +577,7 @@ def test_matches_of_all_shared_seeds(docs, monkeypatch):
 
         for columns in substrings._runs(groups):
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["k", "anchor", "pos", "apos", "n"])
-    runs, names = substrings._chains(docs, runs_of, "k long, anchor long, pos long, apos long, n long")
+    runs, names, _ = substrings._chains(docs, runs_of, "k long, anchor long, pos long, apos long, n long")
     key = {r.k: r.key for r in names.collect()}
     text = {r.key: common.words(r.text) for r in docs.select(common.row_key().alias("key"), "text").collect()}
     assert sorted(key.values()) == sorted(k for k, w in text.items() if len(w) >= substrings.K)
@@ -590,3 +590,42 @@ def test_matches_of_all_shared_seeds(docs, monkeypatch):
             for of in at.values() if len(of) > 1 for k, ps in of.items() for p in ps}
     got = [((r.k, r.pos + i), (r.anchor, r.apos + i)) for r in runs.collect() for i in range(r.n)]
     assert len(got) == len(want) == len(dict(got)) and all(b in want[a] for a, b in got)
+
+
+def test_lone_runs_that_no_alignment_goes_beyond():
+    """Told apart together, they get the spans that alignment gives each."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(17)
+    rows = []
+    for cid in range(3000):
+        n, k = int(rng.integers(5, 9)), int(rng.integers(3, 40))
+        run = rng.integers(0, 1000, n).astype(np.uint32)
+        sides = []
+        for _ in range(2):
+            before, after = (rng.integers(0, k, int(rng.integers(0, 13))).astype(np.uint32) for _ in range(2))
+            f = int(rng.integers(1, 50)) if len(before) == 12 else 0
+            sides.append((f, f + len(before), np.concatenate([before, run, after])))
+        if cid % 50 == 0:
+            # hashes alike, words not
+            sides[0][2][sides[0][1] - sides[0][0]] += 1
+        corners = [[[x, x + n - 5] if n > 5 else [x]] for _, x, _ in sides]
+        rows.append((cid, 2 * cid, 2 * cid + 1, *corners, *(v for f, _, w in sides for v in (f, w.tobytes()))))
+    lists = pa.list_(pa.list_(pa.int32()))
+    kinds = (pa.int64(), pa.int64(), pa.int64(), lists, lists, pa.int64(), pa.binary(), pa.int64(), pa.binary())
+    batch = pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)],
+                                       ["cid", "k", "anchor", "xs", "ys", "f0", "w0", "f1", "w1"])
+    for part in (batch, batch.slice(701, 1200)):
+        done, _ = substrings._unextended(part)
+        assert len(part) // 10 < len(done) < len(part)
+        quick = sorted(r for b in substrings._aligner(substrings.NARROW)([part]) for r in zip(*(c.to_pylist()[:] for c in b.columns[1:]), strict=True) if r[0] is not None)
+        plain = []
+        for (f0, w0), (f1, w1), k, anchor, xs, ys in zip(*(zip(*(part.column(c).to_pylist() for c in p), strict=True) for p in (("f0", "w0"), ("f1", "w1"))),
+                                                         *(part.column(c).to_pylist() for c in ("k", "anchor", "xs", "ys")), strict=True):
+            a, b = (np.frombuffer(w, np.uint32) for w in (w0, w1))
+            s, e, u, v, matched, low, high, alow, ahigh = substrings.align(a, b, np.array(xs[0]) - f0, np.array(ys[0]) - f1)
+            if (low < 0 < f0 or alow < 0 < f1 or high > len(a) == xs[0][-1] + 17 - f0 or ahigh > len(b) == ys[0][-1] + 17 - f1):
+                continue
+            if matched >= substrings.IDENTITY * max(e - s, v - u):
+                plain += [(k, anchor, f0 + s, f0 + e), (anchor, k, f1 + u, f1 + v)]
+        assert quick == sorted(plain)

@@ -74,7 +74,12 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def grams(tokens: list[str], size: int) -> np.ndarray:
     """64-bit hash of every run of ``size`` words. A text of one to
     ``size - 1`` words has one run: all its words; one without words none."""
-    h = word_hashes(tokens).astype(np.uint64)
+    return gram_hashes(word_hashes(tokens), size)
+
+
+def gram_hashes(w: np.ndarray, size: int) -> np.ndarray:
+    """``grams`` of words given by their hashes."""
+    h = w.astype(np.uint64)
     if len(h) == 0:
         return h
     size = min(size, len(h))

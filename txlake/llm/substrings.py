@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txlake.llm.common import bloom_filter, by_group, discard, grams, mix64, row_key, scratch, word_hashes, words
+from txlake.llm.common import bloom_filter, by_group, discard, gram_hashes, mix64, row_key, scratch, word_hashes, words
 
 K = 5
 #: Of neighbouring equal runs (one word over and over) one in so many is a seed.
@@ -67,14 +67,22 @@ _COLUMNS = ("block", "base", "part", "range", "n", "m", "a", "b", "c", "d", "e",
 _SCHEMA = "block long, base long, part int, range int, n int, m int, a binary, b binary, c binary, d binary, e binary, f binary"
 #: Span requests of one document answered by one reading of its text.
 REQUESTS = 256
+#: Words of the spans that are handed on together, about.
+SLICE_WORDS = 1 << 16
 
 
 def seeds_of(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(positions, hashes) of the chosen runs of a text."""
-    if len(tokens) < K:
+    return _seeds(word_hashes(tokens))
+
+
+def _seeds(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if len(w) < K:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    h = mix64(grams(tokens, K))
+    h = mix64(gram_hashes(w, K))
     at = np.arange(len(h))
+    if (h[1:] != h[:-1]).all():
+        return at, h
     new = np.concatenate([[True], h[1:] != h[:-1]])
     at = at[(at - np.maximum.accumulate(np.where(new, at, 0))) % SAME == 0]
     return at, h[at]
@@ -123,23 +131,48 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], list(_COLUMNS))
 
 
-def _block_rows(block: int, base: int, keys: list[int], found: list[tuple[np.ndarray, np.ndarray]], ranges: int):
+def _batches(rows, size: int = 1 << 18):
+    """Rows together, up to about ``size`` bytes."""
+    part, total = [], 0
+    for r in rows:
+        part.append(r)
+        total += sum(map(len, r[6:]))
+        if total >= size:
+            yield _rows(part)
+            part, total = [], 0
+    if part:
+        yield _rows(part)
+
+
+def _equal(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(an order by value, where in it each value starts, each one's number)."""
+    order = np.argsort(h)
+    new = np.concatenate([[True], np.diff(h[order]) != 0])
+    number = np.empty(len(h), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order, np.flatnonzero(new), number
+
+
+def _block_rows(block: int, base: int, keys: list[int], found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], ranges: int):
     """A block's rows of ``_asked``."""
-    doc = np.repeat(np.arange(len(found)), [len(at) for at, _ in found])
+    doc = np.repeat(np.arange(len(found)), [len(at) for at, *_ in found])
     pos, h = (np.concatenate([f[i] for f in found]) for i in (0, 1))
-    seeds, first, number = np.unique(h, return_index=True, return_inverse=True)
-    last = len(h) - 1 - np.unique(h[::-1], return_index=True)[1]
+    group, starts, number = _equal(h)
+    seeds = h[group[starts]]
+    first, last = (f.reduceat(group, starts) for f in (np.minimum, np.maximum))
     bits = np.uint64(ranges.bit_length() - 1)
     of = (seeds >> (np.uint64(64) - bits)).astype(np.int64)
-    order = np.lexsort((first, of))
+    order = np.argsort(of * len(h) + first)
     starts = np.searchsorted(of, np.arange(ranges + 1))
     entry = np.empty(len(seeds), np.int64)
     entry[order] = np.arange(len(seeds)) - starts[of[order]]
     tail = np.ascontiguousarray(((seeds << bits) >> np.uint64(64 - 8 * TAIL)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :TAIL])
     again = np.flatnonzero(np.arange(len(h)) != first[number])
-    again = again[np.lexsort((again, of[number[again]]))]
+    again = again[np.argsort(of[number[again]] * len(h) + again)]
     cuts = np.searchsorted(of[number[again]], np.arange(ranges + 1))
     yield block, base, 2, 0, len(keys), 0, np.array(keys, "<i8").tobytes(), b"", b"", b"", b"", b""
+    for i, (*_, w) in enumerate(found):
+        yield block, base + i, 3, 0, len(w), 0, w.tobytes(), b"", b"", b"", b"", b""
     for r in range(ranges):
         o = order[starts[r]:starts[r + 1]]
         if len(o) == 0:
@@ -157,7 +190,7 @@ def _asked(texts: DataFrame, ranges: int) -> DataFrame:
     numbered from ``base`` on. Part 0 names the block's distinct seeds of one
     range of hashes, each where it stands first and, if several documents have
     it, where it stands last; part 1 says where else they stand; part 2 are the
-    documents' keys. However common a seed is, a block names it twice at most."""
+    documents' keys, part 3 their words' hashes, by number. However common a seed is, a block names it twice at most."""
     def run(batches):
         task = TaskContext.get().partitionId()
         block, base, keys, found, size = task << 32, task << 40, [], [], 0
@@ -165,17 +198,18 @@ def _asked(texts: DataFrame, ranges: int) -> DataFrame:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
                 for key, text in zip(part.column("key").to_pylist(), part.column("text").to_pylist(), strict=True):
-                    at, h = seeds_of(words(text))
+                    w = word_hashes(words(text))
+                    at, h = _seeds(w)
                     if len(at) == 0:
                         continue
                     keys.append(key)
-                    found.append((at, h))
+                    found.append((at, h, w))
                     size += len(at)
                     if size >= BLOCK_WORDS:
-                        yield from (_rows([r]) for r in _block_rows(block, base, keys, found, ranges))
+                        yield from _batches(_block_rows(block, base, keys, found, ranges))
                         block, base, keys, found, size = block + 1, base + len(keys), [], [], 0
         if keys:
-            yield from (_rows([r]) for r in _block_rows(block, base, keys, found, ranges))
+            yield from _batches(_block_rows(block, base, keys, found, ranges))
     return scratch(texts.mapInArrow(run, _SCHEMA), "sub-asked")
 
 
@@ -202,12 +236,12 @@ def _answered(groups):
         ends = np.cumsum([len(x) for x in seeds[:named]])
         h, doc, pos = map(np.concatenate, (seeds, docs, places))
         del seeds, docs, places
-        order = np.lexsort((doc, h))
-        new = np.concatenate([[True], np.diff(h[order]) != 0])
-        group = np.empty(len(h), np.int64)
-        group[order] = np.cumsum(new) - 1
-        low = order[np.flatnonzero(new)]
-        high = order[np.append(np.flatnonzero(new)[1:], len(h)) - 1]
+        order, starts, group = _equal(h)
+        low, high = np.empty((2, len(starts)), np.int64)
+        for end, f in ((low, np.minimum), (high, np.maximum)):
+            # of one seed a document is named once: a block names its first and its last
+            at = np.flatnonzero(doc == f.reduceat(doc[order], starts)[group])
+            end[group[at]] = at
         shared = doc[low] != doc[high]
         for (block, base, n, *_), end in zip(asked, ends.tolist(), strict=True):
             at = np.arange(end - n, end)
@@ -263,8 +297,8 @@ def _numbered(batches):
             yield pa.RecordBatch.from_arrays([pa.array(base + np.arange(len(k))), pa.array(k)], ["k", "key"])
 
 
-def _chains(docs: DataFrame, step=_matched, schema: str = CHAINS) -> tuple[DataFrame, DataFrame]:
-    """(chains between numbered documents, the numbers' keys)."""
+def _chains(docs: DataFrame, step=_matched, schema: str = CHAINS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(chains between numbered documents, the numbers' keys, their words)."""
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     ranges = RANGES
     while ranges * RANGE_SEEDS * CHARS < chars:
@@ -274,8 +308,9 @@ def _chains(docs: DataFrame, step=_matched, schema: str = CHAINS) -> tuple[DataF
     chains = by_group(answers.unionByName(asked.where("part = 1")), ["block"], step, schema, order=["part"])
     chains = scratch(chains.withColumn("cid", F.monotonically_increasing_id()), "sub-chains")
     names = scratch(asked.where("part = 2").select("base", "a").mapInArrow(_numbered, "k long, key long"), "sub-numbers")
+    hashes = scratch(asked.where("part = 3").select(F.col("base").alias("k"), F.col("a").alias("words")), "sub-words")
     discard(asked, answers)
-    return chains, names
+    return chains, names, hashes
 
 
 def chains_of(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
@@ -437,12 +472,65 @@ def align(a: np.ndarray, b: np.ndarray, xs: np.ndarray, ys: np.ndarray) -> tuple
     return start, x + ri, astart, y + rj, matched + more, low, x + on, alow, y + aon
 
 
+def _words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(all words of a column of packed words, where each row's start, how many)."""
+    _, offsets, data = column.buffers()
+    o = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64) // 4
+    flat = np.frombuffer(data, np.uint32, o[-1]) if data is not None else np.zeros(0, np.uint32)
+    return flat, o[:-1], np.diff(o)
+
+
+def _unextended(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Of a batch of ``_aligner`` the rows with one chain that is one run of equal
+    words, next to which no alignment could go on: the words beside it differ, and
+    no ``RESUME`` words stand within ``SKIP`` in both texts. Also (start, end,
+    start, end) of all rows' first chains."""
+    bounds, words_at, outside = [], [], []
+    for z, f, w in (("xs", "f0", "w0"), ("ys", "f1", "w1")):
+        chains = batch.column(z)
+        outer = chains.offsets.to_numpy()
+        inner = chains.values.offsets.to_numpy()[outer[0]:]
+        one, corners = np.diff(outer) == 1, chains.values.values.to_numpy()
+        outer = outer[:-1] - outer[0]
+        bounds += [corners[inner[outer]].astype(np.int64), corners[inner[outer + 1] - 1].astype(np.int64) + K]
+        flat, at, size = _words_of(batch.column(w))
+        start, end = (x - batch.column(f).to_numpy() for x in bounds[-2:])
+        # a place outside of the texts is equal to none of the other text
+        for places in (start[:, None] - 1 - np.arange(SKIP + RESUME), end[:, None] + np.arange(SKIP + RESUME)):
+            there = (places >= 0) & (places < size[:, None])
+            outside.append(np.where(there, flat[np.where(there, at[:, None] + places, 0)].astype(np.int64), -1 - len(words_at)))
+        words_at.append((flat, at + start))
+    x0, x1, y0, y1 = bounds
+    plain = one & (x1 - x0 == y1 - y0)
+    for a, b in ((outside[0], outside[2]), (outside[1], outside[3])):
+        ga, gb = (mix64(mix64(g[:, :-2].astype(np.uint64)) + g[:, 1:-1].astype(np.uint64)) + g[:, 2:].astype(np.uint64) for g in (a, b))
+        plain &= (a[:, 0] != b[:, 0]) & ~(ga[:, :, None] == gb[:, None, :]).any((1, 2))
+    rows = np.flatnonzero(plain)
+    if len(rows):
+        n = (x1 - x0)[rows]
+        starts = np.cumsum(n) - n
+        step = np.arange(n.sum()) - np.repeat(starts, n)
+        (a, i), (b, j) = words_at
+        equal = a[np.repeat(i[rows], n) + step] == b[np.repeat(j[rows], n) + step]
+        rows = rows[np.logical_and.reduceat(equal, starts)]
+    return rows, np.array(bounds)
+
+
 def _aligner(margin: int):
     """Aligns chains on words up to ``margin`` beyond them. A row whose
     alignments looked farther, where the texts go on, comes back by its ``cid``
-    alone, unless ``margin`` is the last."""
+    alone, unless ``margin`` is the last. Lone runs that no alignment goes beyond
+    are told apart first, all of a batch together."""
     def run(batches):
         for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            done, (x0, x1, y0, y1) = _unextended(batch)
+            if len(done):
+                k, anchor = (batch.column(c).to_numpy()[done] for c in ("k", "anchor"))
+                yield pa.RecordBatch.from_arrays([pa.nulls(2 * len(done), pa.int64()), *(pa.array(np.concatenate(c)) for c in (
+                    (k, anchor), (anchor, k), (x0[done], y0[done]), (x1[done], y1[done])))], ["cid", "k", "other", "start", "end"])
+                batch = batch.take(pa.array(np.setdiff1d(np.arange(batch.num_rows), done)))
             rows = []
             for cid, k, anchor, chains, others, f0, w0, f1, w1 in zip(*(batch.column(c).to_pylist() for c in ("cid", "k", "anchor", "xs", "ys", "f0", "w0", "f1", "w1")), strict=True):
                 found, wide = [], False
@@ -461,14 +549,26 @@ def _aligner(margin: int):
 
 
 def _slices(batches):
+    """The words asked of each document."""
+    def rows(parts):
+        cid, side, lo, n, flat = (np.concatenate(c) for c in zip(*parts, strict=True))
+        offsets = np.concatenate([[0], np.cumsum(4 * n)]).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(cid), pa.array(side), pa.array(lo), pa.Array.from_buffers(
+            pa.binary(), len(n), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(flat.tobytes())])], ["cid", "side", "lo", "w"])
+    parts, size = [], 0
     for batch in batches:
-        out = []
-        for text, asked in zip(batch.column("text").to_pylist(), batch.column("asked").to_pylist(), strict=True):
-            h = word_hashes(words(text))
-            out += [(r["cid"], r["side"], r["lo"], h[r["lo"]:r["hi"]].tobytes()) for r in asked]
-        for a in range(0, len(out), 256):
-            part = out[a:a + 256]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.int32()), pa.array([r[2] for r in part], pa.int64()), pa.array([r[3] for r in part], pa.binary())], ["cid", "side", "lo", "w"])
+        for packed, asked in zip(batch.column("words"), batch.column("asked"), strict=True):
+            h = np.frombuffer(packed.as_buffer(), np.uint32)
+            cid, side, lo, hi = (asked.values.field(c).to_numpy() for c in ("cid", "side", "lo", "hi"))
+            n = np.minimum(hi, len(h)) - lo
+            ends = np.cumsum(n)
+            parts.append((cid, side, lo, n, h[np.arange(ends[-1]) + np.repeat(lo - ends + n, n)]))
+            size += int(ends[-1])
+            if size >= SLICE_WORDS:
+                yield rows(parts)
+                parts, size = [], 0
+    if parts:
+        yield rows(parts)
 
 
 def _merged(groups):
@@ -488,17 +588,18 @@ def _merged(groups):
             yield pa.RecordBatch.from_arrays([pa.array([k] * int(ok.sum()), pa.int64()), pa.array(s[first][ok]), pa.array(reach[last][ok]), pa.array(np.array(pick)[ok])], ["k", "start", "end", "other"])
 
 
-def _alignments(docs: DataFrame, chains: DataFrame, numbers: DataFrame, margin: int) -> DataFrame:
+def _alignments(chains: DataFrame, hashes: DataFrame, margin: int) -> DataFrame:
     """cid, k, other, start, end as of ``_aligner``, the words read by document."""
     asked = chains.select("cid", F.explode(F.array(*[
         F.struct(F.lit(i).alias("side"), F.col(c).alias("k"), F.greatest(F.col(f"lo{i}") - margin, F.lit(0)).alias("lo"), (F.col(f"hi{i}") + margin).alias("hi"))
         for i, c in enumerate(("k", "anchor"))])).alias("r")).select("cid", "r.*")
-    count = scratch(asked.groupBy("k").agg(F.expr(f"(count(1) + {REQUESTS - 1}) div {REQUESTS}").alias("n")).join(numbers, "k"), "sub-count")
-    wanted = bloom_filter(count, "key")
-    lists = scratch(asked.join(count, "k").groupBy("key", F.pmod(F.xxhash64("cid"), F.col("n")).alias("part"))
+    count = scratch(asked.groupBy("k").agg(F.expr(f"(count(1) + {REQUESTS - 1}) div {REQUESTS}").alias("n"))
+                    .withColumn("h", F.xxhash64("k")), "sub-count")
+    wanted = bloom_filter(count, "h")
+    lists = scratch(asked.join(count.drop("h"), "k").groupBy("k", F.pmod(F.xxhash64("cid"), F.col("n")).alias("part"))
                     .agg(F.collect_list(F.struct("cid", "side", "lo", "hi")).alias("asked")), "sub-asked-words")
-    texts = docs.select(row_key().alias("key"), "text").where(wanted("key")).dropDuplicates(["key"])
-    spans = scratch(lists.join(texts, "key").select("text", "asked").mapInArrow(_slices, "cid long, side int, lo long, w binary"), "sub-spans")
+    read = hashes.withColumn("h", F.xxhash64("k")).where(wanted("h")).drop("h")
+    spans = scratch(lists.join(read, "k").select("words", "asked").mapInArrow(_slices, "cid long, side int, lo long, w binary"), "sub-spans")
     one = [spans.where(F.col("side") == s).select("cid", F.col("lo").alias(f"f{s}"), F.col("w").alias(f"w{s}")) for s in (0, 1)]
     found = scratch(chains.join(one[0], "cid").join(one[1], "cid").select("cid", "k", "anchor", "xs", "ys", "f0", "w0", "f1", "w1")
                     .mapInArrow(_aligner(margin), "cid long, k long, other long, start long, end long"), "sub-aligned")
@@ -509,9 +610,10 @@ def _alignments(docs: DataFrame, chains: DataFrame, numbers: DataFrame, margin:
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """doc_id, start_word, end_word, n_words, other_id: passages that also stand
     in another document; other_id is one that shares it."""
-    chains, numbers = _chains(docs)
-    near = _alignments(docs, chains, numbers, NARROW)
-    far = _alignments(docs, chains.join(near.where("cid is not null").select("cid"), "cid", "left_semi"), numbers, MARGIN)
+    chains, numbers, hashes = _chains(docs)
+    near = _alignments(chains, hashes, NARROW)
+    far = _alignments(chains.join(near.where("cid is not null").select("cid"), "cid", "left_semi"), hashes, MARGIN)
+    discard(hashes)
     # equal spans of a document meet in a map-side combined aggregate
     found = near.unionByName(far).where("k is not null").groupBy("k", "start", "end").agg(F.min("other").alias("other"))
     passages = scratch(by_group(found, ["k"], _merged, "k long, start long, end long, other long"), "sub-passages")
