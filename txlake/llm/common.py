@@ -45,6 +45,12 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Spark removes the files of shuffles nothing refers to any more when the
+    driver collects its garbage, which a driver with much memory seldom does."""
+    spark._jvm.System.gc()
+
+
 def crc_mod(column: str, n: int) -> Column:
     """crc32 of the column as text, mod ``n`` (null counts as empty text)."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n

@@ -5,7 +5,7 @@
 2. Every seed occurrence is joined with one anchor, the occurrence in the least
    document that has it (that document's own occurrences with the greatest), so
    the number of matches is that of the occurrences, however common a passage
-   is. Blocks of texts name their distinct seeds packed by range of hashes, the
+   is. Texts are written as their words' hashes; blocks of them name their distinct seeds packed by range of hashes, the
    ranges answer with the anchors of those that another document has, and only
    these become rows: one for each run of matches on one diagonal.
 3. The matches of a document with an anchor document are chained: increasing
@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txlake.llm.common import bloom_filter, by_group, discard, gram_hashes, mix64, row_key, scratch, word_hashes, words
+from txlake.llm.common import bloom_filter, by_group, discard, free_shuffles, gram_hashes, mix64, row_key, scratch, word_hashes, words
 
 K = 5
 #: Of neighbouring equal runs (one word over and over) one in so many is a seed.
@@ -153,9 +153,9 @@ def _equal(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, np.flatnonzero(new), number
 
 
-def _block_rows(block: int, base: int, keys: list[int], found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], ranges: int):
+def _block_rows(block: int, base: int, found: list[tuple[np.ndarray, np.ndarray]], ranges: int):
     """A block's rows of ``_asked``."""
-    doc = np.repeat(np.arange(len(found)), [len(at) for at, *_ in found])
+    doc = np.repeat(np.arange(len(found)), [len(at) for at, _ in found])
     pos, h = (np.concatenate([f[i] for f in found]) for i in (0, 1))
     group, starts, number = _equal(h)
     seeds = h[group[starts]]
@@ -170,9 +170,6 @@ def _block_rows(block: int, base: int, keys: list[int], found: list[tuple[np.nda
     again = np.flatnonzero(np.arange(len(h)) != first[number])
     again = again[np.argsort(of[number[again]] * len(h) + again)]
     cuts = np.searchsorted(of[number[again]], np.arange(ranges + 1))
-    yield block, base, 2, 0, len(keys), 0, np.array(keys, "<i8").tobytes(), b"", b"", b"", b"", b""
-    for i, (*_, w) in enumerate(found):
-        yield block, base + i, 3, 0, len(w), 0, w.tobytes(), b"", b"", b"", b"", b""
     for r in range(ranges):
         o = order[starts[r]:starts[r + 1]]
         if len(o) == 0:
@@ -185,40 +182,55 @@ def _block_rows(block: int, base: int, keys: list[int], found: list[tuple[np.nda
             yield block, base, 1, r, len(m), 0, *_pack_places(doc[m], pos[m]), _pack(entry[number[m]]), b"", b"", b""
 
 
-def _asked(texts: DataFrame, ranges: int) -> DataFrame:
-    """Blocks of about ``BLOCK_WORDS`` words, whose documents with seeds are
-    numbered from ``base`` on. Part 0 names the block's distinct seeds of one
-    range of hashes, each where it stands first and, if several documents have
-    it, where it stands last; part 1 says where else they stand; part 2 are the
-    documents' keys, part 3 their words' hashes, by number. However common a seed is, a block names it twice at most."""
+def _hashed(texts: DataFrame) -> DataFrame:
+    """k, key, words: the documents with seeds, numbered, a task's one after the
+    other, and the hashes of their words."""
     def run(batches):
-        task = TaskContext.get().partitionId()
-        block, base, keys, found, size = task << 32, task << 40, [], [], 0
+        k = TaskContext.get().partitionId() << 40
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
-                for key, text in zip(part.column("key").to_pylist(), part.column("text").to_pylist(), strict=True):
-                    w = word_hashes(words(text))
-                    at, h = _seeds(w)
-                    if len(at) == 0:
-                        continue
-                    keys.append(key)
-                    found.append((at, h, w))
-                    size += len(at)
-                    if size >= BLOCK_WORDS:
-                        yield from _batches(_block_rows(block, base, keys, found, ranges))
-                        block, base, keys, found, size = block + 1, base + len(keys), [], [], 0
-        if keys:
-            yield from _batches(_block_rows(block, base, keys, found, ranges))
-    return scratch(texts.mapInArrow(run, _SCHEMA), "sub-asked")
+                rows = [(key, word_hashes(words(text))) for key, text in zip(part.column("key").to_pylist(), part.column("text").to_pylist(), strict=True)]
+                rows = [(key, w.tobytes()) for key, w in rows if len(w) >= K]
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(k, k + len(rows))), *(pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.binary())))],
+                                                 ["k", "key", "words"])
+                k += len(rows)
+    return scratch(texts.mapInArrow(run, "k long, key long, words binary"), "sub-words")
+
+
+def _asked(hashes: DataFrame, ranges: int) -> DataFrame:
+    """Blocks of about ``BLOCK_WORDS`` words of documents numbered on end, from
+    ``base`` on. Part 0 names the block's distinct seeds of one range of hashes,
+    each where it stands first and, if several documents have it, where it
+    stands last; part 1 says where else they stand. However common a seed is, a
+    block names it twice at most."""
+    def run(batches):
+        block, base, found, size = TaskContext.get().partitionId() << 32, 0, [], 0
+        for batch in batches:
+            for k, packed in zip(batch.column("k").to_pylist(), batch.column("words"), strict=True):
+                if found and (size >= BLOCK_WORDS or k != base + len(found)):
+                    yield from _batches(_block_rows(block, base, found, ranges))
+                    block, found, size = block + 1, [], 0
+                if not found:
+                    base = k
+                found.append(_seeds(np.frombuffer(packed.as_buffer(), np.uint32)))
+                size += len(found[-1][0])
+        if found:
+            yield from _batches(_block_rows(block, base, found, ranges))
+    return hashes.select("k", "words").mapInArrow(run, _SCHEMA)
 
 
 def _answered(groups):
     """Tells every block which of its seeds of a range another document has, and
     where: in the anchor, the least document that has it, or, where the block's
-    first is the anchor, in the greatest."""
+    first is the anchor, in the greatest. Also where else in the block these stand."""
     for (r,), t in groups:
-        asked = list(zip(*(t.column(c).to_pylist() for c in ("block", "base", "n", "m", "a", "b", "c", "d", "e", "f")), strict=True))
+        asked, elsewhere = [], {}
+        for part, *row in zip(*(t.column(c).to_pylist() for c in ("part", "block", "base", "n", "m", "a", "b", "c", "d", "e", "f")), strict=True):
+            if part == 0:
+                asked.append(row)
+            else:
+                elsewhere[row[0]] = row
         seeds, docs, places = [], [], []
         for _, base, n, m, a, b, c, *_ in asked:
             doc, pos = _unpack_places(a, b, n)
@@ -253,6 +265,12 @@ def _answered(groups):
             others, which = np.unique(doc[target], return_inverse=True)
             yield _rows([(block, base, 0, r, len(at), len(others), *_pack_places(doc[at] - base, pos[at]),
                           _pack(np.diff(at - (end - n), prepend=0)), _pack(which), others.astype("<i8").tobytes(), _pack(pos[target]))])
+            if block in elsewhere:
+                _, _, m, _, a, b, c, *_ = elsewhere.pop(block)
+                asks = _unpack(c, m)
+                keep = shared[group[end - n + asks]]
+                if keep.any():
+                    yield _rows([(block, base, 1, r, int(keep.sum()), 0, *_pack_places(*(x[keep] for x in _unpack_places(a, b, m))), _pack(asks[keep]), b"", b"", b"")])
 
 
 def _runs(groups):
@@ -260,18 +278,16 @@ def _runs(groups):
     seeds from ``pos`` on are those from ``apos`` on of the anchor."""
     for _, t in groups:
         hits, parts = {}, []
-        for part, r, base, n, m, a, b, c, d, e, f in zip(*(t.column(x).to_pylist() for x in ("part", "range", "base", "n", "m", "a", "b", "c", "d", "e", "f")), strict=True):
+        for part, r, base, n, _, a, b, c, d, e, f in zip(*(t.column(x).to_pylist() for x in ("part", "range", "base", "n", "m", "a", "b", "c", "d", "e", "f")), strict=True):
             doc, pos = _unpack_places(a, b, n)
             if part == 0:
                 other = np.frombuffer(e, "<i8")[_unpack(d, n)]
                 hits[r] = np.cumsum(_unpack(c, n)), base + doc, pos, other, _unpack(f, n)
                 parts.append((base + doc, pos, other, hits[r][4]))
-            elif r in hits:
+            else:
                 entry, doc0, pos0, other, apos = hits[r]
                 asks = _unpack(c, n)
-                i = np.minimum(np.searchsorted(entry, asks), len(entry) - 1)
-                keep = entry[i] == asks
-                i, doc, pos = i[keep], base + doc[keep], pos[keep]
+                i, doc = np.searchsorted(entry, asks), base + doc
                 # others than the anchor go with it, which may be the block's own
                 own = (other[i] > doc0[i]) & (doc != doc0[i])
                 parts.append((doc, pos, np.where(own, doc0[i], other[i]), np.where(own, pos0[i], apos[i])))
@@ -290,27 +306,20 @@ def _matched(groups):
         yield from _chained(*runs)
 
 
-def _numbered(batches):
-    for batch in batches:
-        for base, keys in zip(batch.column("base").to_pylist(), batch.column("a").to_pylist(), strict=True):
-            k = np.frombuffer(keys, "<i8")
-            yield pa.RecordBatch.from_arrays([pa.array(base + np.arange(len(k))), pa.array(k)], ["k", "key"])
-
-
-def _chains(docs: DataFrame, step=_matched, schema: str = CHAINS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(chains between numbered documents, the numbers' keys, their words)."""
+def _chains(docs: DataFrame, step=_matched, schema: str = CHAINS) -> tuple[DataFrame, DataFrame]:
+    """(chains between numbered documents, the numbers with keys and words)."""
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     ranges = RANGES
     while ranges * RANGE_SEEDS * CHARS < chars:
         ranges *= 2
-    asked = _asked(_once(docs), ranges)
-    answers = scratch(by_group(asked.where("part = 0"), ["range"], _answered, _SCHEMA), "sub-answers")
-    chains = by_group(answers.unionByName(asked.where("part = 1")), ["block"], step, schema, order=["part"])
+    hashes = _hashed(_once(docs))
+    answers = scratch(by_group(_asked(hashes, ranges), ["range"], _answered, _SCHEMA), "sub-answers")
+    free_shuffles(docs.sparkSession)
+    chains = by_group(answers, ["block"], step, schema, order=["part"])
     chains = scratch(chains.withColumn("cid", F.monotonically_increasing_id()), "sub-chains")
-    names = scratch(asked.where("part = 2").select("base", "a").mapInArrow(_numbered, "k long, key long"), "sub-numbers")
-    hashes = scratch(asked.where("part = 3").select(F.col("base").alias("k"), F.col("a").alias("words")), "sub-words")
-    discard(asked, answers)
-    return chains, names, hashes
+    discard(answers)
+    free_shuffles(docs.sparkSession)
+    return chains, hashes
 
 
 def chains_of(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
@@ -598,29 +607,30 @@ def _alignments(chains: DataFrame, hashes: DataFrame, margin: int) -> DataFrame:
     wanted = bloom_filter(count, "h")
     lists = scratch(asked.join(count.drop("h"), "k").groupBy("k", F.pmod(F.xxhash64("cid"), F.col("n")).alias("part"))
                     .agg(F.collect_list(F.struct("cid", "side", "lo", "hi")).alias("asked")), "sub-asked-words")
-    read = hashes.withColumn("h", F.xxhash64("k")).where(wanted("h")).drop("h")
+    read = hashes.select("k", "words", F.xxhash64("k").alias("h")).where(wanted("h")).drop("h")
     spans = scratch(lists.join(read, "k").select("words", "asked").mapInArrow(_slices, "cid long, side int, lo long, w binary"), "sub-spans")
     one = [spans.where(F.col("side") == s).select("cid", F.col("lo").alias(f"f{s}"), F.col("w").alias(f"w{s}")) for s in (0, 1)]
     found = scratch(chains.join(one[0], "cid").join(one[1], "cid").select("cid", "k", "anchor", "xs", "ys", "f0", "w0", "f1", "w1")
                     .mapInArrow(_aligner(margin), "cid long, k long, other long, start long, end long"), "sub-aligned")
     discard(count, lists, spans)
+    free_shuffles(chains.sparkSession)
     return found
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """doc_id, start_word, end_word, n_words, other_id: passages that also stand
     in another document; other_id is one that shares it."""
-    chains, numbers, hashes = _chains(docs)
+    chains, hashes = _chains(docs)
     near = _alignments(chains, hashes, NARROW)
     far = _alignments(chains.join(near.where("cid is not null").select("cid"), "cid", "left_semi"), hashes, MARGIN)
-    discard(hashes)
     # equal spans of a document meet in a map-side combined aggregate
     found = near.unionByName(far).where("k is not null").groupBy("k", "start", "end").agg(F.min("other").alias("other"))
     passages = scratch(by_group(found, ["k"], _merged, "k long, start long, end long, other long"), "sub-passages")
-    ends = passages.select("k").union(passages.select("other")).distinct().join(numbers, "k")
+    ends = passages.select("k").union(passages.select("other")).distinct().join(hashes.select("k", "key"), "k")
     wanted = bloom_filter(ends, "key")
     ids = docs.select(row_key().alias("key"), "doc_id").where(wanted("key")).distinct()
     names = scratch(ends.join(ids, "key").select("k", "doc_id"), "sub-names")
+    discard(hashes)
     other = names.select(F.col("k").alias("other"), F.col("doc_id").alias("other_id"))
     return (passages.join(names, "k").join(other, "other")
             .select("doc_id", F.col("start").alias("start_word"), F.col("end").alias("end_word"), (F.col("end") - F.col("start")).alias("n_words"), "other_id"))
