@@ -41,6 +41,23 @@ def test_sized_write_controls_the_file_count(spark, tmp_root):
     assert write_sized(df.where("false"), f"{tmp_root}/t", PARTS, 50) == []
 
 
+def test_sized_write_of_many_files_by_few_tasks(spark, tmp_root, monkeypatch):
+    from txlake.streaming import sinks
+    monkeypatch.setattr(sinks, "TASK_ROWS", 200)
+    # equal rows too, whose hashes tell no files apart; several buckets a partition
+    df = table(spark, 3000).unionByName(spark.range(900).select(F.lit(7).cast("long").alias("id"), F.lit("same").alias("kind"), F.lit(0).alias("batch")))
+    df = df.withColumn("batch", F.lit(0)).repartition(8)
+    write_sized(df, f"{tmp_root}/t", PARTS, 10)
+    held = spark.read.parquet(f"{tmp_root}/t").groupBy("kind", F.col("_metadata.file_path").alias("f")).count().collect()
+    sizes = {r.kind: r["count"] for r in df.groupBy("kind").count().collect()}
+    assert {k: sum(r.kind == k for r in held) for k in sizes} == {k: -(-n // 10) for k, n in sizes.items()}
+    assert max(r["count"] for r in held) <= 10
+    tasks = {os.path.basename(f).split("-")[1] for f in files(f"{tmp_root}/t")}
+    assert len(tasks) <= max(sinks.FEW_TASKS, 4 * spark.sparkContext.defaultParallelism) < len(held)
+    back = spark.read.parquet(f"{tmp_root}/t").select("id", "kind").exceptAll(df.select("id", "kind"))
+    assert back.isEmpty() and sum(r["count"] for r in held) == df.count()
+
+
 def test_manifest_names_the_files_and_compaction_swaps_them(spark, tmp_root):
     path, df = f"{tmp_root}/t", table(spark)
     for b in range(4):

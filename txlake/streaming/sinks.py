@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from itertools import accumulate
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +31,11 @@ from txlake.streaming.late import late_split
 #: huge file per task and partition.
 DEFAULT_MAX_RECORDS_PER_FILE = 2_000_000
 
+#: A sized write gives a task at most so many rows of files smaller than that,
+#: and up to so many files a task each.
+TASK_ROWS = 1 << 16
+FEW_TASKS = 64
+
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
                       max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
@@ -45,6 +50,9 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
      .mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", max_records_per_file)
+     # tasks put their files into the staged folders themselves; the driver
+     # only moves whole partitions
+     .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
      .partitionBy(*partition_cols)
      .save(path))
 
@@ -52,31 +60,51 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
 def write_sized(df: DataFrame, path: str, partition_cols: Sequence[str],
                 rows_per_file: int) -> list[Row]:
     """``write_partitioned`` with the file count under control: a partition of
-    n rows becomes ceil(n / ``rows_per_file``) files of about equal size.
-
-    The rows of each partition are counted first (a partial aggregate), and one
-    shuffle then deals them to a task per file: a hot partition is written by as
-    many tasks as it has files. The counts, one row per folder being written,
-    are broadcast. Returns the partitions written.
+    n rows becomes exactly ceil(n / ``rows_per_file``) files.
+
+    The rows of each partition are counted first (a partial aggregate) and
+    numbered by hash, in buckets of about ``TASK_ROWS`` (a shuffle); a row's
+    number names its file, of equal sizes. A second shuffle deals the files to
+    tasks: one each while they are few or large, else up to ``TASK_ROWS`` rows
+    of files that follow each other, which the task cuts at ``rows_per_file``
+    (only the last of a task's files of a partition is smaller). So the number
+    of tasks follows the rows, not the files, and a hot partition still is
+    written by many tasks. The counts, one row per folder being written and one
+    per bucket, are broadcast. Returns the partitions written.
     """
     parts = list(partition_cols)
-    sizes = df.groupBy(*parts).agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).alias("_files")).collect()
+    sizes = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("_rows")).collect()
     if not sizes:
         return []
     spark = df.sparkSession
+    n_files = [-(-r["_rows"] // rows_per_file) for r in sizes]
+    first = [0, *accumulate(n_files)]
+    few = max(FEW_TASKS, 4 * spark.sparkContext.defaultParallelism)
+    per_task = max(1, min(TASK_ROWS // rows_per_file, -(-first[-1] // few)))
     schema = T.StructType([df.schema[p] for p in parts] + [
-        T.StructField("_files", T.LongType()), T.StructField("_first", T.LongType())])
-    first = [0, *accumulate(r["_files"] for r in sizes)]
-    counts = spark.createDataFrame([(*r, n) for r, n in zip(sizes, first, strict=False)], schema).select(
-        *[F.col(p).alias(f"_p_{p}") for p in parts], "_files", "_first")
+        T.StructField(c, T.LongType()) for c in ("_rows", "_files", "_first", "_buckets")])
+    counts = spark.createDataFrame(
+        [(*r, k, a, -(-r["_rows"] // TASK_ROWS)) for r, k, a in zip(sizes, n_files, first, strict=False)], schema).select(
+        *[F.col(p).alias(f"_p_{p}") for p in parts], "_rows", "_files", "_first", "_buckets")
     same = F.lit(True)
     for p in parts:
         same = same & F.col(p).eqNullSafe(F.col(f"_p_{p}"))
     others = [c for c in df.columns if c not in parts]
-    dealt = (df.join(F.broadcast(counts), same)
-             .withColumn("_file", (F.col("_first") + F.pmod(F.xxhash64(*others), F.col("_files"))).cast("int")))
-    write_partitioned(dealt.repartitionById(first[-1], "_file").select(*df.columns), path, parts)
+    keyed = (df.join(F.broadcast(counts), same).withColumn("_hash", F.xxhash64(*others))
+             .withColumn("_bucket", F.pmod("_hash", "_buckets")))
+    # rows of the partition in the buckets before; only large ones have several
+    before: dict[int, int] = {}
+    starts = []
+    if any(r["_rows"] > TASK_ROWS for r in sizes):
+        for r in keyed.where("_buckets > 1").groupBy("_first", "_bucket").count().orderBy("_first", "_bucket").collect():
+            starts.append((r["_first"], r["_bucket"], before.get(r["_first"], 0)))
+            before[r["_first"]] = before.get(r["_first"], 0) + r["count"]
+    offsets = spark.createDataFrame(starts, "_first long, _bucket long, _before long")
+    number = (F.row_number().over(Window.partitionBy("_first", "_bucket").orderBy("_hash")) - 1
+              + F.coalesce("_before", F.lit(0)))
+    dealt = (keyed.join(F.broadcast(offsets), ["_first", "_bucket"], "left").withColumn("_number", number)
+             .withColumn("_task", F.floor((F.col("_first") + F.expr("_number * _files div _rows")) / per_task).cast("int")))
+    write_partitioned(dealt.repartitionById(-(-first[-1] // per_task), "_task").select(*df.columns), path, parts, rows_per_file)
     return [Row(**{p: r[p] for p in parts}) for r in sizes]
 
 
