@@ -58,6 +58,26 @@ def test_sized_write_of_many_files_by_few_tasks(spark, tmp_root, monkeypatch):
     assert back.isEmpty() and sum(r["count"] for r in held) == df.count()
 
 
+def test_manifest_files_are_looked_at_by_few_tasks(spark, tmp_root):
+    path, df = f"{tmp_root}/t", table(spark, 2000)
+    part = df.withColumn("batch", F.lit(0)).withColumn("kind", F.lit("all"))
+    n = 8 * spark.sparkContext.defaultParallelism
+    write_partitioned(part.repartition(n), path, PARTS)
+    commit(spark, path, "all", part.select(*PARTS).distinct().collect())
+    conf = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    default, sc = spark.conf.get(conf), spark.sparkContext
+    sc.setJobGroup("manifest-read", "")
+    try:
+        back = read_manifest(spark, path, df.schema, PARTS)
+        # the jobs of reading the entries and of looking at the files
+        stages = [sc.statusTracker().getStageInfo(s) for j in sc.statusTracker().getJobIdsForGroup("manifest-read")
+                  for s in sc.statusTracker().getJobInfo(j).stageIds]
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(back.inputFiles()) == n and back.count() == 2000
+    assert max(s.numTasks for s in stages if s) <= 4 * sc.defaultParallelism and spark.conf.get(conf) == default
+
+
 def test_manifest_names_the_files_and_compaction_swaps_them(spark, tmp_root):
     path, df = f"{tmp_root}/t", table(spark)
     for b in range(4):

@@ -56,14 +56,19 @@ def has_entry(spark: SparkSession, folder: str, name: str) -> bool:
 
 
 def _files_in(spark: SparkSession, path: str, parts: Iterable[dict]) -> list[dict]:
-    fs, found = _fs(spark, path), []
-    for part in parts:
-        folder = folder_of(spark, part)
-        for s in fs.listStatus(_path(spark, f"{path}/{folder}")):
-            name = s.getPath().getName()
-            if s.isFile() and not name.startswith((".", "_")):
-                found.append({"op": "add", "file": f"{folder}/{name}", "bytes": s.getLen(),
-                              "part": {k: None if v is None else str(v) for k, v in part.items()}})
+    """The files in the folders of ``parts``: Spark lists them, and no file is
+    opened, as their contents are not asked for."""
+    of = {folder_of(spark, part): {k: None if v is None else str(v) for k, v in part.items()} for part in parts}
+    if not of:
+        return []
+    found = []
+    files = spark.read.format("binaryFile").load([f"{path}/{folder}" for folder in of])
+    for r in files.select("path", "length").collect():
+        names = r.path.split("/")
+        for depth in {folder.count("/") + 1 for folder in of}:
+            folder = "/".join(names[-depth - 1:-1])
+            if folder in of:
+                found.append({"op": "add", "file": f"{folder}/{names[-1]}", "bytes": r.length, "part": of[folder]})
     return found
 
 
@@ -87,15 +92,25 @@ def live_files(spark: SparkSession, path: str, schema: T.StructType, parts: Sequ
     return live.join(gone, "file", "left_anti")
 
 
+def _open(spark: SparkSession, path: str, schema: T.StructType, files: Sequence[str]) -> DataFrame:
+    """The rows of the named files. Spark looks at each of them in a job, by
+    default of a task per file: here a few tasks a core look at many each."""
+    tasks, n = "spark.sql.sources.parallelPartitionDiscovery.parallelism", 4 * spark.sparkContext.defaultParallelism
+    default = spark.conf.get(tasks)
+    spark.conf.set(tasks, str(min(n, int(default))))
+    try:
+        return (spark.read.schema(schema).option("basePath", path)
+                .parquet(*[f"{path}/{f}" for f in files]))
+    finally:
+        spark.conf.set(tasks, default)
+
+
 def read_manifest(spark: SparkSession, path: str, schema: T.StructType, parts: Sequence[str],
                   where: Column | str | None = None) -> DataFrame:
     """The rows of the partitions ``where`` chooses. Only the files named for
     them are looked at; no folder is listed."""
     files = [r.file for r in live_files(spark, path, schema, parts, where).select("file").collect()]
-    if not files:
-        return spark.createDataFrame([], schema)
-    return (spark.read.schema(schema).option("basePath", path)
-            .parquet(*[f"{path}/{f}" for f in files]))
+    return _open(spark, path, schema, files) if files else spark.createDataFrame([], schema)
 
 
 def compact(spark: SparkSession, path: str, schema: T.StructType, parts: Sequence[str],
@@ -112,8 +127,7 @@ def compact(spark: SparkSession, path: str, schema: T.StructType, parts: Sequenc
     name = f"compact-{uuid.uuid4().hex[:12]}"
     if not old:
         return name
-    rows = (spark.read.schema(schema).option("basePath", path)
-            .parquet(*[f"{path}/{f}" for f in old]).withColumns(merge))
+    rows = _open(spark, path, schema, old).withColumns(merge)
     written = write_sized(rows, path, parts, rows_per_file)
     commit(spark, path, name, written, replaced=old)
     return name
