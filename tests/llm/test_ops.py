@@ -8,6 +8,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from txlake.llm import common, exact_dedup, langid, licenses, mixing, ngram_join, packing, substrings, topk, toxicity, url_filter
@@ -629,3 +630,11 @@ def test_lone_runs_that_no_alignment_goes_beyond():
             if matched >= substrings.IDENTITY * max(e - s, v - u):
                 plain += [(k, anchor, f0 + s, f0 + e), (anchor, k, f1 + u, f1 + v)]
         assert quick == sorted(plain)
+
+
+def test_toxicity_lets_go_of_what_packing_remembers():
+    path = packing.default_tokenizer()
+    assert packing._encoder(path)(pa.array(["a few words"]))
+    assert packing._encoder.cache_info().currsize
+    assert list(toxicity._blocks(iter(()), [], 16)) == []
+    assert packing._encoder.cache_info().currsize == 0

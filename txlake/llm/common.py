@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -66,6 +66,18 @@ def word_hashes(tokens: list[str]) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, map(str.encode, tokens)), np.uint32, len(tokens))
 
 
+#: What empties the memory that a worker keeps between tasks for an operator.
+KEPT: list[Callable[[], None]] = []
+
+
+def let_go() -> None:
+    """Empties a worker's memory of earlier operators' tasks: workers outlive
+    stages, and a stage that needs the room calls this first."""
+    for clear in KEPT:
+        clear()
+    pa.default_memory_pool().release_unused()
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser: a bijection that spreads every input bit."""
     x = x.astype(np.uint64, copy=True)

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txlake.llm.common import scratch
+from txlake.llm.common import KEPT, scratch
 
 SEQ = 2048
 STEP = 8
@@ -124,6 +124,9 @@ def _encoder(path: str):
     return encode
 
 
+KEPT.append(_encoder.cache_clear)
+
+
 def _runs(texts: pa.Array) -> list[tuple[int, int]]:
     """(first row, rows) of runs of up to ``RUN`` bytes; a longer text is alone."""
     total = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))

@@ -46,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txlake.llm.common import bloom_filter, by_group, crc_mod, discard, keep_rows, mix64, row_key, scratch, words
+from txlake.llm.common import bloom_filter, by_group, crc_mod, discard, keep_rows, let_go, mix64, row_key, scratch, words
 
 FOLDS = 5
 HELD_OUT = 0
@@ -107,6 +107,7 @@ class _Block:
 
 
 def _blocks(batches, columns, size):
+    let_go()
     block = _Block(size)
     for batch in batches:
         for a in range(0, batch.num_rows, 256):
