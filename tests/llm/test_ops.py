@@ -638,3 +638,15 @@ def test_toxicity_lets_go_of_what_packing_remembers():
     assert packing._encoder.cache_info().currsize
     assert list(toxicity._blocks(iter(()), [], 16)) == []
     assert packing._encoder.cache_info().currsize == 0
+
+
+def test_runs_of_matches_on_close_and_far_diagonals():
+    # one block: document 0 holds the anchor's words at places far apart, before and after
+    n, pos, apos = 6, np.array([0, 1, 2, 5, 6, 900]), np.array([2**30, 2**30 + 1, 2**30 + 2, 0, 1, 899])
+    cols = dict(part=[0], range=[0], base=[7], n=[n], m=[1])
+    a, b = substrings._pack_places(np.zeros(n, np.int64), pos)
+    cols |= dict(a=[a], b=[b], c=[substrings._pack(np.diff(np.arange(n), prepend=0))], d=[substrings._pack(np.zeros(n, np.int64))],
+                 e=[np.array([3], "<i8").tobytes()], f=[substrings._pack(apos)])
+    (doc, other, at, aat, size), = substrings._runs([((0,), pa.table(cols))])
+    assert sorted(zip(at.tolist(), aat.tolist(), size.tolist(), strict=True)) == [(0, 2**30, 3), (5, 0, 2), (900, 899, 1)]
+    assert set(doc.tolist()) == {7} and set(other.tolist()) == {3}

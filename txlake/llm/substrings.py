@@ -294,7 +294,8 @@ def _runs(groups):
         if not parts:
             continue
         doc, pos, other, apos = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.lexsort((pos, pos - apos, other, doc))
+        # a diagonal and the place on it in one key: positions are below 2^31
+        order = np.lexsort((((pos - apos) << 32) + pos, other, doc))
         doc, pos, other, apos = doc[order], pos[order], other[order], apos[order]
         start = np.flatnonzero(np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(other) != 0) | (np.diff(pos) != 1) | (np.diff(apos) != 1)]))
         size = np.diff(np.append(start, len(doc)))
