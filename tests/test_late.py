@@ -135,3 +135,17 @@ def test_state_and_metrics_as_tables(spark, tmp_root):
     got = [(r.batch_id, r.rows_in, r.rejected, r.rows_out, r.dropped_late) for r in batch_metrics_table(spark, q).collect()]
     # a late row went nowhere: four rows and two rejects of batch 2 came out less its two late ones
     assert got == [(0, 1, 0, 1, 0), (1, 1, 0, 1, 0), (2, 7, 2, 4, 2), (3, 3, 0, 1, 2)]
+
+
+def test_large_arrivals_are_fed_in_a_file_per_core(spark, tmp_root, monkeypatch):
+    import glob
+
+    from txlake.plans import queries as Q
+    (spark.range(3000).selectExpr("id AS event_id", "timestamp_ntz '2024-01-01' + make_dt_interval(id % 30) AS ts", "id AS user_id",
+                                  "'click' AS event_type", "1.0D AS value", "'{}' AS props").write.parquet(f"{tmp_root}/sf/events.parquet"))
+    cores = spark.sparkContext.defaultParallelism
+    for rows, want in ((10_000, 2), (10, max(2, min(cores, 60)))):
+        monkeypatch.setattr(Q, "FEED_ROWS", rows)
+        feed, n = Q._arrival_feed(spark, f"{tmp_root}/sf", f"{tmp_root}/{rows}")
+        assert n == want and len(glob.glob(f"{feed}/part-*")) == 5 * n
+        assert spark.read.parquet(feed).count() == 3000

@@ -336,31 +336,36 @@ def dedup_finalized(spark, sf):
 
 WATERMARK_MODES = ("watermark_first", "within_watermark", "finalized")
 FAR_FUTURE = "9999-12-31 00:00:00"
-FEED_FILES = 2                        # files of one arrival: one trigger's
+FEED_FILES = 2                        # files of one arrival at least: one trigger's
+FEED_ROWS = 10_000                    # and no more than one per so many rows
 
 
-def _arrival_feed(spark, sf, root: str, first: DataFrame | None = None) -> str:
-    """The arrivals as a feed of ``FEED_FILES`` files each, oldest arrival
-    first, so that a stream admitting as many files per trigger takes one
-    arrival per micro-batch. ``first`` are records for the first arrival."""
+def _arrival_feed(spark, sf, root: str, first: DataFrame | None = None) -> tuple[str, int]:
+    """The arrivals as a feed of as many files each, oldest arrival first, so
+    that a stream admitting that many files per trigger takes one arrival per
+    micro-batch: (folder, files of an arrival). A file is read by one task or a
+    few, so large arrivals have as many as there are cores. ``first`` are
+    records for the first arrival."""
     arr = S.events_envelopes(S.event_arrivals(_t(spark, sf, "events", cpu_heavy=True)), keep=("arrival",))
     arr.write.partitionBy("arrival").parquet(f"{root}/staged")
+    least = min((r["count"] for r in spark.read.parquet(f"{root}/staged").groupBy("arrival").count().collect()), default=0)
+    n = max(FEED_FILES, min(spark.sparkContext.defaultParallelism, least // FEED_ROWS))
     for b in range(S.N_ARRIVALS):
         part = spark.read.parquet(f"{root}/staged").where(F.col("arrival") == b).select("value")
         if first is not None and b == 0:
             part = part.unionByName(first)
-        part.repartition(FEED_FILES).write.mode("append").parquet(f"{root}/feed")
-    return f"{root}/feed"
+        part.repartition(n).write.mode("append").parquet(f"{root}/feed")
+    return f"{root}/feed", n
 
 
 def late_table(spark, sf):
     """The rows a watermark drops as late, kept in the late table, in each mode
     that has a watermark; one run, an arrival per micro-batch."""
     root = scratch_path(spark, "late_table")
-    feed, ss, out = _arrival_feed(spark, sf, root), stream_session(spark), None
+    (feed, n), ss, out = _arrival_feed(spark, sf, root), stream_session(spark), None
     for mode in WATERMARK_MODES:
         paths = TablePaths.under(f"{root}/{mode}")
-        run_collector(record_stream(ss, feed, max_files_per_trigger=FEED_FILES), FanOutSink(paths),
+        run_collector(record_stream(ss, feed, max_files_per_trigger=n), FanOutSink(paths),
                       f"{root}/checkpoints/{mode}", watermark_delay=WATERMARK_DELAY, dedup_mode=mode)
         one = spark.read.parquet(paths.late).select(
             F.lit(mode).alias("mode"), "batch_id", "object_id", "object_type", ntz("sent_dttm"))
@@ -375,9 +380,9 @@ def guarded_clock(spark, sf):
     root = scratch_path(spark, "guarded_clock")
     wild = spark.range(1).select(S.envelope_json(F.lit("wild"), F.lit("TRANSACTION"), F.lit(FAR_FUTURE),
                                                  F.struct(F.lit(1).alias("k"))).alias("value"))
-    feed = _arrival_feed(spark, sf, root, wild)
+    feed, n = _arrival_feed(spark, sf, root, wild)
     paths = TablePaths.under(f"{root}/tables")
-    run_collector(record_stream(stream_session(spark), feed, max_files_per_trigger=FEED_FILES), FanOutSink(paths),
+    run_collector(record_stream(stream_session(spark), feed, max_files_per_trigger=n), FanOutSink(paths),
                   f"{root}/checkpoint", watermark_delay=WATERMARK_DELAY)
     cols = ("object_id", ntz("sent_dttm"))
     aside = spark.read.parquet(paths.rejects)
@@ -422,8 +427,8 @@ def observed_metrics(spark, sf):
     """Per arrival, what the collector observed while it ran: records in
     (before the dedup) and out of it. No table is read for it."""
     root = scratch_path(spark, "observed_metrics")
-    feed = _arrival_feed(spark, sf, root)
-    q = run_collector(record_stream(stream_session(spark), feed, max_files_per_trigger=FEED_FILES),
+    feed, n = _arrival_feed(spark, sf, root)
+    q = run_collector(record_stream(stream_session(spark), feed, max_files_per_trigger=n),
                       FanOutSink(TablePaths.under(f"{root}/tables")), f"{root}/checkpoint")
     return batch_metrics_table(spark, q).select(
         F.col("batch_id").cast("int").alias("arrival"), "rows_in", "rows_out", "rejected")
@@ -433,8 +438,8 @@ def state_audit(spark, sf):
     """How many keys the watermarked dedup held after each arrival, read from
     its checkpoint."""
     root = scratch_path(spark, "state_audit")
-    feed = _arrival_feed(spark, sf, root)
-    run_collector(record_stream(stream_session(spark), feed, max_files_per_trigger=FEED_FILES),
+    feed, n = _arrival_feed(spark, sf, root)
+    run_collector(record_stream(stream_session(spark), feed, max_files_per_trigger=n),
                   FanOutSink(TablePaths.under(f"{root}/tables")), f"{root}/checkpoint",
                   watermark_delay=WATERMARK_DELAY)
     return state_sizes(spark, f"{root}/checkpoint", range(S.N_ARRIVALS))
