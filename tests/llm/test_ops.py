@@ -650,3 +650,52 @@ def test_runs_of_matches_on_close_and_far_diagonals():
     (doc, other, at, aat, size), = substrings._runs([((0,), pa.table(cols))])
     assert sorted(zip(at.tolist(), aat.tolist(), size.tolist(), strict=True)) == [(0, 2**30, 3), (5, 0, 2), (900, 899, 1)]
     assert set(doc.tolist()) == {7} and set(other.tolist()) == {3}
+
+
+def test_hashes_of_texts_are_those_of_their_words():
+    rng = np.random.default_rng(11)
+    letters = [*"aZ_9 .,\t\n\x00\x1c\x1f\x85\xa0 ", *"éßİΣσ²ªⅣ٣ǅ中の한😀́‍­"]
+    texts = [None, "", " ", "\x00", "A", "É", "ΟΔΟΣ ΣΑΣ", "".join(map(chr, range(0xD800))), "".join(map(chr, range(0xE000, 0x110000)))]
+    texts += ["".join(rng.choice(letters[:n], 60)) for n in (15, len(letters)) for _ in range(200)]
+    for t in texts:
+        want = common.word_hashes(common.words(t))
+        got = common.text_hashes(t)
+        assert got.dtype == want.dtype and got.tolist() == want.tolist()
+
+
+def test_order_of_long_numbers():
+    """Also of those whose first bits are the same."""
+    rng = np.random.default_rng(18)
+    for n in (1, 2, 5000):
+        whole = rng.integers(0, 1 << 64, n, np.uint64)
+        for v, bits in ((whole, 64), (whole >> np.uint64(63), 64), (whole >> np.uint64(56), 64), (whole >> np.uint64(56), 8), (whole >> np.uint64(24), 40)):
+            assert substrings._order(v, bits).tolist() == np.argsort(v, kind="stable").tolist()
+
+
+def test_a_range_answers_its_blocks_together():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(13)
+    texts = [rng.integers(0, 40, 30).astype(np.uint32) for _ in range(64)]
+    rows = [r for k, w in enumerate(texts) for r in substrings._block_rows(k, k, [substrings._seeds(np.concatenate([w, texts[k // 2]]))], 2)]
+    asked = pa.Table.from_batches([substrings._rows(rows)]).sort_by("range")
+    batches = list(substrings._answered(common.sorted_groups(asked.to_batches(), ["range"])))
+    assert len(batches) == 2 and sum(len(b) for b in batches) >= 128
+
+
+def test_packed_numbers_of_every_length_and_width():
+    rng = np.random.default_rng(19)
+    for n in (0, 1, 2, substrings.PLAIN, substrings.PLAIN + 1):
+        for most in (1, 255, 256, 65_535, 65_536, 2**32 - 1):
+            v = rng.integers(0, most, n, endpoint=True)
+            v[:1] = most
+            data = substrings._pack(v)
+            assert substrings._unpack(data, n).tolist() == v.tolist()
+            assert n > substrings.PLAIN or len(data) <= 4 * n + 1
+
+
+def test_blocks_of_large_tables_have_no_rows_of_few_seeds():
+    for chars in (0, 10**8, 510 * 10**6, 30 * 10**9):
+        ranges = substrings._ranges(chars)
+        assert ranges * substrings.MOST_SEEDS * substrings.CHARS >= chars
+        assert ranges == substrings.RANGES or substrings.BLOCK_WORDS / ranges >= 512

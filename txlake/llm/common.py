@@ -6,6 +6,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -66,6 +67,32 @@ def word_hashes(tokens: list[str]) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, map(str.encode, tokens)), np.uint32, len(tokens))
 
 
+#: An ASCII character of a word, lower-cased; of others a blank.
+_LOWER = bytes(ord(c.lower()) if _WORD.match(c) else 32 for c in map(chr, range(128))) + bytes(128)
+
+
+@cache
+def _word_points() -> np.ndarray:
+    """Of every code point whether it belongs to a word."""
+    out = np.zeros(0x110000, bool)
+    for m in _WORD.finditer("".join(map(chr, range(len(out))))):
+        out[m.start():m.end()] = True
+    return out
+
+
+def text_hashes(text: str | None) -> np.ndarray:
+    """``word_hashes(words(text))``, whose words are told apart by blanks put
+    for all that is between them."""
+    if not text:
+        return np.zeros(0, np.uint32)
+    if text.isascii():
+        tokens = text.encode().translate(_LOWER).split()
+    else:
+        points = np.frombuffer(text.lower().encode("utf-32-le"), "<u4")
+        tokens = np.where(_word_points()[points], points, np.uint32(32)).astype("<u4").tobytes().decode("utf-32-le").encode().split()
+    return np.fromiter(map(zlib.crc32, tokens), np.uint32, len(tokens))
+
+
 #: What empties the memory that a worker keeps between tasks for an operator.
 KEPT: list[Callable[[], None]] = []
 

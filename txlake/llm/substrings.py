@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txlake.llm.common import bloom_filter, by_group, discard, free_shuffles, gram_hashes, mix64, row_key, scratch, word_hashes, words
+from txlake.llm.common import bloom_filter, by_group, discard, free_shuffles, mix64, row_key, scratch, text_hashes, word_hashes
 
 K = 5
 #: Of neighbouring equal runs (one word over and over) one in so many is a seed.
@@ -54,14 +54,22 @@ NEAR = 8
 #: its surroundings once, not at every repeat.
 REGION = 256
 #: Words of the texts whose seeds are named together; seeds of one range of
-#: hashes, about, and the fewest ranges; characters of a word, about.
+#: hashes, about, and the fewest ranges; characters of a word, about. A block has
+#: a row for every range, and rows of few seeds cost more than the seeds in them:
+#: from so many ranges on they are larger ones, of up to so many seeds.
 BLOCK_WORDS = 1 << 20
-RANGE_SEEDS = 1 << 19
+RANGE_SEEDS = 1 << 20
 RANGES = 16
+MANY_RANGES = 512
+MOST_SEEDS = 1 << 22
 CHARS = 6
 #: Bytes by which a range tells its seeds apart: with the range's size fixed, one
 #: in some two million seeds is taken for another, whatever the table's size.
 TAIL = 5
+#: Up to so many numbers are written plain.
+PLAIN = 512
+#: What the words of a run are multiplied by, each spread over 64 bits before.
+_FACTORS = mix64(np.arange(1, K + 1)) | np.uint64(1)
 CHAINS = "k long, anchor long, xs array<array<int>>, ys array<array<int>>, lo0 long, hi0 long, lo1 long, hi1 long"
 _COLUMNS = ("block", "base", "part", "range", "n", "m", "a", "b", "c", "d", "e", "f")
 _SCHEMA = "block long, base long, part int, range int, n int, m int, a binary, b binary, c binary, d binary, e binary, f binary"
@@ -79,8 +87,13 @@ def seeds_of(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def _seeds(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if len(w) < K:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    h = mix64(gram_hashes(w, K))
-    at = np.arange(len(h))
+    w = mix64(w + np.uint64(0x9E3779B97F4A7C15))
+    n = len(w) - K + 1
+    h = w[:n] * _FACTORS[0]
+    for j in range(1, K):
+        h += w[j:n + j] * _FACTORS[j]
+    h = mix64(h)
+    at = np.arange(n)
     if (h[1:] != h[:-1]).all():
         return at, h
     new = np.concatenate([[True], h[1:] != h[:-1]])
@@ -100,13 +113,22 @@ def _once(docs: DataFrame) -> DataFrame:
 
 
 def _pack(values: np.ndarray) -> bytes:
-    """Whole numbers below 2^32: all first bytes, all second ones and so on."""
-    return pa.compress(np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), "zstd", asbytes=True) if len(values) else b""
+    """Whole numbers below 2^32: all first bytes, all second ones and so on. Few
+    are written plain behind their width, no byte that packed ones begin with."""
+    if len(values) == 0:
+        return b""
+    if len(values) <= PLAIN:
+        most = int(values.max())
+        width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4
+        return b"%c%b" % (width, values.astype(f"<u{width}").tobytes())
+    return pa.compress(np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), "zstd", asbytes=True)
 
 
 def _unpack(data: bytes, n: int) -> np.ndarray:
     if n == 0:
         return np.zeros(0, np.int64)
+    if data[0] <= 4:
+        return np.frombuffer(data, f"<u{data[0]}", n, 1).astype(np.int64)
     flat = np.frombuffer(pa.decompress(data, 4 * n, "zstd", asbytes=True), np.uint8)
     return np.ascontiguousarray(flat.reshape(4, n).T).view("<u4").ravel().astype(np.int64)
 
@@ -144,39 +166,70 @@ def _batches(rows, size: int = 1 << 18):
         yield _rows(part)
 
 
-def _equal(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(an order by value, where in it each value starts, each one's number)."""
-    order = np.argsort(h)
-    new = np.concatenate([[True], np.diff(h[order]) != 0])
-    number = np.empty(len(h), np.int64)
-    number[order] = np.cumsum(new) - 1
-    return order, np.flatnonzero(new), number
+def _order(values: np.ndarray, bits: int) -> np.ndarray:
+    """The stable order of whole numbers below 2^``bits``. Each is sorted as one
+    number with its place, far quicker than places by values; of long ones the
+    last bits are left out, and all is sorted again if that puts different ones
+    in one."""
+    place = np.uint64(len(values).bit_length())
+    cut = np.uint64(max(bits + int(place) - 64, 0))
+    keys = ((values >> cut) << place) | np.arange(len(values), dtype=np.uint64)
+    keys.sort()
+    order = (keys & ((np.uint64(1) << place) - np.uint64(1))).astype(np.int32 if place < 32 else np.int64)
+    if cut:
+        keys >>= place
+        found = values[order]
+        if ((found[1:] != found[:-1]) & (keys[1:] == keys[:-1])).any():
+            return np.argsort(values, kind="stable")
+    return order
+
+
+def _equal(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(the stable order by value, whether a value is new there, the first and
+    the last place of each value)."""
+    order = _order(h, bits)
+    found = h[order]
+    new = np.concatenate([[True], found[1:] != found[:-1]])
+    starts = np.flatnonzero(new)
+    return order, new, order[starts], order[np.append(starts[1:], len(h)) - 1]
 
 
 def _block_rows(block: int, base: int, found: list[tuple[np.ndarray, np.ndarray]], ranges: int):
     """A block's rows of ``_asked``."""
-    doc = np.repeat(np.arange(len(found)), [len(at) for at, _ in found])
-    pos, h = (np.concatenate([f[i] for f in found]) for i in (0, 1))
-    group, starts, number = _equal(h)
-    seeds = h[group[starts]]
-    first, last = (f.reduceat(group, starts) for f in (np.minimum, np.maximum))
+    doc = np.repeat(np.arange(len(found), dtype=np.int32), [len(at) for at, _ in found])
+    pos, h = (np.concatenate([f[i] for f in found], dtype=t) for i, t in ((0, np.int32), (1, np.uint64)))
+    group, new, first, last = _equal(h, 64)
+    number = np.empty(len(h), group.dtype)
+    number[group] = np.cumsum(new, dtype=group.dtype) - 1
+    seeds, place = h[first], len(h).bit_length()
+    del h
     bits = np.uint64(ranges.bit_length() - 1)
     of = (seeds >> (np.uint64(64) - bits)).astype(np.int64)
-    order = np.argsort(of * len(h) + first)
-    starts = np.searchsorted(of, np.arange(ranges + 1))
-    entry = np.empty(len(seeds), np.int64)
-    entry[order] = np.arange(len(seeds)) - starts[of[order]]
-    tail = np.ascontiguousarray(((seeds << bits) >> np.uint64(64 - 8 * TAIL)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :TAIL])
-    again = np.flatnonzero(np.arange(len(h)) != first[number])
-    again = again[np.argsort(of[number[again]] * len(h) + again)]
-    cuts = np.searchsorted(of[number[again]], np.arange(ranges + 1))
-    for r in range(ranges):
-        o = order[starts[r]:starts[r + 1]]
-        if len(o) == 0:
+    cuts = np.arange(ranges + 1) << place
+    # seeds by range and first place
+    first = np.sort((of << place) | first)
+    starts = np.searchsorted(first, cuts).tolist()
+    first &= (1 << place) - 1
+    order = number[first]
+    entry = np.empty(len(seeds), np.int32)
+    entry[order] = np.arange(len(seeds)) - np.repeat(starts[:-1], np.diff(starts))
+    tail = np.ascontiguousarray(((seeds[order] << bits) >> np.uint64(64 - 8 * TAIL)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :TAIL])
+    d, p, last = doc[first], pos[first], last[order]
+    more = np.flatnonzero(doc[last] != d)
+    last = last[more]
+    del seeds, order, first
+    stops = np.searchsorted(more, starts).tolist()
+    again = group[~new]
+    again = np.sort((of[number[again]] << place) | again)
+    cuts = np.searchsorted(again, cuts).tolist()
+    again &= (1 << place) - 1
+    del of, group, new
+    for r, (a, b) in enumerate(zip(starts[:-1], starts[1:], strict=True)):
+        if a == b:
             continue
-        more = o[doc[last[o]] != doc[first[o]]]
-        yield (block, base, 0, r, len(o), len(more), *_pack_places(doc[first[o]], pos[first[o]]), tail[o].tobytes(),
-               _pack(np.diff(entry[more], prepend=0)), _pack(doc[last[more]]), _pack(pos[last[more]]))
+        m = slice(stops[r], stops[r + 1])
+        yield (block, base, 0, r, b - a, m.stop - m.start, *_pack_places(d[a:b], p[a:b]), tail[a:b].tobytes(),
+               _pack(np.diff(more[m] - a, prepend=0)), _pack(doc[last[m]]), _pack(pos[last[m]]))
         m = again[cuts[r]:cuts[r + 1]]
         if len(m):
             yield block, base, 1, r, len(m), 0, *_pack_places(doc[m], pos[m]), _pack(entry[number[m]]), b"", b"", b""
@@ -190,7 +243,7 @@ def _hashed(texts: DataFrame) -> DataFrame:
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
-                rows = [(key, word_hashes(words(text))) for key, text in zip(part.column("key").to_pylist(), part.column("text").to_pylist(), strict=True)]
+                rows = [(key, text_hashes(text)) for key, text in zip(part.column("key").to_pylist(), part.column("text").to_pylist(), strict=True)]
                 rows = [(key, w.tobytes()) for key, w in rows if len(w) >= K]
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(k, k + len(rows))), *(pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.binary())))],
                                                  ["k", "key", "words"])
@@ -231,46 +284,54 @@ def _answered(groups):
                 asked.append(row)
             else:
                 elsewhere[row[0]] = row
-        seeds, docs, places = [], [], []
-        for _, base, n, m, a, b, c, *_ in asked:
+        # blocks by their documents, a block's first places before its last: places
+        # of one seed then follow each other by document, which is named once
+        asked.sort(key=lambda row: row[1])
+        seeds, docs, places, begins, size = [], [], [], [], 0
+        for _, base, n, m, a, b, c, d, e, f in asked:
             doc, pos = _unpack_places(a, b, n)
             h = np.zeros((n, 8), np.uint8)
             h[:, :TAIL] = np.frombuffer(c, np.uint8).reshape(n, TAIL)
             seeds.append(h.view("<u8").ravel())
             docs.append(base + doc)
-            places.append(pos)
-        named = len(seeds)
-        for i, (_, base, _, m, *_, d, e, f) in enumerate(asked):
+            places.append(pos.astype(np.int32))
+            begins.append(size)
+            size += n + m
             if m:
-                seeds.append(seeds[i][np.cumsum(_unpack(d, m))])
+                seeds.append(seeds[-1][np.cumsum(_unpack(d, m))])
                 docs.append(base + _unpack(e, m))
-                places.append(_unpack(f, m))
-        ends = np.cumsum([len(x) for x in seeds[:named]])
+                places.append(_unpack(f, m).astype(np.int32))
         h, doc, pos = map(np.concatenate, (seeds, docs, places))
         del seeds, docs, places
-        order, starts, group = _equal(h)
-        low, high = np.empty((2, len(starts)), np.int64)
-        for end, f in ((low, np.minimum), (high, np.maximum)):
-            # of one seed a document is named once: a block names its first and its last
-            at = np.flatnonzero(doc == f.reduceat(doc[order], starts)[group])
-            end[group[at]] = at
+        order, new, low, high = _equal(h, 8 * TAIL)
         shared = doc[low] != doc[high]
-        for (block, base, n, *_), end in zip(asked, ends.tolist(), strict=True):
-            at = np.arange(end - n, end)
-            at = at[shared[group[at]]]
-            if len(at) == 0:
-                continue
-            of = group[at]
-            target = np.where(doc[low[of]] != doc[at], low[of], high[of])
-            others, which = np.unique(doc[target], return_inverse=True)
-            yield _rows([(block, base, 0, r, len(at), len(others), *_pack_places(doc[at] - base, pos[at]),
-                          _pack(np.diff(at - (end - n), prepend=0)), _pack(which), others.astype("<i8").tobytes(), _pack(pos[target]))])
-            if block in elsewhere:
-                _, _, m, _, a, b, c, *_ = elsewhere.pop(block)
-                asks = _unpack(c, m)
-                keep = shared[group[end - n + asks]]
-                if keep.any():
-                    yield _rows([(block, base, 1, r, int(keep.sum()), 0, *_pack_places(*(x[keep] for x in _unpack_places(a, b, m))), _pack(asks[keep]), b"", b"", b"")])
+        group = np.cumsum(new, dtype=order.dtype) - 1
+        stand = shared[group]
+        group, at = group[stand], order[stand]
+        target = np.full(size, -1, order.dtype)
+        target[at] = np.where(doc[low[group]] != doc[at], low[group], high[group])
+        del h, order, new, low, high, group, stand, at
+        yield from _batches(_answers(r, asked, elsewhere, begins, doc, pos, target))
+
+
+def _answers(r, asked, elsewhere, begins, doc, pos, target):
+    """A range's rows of ``_answered``: of place i, of all that are named, the
+    other document's is ``target[i]`` (-1: none)."""
+    for (block, base, n, *_), begin in zip(asked, begins, strict=True):
+        entry = np.flatnonzero(target[begin:begin + n] >= 0)
+        if len(entry) == 0:
+            continue
+        at = begin + entry
+        to = target[at]
+        others, which = np.unique(doc[to], return_inverse=True)
+        yield (block, base, 0, r, len(at), len(others), *_pack_places(doc[at] - base, pos[at]),
+               _pack(np.diff(entry, prepend=0)), _pack(which), others.astype("<i8").tobytes(), _pack(pos[to]))
+        if block in elsewhere:
+            _, _, m, _, a, b, c, *_ = elsewhere[block]
+            asks = _unpack(c, m)
+            keep = target[begin + asks] >= 0
+            if keep.any():
+                yield block, base, 1, r, int(keep.sum()), 0, *_pack_places(*(x[keep] for x in _unpack_places(a, b, m))), _pack(asks[keep]), b"", b"", b""
 
 
 def _runs(groups):
@@ -307,12 +368,17 @@ def _matched(groups):
         yield from _chained(*runs)
 
 
+def _ranges(chars: int) -> int:
+    ranges = RANGES
+    while ranges * (RANGE_SEEDS if ranges < MANY_RANGES else MOST_SEEDS) * CHARS < chars:
+        ranges *= 2
+    return ranges
+
+
 def _chains(docs: DataFrame, step=_matched, schema: str = CHAINS) -> tuple[DataFrame, DataFrame]:
     """(chains between numbered documents, the numbers with keys and words)."""
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    ranges = RANGES
-    while ranges * RANGE_SEEDS * CHARS < chars:
-        ranges *= 2
+    ranges = _ranges(chars)
     hashes = _hashed(_once(docs))
     answers = scratch(by_group(_asked(hashes, ranges), ["range"], _answered, _SCHEMA), "sub-answers")
     free_shuffles(docs.sparkSession)
