@@ -10,6 +10,7 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from txlake.llm import common, exact_dedup, langid, licenses, mixing, ngram_join, packing, substrings, topk, toxicity, url_filter
 
@@ -308,6 +309,25 @@ def test_licences_of_a_notice_file(spark):
         assert any(words[m.position:m.position + len(t.split())] == t.split() for n, t, _ in licenses.TEMPLATES if n == m.template)
 
 
+def test_licences_start_no_python_workers(docs):
+    plan = licenses.scan(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan and "Python" not in plan
+    # nor are files without a trigger word, the last child of the union, shuffled
+    lines = plan.splitlines()
+    at = next(x.index("Union") for x in lines if "Union" in x)
+    last = max(i for i, x in enumerate(lines) if x[at:at + 3] == "+- ")
+    assert "scan parquet" in "".join(lines[last:]).lower() and "Exchange" not in "".join(lines[last:])
+
+
+def test_licence_words_make_no_object_of_every_character(spark):
+    odd = ["K license", "mitK mit license", "", " ", ".", ".mit license", "mit license.", "..mit  license..", None, "É MIT LICENSE 😀 mit license İ", "a"]
+    docs = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
+    want = [(i, re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))) for i, t in enumerate(odd)]
+    got = sorted((r.doc_id, r.n_words, [(h.pos, h.word) for h in r.hits or []]) for r in licenses.licence_hits(docs, ["mit", "license"], ["mit"]).collect())
+    assert got == [(i, len(w), [(n, x) for n, x in enumerate(w) if x in ("mit", "license")] if "mit" in w else []) for i, w in want]
+    assert "translate(" not in str(licenses.file_words(F.col("text")))
+
+
 def test_urls(spark):
     link = '<link href="{0}" rel="canonical">'
     pages = [(0, "http://A.Example.org/es/x", None), (1, "https://x.net/1", link.format("http://b.com/de/q")), (2, "https://x.net/1?utm=1", ""),

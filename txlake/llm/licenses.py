@@ -17,7 +17,8 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from txlake.llm.common import scratch
@@ -64,17 +65,29 @@ def _constants(templates):
     return index, known, postings, keys
 
 
+def fixed_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """``rows`` as a relation of the driver: a plain list would be read by
+    Python workers, which an executor then has beside its own memory."""
+    names = [c.split()[0] for c in schema.split(", ")]
+    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(names, r, strict=True)) for r in rows]), schema)
+
+
+def file_words(text: Column) -> Column:
+    """The words of a file, in order; translate() and a pattern for both ends of
+    the text would make an object of every character and another copy of it."""
+    # A-Z only: the Kelvin sign is the one other character that lower() turns
+    # into a lone ASCII letter
+    low = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("\u212a"), F.lit("\u2126")))
+    return F.filter(F.split(low, _SEP), lambda w: w != "")
+
+
 def licence_hits(docs: DataFrame, known: list[str], trigger: list[str]) -> DataFrame:
     """rid, doc_id, n_words, hits (position, word): licence words of every file
     that holds at least one trigger word."""
-    # A-Z only: the Kelvin sign is the one other character that lower() turns
-    # into a lone ASCII letter
-    low = F.lower(F.translate(F.coalesce(F.col("text"), F.lit("")), "K", "Ω"))
-    words = F.split(F.regexp_replace(low, rf"\A{_SEP}|{_SEP}\z", ""), _SEP)
-    base = docs.select("doc_id", words.alias("w")).select("doc_id", "w", F.when(F.element_at("w", 1) == "", 0).otherwise(F.size("w")).cast("long").alias("n_words"))
-    vocabulary = F.array(*map(F.lit, known))
-    near = F.arrays_overlap("w", F.array(*map(F.lit, trigger)))
-    hits = F.filter(F.transform("w", lambda w, i: F.struct(i.cast("long").alias("pos"), w.alias("word"))), lambda x: F.array_contains(vocabulary, x["word"]))
+    base = docs.select("doc_id", file_words(F.col("text")).alias("w")).select("doc_id", "w", F.size("w").cast("long").alias("n_words"))
+    near = F.exists("w", lambda w: w.isin(trigger))
+    # a row is made of a licence word only, not of every word of the file
+    hits = F.filter(F.transform("w", lambda w, i: F.when(w.isin(known), F.struct(i.cast("long").alias("pos"), w.alias("word")))), lambda x: x.isNotNull())
     return scratch(base.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "n_words", F.when(near, hits).alias("hits")), "licence-hits")
 
 
@@ -103,8 +116,8 @@ def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     n_files = files.count()
     df = hits.where(F.col("word").isin(index)).select("rid", "word").distinct().groupBy("word").count()
     idf = df.select("word", F.log((F.lit(n_files) + 1) / F.col("count")).alias("idf"))
-    posting = spark.createDataFrame(postings, "tid int, tpos long, word string")
-    weight = scratch(posting.join(idf, "word", "left").withColumn("idf", F.coalesce("idf", F.log(F.lit(n_files + 1.0)))), "licence-index")
+    posting = fixed_table(spark, postings, "tid int, tpos long, word string")
+    weight = scratch(posting.join(F.broadcast(idf), "word", "left").withColumn("idf", F.coalesce("idf", F.log(F.lit(n_files + 1.0)))), "licence-index")
     total = weight.groupBy("tid").agg(F.sum("idf").alias("total"))
 
     # a template's rarest words propose its places; a place without any of them
@@ -118,19 +131,21 @@ def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
              .join(F.broadcast(total), "tid").withColumn("share", F.col("votes") / F.col("total")).where(F.col("share") >= SHARE))
 
     # mandatory key phrases, word by word
-    key = spark.createDataFrame(keys, "tid int, kpos long, kword string")
+    key = fixed_table(spark, keys, "tid int, kpos long, kword string")
     need = key.groupBy("tid").agg(F.count(F.lit(1)).alias("need"))
     asked = votes.join(F.broadcast(key), "tid").select("rid", "tid", "at", "share", (F.col("at") + F.col("kpos")).alias("pos"), F.col("kword").alias("word"))
     verified = (asked.join(hits, ["rid", "pos", "word"]).groupBy("rid", "tid", "at", "share").count()
                 .join(F.broadcast(need), "tid").where("count = need")
                 # a key phrase inside a longer one at the same place gives way to it
                 .withColumn("longest", F.max("need").over(Window.partitionBy("rid", "at"))).where("need = longest"))
-    names = spark.createDataFrame([(i, t[0]) for i, t in enumerate(templates)], "tid int, name string")
+    names = fixed_table(spark, [(i, t[0]) for i, t in enumerate(templates)], "tid int, name string")
     found = (verified.join(F.broadcast(names), "tid").groupBy("rid")
              .agg(F.collect_set("name").alias("names"), F.max("share").alias("best"),
                   F.sort_array(F.collect_list(F.struct(F.col("name").alias("template"), F.col("at").alias("position"), "share"))).alias("matches")))
     none = F.array().cast("array<string>")
-    each = files.select("rid", "doc_id", "n_words").join(base, "rid", "left").join(found, "rid", "left")
+    # files without a trigger word have neither and are not shuffled
+    marked = files.where("hits is not null").select("rid", "doc_id", "n_words").join(base, "rid", "left").join(found, "rid", "left")
+    each = marked.unionByName(files.where("hits is null").select("rid", "doc_id", "n_words"), allowMissingColumns=True)
     both = F.array_union(F.coalesce("base", none), F.coalesce("names", none))
     return each.select(
         "doc_id", "n_words", F.coalesce("n_base", F.lit(0).cast("long")).alias("n_base"), "first_word", "last_word",
